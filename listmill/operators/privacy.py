@@ -46,43 +46,54 @@ def emails_in(texts: DataFrame, text: str) -> DataFrame:
     )
 
 
-def _asked(text: Column) -> Column:
-    """array<struct<kind, value>> a text could hold: its whole digit runs; and around every "@"
-    each end of the run before it (with the run after it) that could be an address."""
-    runs = F.array_distinct(F.regexp_extract_all(text, F.lit(r"\d+"), F.lit(0)))
-    ids = F.transform(runs, lambda v: F.struct(F.lit("id").alias("kind"), v.alias("value")))
-    mails = F.array_distinct(F.regexp_extract_all(text, F.lit(r"[^)(\s@]+@[^)\s@]+"), F.lit(0)))
-    locals_ = F.flatten(
-        F.transform(
-            mails,
-            lambda m: F.transform(
-                F.sequence(F.lit(1), F.instr(m, "@") - 1),
-                lambda i: F.substring(m, i, F.instr(m, "@") - i),
-            ),
-        )
-    )
-    parts = F.transform(
-        F.array_distinct(locals_),
-        lambda v: F.struct(F.lit("email").alias("kind"), v.alias("value")),
-    )
-    return F.concat(ids, parts)
+def _lengths(details: DataFrame, kind: str) -> Column:
+    """The lengths that occur among the parts of a kind, as one array: a scalar subquery, at most
+    one entry per possible length however many details there are."""
+    found = details.where(F.col("kind") == kind).agg(F.collect_set(F.length("part")).alias("n"))
+    return found.scalar()
 
 
-def details_held(rows: DataFrame, key: list[str], text: Column, details: DataFrame) -> DataFrame:
-    """(key, held): the details that occur in each row's text, longest first."""
-    lookup = details.select(
+def _parts(details: DataFrame) -> DataFrame:
+    """(kind, part, value): what is looked up in a text - an id whole, an address by what stands
+    before its "@"."""
+    return details.select(
         "kind",
         F.when(F.col("kind") == "email", F.substring_index("value", "@", 1))
         .otherwise(F.col("value"))
         .alias("part"),
         "value",
     )
-    asked = rows.select(*key, text.alias("_text")).where(F.col("_text").rlike(r"\d|@"))
-    tokens = asked.select(*key, "_text", F.explode(_asked(F.col("_text"))).alias("t"))
-    met = tokens.select(
-        *key, "_text", F.col("t.kind").alias("kind"), F.col("t.value").alias("part")
-    ).join(lookup, ["kind", "part"])
-    real = met.where((F.col("kind") == "id") | F.col("_text").contains(F.col("value")))
+
+
+def _ends(run: Column, lengths: Column) -> Column:
+    """The ends of a run that have one of the lengths."""
+    fitting = F.filter(lengths, lambda n: n <= F.length(run))
+    return F.transform(fitting, lambda n: F.right(run, n))
+
+
+def details_held(rows: DataFrame, key: list[str], text: Column, details: DataFrame) -> DataFrame:
+    """(key, held): the details that occur in each row's text, longest first.
+
+    A text is asked for its whole digit runs and for the ends of the runs before each "@".
+    """
+    lookup = _parts(details)
+    asked = (
+        rows.select(*key, text.alias("_text"))
+        .where(F.col("_text").rlike(r"\d|@"))
+        .withColumn("_n", _lengths(lookup, "email"))
+    )
+    digits = F.array_distinct(F.regexp_extract_all("_text", F.lit(r"\d+"), F.lit(0)))
+    before_at = F.array_distinct(F.regexp_extract_all("_text", F.lit(r"([^)\s@]+)@"), F.lit(1)))
+    ends = F.array_distinct(F.flatten(F.transform(before_at, lambda r: _ends(r, F.col("_n")))))
+    tagged = lambda parts, kind: F.transform(
+        parts, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("part"))
+    )
+    tokens = asked.select(
+        *key, "_text", F.explode(F.concat(tagged(digits, "id"), tagged(ends, "email"))).alias("t")
+    ).select(*key, "_text", "t.*")
+    real = tokens.join(lookup, ["kind", "part"]).where(
+        (F.col("kind") == "id") | F.col("_text").contains(F.col("value"))
+    )
     one = F.struct((-F.length("value")).alias("n"), "value", "kind")
     return real.groupBy(*key).agg(F.array_sort(F.collect_set(one)).alias("held"))
 
@@ -163,14 +174,15 @@ def leaks(df: DataFrame, key: list[str], details: DataFrame) -> DataFrame:
     mails = details_held(whole, key, F.col("_text"), details.where("kind = 'email'")).select(
         *key, F.explode("held.value").alias("value")
     )
-    ids = details.where("kind = 'id'")
-    lengths = ids.select(F.length("value").alias("n")).distinct()
-    runs = whole.select(*key, F.explode(F.regexp_extract_all("_text", F.lit(r"\d+"), F.lit(0))).alias("run"))
-    parts = runs.join(lengths, F.length("run") >= F.col("n")).select(
-        *key,
-        F.explode(
-            F.expr("transform(sequence(1, length(run) - n + 1), i -> substring(run, i, n))")
-        ).alias("value"),
+    ids = _parts(details.where("kind = 'id'"))
+    cut = F.expr(
+        """flatten(transform(filter(_n, n -> n <= length(run)),
+             n -> transform(sequence(1, length(run) - n + 1), i -> substring(run, i, n))))"""
+    )
+    runs = whole.withColumn("_n", _lengths(ids, "id")).select(
+        *key, "_n", F.explode(F.regexp_extract_all("_text", F.lit(r"\d+"), F.lit(0))).alias("run")
+    )
+    found = runs.select(*key, F.explode(F.array_distinct(cut)).alias("value")).join(
+        ids.select("value"), "value"
     )
-    found = parts.join(ids.select("value"), "value").select(*key, "value")
-    return mails.unionByName(found).distinct()
+    return mails.unionByName(found.select(*key, "value")).distinct()
