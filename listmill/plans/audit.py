@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from listmill.config import EngineConfig
+from listmill.engine import cut
 from listmill.functions.labels import is_counted
 from listmill.functions.money import converted_by_map
 from listmill.functions.names import acronym_key
@@ -110,13 +111,14 @@ def audit(
     counted = with_rates(fees.where(is_counted(F.col("check_status"))), rates).withColumn(
         "usd", converted_by_map(F.col("amount"), F.col("currency"), F.col("rates"), "USD")
     )
+    c = cut(c)
     owned = counted.join(c.select(F.col("id").alias("entity_id")), "entity_id", "left_semi")
     has = counted.select(F.col("entity_id").alias("id"), F.lit(True).alias("has_counted")).distinct()
     ranges = fee_range(counted, "entity_id").select(
         F.col("entity_id").alias("id"), F.struct("fee_min", "fee_max", "currency").alias("want")
     )
     none = F.struct(*[F.lit(None).cast(t).alias(n) for n, t in (("fee_min", "double"), ("fee_max", "double"), ("currency", "string"))])
-    state = c.join(has, "id", "left").join(ranges, "id", "left")
+    state = cut(c.join(has, "id", "left").join(ranges, "id", "left"))
     no_fee = F.col("has_counted").isNull()
     failures = failing(
         state,
@@ -224,7 +226,7 @@ def audit(
             F.concat_ws(" vs ", F.col("weeks").cast("string"), F.col("visible").cast("string")),
         )
     )
-    return report(failures)
+    return report(cut(failures))
 
 
 def likely_duplicates(rows: DataFrame) -> DataFrame:

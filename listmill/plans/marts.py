@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from listmill import fixed_values as fv
 from listmill.config import EngineConfig
+from listmill.engine import cut
 from listmill.functions.dates import monday
 from listmill.functions.fee_kinds import classify
 from listmill.functions.labels import fee_status, history_label, history_years, is_counted
@@ -168,12 +169,12 @@ def publish(
     """{"entities", "fees", "meta", "weeks"}: scrubbed marts. Metadata counts leave flagged
     organizers out."""
     derived = with_derived(entities, fees, listings, rates)
-    shown = published_entities(derived, listings, config)
-    shown_fees = published_fees(fees, shown, rates)
+    shown = cut(published_entities(derived, listings, config))
+    shown_fees = cut(published_fees(fees, shown, rates))
     edas = listings.where("source = 'edas' and extra is not null").select(
         F.explode(F.map_values(F.from_json("extra", "map<string,string>"))).alias("text")
     )
-    details = account_details(edas, "text")
+    details = cut(account_details(edas, "text"))
     flagged = F.col("organizer_flag").isNotNull()
     meta = shown.agg(
         F.count_if(~flagged).alias("entities"),
@@ -194,8 +195,8 @@ def publish(
     )
     weeks = week_summary(main, config, "id", "start_date", "_usd", "_php", flagged)
     return {
-        "entities": scrub_table(shown, ["id"], details),
-        "fees": scrub_table(shown_fees, ["id"], details),
+        "entities": cut(scrub_table(shown, ["id"], details)),
+        "fees": cut(scrub_table(shown_fees, ["id"], details)),
         "meta": meta,
         "weeks": weeks,
     }

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listmill import fixed_values as fv
+from listmill.engine import cut
 from listmill.functions.attendance import decide
 from listmill.functions.checks import fee_mentions
 from listmill.functions.dates import old_edition_note, sane_end
@@ -145,13 +146,19 @@ def apply_reads(
             ),
         }
     )
+    routed = cut(routed)
     fresh = routed.where("_fresh")
 
-    # --- fees of the homepage are replaced where the answer lists any
-    checked = check_fees(_read_fees(fresh), fresh.select("entity_id", "text"), "entity_id", "pos")
+    # --- fees of the homepage are replaced where the answer lists any; the checks are the dear
+    # part and are read many times below, so they are stored once
+    checked = cut(
+        check_fees(_read_fees(fresh), fresh.select("entity_id", "text"), "entity_id", "pos")
+    )
     new_fees = _checked_rows(checked)
     replaced = new_fees.select("entity_id", F.lit("homepage").alias("source")).distinct()
-    all_fees = fees.join(replaced, ["entity_id", "source"], "left_anti").unionByName(new_fees)
+    all_fees = cut(
+        fees.join(replaced, ["entity_id", "source"], "left_anti").unionByName(new_fees)
+    )
 
     # --- fields
     routed = routed.select(
@@ -196,7 +203,7 @@ def apply_reads(
     summary = check_summary(checked, "entity_id").select(F.col("entity_id").alias("id"), "check_note")
     owned = _owned(all_fees)
     modes = attendance_inputs(all_fees, listings)
-    ranged = applied.join(summary, "id", "left").join(owned, "id", "left").join(modes, "id", "left")
+    ranged = cut(applied).join(summary, "id", "left").join(owned, "id", "left").join(modes, "id", "left")
     return _with_status(ranged, entities.columns, all_fees), all_fees
 
 
@@ -259,7 +266,7 @@ def _with_status(df: DataFrame, columns: list[str], fees: DataFrame) -> DataFram
         F.col("attendance")
     )
     new = {"status": status, "review_note": note, "attendance": mode}
-    out = df.select(*[new.get(c, F.col(c)).alias(c) for c in columns], "_fresh")
+    out = cut(df.select(*[new.get(c, F.col(c)).alias(c) for c in columns], "_fresh"))
     done = refresh_ranges(out.where("_fresh").drop("_fresh"), fees)
     return out.where("not _fresh").drop("_fresh").unionByName(done)
 
@@ -273,7 +280,7 @@ def revalidate(entities: DataFrame, fees: DataFrame, texts: DataFrame) -> tuple[
     reads = texts.where("text is not null")
     mine = fees.join(reads.select("entity_id"), "entity_id", "left_semi")
     others = fees.join(reads.select("entity_id"), "entity_id", "left_anti")
-    checked = check_fees(mine, reads, "entity_id", "id")
+    checked = cut(check_fees(mine, reads, "entity_id", "id"))
     renewed = checked.where(F.col("check.status") != "duplicate").select(
         *[
             {
@@ -287,7 +294,7 @@ def revalidate(entities: DataFrame, fees: DataFrame, texts: DataFrame) -> tuple[
             for c in fees.columns
         ]
     )
-    all_fees = others.unionByName(renewed)
+    all_fees = cut(others.unionByName(renewed))
     summary = check_summary(checked, "entity_id")
     joined = (
         entities.join(reads.select(F.col("entity_id").alias("id"), F.col("text").alias("_text")), "id", "left")
@@ -314,7 +321,11 @@ def revalidate(entities: DataFrame, fees: DataFrame, texts: DataFrame) -> tuple[
         .otherwise(F.col("review_note"))
     )
     new = {"status": status, "review_note": note}
-    out = joined.select(*[new.get(c, F.col(c)).alias(c) for c in entities.columns], has_fees.alias("_has"))
+    out = cut(
+        joined.select(
+            *[new.get(c, F.col(c)).alias(c) for c in entities.columns], has_fees.alias("_has")
+        )
+    )
     done = refresh_ranges(out.where("_has").drop("_has"), all_fees)
     return out.where("not _has").drop("_has").unionByName(done), all_fees
 
