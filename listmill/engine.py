@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +19,6 @@ def local_session(cores: int | str = "*", app: str = "listmill", **conf: str) ->
         .config("spark.driver.memory", "12g")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in conf.items():
         b = b.config(k, v)
@@ -27,22 +27,33 @@ def local_session(cores: int | str = "*", app: str = "listmill", **conf: str) ->
     return spark
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and forget its lineage.
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder for stored intermediate results.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. A local session
-    without the setting gets a private folder; a cluster session without it is refused,
-    because a machine-local folder would be lost with its executor.
+    It is the one the cluster names in ``spark.checkpoint.dir``. A local session without the
+    setting gets a private folder; a cluster session without it is refused, because a
+    machine-local folder would be lost with its executor.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="listmill-checkpoint-")
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="listmill-scratch-")
         sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return folder
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` stored as a table in the scratch folder and read back.
+
+    Forgets the lineage, so a lost executor costs a re-read only. A written table, unlike a
+    checkpoint, also brings the real size: join estimates do not pile up over rounds, and the
+    planner can choose broadcasts by what is there.
+    """
+    path = f"{scratch_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def load(spark: SparkSession, folder: str, table: str, *columns: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from listmill import fixed_values as fv
 from listmill.config import EngineConfig
+from listmill.engine import cut
 from listmill.functions.dates import sane_end
 from listmill.functions.regex import bind
 from listmill.functions.topics import keyword_hits, topic_text, verdict
@@ -140,11 +141,14 @@ def merge_listings(
     homes = homes.join(taken, "founder_id", "left").select(
         "id", F.coalesce("entity_id", fresh).alias("_home"), F.col("founder_id").isNotNull().alias("_new")
     )
-    linked = listings.join(homes, "id", "left").select(
-        *[
-            F.coalesce("entity_id", "_home").alias(c) if c == "entity_id" else F.col(c)
-            for c in listings.columns
-        ]
+    homes = cut(homes)
+    linked = cut(
+        listings.join(homes, "id", "left").select(
+            *[
+                F.coalesce("entity_id", "_home").alias(c) if c == "entity_id" else F.col(c)
+                for c in listings.columns
+            ]
+        )
     )
     founded = homes.where("_new").select(F.col("_home").alias("id")).distinct()
     blank = spark.createDataFrame([], ENTITIES)
@@ -152,7 +156,7 @@ def merge_listings(
         blank.unionByName(founded.withColumn("status", F.lit("collected")), allowMissingColumns=True)
     )
     filled = apply_listings(everyone, linked)
-    given = source_fees(linked)
+    given = cut(source_fees(linked))
     kept = fees.join(given.select("entity_id", "source").distinct(), ["entity_id", "source"], "left_anti")
     all_fees = kept.unionByName(given)
     return refresh_ranges(filled, all_fees), linked, all_fees
@@ -168,8 +172,9 @@ def dedupe(
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """One pass: repairs end dates, pairs duplicates, folds them. Also returns the pairs."""
     repaired = entities.withColumn("end_date", sane_end(F.col("start_date"), F.col("end_date")))
-    pairs = find_duplicates(repaired, listings)
+    pairs = cut(find_duplicates(repaired, listings))
     folded, relinked, moved = fold(repaired, listings, fees, pairs)
+    folded = cut(folded)
     keepers = pairs.select(F.col("keep").alias("id"))
     touched = refresh_ranges(folded.join(keepers, "id", "left_semi"), moved)
     others = folded.join(keepers, "id", "left_anti")

@@ -35,7 +35,7 @@ def collect(tables: Tables, incoming: DataFrame) -> Tables:
     joined = merged.join(known, ["source", "source_id"], "left").withColumn(
         "id", F.coalesce("id", listing_id(F.col("source"), F.col("source_id")))
     )
-    return Tables(tables.entities, joined.select(*old.columns), tables.fees, tables.rates)
+    return Tables(tables.entities, cut(joined.select(*old.columns)), tables.fees, tables.rates)
 
 
 def consolidate_tables(tables: Tables, config: EngineConfig, answers: DataFrame | None = None) -> Tables:
