@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from listmill.bindings.registry import query
 from listmill.bindings.tables import (
-    CONFIG, SQL_CATEGORY, SQL_ISO, SQL_LINE_ORDER, SQL_RATE, SQL_TIER, case, fees, orders, rates,
+    CONFIG, SQL_CATEGORY, SQL_ISO, SQL_LINE_ORDER, SQL_RATE, SQL_TIER, case, fees, orders, rates, sql_cents,
 )
 from listmill.engine import cut, load, scratch_folder
 from listmill.functions.dates import monday
@@ -231,7 +231,7 @@ def fee_duplicates(spark, d):
 
 _SCORED = f"""
 select l_orderkey as id, l_extendedprice as amount, {SQL_CATEGORY} as category, {SQL_TIER} as tier, l_linestatus,
-  round_even(l_extendedprice / {SQL_RATE}, 2) as usd, {SQL_ISO} as iso,
+  {sql_cents(f'l_extendedprice / {SQL_RATE}')} as usd, {SQL_ISO} as iso,
   case when l_returnflag = 'R' then null else (case l_returnflag when 'A' then 4 else 0 end) + 2 + (case l_linestatus when 'F' then 3 else 1 end) end as score,
   row_number() over (partition by l_orderkey order by {SQL_LINE_ORDER}) as rn from lineitem"""
 
@@ -256,8 +256,8 @@ def headline_student(spark, d):
 
 
 @query(f"""
-select l_orderkey as id, min(round_even(l_extendedprice / {SQL_RATE}, 2)) as usd_min, max(round_even(l_extendedprice / {SQL_RATE}, 2)) as usd_max,
-  max(round_even(l_extendedprice / {SQL_RATE} * 56.31::double, 2)) as php_max from lineitem group by 1""")
+select l_orderkey as id, min({sql_cents(f'l_extendedprice / {SQL_RATE}')}) as usd_min, max({sql_cents(f'l_extendedprice / {SQL_RATE}')}) as usd_max,
+  max({sql_cents(f'l_extendedprice / {SQL_RATE} * 56.31::double')}) as php_max from lineitem group by 1""")
 def convert_fx(spark, d):
     valued = valued_fees(fees(spark, d), rates(spark))
     return valued.groupBy(F.col("entity_id").alias("id")).agg(
@@ -342,16 +342,17 @@ def _tickets(spark, d):
     return rows, shown
 
 
-_TICKETS = """
-with f as (select distinct l_orderkey as id, l_linestatus as c, round_even(l_extendedprice / 16, 2) as a, l_returnflag as r from lineitem),
+_TICKETS = f"""
+with f as (select distinct l_orderkey as id, l_linestatus as c, {sql_cents('l_extendedprice / 16')} as a, l_returnflag as r from lineitem),
 shown as (select distinct id, a from f where r <> 'R'),
-k as (select f.*, row_number() over (partition by f.id, c, a order by r) as rep, shown.a is not null as seen from f left join shown on shown.id = f.id and shown.a = f.a),
-s as (select id, a, case when rep > 1 then 'duplicate' when a < 3 or a > 6000 then 'implausible' when not seen then 'not_found' else 'verified' end as status from k)"""
+k as (select f.*, row_number() over (partition by f.id, f.c, f.a order by f.r) as rep, shown.a is not null as seen from f left join shown on shown.id = f.id and shown.a = f.a),
+s as (select id, a, case when rep > 1 then 'duplicate' when a < 3 or a > 6000 then 'implausible' when not seen then 'not_found' when a between 1990 and 2040 and a = floor(a) then 'implausible' else 'verified' end as status from k)"""
 
 
 @query(_TICKETS + " select id, status, count(*) as n, max(a) as top from s group by 1, 2")
 def fee_checks(spark, d):
-    """Repeats, plausibility and grounding of every fee against its order's text."""
+    """Repeats, plausibility and grounding of every fee against its order's text. The cents of a
+    year-like amount look like a date ("2002.00"), so those are told apart as dates."""
     rows, shown = _tickets(spark, d)
     return check_fees(rows, shown, "entity_id").groupBy(F.col("entity_id").alias("id"), F.col("check.status").alias("status")).agg(
         F.count("*").alias("n"), F.max("amount").alias("top")

@@ -24,6 +24,11 @@ SQL_TIER = "case l_linestatus when 'F' then 'regular' else 'early' end"
 SQL_RATE = "case l_returnflag when 'A' then 1.0::double when 'N' then 0.83::double else 0.77::double end"
 
 
+def sql_cents(value: str) -> str:
+    """Half-even rounding of a double's shortest decimal form, as Spark rounds it."""
+    return f"round_even(cast(cast({value} as varchar) as decimal(38, 14)), 2)::double"
+
+
 def case(column: str, pairs: dict[str, str], other: str | None = None) -> Column:
     out = F.lit(other)
     for key, value in pairs.items():

@@ -419,8 +419,9 @@ def login_pages(spark, d):
 
 @query("""
 with e as (select 'https://www.computer.org/conferences/cfp-' || o_orderkey || '-' || case o_orderstatus when 'F' then cast(year(o_orderdate) + 4 as varchar) when 'O' then 'x' else 'x?y=1' end as loc,
-  o_orderstatus as s, year(o_orderdate) + 4 as y, cast(o_orderdate as date) as m from orders)
-select distinct loc as url from e where s <> 'P' and (case when s = 'F' and y >= 2000 then y between 2001 and 2002 else m >= date '2001-01-01' - 365 end)""")
+  o_orderstatus as s, cast(o_orderdate as date) as m from orders),
+y as (select *, list_transform(regexp_extract_all(loc, '20\\d\\d'), lambda x: cast(x as int)) as ys from e)
+select distinct loc as url from y where s <> 'P' and case when len(ys) > 0 then list_min(ys) <= 2002 and list_max(ys) >= 2001 else m >= date '2001-01-01' - 365 end""")
 def page_selection(spark, d):
     """Pages whose years overlap the window, or that have none and are recent; queries never."""
     year = (F.year("start_date") + 4).cast("string")

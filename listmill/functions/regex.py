@@ -42,8 +42,11 @@ def windows(text: Column, pattern: Column, before: int, after: int) -> Column:
     Look-arounds capture the neighbourhood, so matches keep their left-to-right,
     non-overlapping order and the text is never cut into pieces.
     """
+    # the look-ahead comes first: most places of a text fail it at once
     framed = F.concat(
-        F.lit(f"(?s)(?<=(.{{{before}}}|^.{{0,{before - 1}}}))("),
+        F.lit("(?s)(?="),
+        pattern,
+        F.lit(f")(?<=(.{{{before}}}|^.{{0,{before - 1}}}))("),
         pattern,
         F.lit(f")(?=(.{{0,{after}}}))"),
     )

@@ -2,13 +2,15 @@
 
 Sequentially: entities by start date and id, each not yet used takes the first unused one after
 it that is the same event. In rounds: a node with no unused neighbour before it takes its first
-neighbour, provided that one's earliest neighbour is the node itself. Groups of one acronym that
-nothing else touches and whose places agree are paired by rank instead, which is the same result
-in one step, so a crowded acronym needs no rounds.
+neighbour, provided that one's earliest neighbour is the node itself. Two shortcuts give the same
+result for groups of one acronym (or one name) that nothing else touches: where all places agree,
+or fall apart cleanly, by rank, for groups of any size; the others, joined into components, by one
+walk in order for components up to a checked size. Only larger components go through rounds.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,6 +22,8 @@ from listmill.operators.placement import _bucket, _features
 from listmill.operators.similarity import similar_names
 
 _SHIFT = 1 << 40
+WALK_LIMIT = 10_000  # rows of a component that one task may walk through; rounds beyond it
+MAX_LABEL_STEPS = 20
 _KIND = ["key", "name", "day", "country"]
 
 
@@ -154,7 +158,27 @@ def duplicate_pairs(entities: DataFrame, threshold: int = fv.DUPLICATE_SIMILARIT
         )
     )
     paired = _pairs_by_rank(simple)
-    left = cut(grouped.join(plain, "grp", "left_anti").drop("grp"))
+    others = grouped.join(plain, "grp", "left_anti")
+
+    # --- the others, joined into components, as far as one task can walk through them in order
+    links = cut(ends.where("grp <> other_grp").select("grp", "other_grp").distinct())
+    mixed = cut(others.groupBy("grp").agg(F.count("*").alias("n")))
+    part = _components(mixed.select("grp"), links)
+    if part is None:
+        left = cut(others.drop("grp"))
+    else:
+        small = (
+            mixed.join(part, "grp")
+            .groupBy("part")
+            .agg(F.sum("n").alias("rows"))
+            .where(F.col("rows") <= WALK_LIMIT)
+            .select("part")
+        )
+        labelled = cut(others.join(part, "grp").join(small.withColumn("walk", F.lit(True)), "part", "left"))
+        walked = labelled.where("walk").select("part", "id", "pos", "kind", "key", "day", "country")
+        mine = edges.where("kind <> other").join(walked.select("part", "kind").distinct(), "kind")
+        paired = cut(paired.unionByName(_pairs_by_walk(walked, cut(mine.select("part", "kind", "other")))))
+        left = cut(labelled.where("walk is null").select(*rows.columns))
 
     # --- rounds for the others
     while True:
@@ -184,6 +208,67 @@ def duplicate_pairs(entities: DataFrame, threshold: int = fv.DUPLICATE_SIMILARIT
         left = cut(left.join(used, "id", "left_anti"))
 
 
+def _components(groups: DataFrame, links: DataFrame) -> DataFrame | None:
+    """(grp, part): the smallest group name reachable over links, or None when that does not
+    settle within a few steps."""
+    labels = cut(groups.withColumn("part", F.col("grp")))
+    for _ in range(MAX_LABEL_STEPS):
+        heard = links.join(labels.withColumnRenamed("grp", "other_grp"), "other_grp").groupBy("grp").agg(
+            F.min("part").alias("heard")
+        )
+        new = cut(
+            labels.join(heard, "grp", "left").select(
+                "grp", F.col("part").alias("before"), F.least("part", "heard").alias("part")
+            )
+        )
+        settled = new.where("part <> before").isEmpty()
+        labels = new.select("grp", "part")
+        if settled:
+            return labels
+    return None
+
+
+def _walk(rows: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+    """Each row in order takes the earliest one still waiting that is the same event."""
+    alike = set(zip(edges["kind"], edges["other"], strict=True))
+    waiting: list[tuple] = []
+    pairs = []
+    columns = ["day", "id", "kind", "key", "country"]
+    for row in rows.sort_values("pos")[columns].itertuples(index=False):
+        waiting = [w for w in waiting if (row.day - w.day).days <= fv.MAX_DATE_GAP_DAYS]
+        mate = next(
+            (
+                w
+                for w in waiting
+                if w.kind == row.kind
+                or (w.kind, row.kind) in alike
+                or (
+                    w.key != ""
+                    and w.key == row.key
+                    and (not w.country or not row.country or w.country == row.country)
+                )
+            ),
+            None,
+        )
+        if mate is None:
+            waiting.append(row)
+        else:
+            waiting.remove(mate)
+            pairs.append((mate.id, row.id))
+    return pd.DataFrame(pairs, columns=["a", "b"])
+
+
+def _pairs_by_walk(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """Pairs inside components of limited size. A node prefers earlier partners from either
+    side, so asking each row for its earliest waiting partner gives the same pairs as letting
+    each take its first later one."""
+
+    def walk(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return _walk(left, right)
+
+    return rows.groupBy("part").cogroup(edges.withColumnRenamed("part", "owner").groupBy("owner")).applyInPandas(walk, "a bigint, b bigint")
+
+
 def _pairs_by_rank(rows: DataFrame) -> DataFrame:
     """Pairs of neighbours in date order where every close pair of a group is the same event."""
     own = ["grp", "part"]

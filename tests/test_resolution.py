@@ -7,6 +7,7 @@ import re
 import pytest
 
 from listmill import fixed_values as fv
+from listmill.operators import duplicates
 from listmill.operators.duplicates import duplicate_pairs
 from listmill.operators.placement import place
 from listmill.operators.similarity import indel_similarity, similar_names
@@ -151,8 +152,10 @@ def test_placement_equals_sequential(spark, seed, hot):
     assert got == sequential_placement(entities, listings)
 
 
-@pytest.mark.parametrize("seed,hot", [(1, False), (2, True), (4, False)])
-def test_pairs_equal_sequential(spark, seed, hot):
+@pytest.mark.parametrize("seed,hot,limit", [(1, False, 10_000), (2, True, 10_000), (4, False, 0), (5, True, 8)])
+def test_pairs_equal_sequential(spark, seed, hot, limit, monkeypatch):
+    """With components walked through, and with all or the larger ones left to rounds."""
+    monkeypatch.setattr(duplicates, "WALK_LIMIT", limit)
     rng = random.Random(seed)
     entities = random_rows(rng, 90, 1, 60, hot)
     got = {(r.a, r.b) for r in duplicate_pairs(spark.createDataFrame(entities, ENTITY)).collect()}
