@@ -18,8 +18,10 @@ def bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def has(text: Column, pattern: str, flags: str = ANY_CASE) -> Column:
-    return text.rlike(flags + pattern)
+def has(text: Column, pattern: str) -> Column:
+    """Whether a pattern occurs, in any case. Patterns without classes and boundaries do not need
+    the dearer Unicode classes."""
+    return text.rlike((ANY_CASE if "\\" in pattern else "(?iu)") + pattern)
 
 
 def first_match(text: Column, pattern: str, group: int = 0, flags: str = ANY_CASE) -> Column:

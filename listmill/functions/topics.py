@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from listmill import fixed_values as fv
-from listmill.functions.regex import ANY_CASE, blank_to_null
+from listmill.functions.regex import ANY_CASE, bind, blank_to_null
 
 
 def _hit(text: Column, low: Column, pattern: str) -> Column:
@@ -24,9 +24,13 @@ def _hit(text: Column, low: Column, pattern: str) -> Column:
 
 def keyword_hits(text: Column, patterns: list[str]) -> Column:
     """The keywords that occur, in alphabetical order."""
-    low = F.lower(text)
-    found = [F.when(_hit(text, low, p), F.lit(p)) for p in sorted(patterns)]
-    return F.array_compact(F.array(*found))
+    both = F.struct(text.alias("text"), F.lower(text).alias("low"))
+    return bind(
+        both,
+        lambda t: F.array_compact(
+            F.array(*[F.when(_hit(t["text"], t["low"], p), F.lit(p)) for p in sorted(patterns)])
+        ),
+    )
 
 
 def verdict(positive: Column, negative: Column) -> Column:
