@@ -11,7 +11,7 @@ from listmill.bindings.registry import query
 from listmill.bindings.tables import (
     CONFIG, SQL_CATEGORY, SQL_ISO, SQL_LINE_ORDER, SQL_RATE, SQL_TIER, case, fees, orders, rates, sql_cents,
 )
-from listmill.engine import cut, load, scratch_folder
+from listmill.engine import cut, load, scratch_folder, spread
 from listmill.functions.dates import monday
 from listmill.functions.fee_kinds import classify
 from listmill.functions.labels import fee_status
@@ -237,7 +237,7 @@ select l_orderkey as id, l_extendedprice as amount, {SQL_CATEGORY} as category,
 
 
 def _headlines(spark, d):
-    valued = valued_fees(fees(spark, d), rates(spark))
+    valued = valued_fees(spread(fees(spark, d)), rates(spark))
     return headlines(valued, "entity_id", F.col("kind"), F.col("amount_usd"), "id", ["amount", "currency", "category", "amount_usd"])
 
 
@@ -270,7 +270,7 @@ def fee_kind_counts(spark, d):
     from listmill.functions.fee_kinds import standard_score
 
     kind = classify(F.col("category"), F.col("tier"), F.col("notes"))
-    df = fees(spark, d).withColumn("k", kind).withColumn("score", F.coalesce(standard_score(F.col("k")), F.lit(-1)))
+    df = spread(fees(spark, d)).withColumn("k", kind).withColumn("score", F.coalesce(standard_score(F.col("k")), F.lit(-1)))
     member = F.when(F.col("k.member"), "yes").when(~F.col("k.member"), "no").otherwise("unsaid")
     return df.groupBy("category", "tier", F.col("k.period").alias("period"), F.col("k.student").alias("student"), member.alias("member"), "score").agg(
         F.count("*").alias("n")
@@ -305,7 +305,7 @@ def entity_mart(spark, d):
 
 
 def _counted_heads(spark, d):
-    valued = valued_fees(fees(spark, d).where("check_status = 'verified'"), rates(spark))
+    valued = valued_fees(spread(fees(spark, d)).where("check_status = 'verified'"), rates(spark))
     return headlines(valued, "entity_id", F.col("kind"), F.col("amount_usd"), "id", ["amount_usd"])
 
 
