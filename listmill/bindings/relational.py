@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from listmill.bindings.registry import query
@@ -217,16 +216,16 @@ def fee_range_mode_currency(spark, d):
 select l_orderkey as id, count(*) as n, sum(k - 1)::bigint as repeats from (select l_orderkey, count(*) as k
   from lineitem group by l_orderkey, l_linestatus, l_returnflag, round_even(l_quantity, 2)) group by 1""")
 def fee_duplicates(spark, d):
-    """Rows that repeat an earlier one in category, tier and amount; the lines get unique places
-    by rank, since the supplied rows have no key of their own."""
+    """Rows that repeat an earlier one in category, tier and amount. Rows equal in everything are
+    counted first, so that the rest have an order."""
     base = fees(spark, d).select("entity_id", "id", "category", "tier", "l_quantity")
-    placed = base.withColumn("place", F.row_number().over(W.partitionBy("entity_id").orderBy("id")))
+    counted = base.groupBy(*base.columns).agg(F.count("*").alias("copies"))
     same = [F.col("entity_id"), F.lower(F.trim("category")), F.col("tier"), F.bround("l_quantity", 2)]
-    marked = mark_repeats(placed, same, "place")
-    groups = marked.groupBy("entity_id", "category", "tier", F.bround("l_quantity", 2).alias("q")).agg(
-        F.count_if("is_repeat").alias("r")
+    marked = mark_repeats(counted, same, "id")
+    return marked.groupBy(F.col("entity_id").alias("id")).agg(
+        F.count_if(~F.col("is_repeat")).alias("n"),
+        F.sum(F.col("copies") - (~F.col("is_repeat")).cast("int")).alias("repeats"),
     )
-    return groups.groupBy(F.col("entity_id").alias("id")).agg(F.count("*").alias("n"), F.sum("r").alias("repeats"))
 
 
 _SCORED = f"""

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from listmill import fixed_values as fv
@@ -18,6 +17,7 @@ from listmill.operators import lines, privacy
 from listmill.operators.duplicates import duplicate_pairs
 from listmill.operators.fee_tables import fees_from_tables
 from listmill.operators.placement import place
+from listmill.plans.audit import first_few
 from listmill.plans.consolidate import judge_topics
 from listmill.sources import deadlines, html, sitemaps
 
@@ -35,14 +35,15 @@ def acronym_and_core_name(spark, d):
 
 
 @query("""
-select id, len(list_intersect(a, b))::double / greatest(len(list_distinct(a || b)), 1) as overlap from (
-select p_partkey as id, list_distinct(list_filter(string_split(lower(p_name || ' ' || p_type), ' '), lambda x: len(x) > 2)) as a,
-  lag(list_distinct(list_filter(string_split(lower(p_name || ' ' || p_type), ' '), lambda x: len(x) > 2))) over (partition by p_brand, p_size order by p_partkey) as b from part) where b is not null""")
+with w as (select p_partkey as id, p_brand, list_distinct(list_filter(string_split(lower(p_name || ' ' || p_type), ' '), lambda x: len(x) > 2)) as a from part),
+f as (select p_brand, arg_min(a, id) as b from w group by 1)
+select id, len(list_intersect(a, b))::double / greatest(len(list_distinct(a || b)), 1) as overlap from w join f using (p_brand)""")
 def word_jaccard(spark, d):
+    """Shared words of a part's name and that of the first part of its brand."""
     words = names.name_words(F.concat_ws(" ", "p_name", "p_type"))
-    before = F.lag("a").over(W.partitionBy("p_brand", "p_size").orderBy("p_partkey"))
-    rows = load(spark, d, "part").withColumn("a", words).withColumn("b", before).where("b is not null")
-    return rows.select(F.col("p_partkey").alias("id"), names.word_overlap(F.col("a"), F.col("b")).alias("overlap"))
+    rows = load(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_brand", words.alias("a"))
+    first = rows.groupBy("p_brand").agg(F.min_by("a", "id").alias("b"))
+    return rows.join(first, "p_brand").select("id", names.word_overlap(F.col("a"), F.col("b")).alias("overlap"))
 
 
 @query("select p_partkey as id, p_size as edition from part")
@@ -365,20 +366,18 @@ def list_rows(spark, d):
 
 @query(f"""
 with s as (select l_orderkey as page_id, case l_returnflag when 'A' then 6 when 'N' then 3 else 1 end + case l_linestatus when 'F' then 12 else 0 end as score,
-  row_number() over (partition by l_orderkey order by {SQL_LINE_ORDER}) as pos from lineitem)
-select page_id, score, pos from s qualify row_number() over (partition by page_id order by score desc, pos) <= 7""")
+  row_number() over (partition by l_orderkey order by case l_returnflag when 'A' then 6 when 'N' then 3 else 1 end + case l_linestatus when 'F' then 12 else 0 end desc,
+  {SQL_LINE_ORDER}) as rank, l_partkey as link from lineitem)
+select page_id, score, link from s where rank <= 7""")
 def link_scores(spark, d):
     """The best links of a page, page order on ties; an order's lines stand for its links."""
     line = load(spark, d, "lineitem")
     path = case("l_returnflag", {"A": "registration", "N": "dates"}, "about")
     home = F.lit("https://www.event.example.com/")
     score = urls.link_score(case("l_linestatus", {"F": "Fees"}, "x"), F.concat(F.lit("https://event.example.com/"), path), home)
-    links = line.select(
-        F.col("l_orderkey").alias("page_id"), score.alias("score"),
-        F.row_number().over(W.partitionBy("l_orderkey").orderBy(*LINE_ORDER)).alias("pos"),
-    ).where("score > 0")
-    best = W.partitionBy("page_id").orderBy(F.desc("score"), "pos")
-    return links.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= CONFIG.max_pages_per_site - 1).drop("rank")
+    links = line.select(F.col("l_orderkey").alias("page_id"), score.alias("score"), (-score).alias("down"), *LINE_ORDER)
+    best = first_few(links.where("score > 0"), "page_id", ["down", *LINE_ORDER], CONFIG.max_pages_per_site - 1, 8)
+    return best.select("page_id", "score", F.col("l_partkey").alias("link"))
 
 
 @query(r"""

@@ -64,17 +64,38 @@ def condense(df: DataFrame, key: str, text: str, limit: int, out: str = "condens
     return short.unionByName(cut)
 
 
-def carry_forward(rows: DataFrame, page: str, position: str, header: str, out: str) -> DataFrame:
-    """The latest non-null ``header`` at or before each row of its page."""
-    upto = W.partitionBy(page).orderBy(position).rowsBetween(W.unboundedPreceding, 0)
-    return rows.withColumn(out, F.last(header, ignorenulls=True).over(upto))
+def carry_forward(
+    rows: DataFrame, page: str, position: str, header: str, out: str, width: int = 1 << 16
+) -> DataFrame:
+    """The latest non-null ``header`` at or before each row of its page.
+
+    Positions are cut into ranges: headers are carried inside a range, and from range to range
+    with one row per range, so no task sorts a whole page whatever its length.
+    """
+    cells = rows.withColumn("_cell", F.floor(F.col(position) / width))
+    ends = cells.groupBy(page, "_cell").agg(
+        F.max_by(header, F.when(F.col(header).isNotNull(), F.col(position))).alias("_last")
+    )
+    earlier = W.partitionBy(page).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
+    before = ends.select(page, "_cell", F.last("_last", ignorenulls=True).over(earlier).alias("_before"))
+    upto = W.partitionBy(page, "_cell").orderBy(position).rowsBetween(W.unboundedPreceding, 0)
+    return (
+        cells.withColumn(out, F.last(header, ignorenulls=True).over(upto))
+        .join(before, [page, "_cell"])
+        .select(*rows.columns, F.coalesce(out, "_before").alias(out))
+    )
 
 
 def after_marker(rows: DataFrame, page: str, position: str, marker: Column, out: str) -> DataFrame:
-    """Whether a marker row came before this row on its page (the marker rows drop out)."""
-    upto = W.partitionBy(page).orderBy(position).rowsBetween(W.unboundedPreceding, 0)
-    flagged = rows.withColumn("_marker", marker).withColumn(out, F.max("_marker").over(upto))
-    return flagged.where("not _marker").drop("_marker")
+    """Whether a marker row came before this row on its page (the marker rows drop out): the
+    first marker's position is aggregated and joined back."""
+    marked = rows.withColumn("_marker", F.coalesce(marker, F.lit(False)))
+    first = marked.where("_marker").groupBy(page).agg(F.min(position).alias("_first"))
+    return (
+        marked.where("not _marker")
+        .join(first, page, "left")
+        .select(*rows.columns, F.coalesce(F.col(position) > F.col("_first"), F.lit(False)).alias(out))
+    )
 
 
 def fair_shares(sections: DataFrame, entity: str, order: str, section: str, total: int, out: str = "text") -> DataFrame:
