@@ -694,3 +694,22 @@ def audit_report(spark, d):
 def json_nulls(spark, d):
     nested = F.when(F.col("s_acctbal") >= 0, F.struct(F.floor("s_acctbal").cast("bigint").alias("balance")))
     return load(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), json_or_null(nested).alias("extra"))
+
+
+@query("""
+select o_custkey as id, case when max(year(o_orderdate)) >= 1999 then 'has history' else 'no history found' end as label,
+  string_agg(distinct cast(year(o_orderdate) as varchar), ',' order by cast(year(o_orderdate) as varchar) desc) as years from orders group by 1""")
+def history_labels(spark, d):
+    """Editions per customer and year, newest first, and what they say about its history."""
+    from listmill.functions.labels import history_label, history_years
+    from listmill.operators.history import first_per_year as pick
+    from listmill.operators.history import history_records
+
+    rows = orders(spark, d).select(
+        F.col("customer").alias("id"), F.year("start_date").alias("year"), F.lit("n").alias("name"), F.lit("p").alias("publisher"),
+        F.lit("d").alias("doi"), F.lit(0).alias("answer"), F.col("id").alias("pos"),
+    )
+    people = rows.select("id").distinct().withColumn("start_date", F.lit(dt.date(2003, 1, 1)))
+    records = history_records(people, pick(rows, "id"))
+    years = F.array_join(F.transform(history_years(F.col("history")), lambda y: y.cast("string")), ",")
+    return records.select("id", history_label(F.col("history")).alias("label"), years.alias("years"))
