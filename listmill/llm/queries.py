@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from listmill.engine import load
-from listmill.llm import sharding, url_filter
+from listmill.llm import bpe, sharding, url_filter
 from listmill.llm.common import CRC_TABLE_SQL, ORACLES, QUERIES, crc32_sql, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -20,6 +22,23 @@ URL_RULES = [
 ]
 
 
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """Ids of the texts and back, as digests: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    ranks = bpe.rank_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks).select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op2_bitmap_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe_digests(load(spark, folder, "documents"))
+
+
 @query(f"""
 with t as (select {CRC_TABLE_SQL} as crc_table),
 sized as (
