@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listmill.engine import load
-from listmill.llm import bpe, sharding, url_filter
+from listmill.llm import bpe, sharding, simhash, url_filter
 from listmill.llm.common import CRC_TABLE_SQL, ORACLES, QUERIES, crc32_sql, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -78,3 +78,8 @@ def op8_bloom_cascade(spark: SparkSession, folder: str) -> DataFrame:
     listed = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
     rules = spark.sql(f"select * from values {listed} as rules(host, path, verdict)")
     return url_filter.judge_urls(load(spark, folder, "pages"), rules)
+
+
+@query()
+def op9_simhash_anchors(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(load(spark, folder, "documents"))
