@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listmill.engine import load
-from listmill.llm import bpe, sharding, simhash, url_filter
+from listmill.llm import bpe, sharding, simhash, url_filter, warc
 from listmill.llm.common import CRC_TABLE_SQL, ORACLES, QUERIES, crc32_sql, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -83,3 +83,15 @@ def op8_bloom_cascade(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_simhash_anchors(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, folder, "documents"))
+
+
+@query("""
+with sized as (
+    select page_id, coalesce(html, '') as payload, strlen(coalesce(html, '')) as payload_bytes from pages),
+grouped as (select *, case when payload_bytes >= 1000 then max(page_id) over (partition by payload) end as original from sized)
+select page_id, payload_bytes, sha1(payload) as payload_digest,
+    case when page_id < original then 'revisit' else 'response' end as record_type,
+    case when page_id < original then original end as refers_to
+from grouped""")
+def op10_warc_salvage(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_pages(load(spark, folder, "pages"))
