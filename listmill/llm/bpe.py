@@ -15,6 +15,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -22,18 +23,21 @@ from pyspark.sql import types as T
 from listmill.llm.common import fresh
 
 #: Distinct chunks and characters that a worker remembers before it starts anew.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 32 << 20
+REMEMBERED, REMEMBERED_CHARS = 250_000, 16 << 20
+#: Characters (or ids) of a batch that are worked on together; a longer text comes by itself.
+TOGETHER = 2 << 20
+
+
+def rank_of_tokens(content: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())}
 
 
 class RankTable:
-    """A rank file in arrays: tokens by id, and the rank of each pair of tokens that makes one."""
+    """A rank file in arrays: the rank of each pair of tokens that makes one."""
 
     def __init__(self, content: bytes):
-        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines()) if a}
+        self.ranks = rank_of_tokens(content)
         self.size = max(self.ranks.values(), default=-1) + 1
-        self.tokens = [b""] * self.size
-        for token, rank in self.ranks.items():
-            self.tokens[rank] = token
         self.byte_ids = np.array([self.ranks.get(bytes([b]), self.size) for b in range(256)], np.int64)
         get, pairs = self.ranks.get, []
         for token, rank in self.ranks.items():
@@ -112,15 +116,15 @@ def merge_pieces(table: RankTable, pieces: list[bytes]) -> list[bytes]:
     ends = np.cumsum(lengths)
     n = int(ends[-1])
     ids = np.append(table.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)], table.size)
-    piece = np.repeat(np.arange(len(pieces)), lengths)
-    following, previous = np.arange(1, n + 2), np.arange(-1, n)
+    piece = np.repeat(np.arange(len(pieces), dtype=np.int32), lengths)
+    following, previous = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
     filled = lengths > 0
     following[ends[filled] - 1] = n  # position n stands for none
     previous[(ends - lengths)[filled]] = n
-    pending = np.full(n + 1, -1)
+    pending = np.full(n + 1, -1, np.int32)
     pending[:n] = table.pair_ranks(ids[:n], ids[following[:n]])
     queue = RankQueue(table.size)
-    first = np.flatnonzero(pending >= 0)
+    first = np.flatnonzero(pending >= 0).astype(np.int32)
     queue.push_all(pending[first], first)
     while (popped := queue.pop()) is not None:
         rank, at = popped
@@ -247,6 +251,16 @@ def rank_file(path: str) -> bytes:
         return f.read()
 
 
+def parts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices whose column holds about TOGETHER bytes, or one row."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    group = np.cumsum(lengths, dtype=np.int64) // TOGETHER
+    starts = np.append(0, np.flatnonzero(np.diff(group)) + 1)
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(lengths)]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def encode(df: DataFrame, ranks: bytes, pattern: str, text_column: str = "text", ids_column: str = "ids") -> DataFrame:
     """``df`` with the text column replaced by its token ids: binary, 4 little-endian bytes an id.
 
@@ -263,9 +277,10 @@ def encode(df: DataFrame, ranks: bytes, pattern: str, text_column: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(sent.value, pattern)
         for batch in batches:
-            texts = [t or "" for t in batch.column(len(rest)).to_pylist()]
-            ids = pa.array(coder.encode(texts), pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], ids], names=[*rest, ids_column])
+            for part in parts(batch, len(rest)):
+                texts = [t or "" for t in part.column(len(rest)).to_pylist()]
+                ids = pa.array(coder.encode(texts), pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], ids], names=[*rest, ids_column])
 
     schema = T.StructType([*(df.schema[c] for c in rest), T.StructField(ids_column, T.BinaryType())])
     return df.select(*rest, text_column).mapInArrow(run, schema)
@@ -279,9 +294,10 @@ def decode(df: DataFrame, ranks: bytes, ids_column: str = "ids", bytes_column: s
     sent = df.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(sent.value, "").table.tokens
+        tokens = {rank: token for token, rank in rank_of_tokens(sent.value).items()}
         for batch in batches:
-            out = [b"".join([tokens[i] for i in np.frombuffer(ids or b"", "<u4").tolist()]) for ids in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=[*columns, bytes_column])
+            for part in parts(batch, at):
+                out = [b"".join([tokens[i] for i in np.frombuffer(ids or b"", "<u4").tolist()]) for ids in part.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], names=[*columns, bytes_column])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(bytes_column, T.BinaryType())]))
