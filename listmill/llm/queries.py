@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listmill.engine import load
-from listmill.llm import bpe, sharding, simhash, url_filter, warc
+from listmill.llm import bpe, quality, sharding, simhash, url_filter, warc
 from listmill.llm.common import CRC_TABLE_SQL, ORACLES, QUERIES, crc32_sql, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -95,3 +95,8 @@ select page_id, payload_bytes, sha1(payload) as payload_digest,
 from grouped""")
 def op10_warc_salvage(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_pages(load(spark, folder, "pages"))
+
+
+@query(quality.QUALITY_SQL)
+def op3_adaptive_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge_quality(load(spark, folder, "documents"))
