@@ -15,17 +15,14 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from listmill.llm.common import fresh
+from listmill.llm.common import fresh, parts
 
 #: Distinct chunks and characters that a worker remembers before it starts anew.
 REMEMBERED, REMEMBERED_CHARS = 250_000, 16 << 20
-#: Characters (or ids) of a batch that are worked on together; a longer text comes by itself.
-TOGETHER = 2 << 20
 
 
 def rank_of_tokens(content: bytes) -> dict[bytes, int]:
@@ -251,16 +248,6 @@ def rank_file(path: str) -> bytes:
         return f.read()
 
 
-def parts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """A batch in slices whose column holds about TOGETHER bytes, or one row."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    group = np.cumsum(lengths, dtype=np.int64) // TOGETHER
-    starts = np.append(0, np.flatnonzero(np.diff(group)) + 1)
-    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(lengths)]):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 def encode(df: DataFrame, ranks: bytes, pattern: str, text_column: str = "text", ids_column: str = "ids") -> DataFrame:
     """``df`` with the text column replaced by its token ids: binary, 4 little-endian bytes an id.
 

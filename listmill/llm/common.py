@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: Bytes of a batch's texts that are worked on together; a longer text comes by itself.
+TOGETHER = 2 << 20
 
 
 def query(sql: str | None = None):
@@ -31,6 +36,16 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def parts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices whose column holds about TOGETHER bytes, or one row."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    group = np.cumsum(lengths, dtype=np.int64) // TOGETHER
+    starts = np.append(0, np.flatnonzero(np.diff(group)) + 1)
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(lengths)]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def fold_of(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listmill.engine import load
-from listmill.llm import bpe, quality, sharding, simhash, url_filter, warc
+from listmill.llm import bpe, decontaminate, quality, sharding, simhash, url_filter, warc
 from listmill.llm.common import CRC_TABLE_SQL, ORACLES, QUERIES, crc32_sql, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -100,3 +100,8 @@ def op10_warc_salvage(spark: SparkSession, folder: str) -> DataFrame:
 @query(quality.QUALITY_SQL)
 def op3_adaptive_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge_quality(load(spark, folder, "documents"))
+
+
+@query()
+def op6_cgk_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(load(spark, folder, "documents"), load(spark, folder, "benchmark"))

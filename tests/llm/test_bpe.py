@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from listmill.llm import bpe, queries
+from listmill.llm import bpe, common, queries
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -80,7 +80,7 @@ def test_query_on_documents(spark, both):
 
 
 def test_nulls_extra_columns_and_empty_tables(spark, monkeypatch):
-    monkeypatch.setattr(bpe, "TOGETHER", 10)
+    monkeypatch.setattr(common, "TOGETHER", 10)
     content = bpe.rank_file(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     rows = [(1, None, "x", "d"), (None, "", None, "d"), (1, "héllo  wörld ", "y", None), (1, "héllo  wörld ", "y", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string, decoded string")
