@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listmill.engine import load
-from listmill.llm import bpe, decontaminate, language_id, quality, sharding, simhash, url_filter, warc
+from listmill.llm import bpe, decontaminate, hmm_lm, language_id, quality, sharding, simhash, url_filter, warc
 from listmill.llm.common import CRC_TABLE_SQL, ORACLES, QUERIES, crc32_sql, fold_of, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -112,3 +112,8 @@ def op7_gru_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents", "doc_id", "text", "lang")
     rows = docs.select("doc_id", (fold_of(F.col("doc_id")) == 0).alias("held_out"), "text")
     return language_id.predict(rows, language_id.learn(docs)).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query()
+def op4_hmm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return hmm_lm.score_texts(load(spark, folder, "documents"))
