@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listmill.engine import load
-from listmill.llm import bpe, decontaminate, hmm_lm, language_id, quality, sharding, simhash, url_filter, warc
+from listmill.llm import bpe, decontaminate, hmm_lm, language_id, quality, sharding, simhash, training_order, url_filter, warc
 from listmill.llm.common import CRC_TABLE_SQL, ORACLES, QUERIES, crc32_sql, fold_of, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -22,6 +22,15 @@ URL_RULES = [
 ]
 
 
+#: The key of the training order's permutation.
+ORDER_KEY = 20240607
+
+
+@query()
+def op1_training_order(spark: SparkSession, folder: str) -> DataFrame:
+    return training_order.byte_order(load(spark, folder, "documents"), ORDER_KEY)
+
+
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """Ids of the texts and back, as digests: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     ranks = bpe.rank_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
