@@ -327,14 +327,21 @@ def leak_scan(spark, d):
 
 # ---------------------------------------------------------------- pages
 
-_ANCHORS = """
+def _sql_unescaped(text: str) -> str:
+    for name, character in {"lt": "<", "gt": ">", "quot": '"', "apos": "''", "#39": "''", "copy": "\u00a9", "middot": "\u00b7", "amp": "&"}.items():
+        text = f"replace({text}, '&{name};', '{character}')"
+    return text
+
+
+_ANCHORS = f"""
 with a as (select page_id, url as base, regexp_extract_all(html, '<a href="([^"]*)"[^>]*>([^<]*)</a>', 1) as hs,
   regexp_extract_all(html, '<a href="([^"]*)"[^>]*>([^<]*)</a>', 2) as ts from pages),
-l as (select page_id, base, unnest(range(len(hs))) as pos, unnest(hs) as href, trim(unnest(ts)) as text from a),
+raw as (select page_id, base, unnest(range(len(hs))) as pos, unnest(hs) as h, unnest(ts) as t from a),
+l as (select page_id, base, pos, {_sql_unescaped("h")} as href, trim({_sql_unescaped("t")}) as text from raw),
 u as (select *, case when starts_with(href, '/') then regexp_extract(base, '^([a-z]+://[^/?#]*)', 1) || href else href end as url from l)"""
 
 
-@query("select page_id, nullif(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), '') as title from pages")
+@query(f"select page_id, nullif(trim({_sql_unescaped("regexp_extract(html, '<title>([^<]*)</title>', 1)")}), '') as title from pages")
 def page_titles(spark, d):
     return load(spark, d, "pages", "page_id", "html").select("page_id", html.title_of(F.col("html")).alias("title"))
 
@@ -348,7 +355,7 @@ def page_anchors(spark, d):
     return first.select("page_id", "f.pos", F.col("link").alias("url"), "f.text")
 
 
-@query()
+@query(_ANCHORS + " select page_id, pos, url, text from u qualify row_number() over (partition by page_id, url order by pos) = 1")
 def page_links(spark, d):
     """The same links by the page reader."""
     return html.page_links(spread(load(spark, d, "pages")))

@@ -169,19 +169,19 @@ def test_crowded_acronym_is_paired_in_one_step(spark):
     assert len(got) == 200
 
 
-def test_known_duplicates(spark):
-    d = dt.date(2026, 10, 23)
+def test_duplicates_by_acronym_and_by_begun_acronym(spark):
+    d = dt.date(2031, 4, 2)
     rows = [
-        (1, "TSSA", "The 20th International Conference on Telecom Systems", DAY0, None),
-        (2, "TSSA", "2026 20th International Conference on Telecom Systems", DAY0, None),
-        (3, "AI2A", "2026 6th International Conference on AI", d, None),
-        (4, "Ei/Scopus-AI2A", "2026 IEEE 6th International Conference on AI", d, None),
-        (5, "ICETC", "The 7th CS International Conference on Emerging Comms", d, None),
-        (6, "ICETCCOM", "2026 7th CS International Conference on Emerging Comms", d, None),
-        (7, "ICCSSE", "Computer Science and Software Engineering", DAY0, "China"),
-        (8, "IEEE ICCSSE", "Control Science and Systems Engineering", d, "China"),
-        (9, "AIVRCH", "Conference on AI, VR and Cultural Heritage", d, "China"),
-        (10, "EDAI", "Conference on Economic Data Analytics and AI", d, "China"),
+        (1, "QUX", "The 9th International Conference on Quiet Engines", DAY0, None),
+        (2, "QUX", "2031 9th International Conference on Quiet Engines", DAY0, None),
+        (3, "Q7Z", "2031 3rd International Conference on Glaciers", d, None),
+        (4, "Ei/Scopus-Q7Z", "2031 IEEE 3rd International Conference on Glaciers", d, None),
+        (5, "BARF", "The 2nd EU International Conference on Tidal Maps", d, None),
+        (6, "BARFOLD", "2031 2nd EU International Conference on Tidal Maps", d, None),
+        (7, "WOBBLE", "Paper Folding and Its Limits", DAY0, "Peru"),
+        (8, "IEEE WOBBLE", "Weather Observation and Bridges", d, "Peru"),
+        (9, "GLOOP", "Conference on Soup, Salt and Memory", d, "Peru"),
+        (10, "MIRT", "Conference on Rail Timetables and Trust", d, "Peru"),
     ]
     got = {(r.a, r.b) for r in duplicate_pairs(spark.createDataFrame(rows, ENTITY)).collect()}
     assert got == {(1, 2), (3, 4), (5, 6)}
