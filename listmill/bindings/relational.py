@@ -507,7 +507,7 @@ def stream_upsert(spark, d):
     import uuid
 
     from listmill.sinks.files import read_current
-    from listmill.streaming.ingest import run_available
+    from listmill.streaming.ingest import once_each, run_available
 
     root = f"{scratch_folder(spark)}/stream-{uuid.uuid4().hex}"
     stream = spark.readStream.schema(load(spark, d, "events").schema).parquet(f"{d}/events.parquet*")
@@ -515,7 +515,7 @@ def stream_upsert(spark, d):
         "user_id", F.nullif("event_type", F.lit("error")).alias("kind"), F.when(F.col("value") >= 5, F.col("value")).alias("value"),
         F.col("ts").cast("timestamp").alias("seen_at"),
     )
-    run_available(rows, f"{root}/table", f"{root}/state", ["user_id"])
+    run_available(once_each(rows, ["user_id"]), f"{root}/table", f"{root}/state", ["user_id"])
     return _seen(read_current(spark, f"{root}/table"))
 
 

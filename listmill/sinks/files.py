@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructType, TimestampNTZType, TimestampType
 
 from listmill.operators.incremental import sync_actions
 from listmill.operators.privacy import leaks, scrub_table
+from listmill.sinks import versions
 
 
 def write_export(rows: DataFrame, path: str) -> None:
@@ -48,46 +47,28 @@ def write_dump(df: DataFrame, path: str, key: list[str], details: DataFrame, emp
     ).csv(path)
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """The folder the pointer of a versioned table names; null before the first write."""
-    try:
-        rows = spark.read.text(f"{root}/_current").limit(1).collect()
-    except Exception as e:  # no pointer yet
-        if "PATH_NOT_FOUND" in str(e):
-            return None
-        raise
-    return rows[0].value if rows else None
-
-
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    version = current_version(spark, root)
-    return None if version is None else spark.read.parquet(f"{root}/{version}")
+    """The versioned table at ``root``; None before the first write."""
+    return versions.read(spark, root)
 
 
 def sync_table(wanted: DataFrame, root: str, key: str = "id") -> dict[str, int]:
     """Makes the table at ``root`` hold exactly ``wanted``; returns rows written and deleted.
 
-    The new rows go to a version folder and the pointer moves last, so readers see the old or
-    the new table. When nothing changed nothing is written.
+    Only the key-hash buckets with a changed row are written again; readers see the old or the new
+    version. When nothing changed nothing is written.
     """
     spark = wanted.sparkSession
-    target = read_current(spark, root)
-    if target is None:
-        target = spark.createDataFrame([], wanted.schema)
-    counts = {
-        r.action: r.n
-        for r in sync_actions(target, wanted, key).groupBy("action").agg(F.count("*").alias("n")).collect()
-    }
-    result = {
-        "written": counts.get("insert", 0) + counts.get("update", 0),
-        "deleted": counts.get("delete", 0),
-    }
-    if any(result.values()) or current_version(spark, root) is None:
-        version = f"v-{uuid.uuid4().hex}"
-        wanted.write.parquet(f"{root}/{version}")
-        spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(
-            f"{root}/_current"
-        )
+    before = versions.current(spark, root)
+    buckets = before.buckets if before else versions.BUCKETS
+    target = spark.createDataFrame([], wanted.schema) if before is None else versions.read(spark, root)
+    actions = sync_actions(target, wanted, key).where("action <> 'keep'")
+    changes = actions.groupBy(versions.bucket_of([key], buckets).alias("bucket"), "action").agg(F.count("*").alias("n")).collect()
+    result = {"written": sum(r.n for r in changes if r.action != "delete"), "deleted": sum(r.n for r in changes if r.action == "delete")}
+    if changes or before is None:
+        touched = sorted({r.bucket for r in changes})
+        rows = wanted.where(versions.bucket_of([key], buckets).isin(touched))
+        versions.replace_buckets(rows, root, [key], touched, before)
     return result
 
 

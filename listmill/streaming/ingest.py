@@ -2,39 +2,43 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listmill.operators.incremental import upsert
+from listmill.sinks import versions
+
+
+def once_each(stream: DataFrame, keys: list[str], seen: str = "seen_at", delay: str = "2 days") -> DataFrame:
+    """A stream of sightings without exact repeats, which are forgotten ``delay`` behind the newest one."""
+    return stream.withWatermark(seen, delay).dropDuplicatesWithinWatermark([*keys, seen])
 
 
 def listing_stream(spark: SparkSession, path: str, schema: str, seen: str = "seen_at", delay: str = "2 days") -> DataFrame:
-    """New files under ``path`` as a stream; exact repeats of a sighting drop out."""
-    stream = spark.readStream.schema(schema).parquet(path).withWatermark(seen, delay)
-    return stream.dropDuplicatesWithinWatermark(["source", "source_id", seen])
+    """New files under ``path`` as a stream of sightings."""
+    return once_each(spark.readStream.schema(schema).parquet(path), ["source", "source_id"], seen, delay)
 
 
 def fold_into(spark: SparkSession, root: str, keys: list[str], seen: str):
-    """A batch handler that upserts into versioned snapshots: the new version is written first,
-    the pointer moves last. A batch that is delivered again changes nothing."""
-    from listmill.sinks.files import read_current
+    """A batch handler that upserts into a versioned table: the key-hash buckets that the batch meets
+    are read, folded and written as a new version. A batch that is delivered again changes nothing."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        old = read_current(session, root)
-        if old is None:
+        before = versions.current(session, root)
+        buckets = before.buckets if before else versions.BUCKETS
+        touched = [r.bucket for r in batch.select(versions.bucket_of(keys, buckets).alias("bucket")).distinct().collect()]
+        if not touched and before:
+            return
+        if before is None:
             old = (
                 session.createDataFrame([], batch.drop(seen).schema)
                 .withColumn("first_seen_at", F.lit(None).cast(dict(batch.dtypes)[seen]))
                 .withColumn("last_seen_at", F.lit(None).cast(dict(batch.dtypes)[seen]))
             )
-        version = f"v-{batch_id}-{uuid.uuid4().hex}"
-        upsert(old, batch, keys, seen).write.parquet(f"{root}/{version}")
-        session.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(
-            f"{root}/_current"
-        )
+        else:
+            old = versions.read(session, root, touched)
+        versions.replace_buckets(upsert(old, batch, keys, seen), root, keys, touched, before)
 
     return handle
 

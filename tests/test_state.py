@@ -14,7 +14,7 @@ from listmill.operators.history import editions, history_records
 from listmill.operators.privacy import account_details, leaks, scrub_table
 from listmill.functions.fee_kinds import classify
 from listmill.plans.audit import first_few, likely_duplicates
-from listmill.sinks import files
+from listmill.sinks import files, versions
 from listmill.sources import rates
 from listmill.streaming import ingest
 
@@ -246,6 +246,55 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sum(counts.values()) == 40 and counts["updated"] == sum(r[0] == "a" for r in rows)
 
 
+def ids_and_names(df):
+    return sorted((r.id, r.name) for r in df.collect())
+
+
+def test_a_writer_that_dies_leaves_the_version_before(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    rows = [(i, f"n{i}") for i in range(40)]
+    first = spark.createDataFrame(rows, "id long, name string")
+    files.sync_table(first, root)
+    changed = spark.createDataFrame([*rows[:-1], (39, "new")], "id long, name string")
+
+    # dies after the data, before the list
+    def died(*_):
+        raise OSError("died")
+
+    with monkeypatch.context() as m:
+        m.setattr(versions, "_finish", died)
+        with pytest.raises(OSError):
+            files.sync_table(changed, root)
+    assert ids_and_names(files.read_current(spark, root)) == sorted(rows)
+
+    # dies in the middle of the list: no success mark
+    (tmp_path / "t" / "versions" / "000000000002").mkdir()
+    (tmp_path / "t" / "versions" / "000000000002" / "part-00000.txt").write_text('{"bucket": 1')
+    assert ids_and_names(files.read_current(spark, root)) == sorted(rows)
+    assert files.sync_table(changed, root) == {"written": 1, "deleted": 0}
+    assert ids_and_names(files.read_current(spark, root)) == sorted([*rows[:-1], (39, "new")])
+
+
+def test_only_changed_buckets_are_written(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = spark.range(5000).selectExpr("id", "concat('n', id) name")
+    files.sync_table(rows, root)
+    before = versions.current(spark, root)
+    files.sync_table(rows.where("id <> 7").union(spark.createDataFrame([(6000, "x")], "id long, name string")), root)
+    after = versions.current(spark, root)
+    moved = [b for b in range(after.buckets) if before.parts.get(b) != after.parts.get(b)]
+    assert len(before.parts) == 64 and 1 <= len(moved) <= 2
+    assert files.read_current(spark, root).count() == 5000
+
+
+def test_an_emptied_table_stays_a_table(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "a")], "id long, name string")
+    files.sync_table(rows, root)
+    assert files.sync_table(rows.limit(0), root) == {"written": 0, "deleted": 1}
+    assert files.read_current(spark, root).columns == ["id", "name"] and files.read_current(spark, root).count() == 0
+
+
 def test_dump_and_copy(spark, tmp_path):
     details = account_details(spark.createDataFrame([(PERSON,)], "text string"), "text")
     df = spark.createDataFrame([(1, PERSON, None, T(2026, 1, 1, 2, 3, 4, 5)), (2, "x", ["a"], None)], "id long, t string, l array<string>, at timestamp")
