@@ -1,15 +1,17 @@
 """Pairing entities that are the same event, each in at most one pair per pass.
 
-Sequentially: entities by start date and id, each not yet used takes the first unused one after
-it that is the same event. In rounds: a node with no unused neighbour before it takes its first
-neighbour, provided that one's earliest neighbour is the node itself. Two shortcuts give the same
-result for groups of one acronym (or one name) that nothing else touches: where all places agree,
-or fall apart cleanly, by rank, for groups of any size; the others, joined into components, by one
-walk in order for components up to a checked size. Only larger components go through rounds.
+The rule: entities by start date and id, each not yet used takes the first unused one after it that
+is the same event. Groups of one acronym (or one name) that nothing else touches, and whose places
+all agree or fall apart cleanly, are paired by rank. All others are joined into components of linked
+groups, and a component's rows are read once in order as a sorted stream that keeps only the rows
+still waiting within the date gap, whatever the component's size.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict, deque
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -17,13 +19,11 @@ from pyspark.sql import functions as F
 
 from listmill import fixed_values as fv
 from listmill.engine import cut
+from listmill.operators.components import components
 from listmill.operators.neighbours import days_around, exact_rank
 from listmill.operators.placement import _bucket, _features
 from listmill.operators.similarity import similar_names
 
-_SHIFT = 1 << 40
-WALK_LIMIT = 10_000  # rows of a component that one task may walk through; rounds beyond it
-MAX_LABEL_STEPS = 20
 _KIND = ["key", "name", "day", "country"]
 
 
@@ -79,194 +79,118 @@ def _name_edges(kinds: DataFrame, threshold: int) -> DataFrame:
     return met.where(compatible).select(F.col("a_kind").alias("kind"), F.col("b_kind").alias("other"))
 
 
-def _offers(rows: DataFrame) -> DataFrame:
-    """Rows offered to the (key, day, place) hubs around them: their own place and "any"."""
-    per = rows.where("key <> ''").groupBy("key", "day", "country").agg(F.min("pos").alias("pos"))
-    return (
-        per.select("key", days_around(F.col("day")).alias("day"), "country", "pos")
-        .select(
-            "key",
-            "day",
-            F.explode(F.array("country", F.lit("*"))).alias("place"),
-            "pos",
-        )
-        .groupBy("key", "day", "place")
-        .agg(F.min("pos").alias("pos"))
-    )
-
-
-def _earliest(rows: DataFrame, among: DataFrame, edges: DataFrame) -> DataFrame:
-    """(kind, first): the smallest position of ``among`` next to each kind of ``rows``."""
-    asks = rows.select("kind", "key", "day", "country").distinct()
-    hubs = _offers(among)
-    places = F.when(F.col("country") == "", F.array(F.lit("*"))).otherwise(
-        F.array(F.col("country"), F.lit(""))
-    )
-    by_key = (
-        asks.where("key <> ''")
-        .select("kind", "key", "day", F.explode(places).alias("place"))
-        .join(hubs, ["key", "day", "place"])
-        .select("kind", "pos")
-    )
-    least = among.groupBy("kind").agg(F.min("pos").alias("pos")).withColumnRenamed("kind", "other")
-    by_name = edges.join(least, "other").select("kind", "pos")
-    return by_key.unionByName(by_name).groupBy("kind").agg(F.min("pos").alias("first"))
-
-
 def duplicate_pairs(entities: DataFrame, threshold: int = fv.DUPLICATE_SIMILARITY) -> DataFrame:
     """(a, b): ids of the pairs found, ``a`` the earlier by start date and id.
 
-    ``entities``: id, acronym, name, start_date, country. Ids must be in 0 .. 2^40.
+    ``entities``: id, acronym, name, start_date, country. Ids are unique; those without a date pair
+    with nothing.
     """
-    day_no = F.datediff("day", F.lit("0001-01-01").cast("date")).cast("bigint")
-    rows = (
-        _features(entities)
-        .where("day is not null")
-        .withColumn(
-            "pos",
-            F.when(
-                (F.col("id") >= 0) & (F.col("id") < _SHIFT), day_no * F.lit(_SHIFT) + F.col("id")
-            ).otherwise(F.raise_error(F.lit("entity ids must be in 0 .. 2^40"))),
-        )
-    )
-    rows = cut(rows)
-    kinds = rows.groupBy(*_KIND).agg(F.min("pos").alias("kind"), F.count("*").alias("n"))
-    kinds = cut(kinds)
+    rows = cut(_features(entities).where("day is not null"))
+    # a kind is known by the least id of its rows
+    kinds = cut(rows.groupBy(*_KIND).agg(F.min("id").alias("kind")))
     edges = cut(_name_edges(kinds, threshold))
-    rows = rows.join(kinds.drop("n"), _KIND).select("id", "pos", "kind", *_KIND)
-
-    # --- groups nothing else touches, in one step
-    group = F.when(F.col("key") != "", F.concat(F.lit("k:"), "key")).otherwise(
-        F.concat(F.lit("n:"), "name")
-    )
-    kinds = kinds.withColumn("grp", group).where("key <> '' or name <> ''")
+    group = F.when(F.col("key") != "", F.concat(F.lit("k:"), "key")).otherwise(F.concat(F.lit("n:"), "name"))
+    kinds = kinds.where("key <> '' or name <> ''").withColumn("grp", group)
     ends = edges.join(kinds.select("kind", "grp"), "kind").join(
         kinds.select(F.col("kind").alias("other"), F.col("grp").alias("other_grp")), "other"
     )
-    touched = ends.where("grp <> other_grp").select("grp").distinct()
+    links = cut(ends.where("grp <> other_grp").select("grp", "other_grp").distinct())
+    grouped = rows.join(kinds, _KIND)
+
+    # --- groups nothing else touches, in one step
     places = kinds.groupBy("grp").agg(
         F.max((F.col("country") == "").cast("int")).alias("unknown"),
         F.min(F.nullif("country", F.lit(""))).alias("lo"),
         F.max(F.nullif("country", F.lit(""))).alias("hi"),
     )
     # without unknown places a group falls apart by place; with one place all of it agrees
-    plain = places.where("unknown = 0 or lo is null or lo = hi").join(touched, "grp", "left_anti")
-    grouped = rows.withColumn("grp", group)
+    plain = places.where("unknown = 0 or lo is null or lo = hi").join(links.select("grp").distinct(), "grp", "left_anti")
     simple = cut(
         grouped.join(plain.select("grp", "unknown"), "grp").withColumn(
             "part", F.when(F.col("unknown") == 0, F.col("country")).otherwise("")
         )
     )
-    paired = _pairs_by_rank(simple)
-    others = grouped.join(plain, "grp", "left_anti")
-
-    # --- the others, joined into components, as far as one task can walk through them in order
-    links = cut(ends.where("grp <> other_grp").select("grp", "other_grp").distinct())
-    mixed = cut(others.groupBy("grp").agg(F.count("*").alias("n")))
-    part = _components(mixed.select("grp"), links)
-    if part is None:
-        left = cut(others.drop("grp"))
-    else:
-        small = (
-            mixed.join(part, "grp")
-            .groupBy("part")
-            .agg(F.sum("n").alias("rows"))
-            .where(F.col("rows") <= WALK_LIMIT)
-            .select("part")
-        )
-        labelled = cut(others.join(part, "grp").join(small.withColumn("walk", F.lit(True)), "part", "left"))
-        walked = labelled.where("walk").select("part", "id", "pos", "kind", "key", "day", "country")
-        mine = edges.where("kind <> other").join(walked.select("part", "kind").distinct(), "kind")
-        paired = cut(paired.unionByName(_pairs_by_walk(walked, cut(mine.select("part", "kind", "other")))))
-        left = cut(labelled.where("walk is null").select(*rows.columns))
-
-    # --- rounds for the others
-    while True:
-        first = _earliest(left, left, edges)
-        heads = left.join(first, "kind").withColumn("head", F.col("first") >= F.col("pos"))
-        # a kind that neighbours itself is in its own hub or edge list, others compare plainly
-        heads = cut(heads)
-        lone = heads.where("head")
-        rest = heads.where("not head")
-        taken = (
-            lone.select("id", "pos", "kind")
-            .join(_earliest(lone.drop("first", "head"), rest.drop("first", "head"), edges), "kind")
-            .select(F.col("id").alias("a"), F.col("pos").alias("a_pos"), F.col("first").alias("b_pos"))
-        )
-        fresh = cut(
-            taken.join(
-                rest.select(F.col("id").alias("b"), F.col("pos").alias("b_pos"), F.col("first").alias("b_first")),
-                "b_pos",
-            )
-            .where("b_first = a_pos")
-            .select("a", "b")
-        )
-        if fresh.isEmpty():
-            return paired
-        paired = paired.unionByName(fresh)
-        used = fresh.select(F.col("a").alias("id")).unionByName(fresh.select(F.col("b").alias("id")))
-        left = cut(left.join(used, "id", "left_anti"))
-
-
-def _components(groups: DataFrame, links: DataFrame) -> DataFrame | None:
-    """(grp, part): the smallest group name reachable over links, or None when that does not
-    settle within a few steps."""
-    labels = cut(groups.withColumn("part", F.col("grp")))
-    for _ in range(MAX_LABEL_STEPS):
-        heard = links.join(labels.withColumnRenamed("grp", "other_grp"), "other_grp").groupBy("grp").agg(
-            F.min("part").alias("heard")
-        )
-        new = cut(
-            labels.join(heard, "grp", "left").select(
-                "grp", F.col("part").alias("before"), F.least("part", "heard").alias("part")
-            )
-        )
-        settled = new.where("part <> before").isEmpty()
-        labels = new.select("grp", "part")
-        if settled:
-            return labels
-    return None
-
-
-def _walk(rows: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-    """Each row in order takes the earliest one still waiting that is the same event."""
-    alike = set(zip(edges["kind"], edges["other"], strict=True))
-    waiting: list[tuple] = []
-    pairs = []
-    columns = ["day", "id", "kind", "key", "country"]
-    for row in rows.sort_values("pos")[columns].itertuples(index=False):
-        waiting = [w for w in waiting if (row.day - w.day).days <= fv.MAX_DATE_GAP_DAYS]
-        mate = next(
-            (
-                w
-                for w in waiting
-                if w.kind == row.kind
-                or (w.kind, row.kind) in alike
-                or (
-                    w.key != ""
-                    and w.key == row.key
-                    and (not w.country or not row.country or w.country == row.country)
-                )
-            ),
-            None,
-        )
-        if mate is None:
-            waiting.append(row)
-        else:
-            waiting.remove(mate)
-            pairs.append((mate.id, row.id))
-    return pd.DataFrame(pairs, columns=["a", "b"])
-
-
-def _pairs_by_walk(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """Pairs inside components of limited size. A node prefers earlier partners from either
-    side, so asking each row for its earliest waiting partner gives the same pairs as letting
-    each take its first later one."""
-
-    def walk(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return _walk(left, right)
-
-    return rows.groupBy("part").cogroup(edges.withColumnRenamed("part", "owner").groupBy("owner")).applyInPandas(walk, "a bigint, b bigint")
+    by_rank = _pairs_by_rank(simple)
+
+    # --- the others, component by component
+    roots = components(links.select(F.col("grp").alias("a"), F.col("other_grp").alias("b")))
+    alike = edges.where("kind <> other").groupBy("kind").agg(F.collect_set("other").alias("alike"))
+    others = (
+        grouped.join(plain, "grp", "left_anti")
+        .join(roots.withColumnRenamed("node", "grp"), "grp", "left")
+        .join(alike, "kind", "left")
+        .select(F.coalesce("root", "grp").alias("part"), "day", "id", "kind", "key", "country", "alike")
+    )
+    return by_rank.unionByName(_pairs_by_walk(others))
+
+
+class _Waiting:
+    """The rows of one component that have no partner yet, by kind and by (key, place), oldest first."""
+
+    def __init__(self) -> None:
+        self.by_kind: dict[int, deque] = defaultdict(deque)
+        self.by_place: dict[str, dict[str, deque]] = defaultdict(lambda: defaultdict(deque))
+        self.gone: set[int] = set()
+
+    def _head(self, line: deque | None, since) -> tuple | None:
+        """The oldest row of a line that still waits; rows before ``since`` and used ones fall out."""
+        while line and (line[0][0] < since or line[0][1] in self.gone):
+            line.popleft()
+        return line[0] if line else None
+
+    def partner(self, row, since) -> tuple | None:
+        lines = [self.by_kind.get(k) for k in (row.kind, *(row.alike if row.alike is not None else ()))]
+        if row.key:
+            places = self.by_place.get(row.key, {})
+            lines += places.values() if not row.country else [places.get(row.country), places.get("")]
+        found = min((h for h in (self._head(line, since) for line in lines) if h is not None), default=None)
+        if found is not None:
+            self.gone.add(found[1])
+        return found
+
+    def add(self, row) -> None:
+        entry = (row.day, row.id)
+        self.by_kind[row.kind].append(entry)
+        if row.key:
+            self.by_place[row.key][row.country].append(entry)
+
+    def forget(self, since) -> None:
+        """Drops lines and marks that can't matter any more."""
+        self.by_kind = defaultdict(deque, {k: q for k, q in self.by_kind.items() if self._head(q, since)})
+        for key, places in list(self.by_place.items()):
+            for place, line in list(places.items()):
+                if self._head(line, since) is None:
+                    del places[place]
+            if not places:
+                del self.by_place[key]
+        self.gone &= {entry[1] for q in self.by_kind.values() for entry in q}
+
+
+def _pairs_by_walk(rows: DataFrame) -> DataFrame:
+    """Pairs inside components. A node prefers earlier partners from either side, so asking each row
+    for its earliest waiting partner gives the same pairs as letting each take its first later one."""
+    gap = pd.Timedelta(days=fv.MAX_DATE_GAP_DAYS)
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, day, waiting = None, None, _Waiting()
+        for batch in batches:
+            pairs = []
+            for row in batch.itertuples(index=False):
+                since = (pd.Timestamp(row.day) - gap).date()
+                if row.part != part:
+                    part, day, waiting = row.part, row.day, _Waiting()
+                elif day < since:
+                    day = row.day
+                    waiting.forget(since)
+                mate = waiting.partner(row, since)
+                if mate is None:
+                    waiting.add(row)
+                else:
+                    pairs.append((mate[1], row.id))
+            yield pd.DataFrame(pairs, columns=["a", "b"])
+
+    sorted_rows = rows.repartition("part").sortWithinPartitions("part", "day", "id")
+    return sorted_rows.mapInPandas(walk, "a bigint, b bigint")
 
 
 def _pairs_by_rank(rows: DataFrame) -> DataFrame:

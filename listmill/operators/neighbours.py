@@ -8,6 +8,7 @@ holds a third of all rows costs a handful of rows per day, and no pair is ever p
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from listmill.fixed_values import MAX_DATE_GAP_DAYS
@@ -34,61 +35,48 @@ def first_other_near(
 ) -> DataFrame:
     """Each row with the smallest ``ident`` of another row of its key within ``days`` days
     (``first_near``, null without one) and how many such rows there are (``n_near``)."""
-    per_day = rows.groupBy(*key, day).agg(
-        F.min(ident).alias("lo"), F.max(ident).alias("hi"), F.count("*").alias("n")
-    )
-    # the two smallest of each hub: the smallest, and the smallest of the rest
+    per_day = rows.groupBy(*key, day).agg(F.min(ident).alias("lo"), F.count("*").alias("n"))
     rest = (
-        rows.join(per_day.select(*key, day, F.col("lo")), [*key, day])
+        rows.join(per_day.select(*key, day, "lo"), [*key, day])
         .where(F.col(ident) != F.col("lo"))
         .groupBy(*key, day)
         .agg(F.min(ident).alias("second"))
     )
-    two = per_day.join(rest, [*key, day], "left")
-    hub = (
-        two.select(*key, days_around(F.col(day), days).alias(day), "lo", "second", "n")
-        .groupBy(*key, day)
-        .agg(
-            F.sum("n").alias("n"),
-            F.min("lo").alias("first"),
-            F.min_by(F.coalesce("second", F.lit(None)), "lo").alias("first_second"),
-            F.sort_array(F.collect_list("lo")).alias("los"),
-        )
-        .select(
-            *key,
-            day,
-            "n",
-            "first",
-            F.least("first_second", F.get("los", F.lit(1))).alias("next"),
-        )
+    two = per_day.join(rest, [*key, day], "left").withColumn("_least", F.array_compact(F.array("lo", "second")))
+    # one row per day of a key: the window holds 2 * days + 1 of them at most
+    around = W.partitionBy(*key).orderBy(F.unix_date(F.col(day).cast("date"))).rangeBetween(-days, days)
+    least = F.array_sort(F.flatten(F.collect_list("_least").over(around)))
+    hub = two.select(
+        *key, day, F.sum("n").over(around).alias("n"), F.get(least, 0).alias("first"), F.get(least, 1).alias("next")
     )
     return rows.join(hub, [*key, day], "left").select(
         *rows.columns,
-        F.when(F.col("first") != F.col(ident), F.col("first"))
-        .otherwise(F.col("next"))
-        .alias("first_near"),
+        F.when(F.col("first") != F.col(ident), F.col("first")).otherwise(F.col("next")).alias("first_near"),
         (F.col("n") - 1).alias("n_near"),
     )
 
 
-def exact_rank(rows: DataFrame, key: list[str], ident: str, width: int = 1 << 16) -> DataFrame:
-    """row_number() of ``ident`` within ``key`` as ``rank``, for keys of any size.
+def with_cells(rows: DataFrame, key: list[str], ident: str, cells: int = 256) -> DataFrame:
+    """``rows`` with ``_cell``: the id range of its key that a row lies in.
 
-    Ids are unique, so a (key, id range) group holds at most ``width`` rows: ranks are counted
-    inside those and shifted by the sizes of the ranges before, one row per range.
+    A key's ranges are cut at quantiles of its own ids, so each holds about an equal share of a
+    crowded key however the ids lie; the quantiles are one row per key.
     """
-    from pyspark.sql import Window as W
+    steps = [i / cells for i in range(1, cells)]
+    cuts = rows.groupBy(*key).agg(F.percentile_approx(ident, steps, 16 * cells).alias("_cuts"))
+    cell = F.size(F.filter("_cuts", lambda c: c < F.col(ident)))
+    return rows.join(cuts, key).withColumn("_cell", cell).drop("_cuts")
+
 
-    cell = F.floor(F.col(ident) / width)
-    celled = rows.withColumn("_cell", cell)
+def exact_rank(rows: DataFrame, key: list[str], ident: str, cells: int = 256) -> DataFrame:
+    """row_number() of ``ident`` within ``key`` as ``rank``, for keys of any size.
+
+    Ranks are counted inside id ranges and shifted by the sizes of the ranges before, one row per range.
+    """
+    celled = with_cells(rows, key, ident, cells)
     sizes = celled.groupBy(*key, "_cell").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn(
-        "_before",
-        F.coalesce(
-            F.sum("_n").over(W.partitionBy(*key).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)),
-            F.lit(0),
-        ),
-    ).drop("_n")
+    earlier = W.partitionBy(*key).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
+    before = sizes.select(*key, "_cell", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     inside = F.row_number().over(W.partitionBy(*key, "_cell").orderBy(ident))
     return (
         celled.withColumn("_in", inside)

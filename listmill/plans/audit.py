@@ -14,6 +14,7 @@ from listmill.functions.names import acronym_key
 from listmill.functions.places import in_scope, with_country
 from listmill.functions.urls import is_web_address, organizer_flag
 from listmill.operators.fees import fee_range
+from listmill.operators.neighbours import with_cells
 from listmill.operators.privacy import leaks
 from listmill.sources.rates import with_rates
 
@@ -240,8 +241,7 @@ def likely_duplicates(rows: DataFrame) -> DataFrame:
     rows = rows.where("key is not null and start_date is not null").withColumn(
         "continent", F.coalesce("continent", F.lit("?"))
     ).withColumn("place", F.lower(F.coalesce("country", F.lit(""))))
-    cell = F.floor(F.col("id") / (1 << 16))
-    celled = rows.withColumn("_cell", cell)
+    celled = with_cells(rows, [*group, "start_date"], "id")
     ends = celled.groupBy(*group, "start_date", "_cell").agg(F.max_by(F.struct("start_date", "id", "place"), "id").alias("last"))
     over = W.partitionBy(*group).orderBy("start_date", "_cell")
     before = ends.withColumn("_before", F.lag("last").over(over)).drop("last")

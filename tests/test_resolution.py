@@ -152,16 +152,39 @@ def test_placement_equals_sequential(spark, seed, hot):
     assert got == sequential_placement(entities, listings)
 
 
-@pytest.mark.parametrize("seed,hot,limit", [(1, False, 10_000), (2, True, 10_000), (4, False, 0), (5, True, 8)])
-def test_pairs_equal_sequential(spark, seed, hot, limit, monkeypatch):
-    """With components walked through, and with all or the larger ones left to rounds."""
-    monkeypatch.setattr(duplicates, "WALK_LIMIT", limit)
+@pytest.mark.parametrize("seed,hot", [(1, False), (2, True), (4, False), (5, True)])
+def test_pairs_equal_sequential(spark, seed, hot):
     rng = random.Random(seed)
     entities = random_rows(rng, 90, 1, 60, hot)
     got = {(r.a, r.b) for r in duplicate_pairs(spark.createDataFrame(entities, ENTITY)).collect()}
     assert got == sequential_pairs(entities)
 
 
+def test_stored_tables_do_not_grow_with_a_mixed_group(spark, monkeypatch):
+    """One acronym with unknown and known places: a longer stream, not more steps."""
+    from listmill.operators import components
+
+    stored = []
+
+    def counted(df, original=duplicates.cut):
+        stored.append(1)
+        return original(df)
+
+    monkeypatch.setattr(duplicates, "cut", counted)
+    monkeypatch.setattr(components, "cut", counted)
+    steps = []
+    for n in (20, 2000):
+        rng = random.Random(n)
+        rows = [(i, "MIX", None, DAY0 + dt.timedelta(days=rng.randrange(3)), rng.choice([None, "Peru", "Chad", "Fiji"])) for i in range(n)]
+        stored.clear()
+        got = {(r.a, r.b) for r in duplicate_pairs(spark.createDataFrame(rows, ENTITY)).collect()}
+        steps.append(len(stored))
+        if n == 20:
+            assert got == sequential_pairs(rows)
+        assert len({i for pair in got for i in pair}) == 2 * len(got) >= n - 4
+    assert steps[0] == steps[1]
+
+
 def test_crowded_acronym_is_paired_in_one_step(spark):
     rows = [(i, "BUSY", f"name {i}", DAY0 + dt.timedelta(days=i % 3), "Japan") for i in range(400)]
     got = {(r.a, r.b) for r in duplicate_pairs(spark.createDataFrame(rows, ENTITY)).collect()}

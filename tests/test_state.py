@@ -93,7 +93,7 @@ def test_first_other_near_matches_brute_force(spark):
 
 def test_exact_rank_and_first_few(spark):
     df = spark.range(1000).select((F.col("id") * 7).alias("id"), (F.col("id") % 3).alias("k"))
-    got = neighbours.exact_rank(df, ["k"], "id", width=64).collect()
+    got = neighbours.exact_rank(df, ["k"], "id", cells=5).collect()
     by = {}
     for r in got:
         by.setdefault(r.k, []).append((r.rank, r.id))
