@@ -10,14 +10,15 @@ from listmill.bindings.registry import query
 from listmill.bindings.tables import (
     CONFIG, SQL_CATEGORY, SQL_ISO, SQL_LINE_ORDER, SQL_RATE, SQL_TIER, case, fees, orders, rates, sql_cents,
 )
-from listmill.engine import cut, load, scratch_folder, spread
+from listmill.engine import cut, load, scratch_folder
 from listmill.functions.dates import monday
-from listmill.functions.fee_kinds import classify
 from listmill.functions.labels import fee_status
 from listmill.functions.money import headline_text, normalize_currency, short_number
 from listmill.operators import incremental as inc
 from listmill.operators import neighbours, predicates
-from listmill.operators.fees import check_fees, check_summary, fee_range, headlines, mark_repeats
+from listmill.operators.fees import (
+    check_fees, check_summary, fee_range, headlines, mark_repeats, range_and_headlines, with_kinds,
+)
 from listmill.operators.survivors import best_values, keep_and_drop
 from listmill.plans import audit as qa
 from listmill.plans.marts import source_name, valued_fees, week_summary
@@ -236,7 +237,7 @@ select l_orderkey as id, l_extendedprice as amount, {SQL_CATEGORY} as category,
 
 
 def _headlines(spark, d):
-    valued = valued_fees(spread(fees(spark, d)), rates(spark))
+    valued = valued_fees(fees(spark, d), rates(spark))
     return headlines(valued, "entity_id", F.col("kind"), F.col("amount_usd"), "id", ["amount", "currency", "category", "amount_usd"])
 
 
@@ -268,8 +269,7 @@ def convert_fx(spark, d):
 def fee_kind_counts(spark, d):
     from listmill.functions.fee_kinds import standard_score
 
-    kind = classify(F.col("category"), F.col("tier"), F.col("notes"))
-    df = spread(fees(spark, d)).withColumn("k", kind).withColumn("score", F.coalesce(standard_score(F.col("k")), F.lit(-1)))
+    df = with_kinds(fees(spark, d), "k").withColumn("score", F.coalesce(standard_score(F.col("k")), F.lit(-1)))
     member = F.when(F.col("k.member"), "yes").when(~F.col("k.member"), "no").otherwise("unsaid")
     return df.groupBy("category", "tier", F.col("k.period").alias("period"), F.col("k.student").alias("student"), member.alias("member"), "score").agg(
         F.count("*").alias("n")
@@ -289,13 +289,12 @@ select o_orderkey as id, cast(cast(o_orderdate as date) as varchar) as start_dat
 @query(_MART)
 def entity_mart(spark, d):
     """Range, headline fees and conversions of every entity: children aggregated before the join."""
-    counted = fees(spark, d).where("check_status = 'verified'")
-    ranges = fee_range(counted.withColumn("currency", normalize_currency(F.col("currency"))), "entity_id")
-    heads = _counted_heads(spark, d)
+    valued = valued_fees(fees(spark, d).where("check_status = 'verified'"), rates(spark))
+    valued = valued.withColumn("currency", normalize_currency(F.col("currency")))
+    figures = range_and_headlines(valued, "entity_id", F.col("kind"), F.col("amount_usd"), "id", ["amount_usd"])
     return (
         orders(spark, d)
-        .join(ranges.withColumnRenamed("entity_id", "id"), "id", "left")
-        .join(heads.withColumnRenamed("entity_id", "id"), "id", "left")
+        .join(figures.withColumnRenamed("entity_id", "id"), "id", "left")
         .select(
             "id", F.col("start_date").cast("string").alias("start_date"), "fee_min", "fee_max", "currency",
             F.col("standard.amount_usd").alias("standard_usd"), F.col("student.amount_usd").alias("student_usd"),
@@ -303,11 +302,6 @@ def entity_mart(spark, d):
     )
 
 
-def _counted_heads(spark, d):
-    valued = valued_fees(spread(fees(spark, d)).where("check_status = 'verified'"), rates(spark))
-    return headlines(valued, "entity_id", F.col("kind"), F.col("amount_usd"), "id", ["amount_usd"])
-
-
 @query("""
 with w as (select unnest(generate_series(date '1996-12-30', date '1997-12-31', interval 7 day))::date as week),
 r as (select date_trunc('week', o_orderdate)::date as week, cast(o_orderdate as date) s, o_orderkey i, o_totalprice p from orders where o_orderstatus <> 'P')

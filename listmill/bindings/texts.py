@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from listmill import fixed_values as fv
 from listmill.bindings.registry import query
 from listmill.bindings.tables import CONFIG, LINE_ORDER, SQL_LINE_ORDER, case, orders
-from listmill.engine import cut, load, spread
+from listmill.engine import cut, load
 from listmill.functions import checks, dates, names, places, urls
 from listmill.functions.attendance import decide
 from listmill.functions.money import currency_in, normalize_currency, tier_of
@@ -108,7 +108,7 @@ def date_parse(spark, d):
     whole = F.concat(short, F.lit(" - "), F.date_format(last, "MMM d, yyyy"))
     span = F.when(F.month(day) == F.month(last), one_month).when(F.year(day) == F.year(last), two_ends).otherwise(whole)
     r = dates.parse_date_range(F.col("span"))
-    return spread(orders(spark, d)).select("id", single.alias("single"), span.alias("span")).select(
+    return orders(spark, d).select("id", single.alias("single"), span.alias("span")).select(
         "id", dates.parse_date(F.col("single")).cast("string").alias("day"), r["start"].cast("string").alias("first"), r["end"].cast("string").alias("last")
     )
 
@@ -200,7 +200,7 @@ select id, case when len(p) > len(n) then 'yes' when len(n) > 0 and len(p) = 0 t
 def topic_verdict(spark, d):
     """Keywords over whole texts."""
     tail = case("lang", {"en": "AI data network", "fr": "nursing"}, "education data")
-    docs = spread(load(spark, d, "documents", "doc_id", "text", "lang")).select(F.col("doc_id").alias("id"), F.concat_ws(" ", "text", tail).alias("body"))
+    docs = load(spark, d, "documents", "doc_id", "text", "lang").select(F.col("doc_id").alias("id"), F.concat_ws(" ", "text", tail).alias("body"))
     t = F.col("topic.is_topic")
     return judge_topics(docs, "body").select(
         "id", F.when(t, "yes").when(~t, "no").otherwise("open").alias("verdict"), F.col("topic.reason").alias("reason")
@@ -226,7 +226,7 @@ b as (select id, string_agg(line, chr(10) order by i) as body from f where size
 select id, text as condensed from docs where length(text) <= {_LIMIT}
 union all select long.id, left(text, {_LIMIT // 8}) || coalesce(chr(10) || body, '') from long left join b on b.id = long.id""")
 def condense_lines(spark, d):
-    docs = spread(load(spark, d, "documents", "doc_id", "text")).withColumnRenamed("doc_id", "id")
+    docs = load(spark, d, "documents", "doc_id", "text").withColumnRenamed("doc_id", "id")
     return lines.condense(docs, "id", "text", _LIMIT)
 
 
@@ -291,7 +291,7 @@ def attendance_mode(spark, d):
 @query()
 def missed_prices(spark, d):
     """Prices next to fee words in whole texts."""
-    docs = spread(load(spark, d, "documents", "doc_id", "text"))
+    docs = load(spark, d, "documents", "doc_id", "text")
     return docs.select(F.col("doc_id").alias("id"), F.size(checks.fee_mentions(F.col("text"))).alias("mentions"))
 
 
@@ -358,17 +358,17 @@ def page_anchors(spark, d):
 @query(_ANCHORS + " select page_id, pos, url, text from u qualify row_number() over (partition by page_id, url order by pos) = 1")
 def page_links(spark, d):
     """The same links by the page reader."""
-    return html.page_links(spread(load(spark, d, "pages")))
+    return html.page_links(load(spark, d, "pages"))
 
 
 @query()
 def html_text(spark, d):
-    return html.html_text(spread(load(spark, d, "pages", "page_id", "html")))
+    return html.html_text(load(spark, d, "pages", "page_id", "html"))
 
 
 @query()
 def list_rows(spark, d):
-    return html.page_rows(spread(load(spark, d, "pages", "page_id", "html")))
+    return html.page_rows(load(spark, d, "pages", "page_id", "html"))
 
 
 @query(f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,7 @@ def scratch_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if folder is None:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="listmill-scratch-")
         sc.setCheckpointDir(folder)
@@ -59,13 +60,3 @@ def cut(df: DataFrame) -> DataFrame:
 def load(spark: SparkSession, folder: str, table: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{folder}/{table}.parquet")
     return df.select(*columns) if columns else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """A scan spread over all cores when it comes in fewer pieces than there are cores.
-
-    For work that is heavy per row (long texts, HTML). Large inputs come in many splits and stay
-    as they are, so nothing is shuffled there; only a few oversized files are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

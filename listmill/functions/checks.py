@@ -112,9 +112,9 @@ def _judged(amount: Column, currency: Column, hits: Column) -> Column:
     )
 
 
-def fee_mentions(text: Column, limit: int = 3) -> Column:
-    """Snippets where the text shows a price next to fee words, at most ``limit`` of them;
-    a snippet inside another one is left out.
+def fee_mentions(text: Column) -> Column:
+    """All snippets where the text shows a price next to fee words; a snippet inside another one
+    is left out.
 
     Lines without a price are dropped first, so the work per text follows its prices.
     """
@@ -123,11 +123,11 @@ def fee_mentions(text: Column, limit: int = 3) -> Column:
     )
     return F.when(
         text.rlike(ANY_CASE + fv.PRICE),
-        bind(page, lambda p: _mentions(p["body"], p["lines"], limit)),
+        bind(page, lambda p: _mentions(p["body"], p["lines"])),
     ).otherwise(F.array().cast("array<string>"))
 
 
-def _mentions(body: Column, lines: Column, limit: int) -> Column:
+def _mentions(body: Column, lines: Column) -> Column:
     price = ANY_CASE + fv.PRICE
     candidates = F.filter(
         F.transform(lines, lambda s, i: F.struct(s.alias("line"), i.alias("at"))),
@@ -167,6 +167,6 @@ def _mentions(body: Column, lines: Column, limit: int) -> Column:
         snippets,
         F.array().cast("array<string>"),
         lambda kept, s: F.when(
-            (F.size(kept) >= limit) | F.exists(kept, lambda k: k.contains(s) | s.contains(k)), kept
+            F.exists(kept, lambda k: k.contains(s) | s.contains(k)), kept
         ).otherwise(F.array_append(kept, s)),
     )

@@ -52,11 +52,11 @@ def verdict(positive: Column, negative: Column) -> Column:
 
 
 def topic_text(acronym: Column, name: Column, categories: Column, description: Column) -> Column:
-    """What the verdict reads of a listing: the non-empty parts, the description's start."""
+    """What the verdict reads of a listing: the non-empty parts, whole."""
     return F.concat_ws(
         " ",
         blank_to_null(acronym),
         blank_to_null(name),
         blank_to_null(F.array_join(categories, " ")),
-        blank_to_null(F.substring(description, 1, fv.TOPIC_DESCRIPTION_CHARS)),
+        blank_to_null(description),
     )

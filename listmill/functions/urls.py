@@ -32,8 +32,9 @@ def host_suffixes(h: Column) -> Column:
 
 
 def site(h: Column) -> Column:
-    """The last two labels of a host."""
-    return F.array_join(F.slice(F.split(h, r"\."), -2, 2), ".")
+    """The last two labels of a host, or the only one."""
+    labels = F.split(h, r"\.")
+    return F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), F.lit(2)), ".")
 
 
 def same_site(a: Column, b: Column) -> Column:
@@ -109,11 +110,19 @@ def absolute(href: Column, base: Column) -> Column:
 
 
 def _resolved(path: Column) -> Column:
-    """Folds "." and ".." segments, a bounded number of times."""
-    out = F.regexp_replace(path, r"(?<=/)(?:\./)+", "")
-    for _ in range(4):
-        out = F.regexp_replace(out, r"/(?!\.\./)[^/]+/\.\./", "/")
-    return out
+    """A path with its "." and ".." segments folded, however many; what follows ? or # stays as it is."""
+    plain = F.regexp_extract(path, r"^[^?#]*", 0)
+    parts = F.split(plain, "/")
+    last = F.element_at(parts, -1)
+    folded = F.aggregate(
+        F.slice(parts, F.lit(2), F.size(parts)),
+        F.array().cast("array<string>"),
+        lambda kept, part: F.when(part == ".", kept)
+        .when(part == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0))))
+        .otherwise(F.array_append(kept, part)),
+    )
+    closing = F.when(last.isin(".", "..") & (F.size(folded) > 0), "/").otherwise("")
+    return F.concat(F.lit("/"), F.array_join(folded, "/"), closing, F.substring(path, F.length(plain) + 1, F.length(path)))
 
 
 def link_score(text: Column, url: Column, homepage: Column) -> Column:

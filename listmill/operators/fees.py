@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from listmill.engine import cut
 from listmill.functions.checks import check_fee, plain_blanks
-from listmill.functions.fee_kinds import standard_score, student_rank
+from listmill.functions.fee_kinds import classify, standard_score, student_rank
 from listmill.functions.labels import is_counted, summary_note
 
 
@@ -33,6 +34,48 @@ def fee_range(
     return per_currency.groupBy(entity).agg(best.alias("r")).select(entity, "r.*")
 
 
+def with_kinds(fees: DataFrame, kind: str = "kind") -> DataFrame:
+    """``fees`` with their kind. A few wordings stand on very many fees, so each different
+    (category, tier, notes) is classified once and joined back; the stored table of wordings has its
+    real size, and the planner broadcasts it if small."""
+    said = ["category", "tier", "notes"]
+    wordings = cut(fees.select(*said).distinct().withColumn(kind, classify(*[F.col(c) for c in said])))
+    same = [F.col(f"f.{c}").eqNullSafe(F.col(f"w.{c}")) for c in said]
+    return fees.alias("f").join(wordings.alias("w"), same).select("f.*", f"w.{kind}")
+
+
+def range_and_headlines(
+    fees: DataFrame, entity: str, kind: Column, usd: Column, order: str, keep: list[str],
+    amount: str = "amount", currency: str = "currency",
+) -> DataFrame:
+    """``fee_range`` and ``headlines`` of the same fees from one pass: both are reduced per entity
+    and currency, then per entity."""
+    standard, student = _headline_orders(F.col("_kind"), F.col("_usd"), order)
+    fee = F.struct(*[F.col(c) for c in keep])
+    per_currency = (
+        fees.withColumns({"_kind": kind, "_usd": usd})
+        .groupBy(entity, F.col(currency).alias("currency"))
+        .agg(
+            F.count("*").alias("n"), F.min(amount).alias("fee_min"), F.max(amount).alias("fee_max"), F.min(order).alias("first"),
+            F.min(F.when(standard.isNotNull(), F.struct(standard.alias("at"), fee.alias("fee")))).alias("standard"),
+            F.min(F.when(student.isNotNull(), F.struct(student.alias("at"), fee.alias("fee")))).alias("student"),
+        )
+    )
+    best = F.min_by(F.struct("fee_min", "fee_max", "currency"), F.struct(-F.col("n"), F.col("first")))
+    return (
+        per_currency.groupBy(entity)
+        .agg(best.alias("r"), F.min("standard").alias("standard"), F.min("student").alias("student"))
+        .select(entity, "r.*", F.col("standard.fee").alias("standard"), F.col("student.fee").alias("student"))
+    )
+
+
+def _headline_orders(kind: Column, usd: Column, order: str) -> tuple[Column, Column]:
+    """What the standard and the student figure are the least of; null for fees that can't stand."""
+    score, rank = standard_score(kind), student_rank(kind, usd)
+    standard = F.when(score.isNotNull(), F.struct(-score, -F.coalesce(usd, F.lit(0.0)), F.col(order)))
+    return standard, F.when(rank.isNotNull(), F.struct(rank, F.col(order)))
+
+
 def headlines(
     fees: DataFrame, entity: str, kind: Column, usd: Column, order: str, keep: list[str]
 ) -> DataFrame:
@@ -42,12 +85,7 @@ def headlines(
     ``usd`` values a fee in dollars (null when it cannot): any column expression will do.
     """
     rated = fees.withColumns({"_kind": kind, "_usd": usd})
-    score = standard_score(F.col("_kind"))
-    standard = F.when(
-        score.isNotNull(), F.struct(-score, -F.coalesce(F.col("_usd"), F.lit(0.0)), F.col(order))
-    )
-    rank = student_rank(F.col("_kind"), F.col("_usd"))
-    student = F.when(rank.isNotNull(), F.struct(rank, F.col(order)))
+    standard, student = _headline_orders(F.col("_kind"), F.col("_usd"), order)
     fee = F.struct(*[F.col(c) for c in keep])
     return (
         rated.withColumns({"_std": standard, "_stu": student, "_fee": fee})

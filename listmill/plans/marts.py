@@ -9,12 +9,11 @@ from listmill import fixed_values as fv
 from listmill.config import EngineConfig
 from listmill.engine import cut
 from listmill.functions.dates import monday
-from listmill.functions.fee_kinds import classify
 from listmill.functions.labels import fee_status, history_label, history_years, is_counted
 from listmill.functions.money import converted_by_map, headline_text
 from listmill.functions.places import UNKNOWN, in_scope, with_country
 from listmill.functions.urls import organizer_flag, without_person
-from listmill.operators.fees import headlines
+from listmill.operators.fees import headlines, with_kinds
 from listmill.operators.predicates import DateRange, is_exactly, matches_text, paged, undated_or_in_window
 from listmill.operators.privacy import account_details, scrub_table
 from listmill.sources.rates import with_rates
@@ -32,17 +31,8 @@ def source_name(source: Column) -> Column:
 def valued_fees(fees: DataFrame, rates: DataFrame) -> DataFrame:
     """Fees with their kind and both conversions."""
     value = lambda to: converted_by_map(F.col("amount"), F.col("currency"), F.col("rates"), to)
-    return (
-        with_rates(fees, rates)
-        .withColumns(
-            {
-                "kind": classify(F.col("category"), F.col("tier"), F.col("notes")),
-                "amount_usd": value("USD"),
-                "amount_php": value("PHP"),
-            }
-        )
-        .drop("rates")
-    )
+    valued = with_rates(fees, rates).withColumns({"amount_usd": value("USD"), "amount_php": value("PHP")})
+    return with_kinds(valued.drop("rates"))
 
 
 def with_derived(entities: DataFrame, fees: DataFrame, listings: DataFrame, rates: DataFrame) -> DataFrame:

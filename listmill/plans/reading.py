@@ -240,7 +240,7 @@ def listed_formats(listings: DataFrame, entity: str, path: str = "$.event_format
 def _with_status(df: DataFrame, columns: list[str], fees: DataFrame) -> DataFrame:
     usable = F.coalesce("any_verified", F.lit(False))
     mention = F.when(
-        F.col("_fresh") & ~usable, F.get(fee_mentions(F.coalesce("text", F.lit("")), 1), F.lit(0))
+        F.col("_fresh") & ~usable, F.get(fee_mentions(F.coalesce("text", F.lit(""))), F.lit(0))
     )
     after = read_status(
         usable,
@@ -304,7 +304,7 @@ def revalidate(entities: DataFrame, fees: DataFrame, texts: DataFrame) -> tuple[
     )
     usable = F.coalesce("any_verified", F.lit(False))
     asked = F.col("_text").isNotNull() & ~usable
-    mention = F.when(asked, F.get(fee_mentions(F.col("_text"), 1), F.lit(0)))
+    mention = F.when(asked, F.get(fee_mentions(F.col("_text")), F.lit(0)))
     after = read_status(usable, F.col("n_fees"), F.lit(True), F.col("check_note"), mention)
     has_fees = F.col("_text").isNotNull() & (F.col("n_fees") > 0)
     without = F.col("_text").isNotNull() & (F.col("n_fees") == 0)
