@@ -12,14 +12,16 @@ the chunks, not the tokens, and a frequent word is one row a chunk.
 from __future__ import annotations
 
 import pickle
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from listmill.engine import cut
@@ -29,14 +31,14 @@ STATES, ROUNDS = 8, 2
 #: Word classes; class 0 is the end of a text.
 CLASSES = 1 << 16
 #: Tokens of a chunk, and tokens that go through the model together; a longer text comes by itself.
-CHUNK_TOKENS, TOGETHER = 2_000_000, 500_000
+CHUNK_TOKENS, TOGETHER = 4_000_000, 500_000
 #: Share of a state's emissions that follows the counts of all states.
 SHARED = 0.02
 #: The first guess: documents, tokens of each, rounds. Every later count covers all training documents.
 GUESS_DOCS, GUESS_TOKENS, GUESS_ROUNDS = 2000, 300, 12
 SEED = 11
 
-_CHUNKS = "chunk bigint, doc_id bigint, held_out boolean, ids binary, classes binary, word binary, local int, class int, n bigint"
+_CHUNKS = "chunk bigint, doc_id bigint, held_out boolean, ids binary, classes binary, word binary, local int, n bigint"
 
 
 class Words(dict):
@@ -51,17 +53,33 @@ class Words(dict):
 
 
 def class_of(word: bytes) -> int:
-    return 1 + xxhash.xxh64_intdigest(word) % (CLASSES - 1) if word else 0
+    """The class of a word; CLASS_SQL says the same of the column ``word``."""
+    if not word:
+        return 0
+    signed = xxhash.xxh64_intdigest(word, 42)
+    return 1 + (signed - (1 << 64) * (signed >> 63)) % (CLASSES - 1)
+
+
+CLASS_SQL = f"if(octet_length(word) = 0, 0, cast(1 + pmod(xxhash64(word), {CLASSES - 1}) as int))"
+
+
+def packed_tokens(values: np.ndarray) -> bytes:
+    """Numbers as they are stored: most are small, so they are worth compressing."""
+    return zlib.compress(values.tobytes(), 1)
+
+
+def unpacked(data: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), kind)
 
 
 def chunked(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Two kinds of rows: a document's tokens (ids are its chunk's word numbers), and a chunk's
-    words with their counts in the training documents of that chunk."""
+    """Two kinds of rows: a document's tokens (ids are its chunk's word numbers; classes only where
+    they are trained on), and a chunk's words with their counts in its training documents."""
     rows = docs.select(
         F.col(id_column).cast("bigint").alias("doc_id"), (fold_of(F.col(id_column)) == 1).alias("held_out"), F.col(text_column).alias("text")
     )
     names = [c.split()[0] for c in _CHUNKS.split(",")]
-    types = dict(zip(names, [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64()]))
+    types = dict(zip(names, [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int64()]))
 
     def packed(rows: int, columns: dict) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -80,15 +98,15 @@ def chunked(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
                 "chunk": [chunk] * len(part),
                 "doc_id": [d for d, _, _ in part],
                 "held_out": [h for _, h, _ in part],
-                "ids": [x.astype("<i4").tobytes() for _, _, x in part],
-                "classes": [classes[x].tobytes() for _, _, x in part],
+                "ids": [packed_tokens(x.astype("<i4")) for _, _, x in part],
+                "classes": [None if out else packed_tokens(classes[x]) for _, out, x in part],
             }
             yield packed(len(part), columns)
         listed = list(words)
         for a in range(0, len(listed), 100_000):
             part = listed[a : a + 100_000]
             b = a + len(part)
-            columns = {"chunk": [chunk] * len(part), "word": part, "local": np.arange(a, b), "class": classes[a:b], "n": counts[a:b]}
+            columns = {"chunk": [chunk] * len(part), "word": part, "local": np.arange(a, b), "n": counts[a:b]}
             yield packed(len(part), columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +256,7 @@ def train_round(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray,
 
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                held.append(np.frombuffer(data, np.uint16))
+                held.append(unpacked(data, "<u2"))
                 tokens += len(held[-1])
                 if tokens >= CHUNK_TOKENS:
                     add()
@@ -248,9 +266,10 @@ def train_round(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray,
         used = np.flatnonzero(emits.sum(axis=1))
         rows = np.concatenate([emits[used], moves, starts[None, :]])
         at = np.concatenate([used, -1 - np.arange(k), [-1 - k]]).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(np.ascontiguousarray(rows[:, i])) for i in range(k))], names=["at", *columns])
+        values = [pa.array(rows[:, i].astype(np.float32)) for i in range(k)]
+        yield pa.RecordBatch.from_arrays([pa.array(at), *values], names=["at", *columns])
 
-    schema = ", ".join(["at bigint", *(f"{c} double" for c in columns)])
+    schema = ", ".join(["at bigint", *(f"{c} float" for c in columns)])
     sums = texts.select("classes").mapInArrow(run, schema).groupBy("at").agg(*(F.sum(c).alias(c) for c in columns))
     starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k))
     for row in sums.collect():
@@ -264,6 +283,24 @@ def train_round(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray,
     return starts, moves, emits
 
 
+def sample_pieces(texts: DataFrame) -> list[np.ndarray]:
+    """A bounded sample: for the GUESS_DOCS documents that a hash puts first, some tokens from anywhere in each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [xxhash.xxh64_intdigest(d) >> 1 for d in batch.column(0).to_pylist()]
+            first = sorted(range(len(hashes)), key=hashes.__getitem__)[:GUESS_DOCS]
+            pieces = []
+            for i in first:
+                tokens = unpacked(batch.column(0)[i].as_py(), "<u2")
+                at = hashes[i] % max(1, len(tokens) - GUESS_TOKENS)
+                pieces.append(tokens[at : at + GUESS_TOKENS].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([hashes[i] for i in first], pa.int64()), pa.array(pieces, pa.binary())], names=["h", "p"])
+
+    drawn = texts.select("classes").mapInArrow(run, "h bigint, p binary")
+    return [np.frombuffer(r["p"], "<u2") for r in drawn.orderBy("h", "p").limit(GUESS_DOCS).collect()]
+
+
 @dataclass
 class Scorer:
     """The model with the training counts that turn classes into words."""
@@ -281,12 +318,15 @@ class Scorer:
         emits = np.vstack([m.emits * (1 - unseen), np.full((1, len(m.start)), unseen)])
         self.full = Model(m.start, m.moves, emits)
 
-    def score(self, ids: list[np.ndarray], classes: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, ...]:
-        """n_tokens, n_known, base score and score of documents; ``counts`` by word number."""
+    def score(self, ids: list[np.ndarray], classes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """n_tokens, n_known, base score and score of documents, given each word number's class and
+        training count; numbers beyond those are unseen words."""
         n = np.array([len(x) for x in ids])
         begins = np.cumsum(n) - n
-        word, kind = np.concatenate(ids), np.concatenate(classes).astype(np.int64)
-        c = counts[word]
+        word = np.concatenate(ids)
+        seen = word < len(counts)
+        word = np.where(seen, word, 0)
+        kind, c = classes[word], np.where(seen, counts[word], 0)
         known = c > 0
         base = np.add.reduceat(np.log10((c + 0.5) / (self.tokens + 0.5 * (self.distinct + 1))), begins)
         n_known = np.add.reduceat(known.astype(np.int64), begins)
@@ -306,22 +346,28 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     the score is the base score; an empty table gives no rows. Other columns are not looked at.
     """
     stored = cut(chunked(docs, id_column, text_column))
-    texts = stored.where("word is null").select("chunk", "doc_id", "held_out", "ids", "classes")
-    words = stored.where("word is not null").select("chunk", "word", "local", "class", "n")
-    counts = cut(words.groupBy("word").agg(F.first("class").alias("class"), F.sum("n").alias("c")).where("c > 0"))
+    texts = stored.where("word is null")
+    words = stored.where("word is not null").select("chunk", "word", "local", "n")
+    # a word has one row per chunk, so no word is frequent here
+    by_word = Window.partitionBy("word")
+    numbers = cut(
+        words.select(
+            F.col("chunk").alias("of_chunk"),
+            "local",
+            F.expr(CLASS_SQL).alias("class"),
+            F.sum("n").over(by_word).alias("c"),
+            (F.row_number().over(by_word.orderBy("chunk")) == 1).alias("first"),
+        ).where("c > 0")
+    )
     class_tokens, class_words = np.zeros(CLASSES), np.zeros(CLASSES)
-    for row in counts.groupBy("class").agg(F.sum("c"), F.count("*")).collect():  # at most CLASSES rows
+    for row in numbers.where("first").groupBy("class").agg(F.sum("c"), F.count("*")).collect():  # at most CLASSES rows
         class_tokens[row[0]], class_words[row[0]] = row[1], row[2]
-    training = texts.where(~F.col("held_out"))
+    training = texts.where("classes is not null")
     shared = class_tokens + 0.5 * class_words
     shared = shared / max(1, shared.sum())
     model = Model(np.ones(1), np.ones((1, 1)), np.ones((CLASSES, 1)))
     if class_tokens.sum():
-        first = f"2 * cast(pmod(xxhash64(doc_id), greatest(1, octet_length(classes) div 2 - {GUESS_TOKENS})) as int)"
-        piece = F.expr(f"substring(classes, 1 + {first}, {2 * GUESS_TOKENS})")
-        pieces = training.select(F.xxhash64("classes", "doc_id").alias("h"), piece.alias("p"))
-        sample = pieces.orderBy("h", "p").limit(GUESS_DOCS).collect()
-        model = first_guess([np.frombuffer(r["p"], np.uint16) for r in sample if r["p"]], shared, states)
+        model = first_guess(sample_pieces(training), shared, states)
         for _ in range(rounds):
             model = estimated(*train_round(training, model), shared)
     scorer = Scorer(model, int(class_tokens.sum()), int(class_words.sum()), class_tokens, class_words)
@@ -330,30 +376,26 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         own = pickle.loads(sent.value)
-        by_word = np.zeros(max(1, right.num_rows))
-        by_word[right["local"].to_numpy()] = right["c"].to_numpy()
+        size = 1 + (pc.max(right["local"]).as_py() or 0)
+        counts, classes = np.zeros(size), np.zeros(size, np.int64)
+        local = right["local"].to_numpy()
+        counts[local], classes[local] = right["c"].to_numpy(), right["class"].to_numpy()
         out = []
         for batch in left.to_batches(max_chunksize=2000):
             if batch.num_rows:
-                ids = [np.frombuffer(x, "<i4") for x in batch.column("ids").to_pylist()]
-                classes = [np.frombuffer(x, np.uint16) for x in batch.column("classes").to_pylist()]
-                n, known, base, score = own.score(ids, classes, by_word)
-                out.append(
-                    pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id"), batch.column("held_out"), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
-                         pa.array(np.full(len(n), train_tokens, np.int64)), pa.array(base), pa.array(score)],
-                        names=result,
-                    )
-                )
+                ids = [unpacked(x, "<i4") for x in batch.column("ids").to_pylist()]
+                n, known, base, score = own.score(ids, classes, counts)
+                numbers = [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(np.full(len(n), train_tokens, np.int64))]
+                columns = [batch.column("doc_id"), batch.column("held_out"), *numbers, pa.array(base), pa.array(score)]
+                out.append(pa.RecordBatch.from_arrays(columns, names=result))
         return pa.Table.from_batches(out, schema=pa.schema(list(zip(result, result_types))))
 
     result = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     result_types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-    counted = words.select("chunk", "word", "local").join(counts.select("word", "c"), "word", "left")
-    numbers = counted.select(F.col("chunk").alias("of_chunk"), "local", F.coalesce("c", F.lit(0)).alias("c"))
     return (
-        texts.groupBy("chunk")
-        .cogroup(numbers.groupBy("of_chunk"))
+        texts.select("chunk", "doc_id", "held_out", "ids")
+        .groupBy("chunk")
+        .cogroup(numbers.select("of_chunk", "local", "class", "c").groupBy("of_chunk"))
         .applyInArrow(
             run,
             "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",

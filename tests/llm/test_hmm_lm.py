@@ -98,11 +98,16 @@ def test_score_is_a_distribution():
     totals[classes], kinds[classes] = counts, 1
     scorer = hmm.Scorer(model, int(counts.sum()), 4, totals, kinds)
     ids = [np.array(x) for x in itertools.product(range(5), repeat=3)]
-    by_word = np.append(counts, 0.0)  # word 4 is unseen
-    scores = scorer.score(ids, [np.append(classes, 5)[x] for x in ids], by_word)[3]
+    scores = scorer.score(ids, classes, counts)[3]  # word 4 is unseen
     assert math.isclose((10**scores).sum(), 1, rel_tol=1e-6)
 
 
+def test_classes_are_the_same_in_sql(spark):
+    words = [b"", b"a", "ä".encode(), b"the", b"x" * 1000]
+    rows = spark.createDataFrame([(bytearray(w),) for w in words], "word binary").selectExpr("word", f"{hmm.CLASS_SQL} as c").collect()
+    assert {bytes(r.word): r.c for r in rows} == {w: hmm.class_of(w) for w in words}
+
+
 def test_odd_inputs(spark, monkeypatch):
     rows = [(None, None), (1, ""), (2, "A a Ä b"), (2, "A a Ä b"), (3, "one " * 30_000), (4, "b\tb\x0bc\x1cd"), (9, "new words only")]
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, chunk int")
