@@ -164,14 +164,22 @@ def thresholds(counts: DataFrame, language: str, source: str, least_rows: int =
     by_language = bounds(merge(counts, [language]), [language]).select(
         F.col(language).alias("_language"), F.col("limits").alias("language_limits"), F.col("rows").alias("language_rows")
     )
-    # one row
-    everything = bounds(merge(counts, []).withColumn("_all", F.lit(1)), ["_all"]).select(F.lit(1).alias("_all"), F.col("limits").alias("all_limits"))
-    joined = own.join(by_language, F.col(language).eqNullSafe(F.col("_language"))).withColumn("_all", F.lit(1)).join(F.broadcast(everything), "_all")
+    everything = bounds(merge(counts.withColumn("_all", F.lit(1)), ["_all"]), ["_all"]).first()
+    # limits of all rows: a few numbers
+    all_limits = F.create_map(
+        *(
+            x
+            for m, limit in (everything["limits"] if everything else {}).items()
+            for x in (F.lit(m), F.struct(F.lit(limit["least"]).alias("least"), F.lit(limit["most"]).alias("most")))
+        )
+    )
+    joined = own.join(by_language, F.col(language).eqNullSafe(F.col("_language")))
     is_own, is_language = F.col("own_rows") >= least_rows, F.col("language_rows") >= least_rows
+    limits = F.when(is_own, F.col("own_limits")).when(is_language, F.col("language_limits"))
     return joined.select(
         language,
         source,
-        F.when(is_own, F.col("own_limits")).when(is_language, F.col("language_limits")).otherwise(F.col("all_limits")).alias("limits"),
+        (limits.otherwise(all_limits) if everything else limits).alias("limits"),
         F.when(is_own, "source").when(is_language, "language").otherwise("all").alias("level"),
     )
 
