@@ -46,54 +46,49 @@ def emails_in(texts: DataFrame, text: str) -> DataFrame:
     )
 
 
-def _lengths(details: DataFrame, kind: str) -> Column:
-    """The lengths that occur among the parts of a kind, as one array: a scalar subquery, at most
-    one entry per possible length however many details there are."""
-    found = details.where(F.col("kind") == kind).agg(F.collect_set(F.length("part")).alias("n"))
-    return found.scalar()
-
-
-def _parts(details: DataFrame) -> DataFrame:
-    """(kind, part, value): what is looked up in a text - an id whole, an address by what stands
-    before its "@"."""
-    return details.select(
-        "kind",
-        F.when(F.col("kind") == "email", F.substring_index("value", "@", 1))
-        .otherwise(F.col("value"))
-        .alias("part"),
-        "value",
-    )
+def _lengths(details: DataFrame) -> Column:
+    """The lengths that occur among the values, as one array: a scalar subquery, at most one entry
+    per possible length however many details there are."""
+    return details.agg(F.collect_set(F.length("value")).alias("n")).scalar()
 
 
-def _ends(run: Column, lengths: Column) -> Column:
-    """The ends of a run that have one of the lengths."""
-    fitting = F.filter(lengths, lambda n: n <= F.length(run))
-    return F.transform(fitting, lambda n: F.right(run, n))
+def _shapes(details: DataFrame) -> Column:
+    """The lengths before and behind the first "@" that occur among the addresses, as one array."""
+    local = F.length(F.substring_index("value", "@", 1))
+    shape = F.struct(local.alias("local"), (F.length("value") - local - 1).alias("rest"))
+    return details.where("kind = 'email'").agg(F.collect_set(shape).alias("n")).scalar()
 
 
 def details_held(rows: DataFrame, key: list[str], text: Column, details: DataFrame) -> DataFrame:
     """(key, held): the details that occur in each row's text, longest first.
 
-    A text is asked for its whole digit runs and for the ends of the runs before each "@".
+    A text is asked for its whole digit runs and, around each "@", for the stretches that are as
+    long as some address is. These are looked up whole: addresses that share the part before the
+    "@" are different keys, and texts do not travel.
     """
-    lookup = _parts(details)
     asked = (
         rows.select(*key, text.alias("_text"))
         .where(F.col("_text").rlike(r"\d|@"))
-        .withColumn("_n", _lengths(lookup, "email"))
+        .withColumn("_shapes", _shapes(details))
     )
-    digits = F.array_distinct(F.regexp_extract_all("_text", F.lit(r"\d+"), F.lit(0)))
-    before_at = F.array_distinct(F.regexp_extract_all("_text", F.lit(r"([^)\s@]+)@"), F.lit(1)))
-    ends = F.array_distinct(F.flatten(F.transform(before_at, lambda r: _ends(r, F.col("_n")))))
-    tagged = lambda parts, kind: F.transform(
-        parts, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("part"))
+    around = F.lit(r"([^)\s@]+)@(?=([^)\s]+))")
+    sides = F.arrays_zip(
+        F.regexp_extract_all("_text", around, F.lit(1)).alias("before"), F.regexp_extract_all("_text", around, F.lit(2)).alias("behind")
     )
-    tokens = asked.select(
-        *key, "_text", F.explode(F.concat(tagged(digits, "id"), tagged(ends, "email"))).alias("t")
-    ).select(*key, "_text", "t.*")
-    real = tokens.join(lookup, ["kind", "part"]).where(
-        (F.col("kind") == "id") | F.col("_text").contains(F.col("value"))
+
+    def stretches(side: Column) -> Column:
+        fitting = F.filter("_shapes", lambda s: (s["local"] <= F.length(side["before"])) & (s["rest"] <= F.length(side["behind"])))
+        return F.transform(
+            fitting, lambda s: F.concat(F.right(side["before"], s["local"]), F.lit("@"), F.left(side["behind"], s["rest"]))
+        )
+
+    digits = F.array_distinct(F.regexp_extract_all("_text", F.lit(r"\d+"), F.lit(0)))
+    addresses = F.array_distinct(F.flatten(F.transform(sides, stretches)))
+    tagged = lambda values, kind: F.transform(
+        values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value"))
     )
+    tokens = asked.select(*key, F.explode(F.concat(tagged(digits, "id"), tagged(addresses, "email"))).alias("t"))
+    real = tokens.select(*key, "t.*").join(details.select("kind", "value"), ["kind", "value"])
     one = F.struct((-F.length("value")).alias("n"), "value", "kind")
     return real.groupBy(*key).agg(F.array_sort(F.collect_set(one)).alias("held"))
 
@@ -174,12 +169,12 @@ def leaks(df: DataFrame, key: list[str], details: DataFrame) -> DataFrame:
     mails = details_held(whole, key, F.col("_text"), details.where("kind = 'email'")).select(
         *key, F.explode("held.value").alias("value")
     )
-    ids = _parts(details.where("kind = 'id'"))
+    ids = details.where("kind = 'id'")
     cut = F.expr(
         """flatten(transform(filter(_n, n -> n <= length(run)),
              n -> transform(sequence(1, length(run) - n + 1), i -> substring(run, i, n))))"""
     )
-    runs = whole.withColumn("_n", _lengths(ids, "id")).select(
+    runs = whole.withColumn("_n", _lengths(ids)).select(
         *key, "_n", F.explode(F.regexp_extract_all("_text", F.lit(r"\d+"), F.lit(0))).alias("run")
     )
     found = runs.select(*key, F.explode(F.array_distinct(cut)).alias("value")).join(
