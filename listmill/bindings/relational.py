@@ -679,7 +679,7 @@ def audit_report(spark, d):
         "counted fee with zero or negative amount": F.col("amount") <= 0,
     }
     label = F.concat(F.lit("#"), F.col("entity_id").cast("string"), F.lit(" "), F.col("l_linenumber").cast("string"))
-    failures = cut(qa.failing(base, rules, F.col("entity_id"), label))
+    failures = qa.failing(base, rules, F.col("entity_id"), label)
     out = qa.report(failures, {n: qa.CHECKS[n] for n in rules})
     return out.withColumn("examples", F.array_join("examples", "; "))
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -59,31 +63,39 @@ def failing(df: DataFrame, checks: dict[str, Column], order: Column, label: Colu
 def report(failures: DataFrame, checks: dict[str, bool] = CHECKS) -> DataFrame:
     """(check, must_be_zero, failures, examples, verdict) for every check, failed or not.
 
-    Examples are the first few per check: each task keeps its own few before the shuffle.
+    One pass over the failures: each task hands on a count and its first few examples per check, so
+    nothing is stored, and what is shuffled grows with the tasks only.
     """
     spark = failures.sparkSession
-    counts = failures.groupBy("check").agg(F.count("*").alias("n"))
-    few = first_few(failures, "check", ["ord", "example"], EXAMPLES)
-    shown = few.groupBy("check").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("ord", "example"))), lambda x: x["example"]
-        ).alias("examples")
+    kept = failures.select("check", "ord", "example").mapInPandas(
+        _first_of_task, "check string, n bigint, few array<struct<ord:string,example:string>>"
+    )
+    found = kept.groupBy("check").agg(
+        F.sum("n").alias("n"), F.slice(F.array_sort(F.flatten(F.collect_list("few"))), 1, EXAMPLES).alias("few")
     )
     names = spark.createDataFrame(list(checks.items()), "check string, must_be_zero boolean")
     n = F.coalesce("n", F.lit(0))
-    return (
-        names.join(counts, "check", "left")
-        .join(shown, "check", "left")
-        .select(
-            "check",
-            "must_be_zero",
-            n.alias("failures"),
-            F.coalesce("examples", F.array().cast("array<string>")).alias("examples"),
-            F.when(n == 0, "ok").when(F.col("must_be_zero"), "FAIL").otherwise("note").alias("verdict"),
-        )
+    return names.join(found, "check", "left").select(
+        "check",
+        "must_be_zero",
+        n.alias("failures"),
+        F.coalesce(F.transform("few", lambda x: x["example"]), F.array().cast("array<string>")).alias("examples"),
+        F.when(n == 0, "ok").when(F.col("must_be_zero"), "FAIL").otherwise("note").alias("verdict"),
     )
 
 
+def _first_of_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    counts: Counter[str] = Counter()
+    few = pd.DataFrame(columns=["check", "ord", "example"])
+    for batch in batches:
+        counts.update(batch["check"].value_counts().to_dict())
+        both = pd.concat([few, batch]) if len(few) else batch
+        few = both.sort_values(["check", "ord", "example"]).groupby("check").head(EXAMPLES)
+    if counts:
+        listed = {check: list(zip(rows["ord"], rows["example"])) for check, rows in few.groupby("check")}
+        yield pd.DataFrame({"check": list(counts), "n": list(counts.values()), "few": [listed[c] for c in counts]})
+
+
 def first_few(df: DataFrame, group: str, order: list[str], n: int, salt: int = 64) -> DataFrame:
     """The first ``n`` rows per group, in two steps: per salted part, then per group. A group of
     any size is split over the salts first, so no task sorts all of it."""
@@ -227,7 +239,7 @@ def audit(
             F.concat_ws(" vs ", F.col("weeks").cast("string"), F.col("visible").cast("string")),
         )
     )
-    return report(cut(failures))
+    return report(failures)
 
 
 def likely_duplicates(rows: DataFrame) -> DataFrame:

@@ -4,9 +4,10 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from listmill.bindings.registry import ORACLES as SQL
+from listmill.bindings.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,4 +26,5 @@ def test_entry_has_rows(spark):
 
 
 def test_every_twin_has_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
