@@ -77,7 +77,75 @@ def _part_events(spark, d):
     )
 
 
-@query()
+def _similar_sql(percent: int) -> str:
+    """Names and the pairs of them that are similar enough: the longest common subsequence is counted in
+    the bits of a number, a character of the other name at a time."""
+    return f"""
+alike as (
+    select a, b from (
+        select x.name as a, y.name as b, length(x.name) as n, length(y.name) as m,
+            list_reduce(list_prepend((1::hugeint << length(x.name)) - 1, list_transform(string_split(y.name, ''),
+                lambda c: coalesce(list_sum(list_transform(range(1, length(x.name) + 1), lambda i: case when x.name[i] = c then 1::hugeint << (i - 1) else 0::hugeint end)), 0)::hugeint)),
+                lambda kept, mask: ((kept + (kept & mask)) | (kept - (kept & mask))) & ((1::hugeint << length(x.name)) - 1)) as kept
+        from (select distinct name from e) x, (select distinct name from e) y)
+    where 200 * (n - bit_count(kept)) >= {percent} * (n + m))"""
+
+
+_EVENTS = """
+parts as (
+    select p_partkey as id, case when p_type in ('PROMO', 'SMALL', 'LARGE') then upper(replace(p_brand, '#', '')) else '' end as key,
+        array_to_string(list_sort(string_split(lower(p_name || ' ' || p_type), ' ')), ' ') as name, p_size as day,
+        case p_type when 'PROMO' then 'japan' when 'SMALL' then 'china' when 'ECONOMY' then 'japan' else '' end as country,
+        p_type = 'STANDARD' as known from part)"""
+
+_LEADERS = f"""
+with recursive {_EVENTS}, e as (select * from parts),{_similar_sql(fv.PLACEMENT_SIMILARITY)},
+old as (select * from parts where known and country = ''),
+l as (
+    select *, row_number() over (order by case country when 'china' then {fv.SOURCE_PRIORITY.index("edas")} when 'japan' then {fv.SOURCE_PRIORITY.index("ieee")} else {fv.SOURCE_PRIORITY.index("wikicfp")} end, id) as rn
+    from parts where not (known and country = '')),
+by_key as (select l.rn, min(o.id) as home from l join old o on l.key <> '' and l.key = o.key and abs(l.day - o.day) <= 7 group by 1),
+by_name as (
+    select l.rn, min(o.id) as home from l join old o on abs(l.day - o.day) <= 7 and (l.key = '' or o.key = '' or l.key = o.key)
+        and (l.country = '' or o.country = '' or l.country = o.country) join alike on a = l.name and b = o.name group by 1),
+new_key as (select l.rn, list(f.rn order by f.rn) as before from l join l f on f.rn < l.rn and l.key <> '' and l.key = f.key and abs(l.day - f.day) <= 7 group by 1),
+new_name as (
+    select l.rn, list(f.rn order by f.rn) as before from l join l f on f.rn < l.rn and abs(l.day - f.day) <= 7 and (l.key = '' or f.key = '' or l.key = f.key)
+        join alike on a = l.name and b = f.name group by 1),
+asked as (
+    select l.rn, l.id, by_key.home as old_key, by_name.home as old_name, coalesce(new_key.before, []) as ks, coalesce(new_name.before, []) as ns
+    from l left join by_key using (rn) left join by_name using (rn) left join new_key using (rn) left join new_name using (rn)),
+step as (
+    select 0::bigint as rn, []::bigint[] as founders, null::bigint as entity, null::bigint as founder
+    union all
+    select rn, case when entity is null and founder = rn then list_append(founders, rn) else founders end, entity, founder
+    from (
+        select rn, founders, case when old_key is not null then old_key when by_k is null then old_name end as entity,
+            case when old_key is not null then null when by_k is not null then by_k when old_name is not null then null else coalesce(by_n, rn) end as founder
+        from (
+            select q.*, s.founders, list_filter(q.ks, lambda x: list_contains(s.founders, x))[1] as by_k, list_filter(q.ns, lambda x: list_contains(s.founders, x))[1] as by_n
+            from step s join asked q on q.rn = s.rn + 1)))
+select asked.id, entity as entity_id, f.id as founder_id from step join asked using (rn) left join asked f on f.rn = step.founder"""
+
+_PAIRS = f"""
+with recursive {_EVENTS}, e as (select * from parts),{_similar_sql(fv.DUPLICATE_SIMILARITY)},
+r as (select *, row_number() over (order by day, id) as rn from parts),
+same as (
+    select x.rn, y.rn as other from r x join r y on y.rn > x.rn and y.day - x.day <= 7 and (x.country = '' or y.country = '' or x.country = y.country)
+    left join alike on a = x.name and b = y.name
+    where (x.key <> '' and x.key = y.key) or (a is not null and (x.key = '' or y.key = '' or starts_with(x.key, y.key) or starts_with(y.key, x.key)))),
+asked as (select rn, id, coalesce(others, []) as others from r left join (select rn, list(other order by other) as others from same group by 1) using (rn)),
+step as (
+    select 0::bigint as rn, []::bigint[] as used, null::bigint as mate
+    union all
+    select rn, case when mate is null then used else list_concat(used, [rn, mate]) end, mate
+    from (
+        select q.rn, s.used, case when not list_contains(s.used, q.rn) then list_filter(q.others, lambda x: not list_contains(s.used, x))[1] end as mate
+        from step s join asked q on q.rn = s.rn + 1))
+select x.id as a, y.id as b from step join asked x using (rn) join asked y on y.rn = step.mate"""
+
+
+@query(_LEADERS)
 def resolve_leaders(spark, d):
     """Parts as listings of several sources, placed onto the promoted ones as known entities."""
     rows = _part_events(spark, d).withColumn("source", case("country", {"Japan": "ieee", "China": "edas"}, "wikicfp"))
@@ -85,7 +153,7 @@ def resolve_leaders(spark, d):
     return place(known, rows.where("not (name like '%STANDARD' and country is null)"))
 
 
-@query()
+@query(_PAIRS)
 def resolve_pairs(spark, d):
     return duplicate_pairs(_part_events(spark, d))
 
