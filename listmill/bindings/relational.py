@@ -10,6 +10,7 @@ from listmill.bindings.registry import query
 from listmill.bindings.tables import (
     CONFIG, SQL_CATEGORY, SQL_ISO, SQL_LINE_ORDER, SQL_RATE, SQL_TIER, case, fees, orders, rates, sql_cents,
 )
+from listmill import fixed_values as fv
 from listmill.engine import cut, load, scratch_folder
 from listmill.functions.dates import monday
 from listmill.functions.labels import fee_status
@@ -707,3 +708,52 @@ def history_labels(spark, d):
     records = history_records(people, pick(rows, "id"))
     years = F.array_join(F.transform(history_years(F.col("history")), lambda y: y.cast("string")), ",")
     return records.select("id", history_label(F.col("history")).alias("label"), years.alias("years"))
+
+
+# ---------------------------------------------------------------- selections with an order
+
+_STATES = """
+select o_orderkey as id, cast(o_orderdate as date) as start_date,
+  case o_orderstatus when 'F' then 'enriched' when 'O' then 'needs_review' else 'collected' end as status,
+  case o_orderpriority when '1-URGENT' then 'fees not published yet' when '2-HIGH' then 'fees not found' when '3-MEDIUM' then 'no homepage and no source page text' end as review_note,
+  case when o_totalprice < 200000 then o_totalprice end as fee_min, case when o_custkey % 3 = 0 then 'https://a.example' end as homepage
+from orders"""
+
+
+def _states(spark, d):
+    status = case("status", {"F": "enriched", "O": "needs_review"}, "collected")
+    note = case("priority", {"1-URGENT": fv.NOTE_NOT_PUBLISHED, "2-HIGH": fv.NOTE_FEES_NOT_FOUND, "3-MEDIUM": fv.NOTE_UNREADABLE})
+    return orders(spark, d).select(
+        "id", "start_date", status.alias("status"), note.alias("review_note"), F.when(F.col("total") < 200000, F.col("total")).alias("fee_min"),
+        F.when(F.col("customer") % 3 == 0, "https://a.example").alias("homepage"), "customer",
+    )
+
+
+@query(f"""
+select id, cast(start_date as varchar) as start_date from ({_STATES}) where status = 'collected'
+  or (status = 'needs_review' and fee_min is null and review_note in ('fees not published yet', 'fees not found'))
+order by start_date, id limit 100""")
+def reading_queue(spark, d):
+    """The hundred earliest entities whose state asks for a read; those without fees are tried again."""
+    work = predicates.reading_work(_states(spark, d), retry_without_fees=True, limit=100)
+    return work.select("id", F.col("start_date").cast("string").alias("start_date"))
+
+
+@query(f"""
+select id from ({_STATES}) s where homepage is null and exists (select 1 from lineitem where l_orderkey = id and l_returnflag = 'R')
+order by start_date, id limit 100""")
+def details_queue(spark, d):
+    """The hundred earliest entities without a homepage that the source of returned lines lists."""
+    listed = load(spark, d, "lineitem").select(F.col("l_orderkey").alias("entity_id"), F.col("l_returnflag").alias("source"))
+    return predicates.details_work(_states(spark, d), listed, "R", limit=100).select("id")
+
+
+@query(f"select id from ({_STATES}) where review_note = 'no homepage and no source page text'")
+def unreadable_entities(spark, d):
+    return _states(spark, d).where(predicates.unreadable()).select("id")
+
+
+@query("select event_id as id, event_type as kind, strftime(ts, '%Y-%m-%d %H:%M:%S') as started from events order by ts desc, event_id desc limit 20")
+def latest_runs(spark, d):
+    runs = load(spark, d, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("kind"), F.col("ts").alias("started_at"))
+    return predicates.latest_runs(runs).select("id", "kind", F.date_format("started_at", "yyyy-MM-dd HH:mm:ss").alias("started"))

@@ -106,3 +106,23 @@ def needing_details(entities: DataFrame, listings: DataFrame, source: str) -> Da
 
 def unreadable() -> Column:
     return F.col("review_note").eqNullSafe(F.lit(fv.NOTE_UNREADABLE))
+
+
+def reading_work(
+    entities: DataFrame, retry_without_fees: bool = False, ids: list[int] | None = None, limit: int | None = None
+) -> DataFrame:
+    """Entities to read, the earliest first: those named, or those whose state asks for it."""
+    chosen = F.col("id").isin(ids) if ids is not None else to_read(retry_without_fees)
+    ordered = entities.where(chosen).orderBy(F.col("start_date").asc_nulls_last(), "id")
+    return ordered if limit is None else ordered.limit(limit)
+
+
+def details_work(entities: DataFrame, listings: DataFrame, source: str, limit: int | None = None) -> DataFrame:
+    """Entities whose details ``source`` can fill in, the earliest first."""
+    ordered = needing_details(entities, listings, source).orderBy(F.col("start_date").asc_nulls_last(), "id")
+    return ordered if limit is None else ordered.limit(limit)
+
+
+def latest_runs(runs: DataFrame, limit: int = 20) -> DataFrame:
+    """The runs that began last, newest first."""
+    return paged(runs, [F.col("started_at").desc_nulls_last(), F.col("id").desc()], limit)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -75,18 +76,43 @@ def check_history(
     )
 
 
+@dataclass
+class Outcome:
+    """How an optional step ended."""
+
+    step: str
+    status: str  # done | failed
+    error: str | None = None
+
+
 def run_update(
     tables: Tables, config: EngineConfig, incoming: DataFrame | None = None,
-    reads: DataFrame | None = None, items: DataFrame | None = None,
+    reads: DataFrame | None = None, items: DataFrame | None = None, outcomes: list[Outcome] | None = None,
 ) -> tuple[Tables, dict[str, DataFrame]]:
     """Collect, filter, merge, dedupe, apply reads, history, publish. Steps without input are
-    left out."""
+    left out.
+
+    Collecting, reading and history stand for themselves: one that fails leaves the tables as they were
+    and a record in ``outcomes``, and the chain goes on. A failure in the other steps ends it.
+    """
+    outcomes = [] if outcomes is None else outcomes
+
+    def optional(step: str, work: Callable[[], Tables]) -> Tables:
+        try:
+            result = work()
+        except Exception as e:  # the record says what happened
+            outcomes.append(Outcome(step, "failed", f"{type(e).__name__}: {e}"))
+            return tables
+        outcomes.append(Outcome(step, "done"))
+        return result
+
     if incoming is not None:
-        tables = collect(tables, incoming)
+        tables = optional("collect", lambda: collect(tables, incoming))
     tables = consolidate_tables(tables, config)
     if reads is not None:
-        tables = read_tables(tables, reads)
+        tables = optional("read", lambda: read_tables(tables, reads))
     if items is not None:
-        tables.entities = cut(check_history(tables.entities, items, continent=None))
+        checked = lambda: cut(check_history(tables.entities, items, continent=None))
+        tables = optional("history", lambda: Tables(checked(), tables.listings, tables.fees, tables.rates))
     site = marts.publish(tables.entities, tables.fees, tables.listings, tables.rates, config)
     return tables, site

@@ -274,6 +274,18 @@ def test_update_chain(spark, rates):
     assert site["entities"].first().standard_fee.amount_usd == 300.0 and site["entities"].first().history_label == "has history"
 
 
+def test_a_failing_step_is_recorded_and_the_chain_goes_on(spark, rates):
+    incoming = table(spark, LISTINGS, [
+        listing(None, "ieee", source_id="a", acronym="MLX", name="Machine Learning X", country="Japan", in_window=None),
+    ]).withColumn("seen_at", F.lit(NOW))
+    empty = update.Tables(table(spark, ENTITIES, []), table(spark, LISTINGS, []), table(spark, FEES, []), rates)
+    broken = spark.createDataFrame([(1,)], "nothing int")
+    outcomes = []
+    tables, site = update.run_update(empty, CONFIG, incoming, reads=broken, outcomes=outcomes)
+    assert [(o.step, o.status) for o in outcomes] == [("collect", "done"), ("read", "failed")] and outcomes[1].error
+    assert tables.entities.count() == 1 and site["entities"].count() == 1
+
+
 def test_replace_origin(spark):
     old = spark.createDataFrame([(1, "homepage", 5), (1, "edas", 6), (2, "homepage", 7)], "e int, source string, v int")
     new = spark.createDataFrame([(1, "homepage", 8)], "e int, source string, v int")
