@@ -21,8 +21,8 @@ from pyspark.sql import types as T
 
 from listmill.llm.common import fresh, parts
 
-#: Distinct chunks and characters that a worker remembers before it starts anew.
-REMEMBERED, REMEMBERED_CHARS = 250_000, 16 << 20
+#: Distinct chunks and characters that a task remembers before it starts anew.
+REMEMBERED, REMEMBERED_CHARS = 150_000, 8 << 20
 
 
 def rank_of_tokens(content: bytes) -> dict[bytes, int]:
@@ -232,15 +232,15 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[tuple[int, str], Encoder] = {}
+_TABLES: dict[int, RankTable] = {}
 
 
-def encoder(content: bytes, pattern: str) -> Encoder:
-    """One encoder per worker, rank file and pattern."""
-    key = (hash(content), pattern)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(RankTable(content), pattern)
-    return _ENCODERS[key]
+def rank_table(content: bytes) -> RankTable:
+    """One table per worker and rank file; what an encoder remembers goes with its task."""
+    key = hash(content)
+    if key not in _TABLES:
+        _TABLES[key] = RankTable(content)
+    return _TABLES[key]
 
 
 def rank_file(path: str) -> bytes:
@@ -262,7 +262,7 @@ def encode(df: DataFrame, ranks: bytes, pattern: str, text_column: str = "text",
     sent = df.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(sent.value, pattern)
+        coder = Encoder(rank_table(sent.value), pattern)
         for batch in batches:
             for part in parts(batch, len(rest)):
                 texts = [t or "" for t in part.column(len(rest)).to_pylist()]

@@ -23,8 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from listmill.engine import cut
-from listmill.llm.common import fresh, parts
+from listmill.llm.common import parts
 
 SIMILARITY = 0.8
 #: Walks, samples of steps from each walk, steps in a sample. Measured on passages with up to a
@@ -310,14 +309,35 @@ def _held(texts: DataFrame, index: Index, schema: T.StructType) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+def drop_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_column: str = "text",
+    item_column: str = "item_id",
+    item_text_column: str = "text",
+    similarity: float = SIMILARITY,
+    walks: int = WALKS,
+    samples: int = SAMPLES,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
     """The rows of ``docs`` that hold no item, in its columns.
 
-    Every row is judged by its own text, so repeated and null ids need no rule. The texts travel
-    through one join at most, with the list of the texts to drop, which the planner broadcasts if small.
+    Every row is judged by its own text where it is read, so nothing is shuffled and repeated and null
+    ids need no rule; each block of the benchmark takes out rows that the next one need not see.
     """
-    key = fresh(docs, "text_digest")
-    digest = F.sha2(F.coalesce(F.col(text_column), F.lit("")), 256)
-    leaks = find_leaks(docs.select(digest.alias("digest"), F.col(text_column).alias("text")), benchmark, "digest", "text", **options)
-    held = cut(leaks.select(F.col("doc_id").alias(key)).distinct())
-    return docs.withColumn(key, digest).join(held, key, "left_anti").select(*docs.columns)
+    at = docs.columns.index(text_column)
+    for block in blocks(benchmark, item_column, item_text_column, block_bytes):
+        sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(Index(similarity, walks, samples).build(block)))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            own = pickle.loads(sent.value)
+            ids = WordIds(own)
+            for batch in batches:
+                for part in parts(batch, at):
+                    clean = np.ones(part.num_rows, bool)
+                    for match in own.matches([ids.of(text or "") for text in part.column(at).to_pylist()]):
+                        clean[match[0]] = False
+                    yield part if clean.all() else part.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listmill.engine import cut
-from listmill.llm.common import fresh
+from listmill.llm.common import fresh, parts
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -88,9 +88,10 @@ def with_features(df: DataFrame, name: str, text_column: str = "text", keep_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.array([features(t) for t in batch.column(len(rest)).to_pylist()], np.int64).reshape(-1, len(FEATURES))
-            found = pa.StructArray.from_arrays([pa.array(rows[:, i]) for i in range(len(FEATURES))], names=FEATURES)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], found], names=[*kept, name])
+            for part in parts(batch, len(rest)):
+                rows = np.array([features(t) for t in part.column(len(rest)).to_pylist()], np.int64).reshape(-1, len(FEATURES))
+                found = pa.StructArray.from_arrays([pa.array(rows[:, i]) for i in range(len(FEATURES))], names=FEATURES)
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], found], names=[*kept, name])
 
     schema = T.StructType([*(df.schema[c] for c in kept), T.StructField(name, _FEATURE_TYPE)])
     return df.select(*rest, text_column).mapInArrow(run, schema).select(*(c for c in df.columns if c in kept), name)

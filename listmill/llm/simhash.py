@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listmill.engine import cut
-from listmill.llm.common import fresh, partitions
+from listmill.llm.common import fresh, partitions, parts
 from listmill.operators.components import components
 
 WORDS, SEED, MAX_BITS = 3, 42, 3
@@ -58,8 +58,9 @@ def fingerprints(docs: DataFrame, text_column: str = "text", words: int = WORDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t, words) for t in batch.column(len(rest)).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps)], names=[*rest, "fp"])
+            for part in parts(batch, len(rest)):
+                fps = np.array([fingerprint(t, words) for t in part.column(len(rest)).to_pylist()], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(fps)], names=[*rest, "fp"])
 
     schema = T.StructType([*(docs.schema[c] for c in rest), T.StructField("fp", T.LongType())])
     return docs.select(*rest, text_column).mapInArrow(run, schema)
