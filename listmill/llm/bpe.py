@@ -248,28 +248,38 @@ def rank_file(path: str) -> bytes:
         return f.read()
 
 
-def encode(df: DataFrame, ranks: bytes, pattern: str, text_column: str = "text", ids_column: str = "ids") -> DataFrame:
+def decoded(ids: bytes | None, tokens: dict[int, bytes]) -> bytes:
+    return b"".join([tokens[i] for i in np.frombuffer(ids or b"", "<u4").tolist()])
+
+
+def encode(
+    df: DataFrame, ranks: bytes, pattern: str, text_column: str = "text", ids_column: str = "ids", decoded_column: str | None = None
+) -> DataFrame:
     """``df`` with the text column replaced by its token ids: binary, 4 little-endian bytes an id.
 
     The ids are those of the tiktoken library without special tokens: each match of ``pattern`` is
     merged by itself, a match that is a token as a whole is that token. A null text counts as empty
     and has no ids. ``ranks`` is the content of a rank file; it has as many lines as the vocabulary,
     so the broadcast does not grow with the data. If a column is already called ``ids_column``, the
-    new one gets underscores before its name.
+    new one gets underscores before its name. With ``decoded_column`` the ids are decoded again where
+    they are made, as ``decode`` would do it in a pass of its own.
     """
     rest = [c for c in df.columns if c != text_column]
     ids_column = fresh(df.select(*rest), ids_column)
+    made = [ids_column, *([fresh(df.select(*rest), decoded_column)] if decoded_column else [])]
     sent = df.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Encoder(rank_table(sent.value), pattern)
+        tokens = {rank: token for token, rank in coder.table.ranks.items()}
         for batch in batches:
             for part in parts(batch, len(rest)):
                 texts = [t or "" for t in part.column(len(rest)).to_pylist()]
-                ids = pa.array(coder.encode(texts), pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], ids], names=[*rest, ids_column])
+                ids = coder.encode(texts)
+                columns = [ids, [decoded(x, tokens) for x in ids]] if decoded_column else [ids]
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], *(pa.array(c, pa.binary()) for c in columns)], names=[*rest, *made])
 
-    schema = T.StructType([*(df.schema[c] for c in rest), T.StructField(ids_column, T.BinaryType())])
+    schema = T.StructType([*(df.schema[c] for c in rest), *(T.StructField(c, T.BinaryType()) for c in made)])
     return df.select(*rest, text_column).mapInArrow(run, schema)
 
 
@@ -284,7 +294,7 @@ def decode(df: DataFrame, ranks: bytes, ids_column: str = "ids", bytes_column: s
         tokens = {rank: token for token, rank in rank_of_tokens(sent.value).items()}
         for batch in batches:
             for part in parts(batch, at):
-                out = [b"".join([tokens[i] for i in np.frombuffer(ids or b"", "<u4").tolist()]) for ids in part.column(at).to_pylist()]
+                out = [decoded(ids, tokens) for ids in part.column(at).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], names=[*columns, bytes_column])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(bytes_column, T.BinaryType())]))

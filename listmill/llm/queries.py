@@ -34,8 +34,7 @@ def op1_training_order(spark: SparkSession, folder: str) -> DataFrame:
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """Ids of the texts and back, as digests: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     ranks = bpe.rank_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    encoded = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks).select(
+    return bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN, decoded_column="decoded").select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

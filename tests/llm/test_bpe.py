@@ -88,5 +88,7 @@ def test_nulls_extra_columns_and_empty_tables(spark, monkeypatch):
     assert coded.columns == ["doc_id", "ids", "decoded", "_ids"]
     out = bpe.decode(coded, content, "_ids")
     assert out.columns == ["doc_id", "ids", "decoded", "_ids", "_decoded"]
+    at_once = bpe.encode(docs, content, public_tokenizers.PATTERN, decoded_column="decoded")
+    assert at_once.columns == out.columns and at_once.collect() == out.collect()
     assert [(r.doc_id, r.ids, bytes(r._decoded).decode()) for r in out.collect()] == [(i, x, t or "") for i, t, x, _ in rows]
     assert bpe.decode(bpe.encode(docs.limit(0), content, public_tokenizers.PATTERN), content, "_ids").count() == 0
