@@ -7,7 +7,6 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from listmill import fixed_values as fv
 from listmill.functions.regex import ANY_CASE, bind, blank_to_null
 
 
