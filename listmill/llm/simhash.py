@@ -219,13 +219,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row of each group, in the columns of ``docs``: the one with the group's smallest id.
 
-    Of several rows with that id one stays. A row without an id stays only where no row of its group
-    has one; there one row stays. An empty table gives no rows.
+    Of several rows of the group with that id one stays; the same id in another group doesn't count
+    here. A row without an id stays only where no row of its group has one; there one row stays. An
+    empty table gives no rows. Rows are known by id and text: equal texts are in one group.
     """
     key = fresh(docs, "kept_key")
-    named = F.coalesce(F.concat(F.lit("id "), F.col(id_column).cast("string")), F.concat(F.lit("text "), F.sha1(F.coalesce(F.col(text_column), F.lit("")))))
-    keyed = docs.withColumn(key, named)
+    named = F.coalesce(F.concat(F.lit("id "), F.col(id_column).cast("string")), F.lit("none"))
+    keyed = docs.withColumn(key, F.concat(named, F.lit(" "), F.sha1(F.coalesce(F.col(text_column), F.lit("")))))
     fps = cut(fingerprints(keyed.select(F.col(id_column).alias("doc_id"), F.col(key).alias("key"), F.col(text_column).alias("text"))))
-    groups = near_groups(fps).groupBy("root").agg(F.min("component_id").cast("string").alias("id"), F.min("key").alias("key"))
-    kept = groups.select(F.coalesce(F.concat(F.lit("id "), "id"), "key").alias(key))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"]
+    kept = near_groups(fps).groupBy("root").agg(first.alias(key)).select(key)
     return keyed.join(cut(kept), key, "left_semi").dropDuplicates([key]).select(*docs.columns)

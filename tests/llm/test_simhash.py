@@ -67,6 +67,22 @@ def test_nulls_empty_and_repeated_rows(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_id_in_many_groups(spark):
+    """Each group keeps a row, also where an id stands in several groups."""
+    a, b, c = ([f"{x}{i}" for i in range(60)] for x in "abc")
+    near = next(t for i in range(60) if (t := " ".join(a[:i] + ["z"] + a[i + 1 :])) and 0 < (plain_fingerprint(t) ^ plain_fingerprint(" ".join(a))).bit_count() <= 3)
+    a, b, c = map(" ".join, (a, b, c))
+    rows = [(1, a), (1, b), (2, near), (2, c), (2, c), (None, c), (None, "no id"), (None, "No  id")]
+    rows += [(7, " ".join(f"{i}w{j}" for j in range(40))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = got(simhash.drop_near_duplicates(docs))
+    prints = {t: plain_fingerprint(t) for _, t in rows}
+    root = plain_groups(prints.values())
+    assert root[prints[a]] == root[prints[near]] and len({root[f] for f in prints.values()}) == 34
+    assert [r for r in kept if r[0] in (1, 2)] == sorted([(1, a), (1, b), (2, c)], key=str)
+    assert sum(i is None for i, _ in kept) == 1 and [r for r in kept if r[0] == 7] == sorted(rows[-30:], key=str)
+
+
 def flipped(rng, fp, n):
     for b in rng.sample(range(64), n):
         fp ^= 1 << b
