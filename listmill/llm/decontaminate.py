@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from listmill.engine import cut
 from listmill.llm.common import parts
 
 SIMILARITY = 0.8
@@ -45,6 +46,13 @@ def words_of(text: str | None) -> list[str]:
     return [w for w in (x.strip(_EDGES) for x in (text or "").lower().split()) if w]
 
 
+def _scrambled(x: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit integers with all bits mixed (the finaliser of SplitMix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def edits_allowed(n: int, similarity: float) -> int:
     return int(n * (1 - similarity) + 1e-9)
 
@@ -96,39 +104,45 @@ class Index:
         self.lengths = np.array([len(x) for x in self.items], np.int64)
         self.allowed = np.array([edits_allowed(n, self.similarity) for n in self.lengths.tolist()], np.int64)
         self._index_runs()
-        longest = int(self.lengths.max(initial=1))
         rng = np.random.default_rng(SEED)
-        self.moves = rng.integers(0, 2, (self.walks, 2 * longest, self.other + 1), np.uint8)
+        # a walk's bit is hashed from walk, step and symbol: a table of all would grow with steps times words
+        self.hashed = _scrambled(np.arange(1, self.other + 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         # the steps of a sample are set for each length, as shares of twice the length
         self.shares = rng.random((self.walks, self.samples, STEPS))
         self.mixers = rng.integers(1, 1 << 62, (self.walks, self.samples, STEPS), np.int64).astype(np.uint64) | np.uint64(1)
-        self.tables: dict[tuple[int, int, int], dict[int, list[int]]] = {}
+        # by length, walk and sample: the sorted keys and their items
+        self.tables: dict[tuple[int, int, int], tuple[np.ndarray, np.ndarray]] = {}
         for n in np.unique(self.lengths).tolist():
             which = np.flatnonzero(self.lengths == n)
             stacked = np.stack([self.items[i] for i in which])
             starts = np.arange(len(which)) * n
             for walk, sample, keys in self.keys(stacked.ravel(), starts, starts + n, n):
-                table = self.tables.setdefault((n, walk, sample), {})
-                for i, key in zip(which.tolist(), keys.tolist()):
-                    table.setdefault(key, []).append(i)
+                order = np.argsort(keys, kind="stable")
+                self.tables[n, walk, sample] = keys[order], which[order].astype(np.int32)
         return self
 
+    def _step_keys(self, walk: int, steps: int) -> tuple[list[np.uint64], list[np.uint64]]:
+        """What is added to a symbol's hash at each step of a walk, and the odd number it is multiplied by."""
+        base = np.arange(2 * steps, dtype=np.uint64) + np.uint64((SEED << 36) + (walk << 30 << 1))
+        mixed = _scrambled(base * np.uint64(0x9E3779B97F4A7C15))
+        return list(mixed[::2]), list(mixed[1::2] | np.uint64(1))
+
     def _index_runs(self) -> None:
-        base = self.other + 2
-        found: dict[int, list[tuple[int, int, int]]] = {}
+        base = np.uint64(self.other + 2)
+        found: dict[int, list[tuple[np.ndarray, int]]] = {}
         for i, words in enumerate(self.items):
             size = run_length(len(words), int(self.allowed[i]))
-            for at in range(len(words) - size + 1):
-                key = 0
-                for w in words[at : at + size].tolist():
-                    key = key * base + w + 1
-                found.setdefault(size, []).append((key, i, at))
+            key = np.zeros(len(words) - size + 1, np.uint64)
+            for at in range(size):
+                key = key * base + (words[at : at + len(key)] + 1).astype(np.uint64)
+            found.setdefault(size, []).append((key, i))
         self.runs = {}
         for size, rows in found.items():
             # keys of four words may pass 64 bits: they are reduced, and what collides is found out by the checks
-            keys = np.array([r[0] % (1 << 64) for r in rows], np.uint64)
+            keys = np.concatenate([k for k, _ in rows])
             order = np.argsort(keys, kind="stable")
-            self.runs[size] = (keys[order], np.array([r[1] for r in rows])[order], np.array([r[2] for r in rows])[order])
+            items = np.repeat(np.array([i for _, i in rows]), [len(k) for k, _ in rows])
+            self.runs[size] = (keys[order], items[order], np.concatenate([np.arange(len(k)) for k, _ in rows])[order])
 
     def keys(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int) -> Iterator[tuple[int, int, np.ndarray]]:
         """For each walk and sample the keys of the windows of ``n`` words at ``starts``, cut at ``ends``."""
@@ -136,16 +150,19 @@ class Index:
         room = np.minimum(n, ends - starts)
         for walk in range(self.walks):
             steps = (self.shares[walk] * 2 * n).astype(np.int64)
+            sampled = set(steps.ravel().tolist())
+            added, times = self._step_keys(walk, int(steps.max()) + 1)
             keys = np.zeros((self.samples, len(starts)), np.uint64)
             pointer = np.zeros(len(starts), np.int64)
             for step in range(int(steps.max()) + 1):
                 at = starts + pointer
                 symbol = text[np.minimum(at, size - 1)]
                 symbol = np.where(pointer < room, symbol, self.other + 1)
-                for sample, position in zip(*np.nonzero(steps == step)):
+                for sample, position in zip(*np.nonzero(steps == step)) if step in sampled else ():
                     mixed = (symbol + 1).astype(np.uint64) * self.mixers[walk, sample, position]
                     keys[sample] += mixed ^ (mixed >> np.uint64(29))
-                pointer += self.moves[walk, step, np.minimum(symbol, self.other)]
+                bits = (self.hashed[np.minimum(symbol, self.other)] + added[step]) * times[step] >> np.uint64(63)
+                pointer += bits.view(np.int64)
             for sample in range(self.samples):
                 yield walk, sample, keys[sample]
 
@@ -174,16 +191,27 @@ class Index:
                 yield items[rows], np.repeat(at, counts), offsets[rows]
 
     def windows(self, flat: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> dict[int, np.ndarray]:
-        """Starts of windows by item length: around each hit as far as the edits can shift it."""
+        """Starts of windows by item length: around each hit as far as the edits can shift it.
+
+        A text with fewer words than an item keeps after its edits cannot hold it and gets no window.
+        """
         found: dict[int, list[np.ndarray]] = {}
         for items, at, offsets in self.run_hits(flat):
-            lengths = self.lengths[items]
             texts = np.searchsorted(begins, at, "right") - 1
+            fits = (ends - begins)[texts] >= (self.lengths - self.allowed)[items]
+            items, at, offsets, texts = items[fits], at[fits], offsets[fits], texts[fits]
+            lengths = self.lengths[items]
             for n in np.unique(lengths).tolist():
                 k, of_n = edits_allowed(n, self.similarity), lengths == n
-                around = (at - offsets)[of_n][:, None] + np.arange(-k, k + 1)
-                within = texts[of_n][:, None]
-                found.setdefault(n, []).append(np.unique(np.clip(around, begins[within], ends[within] - 1)))
+                around, within = (at - offsets)[of_n], texts[of_n]
+                lows, highs = (np.clip(around + x, begins[within], ends[within] - 1) for x in (-k, k))
+                order = np.lexsort((highs, lows))
+                lows, highs = lows[order], highs[order]
+                # stretches that overlap are merged before their places are listed
+                new = np.append(True, lows[1:] > highs[:-1])
+                sizes = highs[np.append(new[1:], True)] + 1 - lows[new]
+                places = np.arange(sizes.sum()) + np.repeat(lows[new] - (np.cumsum(sizes) - sizes), sizes)
+                found.setdefault(n, []).append(places)
         return {n: np.unique(np.concatenate(x)) for n, x in found.items()}
 
     def matches(self, texts: list[np.ndarray]) -> Iterator[tuple[int, object, int, int, int]]:
@@ -203,9 +231,12 @@ class Index:
                 part = starts[a : a + WINDOWS]
                 within = np.searchsorted(begins, part, "right") - 1
                 for walk, sample, keys in self.keys(flat, part, ends[within], n):
-                    table = self.tables[n, walk, sample]
-                    for text, start, key in zip(within.tolist(), part.tolist(), keys.tolist()):
-                        for item in table.get(key, ()):
+                    known, items = self.tables[n, walk, sample]
+                    low = np.searchsorted(known, keys)
+                    hit = np.flatnonzero(known[np.minimum(low, len(known) - 1)] == keys)
+                    high = np.searchsorted(known, keys[hit], "right")
+                    for text, start, first, last in zip(within[hit].tolist(), part[hit].tolist(), low[hit].tolist(), high.tolist()):
+                        for item in items[first:last].tolist():
                             found.setdefault((text, item), set()).add(start - int(begins[text]))
         for (text, item), starts in sorted(found.items()):
             n, k = int(self.lengths[item]), int(self.allowed[item])
@@ -248,13 +279,29 @@ class WordIds(dict):
 
 
 def blocks(benchmark: DataFrame, item_column: str, text_column: str, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[object, str | None]]]:
-    """The items in blocks of about ``block_bytes`` of text, as the driver can hold and send them."""
-    items = benchmark.select(F.col(item_column).alias("item_id"), F.col(text_column).alias("text")).where("text is not null")
-    total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    count = -(-total // block_bytes)
-    for i in range(count):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == i)
-        yield sorted({(r["item_id"], r["text"]) for r in part.collect()}, key=repr)
+    """The items in blocks of up to ``block_bytes`` of text, as the driver can hold and send them.
+
+    Equal rows are one before anything is sized or collected. Items of more than an eighth of a block
+    are placed one by one and the others in groups by hash; an item longer than a block is a block.
+    """
+    size, hashed = F.octet_length("text") + F.lit(64), F.xxhash64("item_id", "text")
+    items = benchmark.select(F.col(item_column).alias("item_id"), F.col(text_column).alias("text")).where("text is not null").distinct()
+    items = cut(items.withColumn("size", size.cast("bigint")).withColumn("hashed", hashed))
+    total = items.agg(F.sum("size")).first()[0] or 0
+    groups, long = 64 * -(-total // block_bytes), F.col("size") > block_bytes // 8
+    if not groups:
+        return
+    items = items.withColumn("long", long).withColumn("unit", F.when(long, F.col("hashed")).otherwise(F.pmod("hashed", F.lit(groups))))
+    units = sorted(map(tuple, items.groupBy("long", "unit").agg(F.sum("size")).collect()))
+    filled, taken = 0, []
+    for at, (is_long, unit, n) in enumerate(units):
+        filled, taken = filled + n, [*taken, (is_long, unit)]
+        if at + 1 == len(units) or filled + units[at + 1][2] > block_bytes:
+            inside = F.lit(False)
+            for kind in {x for x, _ in taken}:
+                inside |= (F.col("long") == kind) & F.col("unit").isin([u for x, u in taken if x == kind])
+            yield sorted(((r["item_id"], r["text"]) for r in items.where(inside).select("item_id", "text").collect()), key=repr)
+            filled, taken = 0, []
 
 
 def find_leaks(
@@ -276,7 +323,7 @@ def find_leaks(
     such stretch ends, counted over the normalised words. Null or empty texts hold nothing, items
     without words are never held, repeated documents give a row each, equal items too.
     The benchmark is the query set: its blocks are sent to all tasks one after the other, each
-    bounded by ``block_bytes``, however large it is. Documents are not shuffled.
+    bounded by ``block_bytes`` or one longer item. Documents are not shuffled.
     """
     item_type = benchmark.schema[item_column].dataType
     schema = T.StructType(

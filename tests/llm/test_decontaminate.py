@@ -1,5 +1,6 @@
 """Leaks against a plain edit-distance search, and recall on edited passages."""
 
+import pickle
 import random
 
 import numpy as np
@@ -100,3 +101,27 @@ def test_nulls_short_items_and_extra_columns(spark):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 6]
     assert dec.find_leaks(df.limit(0), benchmark).count() == 0
     assert dec.find_leaks(df, benchmark.limit(0)).count() == 0 and dec.drop_leaks(df, benchmark.limit(0)).count() == len(docs)
+
+
+def test_a_long_item_is_sent_in_few_bytes():
+    """Nothing that is sent grows with steps times words; texts too short for an item get no windows."""
+    words = [f"w{i}" for i in range(3000)]
+    index = dec.Index(0.8, dec.WALKS, dec.SAMPLES).build([(1, " ".join(words)), (2, "w1 w2 w3 other words")])
+    assert len(pickle.dumps(index)) < 1 << 20
+    texts = ["x y " + " ".join(words[:1500] + ["new"] + words[1502:]) + " z", " ".join(words[:2300])]
+    ids = dec.WordIds(index)
+    assert [m[:4] for m in index.matches([ids.of(t) for t in texts])] == [(0, 1, 2, 3000)]
+    short = [ids.of(" ".join(words[:2399]))]
+    assert 3000 not in index.windows(np.append(short[0], index.other), np.array([0]), np.array([2399]))
+
+
+def test_blocks_are_bounded_and_hold_each_item_once(spark):
+    rng = random.Random(4)
+    items = [(i, f"item {i} " + "w " * rng.randint(1, 400)) for i in range(300)] + [(1000, "long " * 2000), (1001, "longer " * 2000)]
+    copies = [(2000, "the same row " * 20)] * 200
+    benchmark = spark.createDataFrame(items + copies + [(5, None)], "item_id long, text string").repartition(4)
+    found = list(dec.blocks(benchmark, "item_id", "text", 4000))
+    assert sorted(x for block in found for x in block) == sorted(items + copies[:1])
+    sizes = [sum(len(t) + 64 for _, t in block) for block in found]
+    assert all(n <= 4000 or len(block) == 1 for n, block in zip(sizes, found))
+    assert sum(n > 4000 for n in sizes) == 2
