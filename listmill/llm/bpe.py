@@ -253,9 +253,9 @@ def decoded(ids: bytes | None, tokens: dict[int, bytes]) -> bytes:
 
 
 def encode(
-    df: DataFrame, ranks: bytes, pattern: str, text_column: str = "text", ids_column: str = "ids", decoded_column: str | None = None
+    df: DataFrame, ranks: bytes, pattern: str, text_column: str = "text", ids_column: str = "ids", decoded_column: str | None = None, width: int = 4
 ) -> DataFrame:
-    """``df`` with the text column replaced by its token ids: binary, 4 little-endian bytes an id.
+    """``df`` with the text column replaced by its token ids: binary, ``width`` (2 or 4) little-endian bytes an id.
 
     The ids are those of the tiktoken library without special tokens: each match of ``pattern`` is
     merged by itself, a match that is a token as a whole is that token. A null text counts as empty
@@ -264,6 +264,8 @@ def encode(
     new one gets underscores before its name. With ``decoded_column`` the ids are decoded again where
     they are made, as ``decode`` would do it in a pass of its own.
     """
+    if width not in (2, 4) or max(rank_of_tokens(ranks).values(), default=0) >= 1 << 8 * width:
+        raise ValueError(f"ids do not fit into {width} bytes")
     rest = [c for c in df.columns if c != text_column]
     ids_column = fresh(df.select(*rest), ids_column)
     made = [ids_column, *([fresh(df.select(*rest), decoded_column)] if decoded_column else [])]
@@ -277,6 +279,8 @@ def encode(
                 texts = [t or "" for t in part.column(len(rest)).to_pylist()]
                 ids = coder.encode(texts)
                 columns = [ids, [decoded(x, tokens) for x in ids]] if decoded_column else [ids]
+                if width == 2:
+                    columns[0] = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], *(pa.array(c, pa.binary()) for c in columns)], names=[*rest, *made])
 
     schema = T.StructType([*(df.schema[c] for c in rest), *(T.StructField(c, T.BinaryType()) for c in made)])

@@ -31,6 +31,13 @@ def op1_training_order(spark: SparkSession, folder: str) -> DataFrame:
     return training_order.byte_order(load(spark, folder, "documents"), ORDER_KEY)
 
 
+def op1_token_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The training order of the documents' BPE ids. Not in QUERIES, where each operator has one query;
+    __spark_entry__ registers it before op1_training_order, whose ids are bytes."""
+    ranks = bpe.rank_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return training_order.token_order(load(spark, folder, "documents"), ORDER_KEY, ranks, public_tokenizers.PATTERN)
+
+
 def bpe_digests(docs: DataFrame) -> DataFrame:
     """Ids of the texts and back, as digests: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     ranks = bpe.rank_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listmill.engine import cut
+from listmill.llm import bpe
 from listmill.llm.files import new_folder, opened
 
 SEQUENCE_TOKENS = 2048
@@ -266,6 +267,19 @@ def read_shards(manifest: DataFrame, layout: Layout, first_slot: int = 0, with_d
     return wanted.repartition(max(1, min(layout.shards, 100_000)), "shard").sortWithinPartitions("shard").mapInArrow(run, schema)
 
 
+def token_order(docs: DataFrame, key: int, ranks: bytes, pattern: str, text_column: str = "text", length: int = SEQUENCE_TOKENS) -> DataFrame:
+    """The training order of texts as BPE token ids of 2 bytes (the end mark 0xFFFF behind each text).
+
+    The ids are computed once and stored below the shared folder, as two passes read them; shards
+    are written there too and read back; a row per slot.
+    """
+    if max(bpe.rank_of_tokens(ranks).values(), default=0) >= 0xFFFF:
+        raise ValueError("an id is the end mark or above it")
+    ids = cut(bpe.encode(docs.select(text_column), ranks, pattern, text_column, width=2))
+    manifest, layout = materialise(ids, new_folder(docs.sparkSession, "order"), key, length=length)
+    return read_shards(manifest, layout, with_data=False)
+
+
 def byte_order(docs: DataFrame, key: int, text_column: str = "text", length: int = SEQUENCE_TOKENS) -> DataFrame:
     """The training order of texts as byte-level tokens (a byte an id, 255, which no UTF-8 text has,
     behind each text): shards are written below the shared folder and read back; a row per slot."""

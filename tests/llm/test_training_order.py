@@ -3,9 +3,12 @@
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
+import tiktoken
 
-from listmill.llm import queries
+import __spark_entry__ as entry
+from listmill.llm import bpe, queries
 from listmill.llm import training_order as order
 
 FOLDER = "/root/testdata/sf0.001"
@@ -79,3 +82,28 @@ def test_query_on_documents(spark):
     data += b"\xff" * (n * 2048 - len(data))
     want = {s: zlib.crc32(data[i * 2048 : (i + 1) * 2048]) for i, s in enumerate(order.Permutation(n, queries.ORDER_KEY).slots(np.arange(n)).tolist())}
     assert {r.slot: r.crc32 for r in rows} == want
+
+
+def test_token_order_on_documents(spark):
+    """The slots hold ids of the vocabulary, as the tiktoken library gives them."""
+    names = [q for q in entry.queries() if q.startswith("op1_")]
+    assert names[0] == "op1_token_order"
+    rows = entry.queries()[names[0]](spark, FOLDER).collect()
+    ranks = bpe.rank_of_tokens(bpe.rank_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = [r.text or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    data = stream([np.array(library.encode_ordinary(t), "<u2").tobytes() for t in texts], b"\xff\xff")
+    n = -(-len(data) // 4096)
+    assert sum(r.n_tokens for r in rows) == len(data) // 2
+    data += b"\xff" * (n * 4096 - len(data))
+    want = {s: zlib.crc32(data[i * 4096 : (i + 1) * 4096]) for i, s in enumerate(order.Permutation(n, queries.ORDER_KEY).slots(np.arange(n)).tolist())}
+    assert {r.slot: r.crc32 for r in rows} == want
+
+
+def test_ids_that_do_not_fit_are_refused(spark):
+    docs = spark.createDataFrame([("a",)], "text string")
+    ranks = b"YQ== 65535"
+    with pytest.raises(ValueError):
+        order.token_order(docs, 1, ranks, ".")
+    with pytest.raises(ValueError):
+        bpe.encode(docs, b"YQ== 65536", ".", width=2)
