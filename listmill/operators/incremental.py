@@ -52,6 +52,46 @@ def upsert(
     )
 
 
+def upsert_late(existing: DataFrame, incoming: DataFrame, keys: list[str], seen: str = "seen_at") -> DataFrame:
+    """``upsert`` for sightings that may arrive in any order: an older one fills what is empty but
+    replaces no later value, and first_seen_at is the earliest sighting.
+
+    The result also has ``given_at``, for each field the time of the sighting that gave its value; for
+    a row of ``existing`` that lacks it, last_seen_at counts.
+    """
+    types = dict(incoming.dtypes)
+    fields = [c for c in incoming.columns if c not in {*keys, seen}]
+    at = {c: F.when(given(F.col(c), types[c]).isNotNull(), F.col(seen)) for c in fields}
+    news = incoming.groupBy(*keys).agg(
+        *[F.max_by(F.col(c), at[c]).alias(c) for c in fields],
+        F.struct(*[F.max(at[c]).alias(c) for c in fields]).alias("_at"),
+        F.min(seen).alias("_first"),
+        F.max(seen).alias("_last"),
+    )
+    since = {c: F.when(given(F.col(c), types[c]).isNotNull(), F.col("last_seen_at")) for c in fields}
+    if "given_at" in existing.columns:
+        since = {c: F.coalesce(F.col("given_at")[c], since[c]) for c in fields}
+    old = existing.select(
+        *keys,
+        *[F.col(c).alias(f"_old_{c}") for c in fields],
+        F.struct(*[since[c].alias(c) for c in fields]).alias("_old_at"),
+        F.col("first_seen_at").alias("_old_first"),
+        F.col("last_seen_at").alias("_old_last"),
+    )
+
+    def value(c: str) -> Column:
+        late = F.coalesce(F.col("_at")[c] < F.col("_old_at")[c], F.lit(False))
+        return F.coalesce(F.when(~late, given(F.col(c), types[c])), F.col(f"_old_{c}"), F.col(c))
+
+    return old.join(news, keys, "full_outer").select(
+        *keys,
+        *[value(c).alias(c) for c in fields],
+        F.least("_old_first", "_first").alias("first_seen_at"),
+        F.greatest("_old_last", "_last").alias("last_seen_at"),
+        F.struct(*[F.greatest(F.col("_old_at")[c], F.col("_at")[c]).alias(c) for c in fields]).alias("given_at"),
+    )
+
+
 def sync_actions(target: DataFrame, wanted: DataFrame, key: str = "id") -> DataFrame:
     """(key, action, row): insert, update, delete or keep, so that ``target`` comes to hold
     exactly ``wanted``. A second run gives only keeps."""

@@ -5,23 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listmill.operators.incremental import upsert
+from listmill.operators.incremental import upsert_late
 from listmill.sinks import versions
 
 
-def once_each(stream: DataFrame, keys: list[str], seen: str = "seen_at", delay: str = "2 days") -> DataFrame:
-    """A stream of sightings without exact repeats, which are forgotten ``delay`` behind the newest one."""
-    return stream.withWatermark(seen, delay).dropDuplicatesWithinWatermark([*keys, seen])
-
-
-def listing_stream(spark: SparkSession, path: str, schema: str, seen: str = "seen_at", delay: str = "2 days") -> DataFrame:
-    """New files under ``path`` as a stream of sightings."""
-    return once_each(spark.readStream.schema(schema).parquet(path), ["source", "source_id"], seen, delay)
+def listing_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """New files under ``path`` as a stream of sightings, also late and repeated ones: the upsert takes them."""
+    return spark.readStream.schema(schema).parquet(path)
 
 
 def fold_into(spark: SparkSession, root: str, keys: list[str], seen: str):
     """A batch handler that upserts into a versioned table: the key-hash buckets that the batch meets
-    are read, folded and written as a new version. A batch that is delivered again changes nothing."""
+    are read, folded and written as a new version. A batch that is delivered again changes nothing,
+    and files may come in any order."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -38,7 +34,7 @@ def fold_into(spark: SparkSession, root: str, keys: list[str], seen: str):
             )
         else:
             old = versions.read(session, root, touched)
-        versions.replace_buckets(upsert(old, batch, keys, seen), root, keys, touched, before)
+        versions.replace_buckets(upsert_late(old, batch, keys, seen), root, keys, touched, before)
 
     return handle
 

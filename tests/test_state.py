@@ -246,6 +246,24 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sum(counts.values()) == 40 and counts["updated"] == sum(r[0] == "a" for r in rows)
 
 
+def test_old_files_and_sightings_of_one_time_reach_the_table(spark, tmp_path):
+    """Runs that get an older file later end with the same table as one batch of all."""
+    keys, t = ["source", "source_id"], T(2026, 3, 20)
+    runs = [
+        [("a", "1", "new", None, t), ("a", "1", None, ["x"], t), ("a", "2", None, [], t), ("a", "4", "n", [], t)],
+        [("a", "1", "old", ["old"], T(2026, 1, 1)), ("a", "2", "fills", None, T(2026, 1, 2)), ("a", "3", "late", [], T(2026, 1, 3))],
+        [("a", "2", "between", None, T(2026, 2, 1)), ("a", "4", None, ["y"], T(2026, 2, 1)), ("a", "2", "before", ["z"], T(2026, 1, 1))],
+    ]
+    for rows in runs:
+        spark.createDataFrame(rows, SIGHT).coalesce(1).write.parquet(str(tmp_path / "in"), mode="append")
+        ingest.run_available(ingest.listing_stream(spark, str(tmp_path / "in"), SIGHT), str(tmp_path / "out"), str(tmp_path / "cp"), keys)
+    got = files.read_current(spark, str(tmp_path / "out")).drop("given_at").collect()
+    assert sorted(map(tuple, got)) == [
+        ("a", "1", "new", ["x"], T(2026, 1, 1), t), ("a", "2", "between", ["z"], T(2026, 1, 1), t),
+        ("a", "3", "late", None, T(2026, 1, 3), T(2026, 1, 3)), ("a", "4", "n", ["y"], T(2026, 2, 1), t),
+    ]
+
+
 def test_addresses_that_share_their_beginning_make_no_pairs(spark):
     """Every text holds one of 3,000 addresses of the same local part: as many hits as texts."""
     n = 3000
