@@ -21,6 +21,8 @@ from listmill.llm.common import fold_of, fresh, parts
 #: The sample: documents per language at most, and in all; windows of a document, characters of a window.
 DOCS_PER_LANGUAGE, DOCS_IN_ALL = 400, 4000
 WINDOWS_PER_DOC, WINDOW_CHARS = 6, 64
+#: Texts of a language that are drawn beyond what its share asks, as few are wanted of many languages.
+SPARE = 20
 #: Hidden units of a direction, training steps, windows of a step, learning rate.
 HIDDEN, STEPS, BATCH, RATE = 8, 300, 384, 0.02
 #: Bytes of a window when texts are labelled, and windows that go through the network together.
@@ -198,17 +200,18 @@ def sample_windows(docs: DataFrame, text_column: str, language_column: str) -> l
     """(language, window) pairs of a bounded sample of distinct labelled texts.
 
     Texts are drawn by a hash of the text alone, in equal number for each language; the driver gets
-    WINDOWS_PER_DOC short pieces from anywhere in each text, never the text.
+    WINDOWS_PER_DOC short pieces from anywhere in each text, never the text. The share that is drawn
+    goes by the distinct texts with a letter, so copies take no text's place.
     """
     language, text = F.col(language_column), F.col(text_column)
     labelled = docs.where(language.isNotNull() & text.rlike(r"\p{L}"))
-    sizes = docs.where(language.isNotNull()).groupBy(language.alias("l")).agg(F.count("*").alias("n"))
+    draw = F.xxhash64(text)
+    sizes = labelled.groupBy(language.alias("l")).agg(F.approx_count_distinct(draw).alias("n"))
     counts = {r["l"]: r["n"] for r in sizes.orderBy(F.desc("n"), "l").limit(DOCS_IN_ALL).collect()}
     if not counts:
         return []
     wanted = max(1, min(DOCS_PER_LANGUAGE, DOCS_IN_ALL // len(counts)))
-    share = F.coalesce(*(F.when(language == k, F.lit(min(1.0, 1.5 * wanted / n))) for k, n in sorted(counts.items())), F.lit(0.0))
-    draw = F.xxhash64(text)
+    share = F.coalesce(*(F.when(language == k, F.lit(min(1.0, (1.5 * wanted + SPARE) / n))) for k, n in sorted(counts.items())), F.lit(0.0))
     piece = F.transform(
         F.sequence(F.lit(0), F.lit(WINDOWS_PER_DOC - 1)),
         lambda i: F.substring(text, (F.pmod(F.xxhash64(draw, i), F.greatest(F.length(text) - WINDOW_CHARS, F.lit(1))) + 1).cast("int"), F.lit(WINDOW_CHARS)),

@@ -40,6 +40,17 @@ def test_pooling_covers_every_byte():
     assert np.allclose(pooled, alone, atol=1e-5)
 
 
+def test_copies_take_no_place_in_the_sample(spark):
+    """All of 50 distinct texts among 20,000 rows, and as many as are wanted of 1,000."""
+    docs = spark.range(60_000).selectExpr(
+        "case when id < 20000 then 'X' else 'Y' end lang",
+        "case when id < 20000 then concat('few ', id % 50) when id < 50000 then concat('many ', id % 1000) when id % 2 = 0 then '12' end text",
+    )
+    pairs = lid.sample_windows(docs, "text", "lang")
+    assert {w for language, w in pairs if language == "X"} == {f"few {i}" for i in range(50)}
+    assert sum(language == "Y" for language, _ in pairs) == lid.DOCS_PER_LANGUAGE
+
+
 def test_held_out_accuracy(spark):
     rows = queries.op7_gru_language(spark, "/root/testdata/sf0.01").collect()
     lang = {r.doc_id: r.lang for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
