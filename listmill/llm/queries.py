@@ -165,7 +165,7 @@ def _secrets_sql() -> str:
     kinds = [
         ("assign", before + value, f"length(regexp_extract(match, '{before}({value})', 2)) >= {secret_scan.LEAST_VALUE}"),
         ("access", "AKIA[A-Z0-9]+", f"length(match) >= {secret_scan.LEAST_ACCESS}"),
-        ("hex", "[0-9a-f]+", f"length(match) >= {secret_scan.LEAST_HEX}"),
+        ("hex", f"[0-9a-f]{{{secret_scan.LEAST_HEX},}}", "true"),
         ("github", "gh[pousr]_[0-9A-Za-z]+", f"length(match) = 40 and match[35:] = {base62}"),
         ("npm", "npm_[0-9A-Za-z]+", f"length(match) = 40 and match[35:] = {base62}"),
         ("age", "AGE-SECRET-KEY-1[A-Z0-9]+", age),
