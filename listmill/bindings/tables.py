@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from listmill.config import EngineConfig
 from listmill.engine import load
+from listmill.fixed_values import FEE_WORDS, NOT_A_FEE, PRICE
 
 CONFIG = EngineConfig(window_start=dt.date(1997, 1, 1), window_end=dt.date(1997, 12, 31))
 RATES = {"USD": 1.0, "EUR": 0.83, "GBP": 0.77, "PHP": 56.31}
@@ -67,3 +68,35 @@ def fees(spark: SparkSession, d: str) -> DataFrame:
         "l_quantity",
     )
 
+
+
+def table(spark: SparkSession, schema: str, rows: DataFrame) -> DataFrame:
+    """``rows`` in the columns of a stored table; columns they lack are null."""
+    return spark.createDataFrame([], schema).unionByName(rows, allowMissingColumns=True)
+
+
+def sql_mentions(source: str) -> str:
+    """CTEs that end in ``mentions`` (id, i, snippet): the missed prices of ``source`` (id, t), in order."""
+    price, words, other = (f"(?i){p}".replace("'", "''") for p in (PRICE, FEE_WORDS, NOT_A_FEE))
+    before = lambda a, n: f"coalesce(list_sum(list_transform({a}[1:{n}], lambda x: length(x))), 0)"
+    return f"""
+priced as (
+    select id, replace(t, chr(160), ' ') as t, regexp_extract_all(replace(t, chr(160), ' '), '{price}') as hits,
+        string_split_regex(replace(t, chr(160), ' '), '{price}') as gaps
+    from {source} where regexp_matches(replace(t, chr(160), ' '), '{price}')),
+places as (
+    select id, t, i, ({before("gaps", "i")} + {before("hits", "i - 1")})::bigint as a, length(hits[i]) as n
+    from (select *, unnest(range(1, len(hits) + 1)) as i from priced)),
+price_lines as (
+    select *, regexp_extract(substr(t, 1, a), '[^\\n]*$') || substr(t, a + 1, n) || regexp_extract(substr(t, a + n + 1), '^[^\\n]*') as line
+    from places),
+fee_places as (
+    select id, t, i, greatest(a - 70, 0) as lo, least(a + n + 70, length(t)) as hi from price_lines
+    where not regexp_matches(line, '{other}') and (regexp_matches(line, '{words}')
+        or regexp_matches(substr(t, greatest(a - 160, 0) + 1, a + n + 60 - greatest(a - 160, 0)), '{words}'))),
+apart as (
+    select * from fee_places
+    qualify lo is distinct from lag(lo) over (partition by id order by i) and hi is distinct from lag(hi) over (partition by id order by i)),
+mentions as (
+    select id, min(i) as i, snippet
+    from (select id, i, trim(regexp_replace(substr(t, lo + 1, hi - lo), '\\s+', ' ', 'g')) as snippet from apart) group by id, snippet)"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from listmill import fixed_values as fv
 from listmill.bindings.registry import query
-from listmill.bindings.tables import CONFIG, LINE_ORDER, SQL_LINE_ORDER, case, orders
+from listmill.bindings.tables import CONFIG, LINE_ORDER, SQL_LINE_ORDER, case, orders, sql_mentions
 from listmill.engine import cut, load
 from listmill.functions import checks, dates, names, places, urls
 from listmill.functions.attendance import decide
@@ -356,11 +356,14 @@ def attendance_mode(spark, d):
     return docs.select(F.col("doc_id").alias("id"), decide(F.concat(said, "text"), F.lit(None).cast("string"), formats)["mode"].alias("mode"))
 
 
-@query()
+@query(f"""
+with {sql_mentions("(select doc_id as id, text as t from documents)")},
+counted as (select id, count(*) as n, string_agg(snippet, '|' order by i) as said from mentions group by id)
+select doc_id as id, coalesce(n, 0)::int as mentions, sha256(coalesce(said, '')) as said from documents left join counted on id = doc_id""")
 def missed_prices(spark, d):
     """Prices next to fee words in whole texts."""
-    docs = load(spark, d, "documents", "doc_id", "text")
-    return docs.select(F.col("doc_id").alias("id"), F.size(checks.fee_mentions(F.col("text"))).alias("mentions"))
+    docs = load(spark, d, "documents", "doc_id", "text").withColumn("found", checks.fee_mentions(F.col("text")))
+    return docs.select(F.col("doc_id").alias("id"), F.size("found").alias("mentions"), F.sha2(F.array_join("found", "|"), 256).alias("said"))
 
 
 # ---------------------------------------------------------------- privacy

@@ -1,48 +1,23 @@
-"""Is an amount really in the text it was read from, and can it be a fee?"""
+"""Can an amount be a fee, is it really in the text it was read from, and which prices were missed?"""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from listmill import fixed_values as fv
-from listmill.functions.money import literal_map, rough_usd
-from listmill.functions.regex import ANY_CASE, bind, squash, windows
+from listmill.functions.money import rough_usd
+from listmill.functions.regex import ANY_CASE, squash
 
 _RADIUS = 70
 _MARK_RADIUS = 30
 _DATE_RADIUS = 12
 
 
-def plain_blanks(text: Column) -> Column:
-    return F.replace(text, F.lit("\u00a0"), F.lit(" "))
-
-
-def _grouped(digits: Column) -> Column:
-    return F.regexp_replace(digits, r"(?<=\d)(?=(?:\d{3})+$)", fv.THOUSANDS_GAP)
-
-
-def amount_pattern(amount: Column) -> Column:
-    """A pattern column for every usual way of writing ``amount``, whole numbers with or
-    without zero cents, others with their exact cents; never part of a longer number."""
-    nearest = F.bround(amount)
-    whole = F.abs(amount - nearest) < 1e-9
-    whole_pattern = F.concat(
-        F.lit(r"(?<![\d.,])(?<!\d\n)"),
-        _grouped(F.format_string("%.0f", nearest)),
-        F.lit(r"(?:[.,]0{1,2}|,-)?(?!\d|[.,]\d|\n\d)"),
-    )
-    cents = F.format_string("%.2f", amount)
-    cents_pattern = F.concat(
-        F.lit(r"(?<![\d.,])"),
-        _grouped(F.split_part(cents, F.lit("."), F.lit(1))),
-        F.lit("[.,]"),
-        F.split_part(cents, F.lit("."), F.lit(2)),
-        F.lit(r"(?!\d)"),
-    )
-    return F.when(whole, whole_pattern).otherwise(cents_pattern)
-
-
 def _marks(currency: Column) -> Column:
     table = F.create_map(
         *[
@@ -54,23 +29,8 @@ def _marks(currency: Column) -> Column:
     return F.coalesce(F.try_element_at(table, currency), F.array(F.lower(currency)))
 
 
-def check_fee(amount: Column, currency: Column, text: Column) -> Column:
-    """struct<status, note, evidence> of one amount against the text it came from."""
-    usd = rough_usd(amount, currency)
-    inspect = lambda hits: _judged(amount, currency, hits)
-    return (
-        F.when(amount <= 0, _result("implausible", F.lit(fv.NOTE_ZERO)))
-        .when(
-            F.coalesce(currency, F.lit("")) == "",
-            _result("implausible", F.lit(fv.NOTE_NO_CURRENCY)),
-        )
-        .when(usd < fv.MIN_USD, _result("implausible", _about(usd, 2, "low")))
-        .when(usd > fv.MAX_USD, _result("implausible", _about(usd, 0, "high")))
-        .otherwise(bind(windows(text, amount_pattern(amount), _RADIUS, _RADIUS), inspect))
-    )
-
-
-def _result(status: str, note: Column, evidence: Column | None = None) -> Column:
+def result(status: str, note: Column, evidence: Column | None = None) -> Column:
+    """struct<status, note, evidence>."""
     nothing = F.lit(None).cast("string")
     return F.struct(
         F.lit(status).alias("status"),
@@ -79,6 +39,17 @@ def _result(status: str, note: Column, evidence: Column | None = None) -> Column
     )
 
 
+def implausible(amount: Column, currency: Column) -> Column:
+    """The verdict on an amount that no text could save; null where the text decides."""
+    usd = rough_usd(amount, currency)
+    return (
+        F.when(amount <= 0, result("implausible", F.lit(fv.NOTE_ZERO)))
+        .when(F.coalesce(currency, F.lit("")) == "", result("implausible", F.lit(fv.NOTE_NO_CURRENCY)))
+        .when(usd < fv.MIN_USD, result("implausible", _about(usd, 2, "low")))
+        .when(usd > fv.MAX_USD, result("implausible", _about(usd, 0, "high")))
+    )
+
+
 def _about(usd: Column, decimals: int, side: str) -> Column:
     return F.concat(
         F.lit("about US$"),
@@ -87,86 +58,80 @@ def _about(usd: Column, decimals: int, side: str) -> Column:
     )
 
 
-def _judged(amount: Column, currency: Column, hits: Column) -> Column:
-    """The verdict from the places where the amount occurs."""
-    around = lambda h, r: F.concat(
-        F.right(h["left"], F.lit(r)), h["hit"], F.left(h["right"], F.lit(r))
-    )
-    marks = _marks(currency)
-    near = F.filter(
-        hits,
-        lambda h: F.exists(marks, lambda m: F.lower(around(h, _MARK_RADIUS)).contains(m)),
-    )
-    best = F.coalesce(F.get(near, F.lit(0)), F.get(hits, F.lit(0)))
+def _around(radius: int) -> Column:
+    """The hit of an index row with ``radius`` characters on either side."""
+    return F.concat(F.right("left", F.lit(radius)), "hit", F.left("right", F.lit(radius)))
+
+
+def is_near(currency: Column) -> Column:
+    """Whether an index row has a mark of the currency beside it."""
+    return F.exists(_marks(currency), lambda m: F.lower(_around(_MARK_RADIUS)).contains(m))
+
+
+def is_date_part(number: Column) -> Column:
+    """Whether an index row's number can be a year and stands beside the name of a month or the like."""
+    year_like = (F.length(number) == 4) & number.between("1990", "2040")
+    return year_like & _around(_DATE_RADIUS).rlike(ANY_CASE + fv.DATE_NEAR_NUMBER)
+
+
+def grounded(first: Column, near: Column, only_dates: Column) -> Column:
+    """The verdict from the places of an amount: the first one and the first one beside its currency
+    (structs of left, hit and right; null when there is none)."""
+    best = F.coalesce(near, first)
     evidence = squash(F.concat(best["left"], best["hit"], best["right"]))
-    year_like = amount.between(1990, 2040) & (amount == F.floor(amount))
-    only_dates = year_like & F.forall(
-        hits, lambda h: around(h, _DATE_RADIUS).rlike(ANY_CASE + fv.DATE_NEAR_NUMBER)
-    )
     return (
-        F.when(F.size(hits) == 0, _result("not_found", F.lit(fv.NOTE_NOT_FOUND)))
-        .when(only_dates, _result("implausible", F.lit(fv.NOTE_DATE), evidence))
-        .otherwise(
-            _result("verified", F.when(F.size(near) == 0, fv.NOTE_NO_MARK), evidence)
-        )
+        F.when(first.isNull(), result("not_found", F.lit(fv.NOTE_NOT_FOUND)))
+        .when(only_dates, result("implausible", F.lit(fv.NOTE_DATE), evidence))
+        .otherwise(result("verified", F.when(near.isNull(), fv.NOTE_NO_MARK), evidence))
     )
 
 
-def fee_mentions(text: Column) -> Column:
-    """All snippets where the text shows a price next to fee words; a snippet inside another one
-    is left out.
-
-    Lines without a price are dropped first, so the work per text follows its prices.
+_PRICE, _FEE_WORDS, _NOT_A_FEE = (re.compile(p, re.IGNORECASE) for p in (fv.PRICE, fv.FEE_WORDS, fv.NOT_A_FEE))
+
+
+def _priced_places(body: str) -> Iterator[tuple[int, int]]:
+    """Where a price stands that may be a fee; a line is judged once, whatever its prices."""
+    line_end, allowed, said = -1, False, False
+    for price in _PRICE.finditer(body):
+        start, end = price.span()
+        if start > line_end:
+            line_start, line_end = body.rfind("\n", 0, start) + 1, body.find("\n", end)
+            line_end = len(body) if line_end < 0 else line_end
+            line = body[line_start:line_end]
+            allowed, said = not _NOT_A_FEE.search(line), bool(_FEE_WORDS.search(line))
+        if allowed and (said or _FEE_WORDS.search(body[max(0, start - 160) : end + 60])):
+            yield start, end
+
+
+def _snippets(body: str, most: int | None) -> list[str]:
+    """One sweep from left to right. Starts and ends of the snippets never fall, so one lies inside
+    another only where both are cut off at the same end of the text."""
+    found: dict[str, None] = {}
+    last_start, last_end = -1, -1
+    for start, end in _priced_places(body):
+        start, end = max(0, start - _RADIUS), min(len(body), end + _RADIUS)
+        snippet = " ".join(body[start:end].split())
+        if most is None:
+            if start != last_start and end != last_end:
+                found[snippet] = None
+            last_start, last_end = start, end
+        elif not any(snippet in f or f in snippet for f in found):
+            found[snippet] = None
+            if len(found) == most:
+                break
+    return list(found)
+
+
+def fee_mentions(text: Column, most: int | None = None) -> Column:
+    """Snippets where the text shows a price next to fee words, in order.
+
+    A snippet whose place lies inside another's is left out, and one whose words were seen before.
+    With ``most``, the first so many, none of which lies inside another's words. The work is linear
+    in the text; a null text has none.
     """
-    page = F.struct(
-        plain_blanks(text).alias("body"), F.split(plain_blanks(text), "\n").alias("lines")
-    )
-    return F.when(
-        text.rlike(ANY_CASE + fv.PRICE),
-        bind(page, lambda p: _mentions(p["body"], p["lines"])),
-    ).otherwise(F.array().cast("array<string>"))
 
+    @F.pandas_udf("array<string>")
+    def mentions(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: _snippets(t.replace("\u00a0", " "), most) if t else [])
 
-def _mentions(body: Column, lines: Column) -> Column:
-    price = ANY_CASE + fv.PRICE
-    candidates = F.filter(
-        F.transform(lines, lambda s, i: F.struct(s.alias("line"), i.alias("at"))),
-        lambda c: c["line"].rlike(price) & ~c["line"].rlike(ANY_CASE + fv.NOT_A_FEE),
-    )
-
-    def line_offset(c):
-        before = F.array_join(F.slice(lines, 1, c["at"]), "\n")
-        return F.when(c["at"] == 0, 0).otherwise(F.length(before) + 1)
-
-    def prices_of(c):
-        """The line's prices with their start in the text."""
-        hits = F.regexp_extract_all(c["line"], F.lit(price), F.lit(0))
-        gaps = F.split(c["line"], price, -1)
-        total = lambda a, n: F.aggregate(
-            F.slice(a, 1, n), F.lit(0), lambda s, x: s + F.length(x)
-        )
-        return F.transform(
-            hits,
-            lambda h, i: F.struct(
-                (line_offset(c) + total(gaps, i + 1) + total(hits, i)).alias("start"),
-                F.length(h).alias("size"),
-                c["line"].rlike(ANY_CASE + fv.FEE_WORDS).alias("said"),
-            ),
-        )
-
-    def slice_of(p, before, after):
-        start = F.greatest(p["start"] - before, F.lit(0))
-        return F.substring(body, start + 1, p["start"] + p["size"] + after - start)
-
-    prices = F.flatten(F.transform(candidates, prices_of))
-    fees = F.filter(
-        prices, lambda p: p["said"] | slice_of(p, 160, 60).rlike(ANY_CASE + fv.FEE_WORDS)
-    )
-    snippets = F.transform(fees, lambda p: squash(slice_of(p, _RADIUS, _RADIUS)))
-    return F.aggregate(
-        snippets,
-        F.array().cast("array<string>"),
-        lambda kept, s: F.when(
-            F.exists(kept, lambda k: k.contains(s) | s.contains(k)), kept
-        ).otherwise(F.array_append(kept, s)),
-    )
+    return mentions(text)

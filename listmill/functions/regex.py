@@ -38,26 +38,6 @@ def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
-def windows(text: Column, pattern: Column, before: int, after: int) -> Column:
-    """Every match of ``pattern`` with its surroundings: array<struct<left, hit, right>>.
-
-    Look-arounds capture the neighbourhood, so matches keep their left-to-right,
-    non-overlapping order and the text is never cut into pieces.
-    """
-    # the look-ahead comes first: most places of a text fail it at once
-    framed = F.concat(
-        F.lit("(?s)(?="),
-        pattern,
-        F.lit(f")(?<=(.{{{before}}}|^.{{0,{before - 1}}}))("),
-        pattern,
-        F.lit(f")(?=(.{{0,{after}}}))"),
-    )
-    left = F.regexp_extract_all(text, framed, F.lit(1))
-    hit = F.regexp_extract_all(text, framed, F.lit(2))
-    right = F.regexp_extract_all(text, framed, F.lit(3))
-    return F.arrays_zip(left.alias("left"), hit.alias("hit"), right.alias("right"))
-
-
 def snippet_of(text: Column, pattern: str, radius: int, flags: str = ANY_CASE) -> Column:
     """White-space-collapsed surroundings of the first match, null when there is none."""
     lead = F.regexp_extract(text, f"{flags}(?s)^(.*?)(?:{pattern})", 1)

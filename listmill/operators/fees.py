@@ -8,10 +8,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from listmill import fixed_values as fv
 from listmill.engine import cut
-from listmill.functions.checks import check_fee, plain_blanks
+from listmill.functions.checks import grounded, implausible, is_date_part, is_near, result
 from listmill.functions.fee_kinds import classify, standard_score, student_rank
 from listmill.functions.labels import is_counted, summary_note
+from listmill.operators.number_index import canonical, number_index
 
 
 def fee_range(
@@ -126,26 +128,35 @@ def fee_identity(entity: Column, category: Column, tier: Column, amount: Column,
 def check_fees(fees: DataFrame, texts: DataFrame, entity: str, order: str = "id", text: str = "text") -> DataFrame:
     """``fees`` with a ``check`` struct (status, note, evidence) against the entity's text.
 
-    Repeats are told first; the others meet the text of their entity. A fee whose entity has no
-    text is checked against the empty text.
+    Repeats are told first. Texts become an index of their numbers, and each different (entity,
+    number, currency) that needs a text meets its places there: no text is joined onto a fee, and
+    an entity with very many fees or numbers is spread by the number. A fee whose entity has no
+    text is not found.
     """
     marked = mark_repeats(
         fees,
         fee_identity(*[F.col(c) for c in (entity, "category", "tier", "amount", "currency")]),
         order,
+    ).withColumns({"_number": canonical(F.col("amount")), "_odd": implausible(F.col("amount"), F.col("currency"))})
+    asked = marked.where(~F.col("is_repeat") & F.col("_odd").isNull()).select(
+        entity, F.col("_number").alias("number"), F.col("currency").alias("_currency")
     )
-    body = texts.select(entity, plain_blanks(F.col(text)).alias("_text"))
-    repeat = F.struct(
-        F.lit("duplicate").alias("status"),
-        F.lit("same category, tier and amount listed twice").alias("note"),
-        F.lit(None).cast("string").alias("evidence"),
-    )
-    checked = check_fee(F.col("amount"), F.col("currency"), F.coalesce("_text", F.lit("")))
-    return (
-        marked.join(body, entity, "left")
-        .withColumn("check", F.when(F.col("is_repeat"), repeat).otherwise(checked))
-        .drop("_text", "is_repeat")
+    place = F.struct("start", "left", "hit", "right")
+    answers = (
+        asked.distinct()
+        .join(number_index(texts, entity, text), [entity, "number"])
+        .groupBy(entity, "number", "_currency")
+        .agg(
+            F.min(place).alias("first"),
+            F.min(F.when(is_near(F.col("_currency")), place)).alias("near"),
+            F.bool_and(is_date_part(F.col("number"))).alias("dates"),
+        )
+        .select(entity, F.col("number").alias("_number"), F.col("_currency").alias("currency"), grounded(F.col("first"), F.col("near"), F.col("dates")).alias("_found"))
     )
+    nothing = grounded(*[F.lit(None).cast(t) for t in ("struct<left:string,hit:string,right:string>",) * 2 + ("boolean",)])
+    repeat = result("duplicate", F.lit(fv.NOTE_DUPLICATE))
+    check = F.when(F.col("is_repeat"), repeat).otherwise(F.coalesce("_odd", "_found", nothing))
+    return marked.join(answers, [entity, "_number", "currency"], "left").select(*[F.col(c) for c in fees.columns], check.alias("check"))
 
 
 def check_summary(checked: DataFrame, entity: str) -> DataFrame:

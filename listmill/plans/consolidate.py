@@ -38,7 +38,7 @@ def judge_topics(df: DataFrame, text: str, answers: DataFrame | None = None, key
         key,
         F.struct(
             F.col("is_topic"),
-            F.left(F.concat(F.lit("llm: "), F.col("reason")), F.lit(255)).alias("reason"),
+            F.concat(F.lit("llm: "), F.col("reason")).alias("reason"),
         ).alias("_second"),
     )
     open_ = F.col("topic.is_topic").isNull() & F.col("_second").isNotNull()
@@ -124,6 +124,13 @@ def source_fees(listings: DataFrame) -> DataFrame:
     )
 
 
+def replace_source_fees(listings: DataFrame, fees: DataFrame) -> DataFrame:
+    """``fees`` where all fees of a source in an entity are those that came with its listing, if any did."""
+    given = cut(source_fees(listings))
+    kept = fees.join(given.select("entity_id", "source").distinct(), ["entity_id", "source"], "left_anti")
+    return kept.unionByName(given)
+
+
 def merge_listings(
     entities: DataFrame, listings: DataFrame, fees: DataFrame
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -156,9 +163,7 @@ def merge_listings(
         blank.unionByName(founded.withColumn("status", F.lit("collected")), allowMissingColumns=True)
     )
     filled = apply_listings(everyone, linked)
-    given = cut(source_fees(linked))
-    kept = fees.join(given.select("entity_id", "source").distinct(), ["entity_id", "source"], "left_anti")
-    all_fees = kept.unionByName(given)
+    all_fees = replace_source_fees(linked, fees)
     return refresh_ranges(filled, all_fees), linked, all_fees
 
 

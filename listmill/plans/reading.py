@@ -95,7 +95,7 @@ def _read_fees(reads: DataFrame) -> DataFrame:
     return rows.select(
         "entity_id",
         "pos",
-        F.left("f.category", F.lit(255)).alias("category"),
+        F.col("f.category").alias("category"),
         F.col("f.tier").alias("tier"),
         F.col("f.amount").alias("amount"),
         currency.alias("currency"),
@@ -239,9 +239,8 @@ def listed_formats(listings: DataFrame, entity: str, path: str = "$.event_format
 
 def _with_status(df: DataFrame, columns: list[str], fees: DataFrame) -> DataFrame:
     usable = F.coalesce("any_verified", F.lit(False))
-    mention = F.when(
-        F.col("_fresh") & ~usable, F.get(fee_mentions(F.coalesce("text", F.lit(""))), F.lit(0))
-    )
+    asked = F.when(F.col("_fresh") & ~usable, F.col("text"))
+    mention = F.get(fee_mentions(asked, most=1), F.lit(0))
     after = read_status(
         usable,
         F.coalesce("n_fees", F.lit(0)),
@@ -304,7 +303,7 @@ def revalidate(entities: DataFrame, fees: DataFrame, texts: DataFrame) -> tuple[
     )
     usable = F.coalesce("any_verified", F.lit(False))
     asked = F.col("_text").isNotNull() & ~usable
-    mention = F.when(asked, F.get(fee_mentions(F.col("_text")), F.lit(0)))
+    mention = F.get(fee_mentions(F.when(asked, F.col("_text")), most=1), F.lit(0))
     after = read_status(usable, F.col("n_fees"), F.lit(True), F.col("check_note"), mention)
     has_fees = F.col("_text").isNotNull() & (F.col("n_fees") > 0)
     without = F.col("_text").isNotNull() & (F.col("n_fees") == 0)
