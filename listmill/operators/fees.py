@@ -144,7 +144,8 @@ def check_fees(fees: DataFrame, texts: DataFrame, entity: str, order: str = "id"
     place = F.struct("start", "left", "hit", "right")
     answers = (
         asked.distinct()
-        .join(number_index(texts, entity, text), [entity, "number"])
+        # how many numbers a text has cannot be told beforehand, so the index is never broadcast
+        .join(number_index(texts, entity, text).hint("merge"), [entity, "number"])
         .groupBy(entity, "number", "_currency")
         .agg(
             F.min(place).alias("first"),

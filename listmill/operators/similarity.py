@@ -3,9 +3,9 @@
 Similarity is 200 * LCS / (len a + len b) over token-sorted names, so only insertions and
 deletions count. Two names of lengths l <= m reach ``threshold`` only when at most
 ``(1 - threshold) * (l + m)`` characters are inserted or deleted. The shorter name is cut into
-more pieces than that, so at least one piece survives unchanged in the longer one, at a position
-that the number of edits before it allows. Joining pieces finds every pair that can pass: no
-candidate is lost and no block of names is compared all against all.
+more pieces than that and keeps the rarest of them, so at least one survives unchanged in the
+longer one, at a place that the edits before and behind it allow. The longer name asks once for
+what stands at each of its places, whatever the shorter one's length. No pair is lost.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from listmill.engine import cut
 from listmill.functions.names import sorted_tokens
 
 
@@ -52,38 +53,43 @@ def token_sort_similarity(a: Column, b: Column) -> Column:
     return similarity(sorted_tokens(a), sorted_tokens(b))
 
 
-def _pieces(name: Column, percent: int) -> Column:
-    """array<struct<size, piece_no, piece>> of a name taken as the shorter of a pair."""
-    return F.expr(
-        f"""transform(sequence(0, n_pieces - 1), i -> struct(
-              len as size, i as piece_no,
-              substring(name, i * base + greatest(0, i - wide_from) + 1,
-                        base + if(i >= wide_from, 1, 0)) as piece))"""
-    )
+def _edits(length: str, percent: int) -> str:
+    """The most characters that may differ between a name of ``length`` and one no shorter."""
+    return f"cast(floor({length} * {200 - 2 * percent} / {percent}) as int)"
 
 
-def _with_cut(df: DataFrame, length: str, percent: int) -> DataFrame:
-    """How a name of ``length`` is cut: number of pieces, their base size, where wider ones start."""
-    n = F.floor(F.col(length) * (200 - 2 * percent) / percent).cast("int") + 1
-    return (
-        df.withColumn("n_pieces", n)
-        .withColumn("base", F.floor(F.col(length) / F.col("n_pieces")).cast("int"))
-        .withColumn("wide_from", F.expr(f"n_pieces - ({length} - base * n_pieces)"))
-    )
+def _width(length: str, percent: int) -> str:
+    """Width of the pieces of a shorter name: as many fit as can differ, and one more."""
+    return f"cast(floor({length} / ({_edits(length, percent)} + 1)) as int)"
+
 
+def rare_pieces(names: DataFrame, percent: int) -> DataFrame:
+    """(short, bucket, flag, len, piece, at): the pieces of ``names`` of which one is unchanged in
+    every longer similar name.
 
-def _probes(percent: int) -> str:
-    """Every piece the longer name must be asked for: for each admissible shorter length, each
-    piece number i and each shift that exactly i edits before the piece and the remaining edits
-    after it can produce."""
-    return f"""
-      flatten(transform(sequence(int(ceil(len * {percent} / (200 - {percent}.0))), len), l ->
-        flatten(transform(sequence(0, int(floor((100 - {percent}) * (l + len) / 100))), i ->
-          transform(
-            filter(sequence(-i, i, 2), d ->
-              abs(len - l - d) <= int(floor((100 - {percent}) * (l + len) / 100)) - i),
-            d -> struct(l as size, i as piece_no, d as shift))))))
+    A name falls into more pieces than characters may differ. Only so many that one must survive
+    are kept, and those are the ones that fewest names have. Names are short, so a name's pieces
+    are ranked in its own row.
     """
+    pieces = names.withColumn("width", F.expr(_width("len", percent))).select(
+        F.col("name").alias("short"), "bucket", "flag", "len",
+        F.explode(F.expr("transform(sequence(0, len div width - 1), i -> struct(substring(name, cast(i * width + 1 as int), width) as piece, i * width as at))")).alias("p"),
+    ).select("short", "bucket", "flag", "len", "p.*")
+    known = pieces.groupBy("piece").agg(F.count("*").alias("names"))
+    rare = pieces.join(known, "piece").groupBy("short", "bucket", "flag", "len").agg(
+        F.array_sort(F.collect_list(F.struct("names", "at", "piece"))).alias("ranked")
+    )
+    kept = F.expr(f"slice(ranked, 1, {_edits('len', percent)} + 1)")
+    return rare.select("short", "bucket", "flag", "len", F.inline(kept)).drop("names")
+
+
+def asked_pieces(names: DataFrame, percent: int) -> DataFrame:
+    """(long, bucket, flag, len, piece, at): every place of ``names`` where a piece of a shorter
+    similar name may stand, once per width that such a name can have: two or three at most."""
+    widths = f"""array_distinct(transform(sequence(cast(ceil(len * {percent} / {200 - percent}.0) as int), len), l -> {_width("l", percent)}))"""
+    probes = f"""flatten(transform({widths}, w ->
+        transform(sequence(0, greatest(len - w, 0)), i -> struct(substring(name, i + 1, w) as piece, cast(i as bigint) as at))))"""
+    return names.select(F.col("name").alias("long"), "bucket", "flag", "len", F.inline(F.expr(probes)))
 
 
 def similar_names(
@@ -95,42 +101,22 @@ def similar_names(
     are looked for within a bucket and its next one, and only where at least one side is
     flagged: callers flag the names their matching rule can use at all.
     """
-    base = (
+    base = cut(
         names.where(F.col("name") != "")
         .groupBy("name", F.col(bucket).alias("bucket"))
         .agg(F.max(flag).alias("flag"))
         .withColumn("len", F.length("name"))
     )
-    short = (
-        _with_cut(base, "len", percent)
-        .select("name", "bucket", "flag", F.explode(_pieces(F.col("name"), percent)).alias("p"))
-        .select(F.col("name").alias("short"), "bucket", F.col("flag").alias("short_flag"), "p.*")
-    )
-    asked = base.select(
-        "name", "bucket", "flag", "len", F.explode(F.expr(_probes(percent))).alias("q")
-    ).select("name", "bucket", "flag", "len", "q.*")
-    long = (
-        _with_cut(asked, "size", percent)
-        .where(F.col("piece_no") < F.col("n_pieces"))
-        .withColumn("at", F.expr("piece_no * base + greatest(0, piece_no - wide_from) + shift"))
-        .withColumn("width", F.expr("base + if(piece_no >= wide_from, 1, 0)"))
-        .where("at >= 0 and at + width <= len")
-        .select(
-            F.col("name").alias("long"),
-            F.col("flag").alias("long_flag"),
-            F.explode(F.expr("array(bucket - 1, bucket, bucket + 1)")).alias("bucket"),
-            "size",
-            "piece_no",
-            F.expr("substring(name, at + 1, width)").alias("piece"),
-        )
-    )
-    on = ["bucket", "size", "piece_no", "piece"]
-    # flagged short names meet every long name; unflagged ones only flagged long names
+    s, l = rare_pieces(base, percent).alias("s"), asked_pieces(base, percent)  # noqa: E741
+    l = l.withColumn("bucket", F.explode(F.expr("array(bucket - 1, bucket, bucket + 1)"))).alias("l")  # noqa: E741
+    # a piece may move by the characters that differ before it, the rest of the name by those behind it
+    moved, longer = F.col("l.at") - F.col("s.at"), F.col("l.len") - F.col("s.len")
+    most = F.floor((100 - percent) * (F.col("l.len") + F.col("s.len")) / 100)
+    # flagged short names meet every long name, others only flagged long names
     found = (
-        short.where("short_flag")
-        .join(long, on)
-        .unionByName(short.where("not short_flag").join(long.where("long_flag"), on))
-        .where("short <> long")
+        s.join(l, ["bucket", "piece"])
+        .where((longer >= 0) & (F.abs(moved) + F.abs(longer - moved) <= most))
+        .where((F.col("s.flag") | F.col("l.flag")) & (F.col("short") != F.col("long")))
         .select(F.least("short", "long").alias("name_a"), F.greatest("short", "long").alias("name_b"))
         .distinct()
     )

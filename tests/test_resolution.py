@@ -10,7 +10,7 @@ from listmill import fixed_values as fv
 from listmill.operators import duplicates
 from listmill.operators.duplicates import duplicate_pairs
 from listmill.operators.placement import place
-from listmill.operators.similarity import indel_similarity, similar_names
+from listmill.operators.similarity import asked_pieces, indel_similarity, rare_pieces, similar_names
 
 ENTITY = "id long, acronym string, name string, start_date date, country string"
 LISTING = ENTITY + ", source string"
@@ -112,6 +112,23 @@ def random_rows(rng, n, first_id, dates, hot=False):
     return rows
 
 
+def test_a_long_name_asks_once_per_place(spark):
+    name = "".join(random.Random(3).choices("abcdefghij klm", k=100)).strip().ljust(100, "x")
+    base = spark.createDataFrame([(name, 0, True, 100), ("tiny name", 0, True, 9)], "name string, bucket int, flag boolean, len int")
+    for percent in (90, 92):
+        asked = {r.long: r["count"] for r in asked_pieces(base, percent).groupBy("long").count().collect()}
+        kept = {r.short: r["count"] for r in rare_pieces(base, percent).groupBy("short").count().collect()}
+        assert asked[name] <= 200 and kept[name] == 100 * (200 - 2 * percent) // percent + 1
+        assert asked["tiny name"] <= 20 and kept["tiny name"] <= 3
+
+
+def test_the_commonest_pieces_are_left_out(spark):
+    names = [f"abc{f'{i:03d}' * 6}zz" for i in range(40)]  # 23 characters: seven pieces, of which six are kept
+    base = spark.createDataFrame([(n, 0, True, len(n)) for n in names], "name string, bucket int, flag boolean, len int")
+    kept = {r.piece for r in rare_pieces(base, 90).collect()}
+    assert kept == {f"{i:03d}" for i in range(40)}
+
+
 def test_similar_names_finds_every_pair(spark):
     rng = random.Random(5)
     base = ["advanced computing systems", "data mining theory", "vision", "ai", "robot learning control"]
