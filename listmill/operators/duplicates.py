@@ -3,8 +3,8 @@
 The rule: entities by start date and id, each not yet used takes the first unused one after it that
 is the same event. Groups of one acronym (or one name) that nothing else touches, and whose places
 all agree or fall apart cleanly, are paired by rank. All others are joined into components of linked
-groups, and a component's rows are read once in order as a sorted stream that keeps only the rows
-still waiting within the date gap, whatever the component's size.
+groups, which are cut where no row stands for more than the date gap; the rows of such a run are read
+once in order as a sorted stream that keeps only those still waiting within the gap.
 """
 
 from __future__ import annotations
@@ -114,20 +114,29 @@ def duplicate_pairs(entities: DataFrame, threshold: int = fv.DUPLICATE_SIMILARIT
 
     # --- the others, component by component
     roots = components(links.select(F.col("grp").alias("a"), F.col("other_grp").alias("b")))
-    alike = edges.where("kind <> other").groupBy("kind").agg(F.collect_set("other").alias("alike"))
-    others = (
+    others = cut(
         grouped.join(plain, "grp", "left_anti")
         .join(roots.withColumnRenamed("node", "grp"), "grp", "left")
-        .join(alike, "kind", "left")
-        .select(F.coalesce("root", "grp").alias("part"), "day", "id", "kind", "key", "country", "alike")
+        .select(F.coalesce("root", "grp").alias("part"), "day", "id", "kind", "key", "country")
     )
-    return by_rank.unionByName(_pairs_by_walk(others))
+    return by_rank.unionByName(_pairs_by_walk(others, edges.where("kind <> other")))
+
+
+def with_runs(rows: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` with ``run``: the number of their stretch of days within ``key`` that no gap above
+    the allowed one cuts. Nothing pairs across runs. Windows see one row per day of a key."""
+    by_day = W.partitionBy(*key).orderBy("day")
+    gap = F.datediff("day", F.lag("day").over(by_day)) > fv.MAX_DATE_GAP_DAYS
+    days = rows.select(*key, "day").distinct().withColumn("new_run", F.coalesce(gap.cast("int"), F.lit(1)))
+    return rows.join(days.select(*key, "day", F.sum("new_run").over(by_day).alias("run")), [*key, "day"])
 
 
 class _Waiting:
-    """The rows of one component that have no partner yet, by kind and by (key, place), oldest first."""
+    """The rows of one run that have no partner yet, by kind and by (key, place), oldest first, and
+    the similar kinds of the day's kinds."""
 
     def __init__(self) -> None:
+        self.alike: dict[int, list[int]] = defaultdict(list)
         self.by_kind: dict[int, deque] = defaultdict(deque)
         self.by_place: dict[str, dict[str, deque]] = defaultdict(lambda: defaultdict(deque))
         self.gone: set[int] = set()
@@ -139,7 +148,7 @@ class _Waiting:
         return line[0] if line else None
 
     def partner(self, row, since) -> tuple | None:
-        lines = [self.by_kind.get(k) for k in (row.kind, *(row.alike if row.alike is not None else ()))]
+        lines = [self.by_kind.get(k) for k in (row.kind, *self.alike.get(row.kind, ()))]
         if row.key:
             places = self.by_place.get(row.key, {})
             lines += places.values() if not row.country else [places.get(row.country), places.get("")]
@@ -166,46 +175,58 @@ class _Waiting:
         self.gone &= {entry[1] for q in self.by_kind.values() for entry in q}
 
 
-def _pairs_by_walk(rows: DataFrame) -> DataFrame:
+def walk_units(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows and, before a day's rows, the links of its kinds (``other`` is not null), by part and
+    run: a component falls into one unit of work per run of days."""
+    placed = with_runs(rows, ["part"])
+    # a kind has one day, so its links are needed on that day only
+    days = placed.select("kind", "part", "run", "day").distinct()
+    return placed.select("*", F.lit(None).cast("bigint").alias("other")).unionByName(
+        links.join(days, "kind").select("part", "run", "day", "kind", "other"), allowMissingColumns=True
+    )
+
+
+def _pairs_by_walk(rows: DataFrame, links: DataFrame) -> DataFrame:
     """Pairs inside components. A node prefers earlier partners from either side, so asking each row
-    for its earliest waiting partner gives the same pairs as letting each take its first later one."""
+    for its earliest waiting partner gives the same pairs as letting each take its first later one.
+
+    What a task holds is the rows that wait within a week and the links of one day."""
     gap = pd.Timedelta(days=fv.MAX_DATE_GAP_DAYS)
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, day, waiting = None, None, _Waiting()
+        unit, day, forgotten, waiting = None, None, None, _Waiting()
         for batch in batches:
             pairs = []
             for row in batch.itertuples(index=False):
                 since = (pd.Timestamp(row.day) - gap).date()
-                if row.part != part:
-                    part, day, waiting = row.part, row.day, _Waiting()
-                elif day < since:
-                    day = row.day
+                if (row.part, row.run) != unit:
+                    unit, forgotten, waiting = (row.part, row.run), row.day, _Waiting()
+                elif forgotten < since:
+                    forgotten = row.day
                     waiting.forget(since)
+                if row.day != day:
+                    day = row.day
+                    waiting.alike.clear()
+                if not pd.isna(row.other):
+                    waiting.alike[row.kind].append(int(row.other))
+                    continue
                 mate = waiting.partner(row, since)
                 if mate is None:
                     waiting.add(row)
                 else:
-                    pairs.append((mate[1], row.id))
+                    pairs.append((mate[1], int(row.id)))
             yield pd.DataFrame(pairs, columns=["a", "b"])
 
-    sorted_rows = rows.repartition("part").sortWithinPartitions("part", "day", "id")
-    return sorted_rows.mapInPandas(walk, "a bigint, b bigint")
+    units = walk_units(rows, links).withColumn("at", F.col("other").isNull())
+    return units.repartition("part", "run").sortWithinPartitions("part", "run", "day", "at", "id").mapInPandas(walk, "a bigint, b bigint")
 
 
 def _pairs_by_rank(rows: DataFrame) -> DataFrame:
     """Pairs of neighbours in date order where every close pair of a group is the same event."""
     own = ["grp", "part"]
-    days = rows.groupBy(*own, "day").agg(F.count("*").alias("n"))
-    by_day = W.partitionBy(*own).orderBy("day")
-    gap = F.datediff("day", F.lag("day").over(by_day)) > fv.MAX_DATE_GAP_DAYS
+    days = with_runs(rows.groupBy(*own, "day").agg(F.count("*").alias("n")), own)
     before = W.partitionBy(*own, "run").orderBy("day").rowsBetween(W.unboundedPreceding, -1)
-    runs = (
-        days.withColumn("new_run", F.coalesce(gap.cast("int"), F.lit(1)))
-        .withColumn("run", F.sum("new_run").over(by_day))
-        .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .select(*own, "day", "run", "before")
-    )
+    runs = days.select(*own, "day", "run", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     ranked = (
         exact_rank(rows.select(*own, "day", "id"), [*own, "day"], "id")
         .join(runs, [*own, "day"])

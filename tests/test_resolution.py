@@ -225,3 +225,15 @@ def test_duplicates_by_acronym_and_by_begun_acronym(spark):
     ]
     got = {(r.a, r.b) for r in duplicate_pairs(spark.createDataFrame(rows, ENTITY)).collect()}
     assert got == {(1, 2), (3, 4), (5, 6)}
+
+
+def test_one_component_is_one_unit_per_run_of_days(spark):
+    """A third of all rows in one component over a year: work is cut where a week passes without a row."""
+    rows = [("c", DAY0 + dt.timedelta(days=10 * (i % 36) + i % 3), i, i, "K", "") for i in range(720)]
+    rows += [(f"p{i}", DAY0, 1000 + i, 1000 + i, "K", "") for i in range(1440)]
+    df = spark.createDataFrame(rows, "part string, day date, id bigint, kind bigint, key string, country string")
+    links = spark.createDataFrame([(0, 36), (1000, 1001)], "kind bigint, other bigint")
+    units = duplicates.walk_units(df, links)
+    assert units.where("part = 'c'").select("run").distinct().count() == 36
+    assert {(r.kind, r.other, r.run) for r in units.where("other is not null").collect()} == {(0, 36, 1), (1000, 1001, 1)}
+    assert units.where("other is null").count() == len(rows)
