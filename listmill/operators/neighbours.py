@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from listmill.engine import cut
 from listmill.fixed_values import MAX_DATE_GAP_DAYS
 
 
@@ -56,31 +57,47 @@ def first_other_near(
     )
 
 
-def with_cells(rows: DataFrame, key: list[str], ident: str, cells: int = 256) -> DataFrame:
-    """``rows`` with ``_cell``: the id range of its key that a row lies in.
+def in_ranges(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` with ``_part``: all rows in ``order`` fall into ranges of about equal size, numbered in
+    that order. A crowded key spreads over several ranges. The table is stored, as ranges are drawn
+    from a sample and must not be drawn again."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(rows.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()))
 
-    A key's ranges are cut at quantiles of its own ids, so each holds about an equal share of a
-    crowded key however the ids lie; the quantiles are one row per key.
+
+def with_previous(rows: DataFrame, order: list[str], more: list[str], name: str) -> DataFrame:
+    """``rows`` with the struct ``name``: the columns ``order`` and ``more`` of the row before in
+    ``order``, which ends in something unique. Null for the very first row.
+
+    Each range is sorted by itself, and the last row of a range is carried over to the next one: one
+    row per range.
     """
-    steps = [i / cells for i in range(1, cells)]
-    cuts = rows.groupBy(*key).agg(F.percentile_approx(ident, steps, 16 * cells).alias("_cuts"))
-    cell = F.size(F.filter("_cuts", lambda c: c < F.col(ident)))
-    return rows.join(cuts, key).withColumn("_cell", cell).drop("_cuts")
+    ranged = in_ranges(rows, order)
+    whole = F.struct(*order, *more)
+    last = ranged.groupBy("_part").agg(F.max(whole).alias("_last"))
+    carried = last.select("_part", F.lag("_last").over(W.orderBy("_part")).alias("_carried"))
+    inside = F.lag(whole).over(W.partitionBy("_part").orderBy(*order))
+    return (
+        ranged.withColumn("_inside", inside)
+        .join(carried, "_part")
+        .select(*rows.columns, F.coalesce("_inside", "_carried").alias(name))
+    )
 
 
-def exact_rank(rows: DataFrame, key: list[str], ident: str, cells: int = 256) -> DataFrame:
+def exact_rank(rows: DataFrame, key: list[str], ident: str) -> DataFrame:
     """row_number() of ``ident`` within ``key`` as ``rank``, for keys of any size.
 
-    Ranks are counted inside id ranges and shifted by the sizes of the ranges before, one row per range.
+    Ranks are counted inside ranges of all rows and shifted by the key's rows in the ranges before,
+    one row per key and range.
     """
-    celled = with_cells(rows, key, ident, cells)
-    sizes = celled.groupBy(*key, "_cell").agg(F.count("*").alias("_n"))
-    earlier = W.partitionBy(*key).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
-    before = sizes.select(*key, "_cell", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    inside = F.row_number().over(W.partitionBy(*key, "_cell").orderBy(ident))
+    ranged = in_ranges(rows, [*key, ident])
+    sizes = ranged.groupBy(*key, "_part").agg(F.count("*").alias("_n"))
+    earlier = W.partitionBy(*key).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    before = sizes.select(*key, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(W.partitionBy("_part", *key).orderBy(ident))
     return (
-        celled.withColumn("_in", inside)
-        .join(before, [*key, "_cell"])
+        ranged.withColumn("_in", inside)
+        .join(before, [*key, "_part"])
         .withColumn("rank", F.col("_before") + F.col("_in"))
-        .drop("_cell", "_in", "_before")
+        .drop("_part", "_in", "_before")
     )

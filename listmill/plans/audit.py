@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from listmill.config import EngineConfig
 from listmill.engine import cut
+from listmill.fixed_values import MAX_DATE_GAP_DAYS
 from listmill.functions.labels import is_counted
 from listmill.functions.money import converted_by_map
 from listmill.functions.names import acronym_key
 from listmill.functions.places import in_scope, with_country
 from listmill.functions.urls import is_web_address, organizer_flag
 from listmill.operators.fees import fee_range
-from listmill.operators.neighbours import with_cells
+from listmill.operators.neighbours import with_previous
 from listmill.operators.privacy import leaks
 from listmill.sources.rates import with_rates
 
@@ -63,19 +60,17 @@ def failing(df: DataFrame, checks: dict[str, Column], order: Column, label: Colu
 def report(failures: DataFrame, checks: dict[str, bool] = CHECKS) -> DataFrame:
     """(check, must_be_zero, failures, examples, verdict) for every check, failed or not.
 
-    One pass over the failures: each task hands on a count and its first few examples per check, so
-    nothing is stored, and what is shuffled grows with the tasks only.
+    Counts and examples are aggregates: a task hands on one count and the first few examples per
+    check and salt (the planner cuts groups to their first rows before the shuffle), a second step
+    takes the first few of all salts.
     """
     spark = failures.sparkSession
-    kept = failures.select("check", "ord", "example").mapInPandas(
-        _first_of_task, "check string, n bigint, few array<struct<ord:string,example:string>>"
-    )
-    found = kept.groupBy("check").agg(
-        F.sum("n").alias("n"), F.slice(F.array_sort(F.flatten(F.collect_list("few"))), 1, EXAMPLES).alias("few")
-    )
+    counts = failures.groupBy("check").agg(F.count("*").alias("n"))
+    first = first_few(failures.select("check", "ord", "example"), "check", ["ord", "example"], EXAMPLES)
+    few = first.groupBy("check").agg(F.array_sort(F.collect_list(F.struct("ord", "example"))).alias("few"))
     names = spark.createDataFrame(list(checks.items()), "check string, must_be_zero boolean")
     n = F.coalesce("n", F.lit(0))
-    return names.join(found, "check", "left").select(
+    return names.join(counts, "check", "left").join(few, "check", "left").select(
         "check",
         "must_be_zero",
         n.alias("failures"),
@@ -84,18 +79,6 @@ def report(failures: DataFrame, checks: dict[str, bool] = CHECKS) -> DataFrame:
     )
 
 
-def _first_of_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts: Counter[str] = Counter()
-    few = pd.DataFrame(columns=["check", "ord", "example"])
-    for batch in batches:
-        counts.update(batch["check"].value_counts().to_dict())
-        both = pd.concat([few, batch]) if len(few) else batch
-        few = both.sort_values(["check", "ord", "example"]).groupby("check").head(EXAMPLES)
-    if counts:
-        listed = {check: list(zip(rows["ord"], rows["example"])) for check, rows in few.groupby("check")}
-        yield pd.DataFrame({"check": list(counts), "n": list(counts.values()), "few": [listed[c] for c in counts]})
-
-
 def first_few(df: DataFrame, group: str, order: list[str], n: int, salt: int = 64) -> DataFrame:
     """The first ``n`` rows per group, in two steps: per salted part, then per group. A group of
     any size is split over the salts first, so no task sorts all of it."""
@@ -243,25 +226,13 @@ def audit(
 
 
 def likely_duplicates(rows: DataFrame) -> DataFrame:
-    """Neighbours in date order inside (key, continent): at most 7 days apart, same country.
-
-    The neighbour of a row is the last row of its day with a lower id, or the last of the day
-    before that has any: days are reduced to their ends first, so a crowded key is never sorted
-    in one task.
-    """
-    group = ["key", "continent"]
-    rows = rows.where("key is not null and start_date is not null").withColumn(
-        "continent", F.coalesce("continent", F.lit("?"))
-    ).withColumn("place", F.lower(F.coalesce("country", F.lit(""))))
-    celled = with_cells(rows, [*group, "start_date"], "id")
-    ends = celled.groupBy(*group, "start_date", "_cell").agg(F.max_by(F.struct("start_date", "id", "place"), "id").alias("last"))
-    over = W.partitionBy(*group).orderBy("start_date", "_cell")
-    before = ends.withColumn("_before", F.lag("last").over(over)).drop("last")
-    inside = W.partitionBy(*group, "start_date", "_cell").orderBy("id")
-    previous = F.coalesce(F.lag(F.struct("start_date", "id", "place")).over(inside), F.col("_before"))
-    return (
-        celled.join(before, [*group, "start_date", "_cell"])
-        .withColumn("_prev", previous)
-        .where((F.datediff("start_date", "_prev.start_date") <= 7) & (F.col("_prev.place") == F.col("place")))
-        .drop("_prev", "_before", "_cell", "place")
-    )
+    """Neighbours in date order (then by id) inside (key, continent): at most 7 days apart, same
+    country. All rows are sorted in ranges, so a crowded key is never sorted in one task."""
+    own = ["key", "continent"]
+    placed = rows.where("key is not null and start_date is not null").withColumns(
+        {"continent": F.coalesce("continent", F.lit("?")), "_place": F.lower(F.coalesce("country", F.lit("")))}
+    )
+    before = with_previous(placed, [*own, "start_date", "id"], ["_place"], "_prev")
+    same = [F.col(f"_prev.{c}") == F.col(c) for c in [*own, "_place"]]
+    close = F.datediff("start_date", "_prev.start_date") <= MAX_DATE_GAP_DAYS
+    return before.where(same[0] & same[1] & same[2] & close).drop("_place", "_prev")

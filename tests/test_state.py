@@ -93,7 +93,7 @@ def test_first_other_near_matches_brute_force(spark):
 
 def test_exact_rank_and_first_few(spark):
     df = spark.range(1000).select((F.col("id") * 7).alias("id"), (F.col("id") % 3).alias("k"))
-    got = neighbours.exact_rank(df, ["k"], "id", cells=5).collect()
+    got = neighbours.exact_rank(df, ["k"], "id").collect()
     by = {}
     for r in got:
         by.setdefault(r.k, []).append((r.rank, r.id))
@@ -104,6 +104,16 @@ def test_exact_rank_and_first_few(spark):
     assert sorted(r.id for r in few if r.k == 0) == [0, 21, 42, 63]
 
 
+def test_the_row_before_is_carried_over_ranges(spark):
+    rng = random.Random(6)
+    rows = [(i, "hot" if i % 3 else rng.choice("ab"), rng.randrange(9), f"v{i}") for i in rng.sample(range(500), 500)]
+    df = spark.createDataFrame(rows, "id long, k string, day int, v string")
+    got = {r.id: r.prev and (r.prev.id, r.prev.v) for r in neighbours.with_previous(df, ["k", "day", "id"], ["v"], "prev").collect()}
+    ordered = sorted(rows, key=lambda r: (r[1], r[2], r[0]))
+    assert got == {b[0]: a and (a[0], a[3]) for a, b in zip([None, *ordered], ordered)}
+    assert neighbours.in_ranges(df, ["k", "day", "id"]).groupBy("_part").count().where("count < 60").count() == 0
+
+
 FEE = "entity_id long, id long, category string, tier string, amount double, currency string, notes string, check_status string"
 
 
