@@ -50,18 +50,6 @@ def summary_by_continent(spark, d):
     )
 
 
-@query("select event_type as source, count(*) as n from events group by event_type")
-def listings_by_source(spark, d):
-    return load(spark, d, "events", "event_type").groupBy(F.col("event_type").alias("source")).agg(F.count("*").alias("n"))
-
-
-@query("select event_type as source, count(distinct user_id) as n from events group by event_type")
-def entities_by_source_distinct(spark, d):
-    return load(spark, d, "events", "event_type", "user_id").groupBy(F.col("event_type").alias("source")).agg(
-        F.countDistinct("user_id").alias("n")
-    )
-
-
 @query("""
 select count(*) as entities, count(*) filter (cast(o_orderdate as date) between date '1997-01-01' and date '1997-12-31') as in_window,
   count(*) filter (o_orderstatus = 'F') as enriched, count(distinct o_custkey) as customers, max(cast(o_orderdate as date))::varchar as horizon
@@ -77,11 +65,6 @@ def conditional_counts(spark, d):
     )
 
 
-@query("select o_orderstatus as status, count(*) as n from orders group by 1")
-def entities_by_status(spark, d):
-    return orders(spark, d).groupBy("status").agg(F.count("*").alias("n"))
-
-
 @query("select event_type as source, string_agg(distinct cast(json_extract(props, '$.k') as varchar), ',' order by cast(json_extract(props, '$.k') as varchar)) as formats from events group by 1")
 def listed_formats(spark, d):
     from listmill.plans.reading import listed_formats as formats

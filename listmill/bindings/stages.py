@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 from listmill import fixed_values as fv
 from listmill.bindings.registry import query
-from listmill.bindings.tables import LINE_ORDER, case, load, sql_mentions, table
+from listmill.bindings.tables import CONFIG, LINE_ORDER, SQL_LINE_ORDER, case, rates, sql_mentions, table
+from listmill.engine import cut, load
+from listmill.functions.labels import is_counted
+from listmill.functions.places import UNKNOWN
+from listmill.operators.fees import fee_range
 from listmill.operators.survivors import refresh_ranges
-from listmill.plans import consolidate, reading
+from listmill.plans import audit as qa
+from listmill.plans import consolidate, marts, reading
 from listmill.schemas import ENTITIES, FEES, LISTINGS
 
 # ---------------------------------------------------------------- fees of listings
@@ -129,3 +134,154 @@ def revalidated_fees(spark, d):
     ))
     done, _ = reading.revalidate(entities, fees, texts)
     return done.select("id", "status", F.col("review_note").alias("note"), "fee_min", "fee_max")
+
+
+# ---------------------------------------------------------------- overview
+
+_COUNTRY = "case o_orderkey % 5 when 0 then 'Japan' when 1 then 'Italy' when 2 then 'japan' when 3 then 'Atlantis' end"
+_CONTINENT = f"case o_orderkey % 5 when 0 then 'Asia' when 1 then 'Europe' when 2 then 'Asia' else '{UNKNOWN}' end"
+
+
+def _overview(spark, d):
+    """Orders as entities, of which those above a price have a fee; events as listings of users."""
+    entities = table(spark, ENTITIES, load(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.expr(_COUNTRY).alias("country"),
+        F.when(F.col("o_totalprice") > 1e5, F.col("o_totalprice")).alias("fee_min"),
+    ))
+    listings = table(spark, LISTINGS, load(spark, d, "events").select(
+        F.col("event_id").alias("id"), F.col("event_type").alias("source"), F.when(F.col("value") > 1, F.col("user_id")).alias("entity_id"),
+        (F.col("value") > 50).alias("in_window"), F.when(F.col("event_id") % 3 > 0, F.col("event_id") % 3 == 1).alias("is_topic"),
+    ))
+    return marts.summary(entities, listings, CONFIG)
+
+
+@query(f"""
+with e as (select o_orderstatus as status, {_CONTINENT} as continent, o_totalprice > 1e5 as fee from orders),
+l as (select event_type, case when value > 1 then user_id end as entity, value > 50 as inside, event_id % 3 = 1 as topic from events)
+select 'entities_by_status' as section, status as item, count(*)::bigint as n from e group by 2
+union all select 'entities_by_continent', continent, count(*) from e group by 2
+union all select 'scope', 'entities', count(*) from e where continent = 'Asia'
+union all select 'scope', 'entities_with_fees', count(*) from e where continent = 'Asia' and fee
+union all select 'entities_with_fees', 'all', count(*) from e where fee
+union all select 'listings_by_source', event_type, count(*) from l group by 2
+union all select 'entities_by_source', event_type, count(distinct entity) from l where entity is not null group by 2
+union all select 'listings', 'in_window', count(*) from l where inside
+union all select 'listings', 'in_window_topic', count(*) from l where inside and topic""")
+def summary_counts(spark, d):
+    """All counts of the overview, each table read once."""
+    return _overview(spark, d)
+
+
+def _section(spark, d, section, name):
+    return _overview(spark, d).where(F.col("section") == section).select(F.col("item").alias(name), "n")
+
+
+@query("select event_type as source, count(*) as n from events group by event_type")
+def listings_by_source(spark, d):
+    return _section(spark, d, "listings_by_source", "source")
+
+
+@query("select event_type as source, count(distinct user_id) as n from events where value > 1 group by event_type")
+def entities_by_source_distinct(spark, d):
+    return _section(spark, d, "entities_by_source", "source")
+
+
+@query("select o_orderstatus as status, count(*) as n from orders group by 1")
+def entities_by_status(spark, d):
+    return _section(spark, d, "entities_by_status", "status")
+
+
+# ---------------------------------------------------------------- audit
+
+_LETTERS = "translate(cast(o_custkey as varchar), '0123456789', 'ABCDEFGHIJ')"
+_STATE = f"""
+numbered as (select *, row_number() over (partition by l_orderkey order by {SQL_LINE_ORDER}) as rn from lineitem),
+f as (
+    select l_orderkey as e, l_orderkey * 1000 + rn as id, l_returnflag as cat, l_linestatus as tier, case when l_quantity = 1 then 0.0 else round(l_extendedprice / 16) end as a,
+        case when l_quantity <> 2 then 'USD' end as cur, l_quantity = 3 as unpriced
+    from numbered where l_linestatus = 'O' or l_returnflag <> 'R'),
+per as (select e, cur, count(*) as n, min(a) as lo, max(a) as hi, min(id) as first from f group by e, cur),
+best as (select * from per qualify row_number() over (partition by e order by n desc, first) = 1),
+o as (
+    select o_orderkey as id, 'K' || {_LETTERS} as acronym, case when o_orderkey % 50 > 0 then o_orderdate::date end as s, o_orderdate::date as d, o_orderkey % 40 - 1 as days,
+        o_orderstatus as st, lo, hi, cur, best.e is not null as has, {_COUNTRY} as country, {_CONTINENT} as continent, o_totalprice
+    from orders left join best on best.e = o_orderkey),
+l as (select id, '#' || id || ' ' || acronym as label, * exclude (id) from o),
+shown as (select * from l where id % 3 > 0)"""
+_OUT = "(s is not null and not s between date '1997-01-01' and date '1997-12-31')"
+_FEE_LABEL = "concat_ws(' ', '#' || e, cat, a::varchar, cur)"
+#: Check: the failures as (ord, example).
+_FAILURES = {
+    "ends before it starts": "select id, label from l where s is not null and days < 0",
+    "starts outside the window": f"select id, label from l where {_OUT}",
+    "no start date": "select id, label from l where s is null",
+    "lasts more than 3 weeks": "select id, label from l where s is not null and days > 21",
+    "submission deadline after the start": "select id, label || ' paper_deadline' from l where s is not null and id % 45 = 1 union all select id, label || ' abstract_deadline' from l where s is not null and id % 60 = 2",
+    "paper deadline before 2025": "select id, label from l",
+    "counted fee with zero or negative amount": f"select id, {_FEE_LABEL} from f where a <= 0",
+    "counted fee without a currency": f"select id, {_FEE_LABEL} from f where cur is null",
+    "counted fee outside US$3-6,000": f"select id, {_FEE_LABEL} from f where cur is not null and not a between 3 and 6000",
+    "the same fee twice": f"select e, {_FEE_LABEL} from f group by e, cat, tier, a, cur having count(*) > 1",
+    "fee range disagrees with the counted fees": "select id, label from l where id % 11 = 0",
+    "enriched with no counted fee": "select id, label from l where st = 'F' and not has",
+    "not published but has counted fees": "select id, label from l where st = 'P' and has",
+    "never read": "select id, label from l where st = 'O' and id % 9 <> 2",
+    "likely duplicates": "select id, label from (select *, lag(s) over w as ps, lag(coalesce(country, '')) over w as pc from l where s is not null window w as (partition by acronym, continent order by s, id)) where s - ps <= 7 and lower(pc) = lower(coalesce(country, ''))",
+    "homepage that isn't a web address": "select id, label from l where id % 9 = 1",
+    "listing not merged": "select event_id, event_type || ' ' || user_id from events where event_id % 100 = 0 and value > 50",
+    "account details published": "select id, 'p' || (id % 7) || '@x.org' from shown where id % 97 = 5",
+    "person id in a published link": "select id, '#' || id from shown where id % 89 = 7",
+    "published outside the window": f"select id, '#' || id from shown where {_OUT}",
+    "published without a fee status": "select id, '#' || id from shown where id % 83 = 8",
+    "headline fee not among its fees": "select id, '#' || id from shown where has and cur is not null and id % 79 = 10",
+    "published fee not convertible": "select f.id, '#' || f.id from f where unpriced and cur is not null and e % 3 > 0",
+    "weeks don't add up": f"select 0, (n + 1)::bigint || ' vs ' || n from (select count(*) as n from shown where s is not null and not {_OUT})",
+}
+
+
+@query(f"""
+with {_STATE},
+failures as ({' union all '.join(f'''select '{c.replace("'", "''")}' as c, ord::varchar as ord, ex from ({q}) as x(ord, ex)''' for c, q in _FAILURES.items())}),
+names as (select unnest([{', '.join("{'c': '" + c.replace("'", "''") + f"', 'must': {str(m).lower()}}}" for c, m in qa.CHECKS.items())}], recursive := true)),
+few as (select *, row_number() over (partition by c order by ord, ex) as rn from failures)
+select names.c as "check", must as must_be_zero, count(few.c) as failures, coalesce(string_agg(ex, '; ' order by ord, ex) filter (rn <= 4), '') as examples,
+  case when count(few.c) = 0 then 'ok' when must then 'FAIL' else 'note' end as verdict
+from names left join few on few.c = names.c group by 1, 2""")
+def audit_all_checks(spark, d):
+    """Every check of the audit over orders, lines and events with planted faults."""
+    line = load(spark, d, "lineitem").withColumn("rn", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)))
+    fees = cut(table(spark, FEES, line.select(
+        (F.col("l_orderkey") * 1000 + F.col("rn")).alias("id"), F.col("l_orderkey").alias("entity_id"), F.col("l_returnflag").alias("category"), F.col("l_linestatus").alias("tier"),
+        F.when(F.col("l_quantity") == 1, 0.0).otherwise(F.round(F.col("l_extendedprice") / 16)).alias("amount"), F.when(F.col("l_quantity") != 2, "USD").alias("currency"),
+        F.when(F.col("l_linestatus") != "O", F.when(F.col("l_returnflag") == "R", "not_found").otherwise("verified")).alias("check_status"),
+        F.when(F.col("l_quantity") == 3, "unpriced").alias("notes"),
+    )))
+    o = load(spark, d, "orders").withColumn("day", F.col("o_orderdate").cast("date")).withColumn("acronym", F.concat(F.lit("K"), F.expr(_LETTERS.replace("varchar", "string"))))
+    key = F.col("o_orderkey")
+    start = F.when(key % 50 > 0, F.col("day"))
+    ranges = fee_range(fees.where(is_counted(F.col("check_status"))), "entity_id")
+    best = ranges.select(F.col("entity_id").alias("o_orderkey"), "fee_min", "fee_max", "currency")
+    entities = cut(table(spark, ENTITIES, o.join(best, "o_orderkey", "left").select(
+        key.alias("id"), "acronym", start.alias("start_date"), F.date_add("day", (key % 40 - 1).cast("int")).alias("end_date"), F.expr(_COUNTRY).alias("country"),
+        F.when(key % 45 == 1, F.date_add("day", 1)).otherwise(F.date_sub("day", 30)).alias("paper_deadline"), F.when(key % 60 == 2, F.date_add("day", 1)).alias("abstract_deadline"),
+        case("o_orderstatus", {"F": "enriched", "O": "collected"}, "needs_review").alias("status"), F.when(F.col("o_orderstatus") == "P", fv.NOTE_NOT_PUBLISHED).alias("review_note"),
+        F.when(key % 9 == 1, "ftp//x").when(key % 9 == 2, f"https://{next(iter(fv.FLAGGED_HOSTS))}/a").otherwise("https://h.org/").alias("homepage"),
+        F.when(key % 11 == 0, F.coalesce("fee_min", F.lit(0.0)) + 1).otherwise(F.col("fee_min")).alias("fee_min"), "fee_max", "currency",
+    )))
+    listings = table(spark, LISTINGS, load(spark, d, "events").select(
+        F.col("event_id").alias("id"), F.col("event_type").alias("source"), F.col("user_id").cast("string").alias("source_id"),
+        F.when(F.col("event_id") % 100 > 0, F.col("user_id")).alias("entity_id"), F.lit(True).alias("in_window"), (F.col("value") > 50).alias("is_topic"),
+    ))
+    shown = cut(o.where("o_orderkey % 3 > 0").join(best, "o_orderkey", "left").select(
+        key.alias("id"), start.alias("start_date"), F.when(key % 83 != 8, "Fees found").alias("fee_status"), F.lit(None).cast("string").alias("organizer_flag"),
+        F.when(key % 97 == 5, F.concat(F.lit("mail p"), (key % 7).cast("string"), F.lit("@x.org"))).alias("description"),
+        F.when(key % 89 == 7, "https://edas.info/r.php?c=1&p=5").alias("registration_url"),
+        F.when(F.col("currency").isNotNull(), F.struct((F.col("fee_max") + F.when(key % 79 == 10, 0.5).otherwise(0)).alias("amount"), "currency")).alias("standard_fee"),
+    ))
+    counted = fees.where(is_counted(F.col("check_status")) & (F.col("entity_id") % 3 > 0))
+    shown_fees = counted.select("id", "entity_id", "amount", "currency", F.when(F.col("notes").isNull(), F.col("amount")).alias("amount_usd"))
+    inside = F.col("start_date").between(CONFIG.window_start, CONFIG.window_end)
+    weeks = shown.agg((F.count_if(inside) + 1).alias("total"))
+    details = load(spark, d, "supplier", "s_suppkey").where("s_suppkey < 7").select(F.lit("email").alias("kind"), F.concat(F.lit("p"), F.col("s_suppkey").cast("string"), F.lit("@x.org")).alias("value"))
+    out = qa.audit(entities, fees, listings, rates(spark), {"entities": shown, "fees": shown_fees, "weeks": weeks}, details, CONFIG, everything=True)
+    return out.withColumn("examples", F.array_join("examples", "; "))

@@ -306,37 +306,40 @@ def nested(entities: DataFrame, fees: DataFrame, listings: DataFrame, ident: int
 def summary(entities: DataFrame, listings: DataFrame, config: EngineConfig) -> DataFrame:
     """(section, item, n): every count of the overview in one table.
 
-    Countries are counted before they meet the country table, so the join sees one row per
-    spelling.
+    Each table is read once. Entities are counted by status, country and whether they have a fee,
+    listings by source and entity; those rows are all that the sections are summed from.
     """
-    part = lambda df, section, item: df.groupBy(item.cast("string").alias("item")).agg(
-        F.count("*").alias("n")
-    ).select(F.lit(section).alias("section"), "item", "n")
-    by_country = entities.groupBy("country", F.col("fee_min").isNotNull().alias("has_fee")).agg(
-        F.count("*").alias("n")
+    one = lambda section, item, n: F.struct(
+        F.lit(section).alias("section"), item.cast("string").alias("item"), n.cast("bigint").alias("n")
     )
-    placed = with_country(by_country, "country").withColumn("continent", F.coalesce("continent", F.lit(UNKNOWN)))
-    continents = placed.groupBy(F.col("continent").alias("item")).agg(F.sum("n").alias("n"))
-    scope = placed.where(F.col("continent").isin(*config.scope_continents)).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("all"),
-        F.coalesce(F.sum(F.when(F.col("has_fee"), F.col("n"))), F.lit(0)).alias("fees"),
-    ).select(F.explode(F.map_from_arrays(F.array(F.lit("entities"), F.lit("entities_with_fees")), F.array("all", "fees"))).alias("item", "n"))
-    flags = listings.agg(
-        F.count_if("in_window").alias("w"), F.count_if(F.col("in_window") & F.col("is_topic")).alias("t")
-    ).select(F.explode(F.map_from_arrays(F.array(F.lit("in_window"), F.lit("in_window_topic")), F.array("w", "t"))).alias("item", "n"))
-    linked = listings.where("entity_id is not null").groupBy(F.col("source").alias("item")).agg(
-        F.countDistinct("entity_id").alias("n")
+    n = F.col("n")
+    # n if the condition holds, 0 else: a count of nothing is a row as well
+    those = lambda condition, count: F.when(condition, count).otherwise(0)
+
+    counted = entities.groupBy("status", "country", F.col("fee_min").isNotNull().alias("has_fee")).agg(F.count("*").alias("n"))
+    placed = with_country(counted, "country").withColumn("continent", F.coalesce("continent", F.lit(UNKNOWN)))
+    in_area = F.col("continent").isin(*config.scope_continents)
+    of_entities = F.array(
+        one("entities_by_status", F.col("status"), n),
+        one("entities_by_continent", F.col("continent"), n),
+        one("scope", F.lit("entities"), those(in_area, n)),
+        one("scope", F.lit("entities_with_fees"), those(in_area & F.col("has_fee"), n)),
+        one("entities_with_fees", F.lit("all"), those(F.col("has_fee"), n)),
     )
-    with_fees = entities.agg(F.count("fee_min").alias("n")).select(F.lit("all").alias("item"), "n")
-    named = lambda df, section: df.select(F.lit(section).alias("section"), "item", "n")
-    out = part(listings, "listings_by_source", F.col("source"))
-    for df in (
-        part(entities, "entities_by_status", F.col("status")),
-        named(continents, "entities_by_continent"),
-        named(linked, "entities_by_source"),
-        named(scope, "scope"),
-        named(flags, "listings"),
-        named(with_fees, "entities_with_fees"),
-    ):
-        out = out.unionByName(df)
-    return out
+    linked = listings.groupBy("source", "entity_id").agg(
+        F.count("*").alias("n"),
+        F.count_if("in_window").alias("inside"),
+        F.count_if(F.col("in_window") & F.col("is_topic")).alias("on_topic"),
+    )
+    of_listings = F.array_compact(F.array(
+        one("listings_by_source", F.col("source"), n),
+        F.when(F.col("entity_id").isNotNull(), one("entities_by_source", F.col("source"), F.lit(1))),
+        one("listings", F.lit("in_window"), F.col("inside")),
+        one("listings", F.lit("in_window_topic"), F.col("on_topic")),
+    ))
+    always = entities.sparkSession.createDataFrame(
+        [("scope", "entities", 0), ("scope", "entities_with_fees", 0), ("entities_with_fees", "all", 0), ("listings", "in_window", 0), ("listings", "in_window_topic", 0)],
+        "section string, item string, n bigint",
+    )
+    rows = always.unionByName(placed.select(F.inline(of_entities))).unionByName(linked.select(F.inline(of_listings)))
+    return rows.groupBy("section", "item").agg(F.sum("n").alias("n"))
