@@ -90,40 +90,6 @@ def window_flag(spark, d):
     )
 
 
-@query("""
-select o_orderkey as id, o_orderstatus as status, cast(cast(o_orderdate as date) as varchar) as start_date from orders
-join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey
-where cast(o_orderdate as date) between date '1996-01-01' and date '1998-12-31' and o_orderstatus = 'F' and r_name = 'ASIA'
-  and exists (select 1 from lineitem where l_orderkey = o_orderkey and l_returnflag = 'N')
-order by cast(o_orderdate as date), o_orderkey limit 100 offset 20""")
-def search_entities(spark, d):
-    """Status, source, scope and date filters run before the page is cut."""
-    owners = load(spark, d, "lineitem", "l_orderkey", "l_returnflag").where("l_returnflag = 'N'")
-    asia = (
-        load(spark, d, "nation")
-        .join(load(spark, d, "region").where("r_name = 'ASIA'"), F.col("n_regionkey") == F.col("r_regionkey"))
-    )
-    people = load(spark, d, "customer", "c_custkey", "c_nationkey").join(
-        asia, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi"
-    )
-    span = predicates.DateRange(starts_from=dt.date(1996, 1, 1), starts_to=dt.date(1998, 12, 31))
-    found = (
-        orders(spark, d)
-        .where(span.conditions(F.col("start_date"), F.col("start_date")))
-        .where("status = 'F'")
-        .join(people, F.col("customer") == F.col("c_custkey"), "left_semi")
-        .join(owners, F.col("id") == F.col("l_orderkey"), "left_semi")
-    )
-    page = predicates.paged(found, [F.col("start_date"), F.col("id")], 100, 20)
-    return page.select("id", "status", F.col("start_date").cast("string").alias("start_date"))
-
-
-@query("select p_partkey as id, p_name as name from part where p_name ilike '%RING%' or p_brand ilike '%RING%' order by p_partkey limit 50")
-def search_substring(spark, d):
-    found = load(spark, d, "part").where(predicates.matches_text("RING", F.col("p_name"), F.col("p_brand")))
-    return predicates.paged(found, [F.col("p_partkey")], 50).select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
-
-
 @query("""
 select doc_id as id from documents left join labels using (doc_id)
 where n_chars > 500 and quality is distinct from 0 and lang <> 'en'""")
@@ -174,17 +140,6 @@ def anti_orphans(spark, d):
     )
 
 
-@query("""
-select c_custkey as id, coalesce(ids, '') as children from customer left join (select o_custkey,
-  string_agg(cast(o_orderkey as varchar), ',' order by o_orderkey) as ids from orders group by 1) on c_custkey = o_custkey""")
-def nested_children(spark, d):
-    ids = orders(spark, d).groupBy("customer").agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    text = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
-    return load(spark, d, "customer", "c_custkey").join(ids, F.col("c_custkey") == F.col("customer"), "left").select(
-        F.col("c_custkey").alias("id"), F.coalesce(text, F.lit("")).alias("children")
-    )
-
-
 # ---------------------------------------------------------------- fees
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -11,11 +13,13 @@ from listmill.bindings.tables import CONFIG, LINE_ORDER, SQL_LINE_ORDER, case, r
 from listmill.engine import cut, load
 from listmill.functions.labels import is_counted
 from listmill.functions.places import UNKNOWN
+from listmill.operators import history, predicates
 from listmill.operators.fees import fee_range
 from listmill.operators.survivors import refresh_ranges
 from listmill.plans import audit as qa
 from listmill.plans import consolidate, marts, reading
 from listmill.schemas import ENTITIES, FEES, LISTINGS
+from listmill.sources import answers
 
 # ---------------------------------------------------------------- fees of listings
 
@@ -285,3 +289,118 @@ def audit_all_checks(spark, d):
     details = load(spark, d, "supplier", "s_suppkey").where("s_suppkey < 7").select(F.lit("email").alias("kind"), F.concat(F.lit("p"), F.col("s_suppkey").cast("string"), F.lit("@x.org")).alias("value"))
     out = qa.audit(entities, fees, listings, rates(spark), {"entities": shown, "fees": shown_fees, "weeks": weeks}, details, CONFIG, everything=True)
     return out.withColumn("examples", F.array_join("examples", "; "))
+
+
+# ---------------------------------------------------------------- reads of pages
+
+@query(_STORED + f"""
+select id, case when not fresh then status when n = 0 or good then 'enriched' else 'needs_review' end as status,
+  case when not fresh then 'before' when n = 0 then null when good then said else coalesce(missed, '{fv.NOTE_UNVERIFIED}' || coalesce(said, 'see the fee checks')) end as note,
+  case when fresh and n > 0 then lo else 77.0 end as fee_min, case when fresh and n > 0 then hi else 77.0 end as fee_max
+from (select *, read and id % 5 > 0 as fresh from notes)""")
+def applied_reads(spark, d):
+    """Answers about pages, applied: their fees replace the stored ones of the page and are checked against its
+    text; a text that was read before changes nothing."""
+    lines = load(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("entity_id"), F.col("l_linestatus").alias("category"), "l_returnflag", F.expr(_AMOUNT).alias("amount")
+    )
+    shown = F.concat(F.lit("Author fee USD "), F.format_number("amount", 0))
+    nothing = F.lit(None).cast("string")
+    fee = F.struct("category", nothing.alias("tier"), "amount", F.lit("us$").alias("currency"), nothing.alias("notes"))
+    pages = lines.groupBy("entity_id").agg(
+        F.array_join(F.sort_array(F.collect_set(F.when(F.col("l_returnflag") != "R", shown))), "\n").alias("text"),
+        F.array_sort(F.collect_list(F.when(F.col("entity_id") % 7 != 0, fee))).alias("fees"),
+    ).where("text <> ''")
+    said = F.to_json(F.struct(F.lit(True).alias("fees_published"), "fees"))
+    reads = pages.select(
+        "entity_id", "text", F.sha2("text", 256).alias("fingerprint"), (F.col("entity_id") % 5 == 0).alias("unchanged"),
+        nothing.alias("note"), F.lit("2026-09-01").cast("timestamp").alias("read_at"), said.alias("answer"),
+    )
+    reads = answers.extracted_records(reads)[0].drop("answer")
+    order = load(spark, d, "orders")
+    entities = table(spark, ENTITIES, order.select(
+        F.col("o_orderkey").alias("id"), case("o_orderstatus", {"F": "enriched", "O": "needs_review"}, "collected").alias("status"), F.lit("before").alias("review_note"),
+        F.lit(77.0).alias("fee_min"), F.lit(77.0).alias("fee_max"), F.lit("USD").alias("currency"),
+    ))
+    stored = table(spark, FEES, order.select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("entity_id"), F.lit(77.0).alias("amount"), F.lit("USD").alias("currency"),
+        F.lit("homepage").alias("source"), F.lit("verified").alias("check_status"),
+    ))
+    done, _ = reading.apply_reads(entities, stored, table(spark, LISTINGS, spark.createDataFrame([], "id bigint")), reads)
+    return done.select("id", "status", F.col("review_note").alias("note"), "fee_min", "fee_max")
+
+
+# ---------------------------------------------------------------- searches and nested rows
+
+@query(f"""
+select o_orderkey as id, o_orderstatus as status, cast(cast(o_orderdate as date) as varchar) as start_date from orders
+where cast(o_orderdate as date) between date '1996-01-01' and date '1998-12-31' and o_orderstatus = 'F' and {_CONTINENT} = 'Asia' and o_totalprice > 1e5
+  and exists (select 1 from lineitem where l_orderkey = o_orderkey and l_returnflag = 'N')
+order by cast(o_orderdate as date), o_orderkey limit 100 offset 20""")
+def search_entities(spark, d):
+    """Status, fee, source, continent and date filters run before the page is cut."""
+    entities = table(spark, ENTITIES, load(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").cast("date").alias("start_date"),
+        F.expr(_COUNTRY).alias("country"), F.when(F.col("o_totalprice") > 1e5, F.col("o_totalprice")).alias("fee_min"),
+    ))
+    listings = table(spark, LISTINGS, load(spark, d, "lineitem").select(F.col("l_orderkey").alias("entity_id"), F.col("l_returnflag").alias("source")))
+    span = predicates.DateRange(starts_from=dt.date(1996, 1, 1), starts_to=dt.date(1998, 12, 31))
+    found = marts.search_entities(entities, listings, status="F", has_fees=True, continent="asia", source="N", dates=span, limit=100, offset=20)
+    return found.select("id", "status", F.col("start_date").cast("string").alias("start_date"))
+
+
+@query("select p_partkey as id, p_name as name from part where (p_name ilike '%RING%' or p_brand ilike '%RING%') and p_size > 10 order by p_partkey limit 50")
+def search_substring(spark, d):
+    listings = table(spark, LISTINGS, load(spark, d, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_brand").alias("acronym"), (F.col("p_size") > 10).alias("in_window")
+    ))
+    return marts.search_listings(listings, in_window=True, q="RING").select("id", "name")
+
+
+@query("""
+select c_custkey as id, coalesce(ids, '') as children, coalesce(n, 0) as n_listings from customer
+left join (select o_custkey, string_agg(cast(o_orderkey as varchar), ',' order by o_orderkey) as ids from orders group by 1) o on c_custkey = o_custkey
+left join (select user_id, count(*) as n from events group by 1) e on user_id = c_custkey""")
+def nested_children(spark, d):
+    """Customers with their orders as fees and their events as listings."""
+    entities = table(spark, ENTITIES, load(spark, d, "customer").select(F.col("c_custkey").alias("id")))
+    fees = table(spark, FEES, load(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("entity_id")))
+    listings = table(spark, LISTINGS, load(spark, d, "events").select(F.col("event_id").alias("id"), F.col("user_id").alias("entity_id")))
+    ids = F.array_join(F.transform("fees", lambda f: f["id"].cast("string")), ",")
+    n = F.coalesce(F.size("listings"), F.lit(0))
+    return marts.nested(entities, fees, listings).select("id", F.coalesce(ids, F.lit("")).alias("children"), F.greatest(n, F.lit(0)).cast("bigint").alias("n_listings"))
+
+
+# ---------------------------------------------------------------- earlier editions
+
+_SERIES = "concat('Quantum Garden ', translate(cast(o_custkey as string), '0123456789', 'ABCDEFGHIJ'), ' Walks')"
+
+
+@query("""
+with items as (
+    select o_custkey as id, 1970 + o_orderkey % 29 as year, o_orderkey % 2 as answer, o_orderkey as pos, 'P' || o_orderkey % 3 as publisher
+    from orders where o_orderkey % 5 > 0 and not (o_custkey % 2 = 0 and o_orderkey % 5 = 1)),
+one as (select * from items qualify row_number() over (partition by id, year order by answer, pos) = 1),
+top as (select * from one qualify row_number() over (partition by id order by year desc) <= 12),
+listed as (
+    select id, max(year) as newest, string_agg(year::varchar, ',' order by year desc) as years, string_agg(distinct publisher, ',' order by publisher) as publishers
+    from top group by id)
+select c_custkey as id, coalesce(years, '') as years, coalesce(publishers, '') as publishers, coalesce(newest >= 1996, false) as has_history,
+  case when newest < 1996 then 'only editions up to ' || newest || ' were found: probably another series with the same name' end as note
+from customer left join listed on listed.id = c_custkey""")
+def edition_history(spark, d):
+    """Items that answer for a customer's series, by acronym or by name; the newest twelve years count."""
+    series = F.expr(_SERIES)
+    entities = load(spark, d, "customer").select(F.col("c_custkey").alias("id")).withColumn("o_custkey", F.col("id")).select(
+        "id", series.alias("name"), F.when(F.col("id") % 2 == 0, F.concat(F.lit("K"), F.expr(_LETTERS.replace("varchar", "string")))).alias("acronym"), F.lit("2000-05-01").cast("date").alias("start_date")
+    )
+    key = F.col("o_orderkey")
+    own = F.concat(series, F.lit(" (K"), F.expr(_LETTERS.replace("varchar", "string")), F.lit(")"))
+    named = F.when(key % 5 == 0, "Entirely different matters").when((F.col("o_custkey") % 2 == 0) & (key % 5 == 1), F.concat(series, F.lit(" (OTHER)"))).otherwise(own)
+    items = load(spark, d, "orders").select(
+        F.col("o_custkey").alias("id"), (key % 2).cast("int").alias("answer"), key.cast("int").alias("pos"), F.array(F.lit("Proceedings of nothing"), named).alias("names"),
+        (1970 + key % 29).cast("int").alias("year"), F.concat(F.lit("P"), (key % 3).cast("string")).alias("publisher"), key.cast("string").alias("doi"),
+    )
+    records = history.history_records(entities, history.editions(entities, items)).select("id", "history.*")
+    years = F.array_join(F.transform("editions", lambda e: e["year"].cast("string")), ",")
+    return records.select("id", years.alias("years"), F.array_join("publishers", ",").alias("publishers"), "has_history", "note")

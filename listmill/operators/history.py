@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from listmill import fixed_values as fv
@@ -71,8 +72,11 @@ def first_per_year(found: DataFrame, entity: str) -> DataFrame:
 def history_records(entities: DataFrame, found: DataFrame, entity: str = "id") -> DataFrame:
     """(entity, history): newest editions first, whether they make a recent history, a note
     when they are too old. Entities without editions get an empty record."""
-    rows = F.sort_array(F.collect_list(F.struct("year", "name", "publisher", "doi")), asc=False)
-    listed = found.groupBy(entity).agg(F.slice(rows, 1, fv.MAX_EDITIONS).alias("editions"))
+    # cut to the newest before the shuffle and again behind it; an entity's list is never longer
+    fields = ["year", "name", "publisher", "doi"]
+    newest = W.partitionBy(entity).orderBy(*[F.col(c).desc_nulls_last() for c in fields])
+    top = found.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= fv.MAX_EDITIONS)
+    listed = top.groupBy(entity).agg(F.sort_array(F.collect_list(F.struct(*fields)), asc=False).alias("editions"))
     empty = F.array().cast("array<struct<year:int,name:string,publisher:string,doi:string>>")
     joined = entities.join(listed, entity, "left").withColumn(
         "editions", F.coalesce("editions", empty)

@@ -99,17 +99,18 @@ def after_marker(rows: DataFrame, page: str, position: str, marker: Column, out:
 
 
 def fair_shares(sections: DataFrame, entity: str, order: str, section: str, total: int, out: str = "text") -> DataFrame:
-    """(entity, out): an entity's sections in order, each cut to an equal share of ``total``."""
-    parts = F.array_sort(F.collect_list(F.struct(F.col(order), F.col(section).alias("s"))))
-    share = F.floor(F.lit(total) / F.size("parts")).cast("int")
-    return (
-        sections.groupBy(entity)
-        .agg(parts.alias("parts"))
-        .withColumn("share", share)
-        .select(
-            entity,
-            F.array_join(
-                F.transform("parts", lambda p: F.left(p["s"], F.col("share"))), "\n\n"
-            ).alias(out),
-        )
+    """(entity, out): an entity's sections in order, each cut to an equal share of ``total``.
+
+    Sections are counted first and cut where they lie; only what is left of them is brought
+    together, so an entity's row holds ``total`` characters and its separators, however much it has.
+    """
+    share = sections.groupBy(entity).agg(F.count("*").alias("_n")).withColumn("_share", F.floor(F.lit(total) / F.col("_n")).cast("int"))
+    cut_down = sections.join(share, entity).select(
+        entity, "_n", F.when(F.col("_share") > 0, F.struct(F.col(order).alias("o"), F.left(section, F.col("_share")).alias("s"))).alias("part")
+    )
+    parts = F.array_sort(F.collect_list("part"))  # nulls, of shares without a character, are not collected
+    joined = F.array_join(F.transform("parts", lambda p: p["s"]), "\n\n")
+    gaps = F.repeat(F.lit("\n\n"), F.col("n").cast("int") - 1)
+    return cut_down.groupBy(entity).agg(parts.alias("parts"), F.first("_n").alias("n")).select(
+        entity, F.when(F.size("parts") == 0, gaps).otherwise(joined).alias(out)
     )
