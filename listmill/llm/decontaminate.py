@@ -13,11 +13,13 @@ from where it would stand without edits. This leaves out no window that could ma
 from __future__ import annotations
 
 import pickle
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from listmill.engine import cut
 from listmill.llm.common import parts
+from listmill.llm.files import new_folder, opened
 
 SIMILARITY = 0.8
 #: Walks, samples of steps from each walk, steps in a sample. Measured on passages with up to a
@@ -35,6 +38,8 @@ SEED = 20240607
 RUN = 4
 #: Bytes of benchmark text that one pass over the documents is held against.
 BLOCK_BYTES = 8 << 20
+#: Bytes of documents that a task holds while it opens all blocks.
+HELD_BYTES = 32 << 20
 #: Windows of a document that are embedded together, words that a worker remembers.
 WINDOWS, REMEMBERED = 1 << 14, 300_000
 
@@ -278,30 +283,101 @@ class WordIds(dict):
         return ids[ids >= 0]
 
 
-def blocks(benchmark: DataFrame, item_column: str, text_column: str, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[object, str | None]]]:
-    """The items in blocks of up to ``block_bytes`` of text, as the driver can hold and send them.
+def in_blocks(benchmark: DataFrame, item_column: str, text_column: str, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
+    """block, item_id, text of the different items, and the number of blocks.
 
-    Equal rows are one before anything is sized or collected. Items of more than an eighth of a block
-    are placed one by one and the others in groups by hash; an item longer than a block is a block.
+    Blocks hold up to ``block_bytes`` of text. Items of more than an eighth of that are placed one by
+    one and the others in groups by hash; an item longer than a block is a block. The driver sees the
+    sizes of groups and long items, no text.
     """
     size, hashed = F.octet_length("text") + F.lit(64), F.xxhash64("item_id", "text")
     items = benchmark.select(F.col(item_column).alias("item_id"), F.col(text_column).alias("text")).where("text is not null").distinct()
     items = cut(items.withColumn("size", size.cast("bigint")).withColumn("hashed", hashed))
     total = items.agg(F.sum("size")).first()[0] or 0
     groups, long = 64 * -(-total // block_bytes), F.col("size") > block_bytes // 8
-    if not groups:
+    items = items.withColumn("long", long).withColumn("unit", F.when(long, F.col("hashed")).otherwise(F.pmod("hashed", F.lit(max(1, groups)))))
+    block, filled, placed = 0, 0, []
+    for is_long, unit, n in sorted(map(tuple, items.groupBy("long", "unit").agg(F.sum("size")).collect())):
+        if filled and filled + n > block_bytes:
+            block, filled = block + 1, 0
+        filled += n
+        placed.append((is_long, unit, block))
+    where = benchmark.sparkSession.createDataFrame(placed, "long boolean, unit bigint, block int")
+    return items.join(where, ["long", "unit"]).select("block", "item_id", "text"), block + bool(placed)
+
+
+def stored_indexes(
+    benchmark: DataFrame, item_column: str, text_column: str, similarity: float, walks: int, samples: int, block_bytes: int
+) -> list[str]:
+    """Paths of the blocks' indexes: each is built by the task that has the block and written below
+    the shared folder, an attempt under its own name."""
+    items, count = in_blocks(benchmark, item_column, text_column, block_bytes)
+    if not count:
+        return []
+    folder = new_folder(benchmark.sparkSession, "benchmark")
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = opened(folder)
+        store.create_dir(base, recursive=True)
+        done, block, held = [], None, []
+
+        def close() -> None:
+            name = f"block-{block:06d}-{uuid.uuid4().hex}"
+            with store.open_output_stream(f"{base}/{name}", compression=None) as out:
+                out.write(pickle.dumps(vars(Index(similarity, walks, samples).build(sorted(held, key=repr)))))
+            done.append((block, f"{folder}/{name}"))
+            held.clear()
+
+        for batch in batches:
+            for number, item, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if block is not None and number != block:
+                    close()
+                block = number
+                held.append((item, text))
+        if held:
+            close()
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), (pa.int32(), pa.string()))], names=["block", "path"])
+
+    tasks = min(count, 100_000)
+    spread = items.repartitionById(tasks, F.col("block") % tasks).sortWithinPartitions("block")
+    return [r["path"] for r in cut(spread.mapInArrow(build, "block int, path string")).orderBy("block").collect()]
+
+
+class Opened:
+    """The stored indexes, one in memory at a time; a single one stays open."""
+
+    def __init__(self, paths: list[str]):
+        self.paths, self.at = paths, None
+
+    def __iter__(self) -> Iterator[tuple[Index, WordIds]]:
+        for path in self.paths:
+            if self.at != path:
+                self.one = None  # let go before the next is read
+                folder, _, name = path.rpartition("/")
+                store, base = opened(folder)
+                with store.open_input_stream(f"{base}/{name}", compression=None) as file:
+                    index = Index(0, 0, 0)
+                    vars(index).update(pickle.loads(file.read()))
+                self.at, self.one = path, (index, WordIds(index))
+            yield self.one
+
+
+def _held_together(batches: Iterator[pa.RecordBatch], column: int, paths: list[str]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices: as they come for one block, else of up to HELD_BYTES, since each slice
+    opens all blocks."""
+    if len(paths) < 2:
+        yield from batches
         return
-    items = items.withColumn("long", long).withColumn("unit", F.when(long, F.col("hashed")).otherwise(F.pmod("hashed", F.lit(groups))))
-    units = sorted(map(tuple, items.groupBy("long", "unit").agg(F.sum("size")).collect()))
-    filled, taken = 0, []
-    for at, (is_long, unit, n) in enumerate(units):
-        filled, taken = filled + n, [*taken, (is_long, unit)]
-        if at + 1 == len(units) or filled + units[at + 1][2] > block_bytes:
-            inside = F.lit(False)
-            for kind in {x for x, _ in taken}:
-                inside |= (F.col("long") == kind) & F.col("unit").isin([u for x, u in taken if x == kind])
-            yield sorted(((r["item_id"], r["text"]) for r in items.where(inside).select("item_id", "text").collect()), key=repr)
-            filled, taken = 0, []
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += pc.sum(pc.fill_null(pc.binary_length(batch.column(column)), 0)).as_py() or 0
+        if size > HELD_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def find_leaks(
@@ -322,8 +398,9 @@ def find_leaks(
     words of it in word edits; ``edits`` are the fewest and ``last_word`` the place where the first
     such stretch ends, counted over the normalised words. Null or empty texts hold nothing, items
     without words are never held, repeated documents give a row each, equal items too.
-    The benchmark is the query set: its blocks are sent to all tasks one after the other, each
-    bounded by ``block_bytes`` or one longer item. Documents are not shuffled.
+    The benchmark is the query set: its blocks lie in the shared folder and a task opens them one
+    after the other, so its memory holds one block (bounded by ``block_bytes`` or one longer item),
+    however many there are. Documents are read once and not shuffled.
     """
     item_type = benchmark.schema[item_column].dataType
     schema = T.StructType(
@@ -331,28 +408,22 @@ def find_leaks(
         + [T.StructField(c, T.LongType()) for c in ("edits", "item_words", "last_word")]
     )
     texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    out = docs.sparkSession.createDataFrame([], schema)
-    for block in blocks(benchmark, item_column, item_text_column, block_bytes):
-        found = _held(texts, Index(similarity, walks, samples).build(block), schema)
-        out = out.unionByName(found)
-    return out
-
-
-def _held(texts: DataFrame, index: Index, schema: T.StructType) -> DataFrame:
-    sent = texts.sparkSession.sparkContext.broadcast(pickle.dumps(index))
+    paths = stored_indexes(benchmark, item_column, item_text_column, similarity, walks, samples, block_bytes)
+    if not paths:
+        return docs.sparkSession.createDataFrame([], schema)
+    item_arrow = to_arrow_type(item_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = pickle.loads(sent.value)
-        ids = WordIds(own)
-        for batch in batches:
-            for part in parts(batch, 1):
-                rows = list(own.matches([ids.of(text or "") for text in part.column(1).to_pylist()]))
-                if rows:
-                    at, items, *numbers = zip(*rows)
-                    columns = [part.column(0).take(pa.array(at)), pa.array(items, item_arrow), *map(pa.array, numbers)]
-                    yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    item_arrow = to_arrow_type(schema["item_id"].dataType)
+        indexes = Opened(paths)
+        for batch in _held_together(batches, 1, paths):
+            for index, ids in indexes:
+                for part in parts(batch, 1):
+                    rows = list(index.matches([ids.of(text or "") for text in part.column(1).to_pylist()]))
+                    if rows:
+                        at, items, *numbers = zip(*rows)
+                        columns = [part.column(0).take(pa.array(at)), pa.array(items, item_arrow), *map(pa.array, numbers)]
+                        yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
     return texts.mapInArrow(run, schema)
 
 
@@ -370,21 +441,25 @@ def drop_leaks(
     """The rows of ``docs`` that hold no item, in its columns.
 
     Every row is judged by its own text where it is read, so nothing is shuffled and repeated and null
-    ids need no rule; each block of the benchmark takes out rows that the next one need not see.
+    ids need no rule; each block of the benchmark takes out rows that the next one need not see. A
+    task opens the blocks one after the other, see ``find_leaks``.
     """
     at = docs.columns.index(text_column)
-    for block in blocks(benchmark, item_column, item_text_column, block_bytes):
-        sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(Index(similarity, walks, samples).build(block)))
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            own = pickle.loads(sent.value)
-            ids = WordIds(own)
-            for batch in batches:
-                for part in parts(batch, at):
-                    clean = np.ones(part.num_rows, bool)
-                    for match in own.matches([ids.of(text or "") for text in part.column(at).to_pylist()]):
-                        clean[match[0]] = False
-                    yield part if clean.all() else part.filter(pa.array(clean))
-
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    paths = stored_indexes(benchmark, item_column, item_text_column, similarity, walks, samples, block_bytes)
+    if not paths:
+        return docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        indexes = Opened(paths)
+        for batch in _held_together(batches, at, paths):
+            clean = np.ones(batch.num_rows, bool)
+            for index, ids in indexes:
+                left = np.flatnonzero(clean)
+                first = 0
+                for part in parts(batch.filter(pa.array(clean)), at):
+                    for match in index.matches([ids.of(text or "") for text in part.column(at).to_pylist()]):
+                        clean[left[first + match[0]]] = False
+                    first += part.num_rows
+            yield batch if clean.all() else batch.filter(pa.array(clean))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -120,8 +120,41 @@ def test_blocks_are_bounded_and_hold_each_item_once(spark):
     items = [(i, f"item {i} " + "w " * rng.randint(1, 400)) for i in range(300)] + [(1000, "long " * 2000), (1001, "longer " * 2000)]
     copies = [(2000, "the same row " * 20)] * 200
     benchmark = spark.createDataFrame(items + copies + [(5, None)], "item_id long, text string").repartition(4)
-    found = list(dec.blocks(benchmark, "item_id", "text", 4000))
-    assert sorted(x for block in found for x in block) == sorted(items + copies[:1])
-    sizes = [sum(len(t) + 64 for _, t in block) for block in found]
-    assert all(n <= 4000 or len(block) == 1 for n, block in zip(sizes, found))
-    assert sum(n > 4000 for n in sizes) == 2
+    rows, count = dec.in_blocks(benchmark, "item_id", "text", 4000)
+    found = {}
+    for r in rows.collect():
+        found.setdefault(r.block, []).append((r.item_id, r.text))
+    assert sorted(found) == list(range(count))
+    assert sorted(x for block in found.values() for x in block) == sorted(items + copies[:1])
+    sizes = {b: sum(len(t) + 64 for _, t in block) for b, block in found.items()}
+    assert all(n <= 4000 or len(found[b]) == 1 for b, n in sizes.items())
+    assert sum(n > 4000 for n in sizes.values()) == 2
+
+
+def test_forty_blocks_are_one_scan_and_one_step(spark):
+    """However many blocks: the documents are read once, by one Python step, with one index in memory."""
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choices(words, k=rng.randint(8, 60)))) for i in range(800)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = []
+    for i in range(0, 800, 5):
+        filler = rng.choices(words, k=40)
+        docs.append((i, " ".join(filler[:20] + edited(rng, items[i][1].split(), i // 5 % 2, words) + filler[20:])))
+    docs += [(10_000 + i, " ".join(rng.choices(words, k=80))) for i in range(100)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    block_bytes = sum(len(t) + 64 for _, t in items) // 40
+    paths = dec.stored_indexes(benchmark, "item_id", "text", dec.SIMILARITY, dec.WALKS, dec.SAMPLES, block_bytes)
+    assert len(paths) >= 40
+    leaks = dec.find_leaks(df, benchmark, block_bytes=block_bytes)
+    kept = dec.drop_leaks(df, benchmark, block_bytes=block_bytes)
+    for out in (leaks, kept):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("MapInArrow") == 1 and plan.count("Scan") == 1 and "Union" not in plan
+    found = {(r.doc_id, r.item_id) for r in leaks.collect()}
+    want = {(i, i) for i in range(0, 800, 5)}
+    assert len(want & found) >= 0.95 * len(want)
+    assert found == {(r.doc_id, r.item_id) for r in dec.find_leaks(df, benchmark).collect()}
+    assert {r.doc_id for r in kept.collect()} == {i for i, _ in docs} - {i for i, _ in found}
+    indexes = dec.Opened(paths)
+    assert [index for index, _ in indexes][0].items and len(pickle.dumps(indexes.one[0])) < 100 * block_bytes
