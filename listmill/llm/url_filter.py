@@ -57,14 +57,14 @@ class Level:
     seed: int
 
     def holds(self, key: Column) -> Column:
-        """Whether all bits of a key are set."""
-        found = F.lit(True)
-        for i in range(HASHES):
-            place = _place(key, self.seed, i, self.bits)
+        """Whether all bits of a key are set. The filter's bytes stand in the plan once."""
+        places = F.array(*(_place(key, self.seed, i, self.bits) for i in range(HASHES)))
+
+        def is_set(place: Column) -> Column:
             byte = F.substring(F.lit(self.data), (F.floor(place / 8) + 1).cast("int"), F.lit(1))
-            value = F.conv(F.hex(byte), 16, 10).cast("int")
-            found = found & (F.call_function("bit_get", value, (place % 8).cast("int")) == 1)
-        return found
+            return F.call_function("bit_get", F.conv(F.hex(byte), 16, 10).cast("int"), (place % 8).cast("int")) == 1
+
+        return F.forall(places, is_set)
 
 
 def _place(key: Column, seed: int, i: int, bits: int) -> Column:
