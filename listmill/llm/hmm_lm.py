@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from listmill.engine import cut
 from listmill.llm.common import fold_of
 
-STATES, ROUNDS = 8, 2
+#: States; the most rounds over all training documents, and the gain of a round per token (natural
+#: logarithm) below which there is no other.
+STATES, ROUNDS, LEAST_GAIN = 8, 5, 1e-3
 #: Word classes; class 0 is the end of a text.
 CLASSES = 1 << 16
 #: Tokens of a chunk, and tokens that go through the model together; a longer text comes by itself.
@@ -240,8 +242,9 @@ def first_guess(sequences: list[np.ndarray], shared: np.ndarray, states: int) ->
     return best
 
 
-def train_round(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected counts over all rows of ``classes``: summed in each task, then added up by class.
+def train_round(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected counts over all rows of ``classes`` and the log-likelihood of them under ``model``:
+    summed in each task, then added up by class.
 
     A task gives one row per class it has met, so the driver receives at most CLASSES rows.
     """
@@ -251,13 +254,13 @@ def train_round(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = pickle.loads(sent.value)
-        starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros_like(own.emits, np.float64)
+        starts, moves, emits, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros_like(own.emits, np.float64), 0.0
         held, tokens = [], 0
 
         def add() -> None:
-            nonlocal starts, moves, emits
-            a, b, c, _ = own.expected_counts(held)
-            starts, moves, emits = starts + a, moves + b, emits + c
+            nonlocal starts, moves, emits, likelihood
+            a, b, c, d = own.expected_counts(held)
+            starts, moves, emits, likelihood = starts + a, moves + b, emits + c, likelihood + d
 
         for batch in batches:
             for data in batch.column(0).to_pylist():
@@ -272,20 +275,34 @@ def train_round(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray,
         rows = np.concatenate([emits[used], moves, starts[None, :]])
         at = np.concatenate([used, -1 - np.arange(k), [-1 - k]]).astype(np.int64)
         values = [pa.array(rows[:, i].astype(np.float32)) for i in range(k)]
-        yield pa.RecordBatch.from_arrays([pa.array(at), *values], names=["at", *columns])
+        likelihoods = np.where(at == -1 - k, likelihood, 0.0)
+        yield pa.RecordBatch.from_arrays([pa.array(at), *values, pa.array(likelihoods)], names=["at", *columns, "likelihood"])
 
-    schema = ", ".join(["at bigint", *(f"{c} float" for c in columns)])
-    sums = texts.select("classes").mapInArrow(run, schema).groupBy("at").agg(*(F.sum(c).alias(c) for c in columns))
-    starts, moves, emits = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k))
+    schema = ", ".join(["at bigint", *(f"{c} float" for c in columns), "likelihood double"])
+    sums = texts.select("classes").mapInArrow(run, schema).groupBy("at").agg(*(F.sum(c).alias(c) for c in [*columns, "likelihood"]))
+    starts, moves, emits, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k)), 0.0
     for row in sums.collect():
-        values = row[1:]
+        values, likelihood = row[1:-1], likelihood + row[-1]
         if row[0] >= 0:
             emits[row[0]] = values
         elif row[0] >= -k:
             moves[-1 - row[0]] = values
         else:
             starts[:] = values
-    return starts, moves, emits
+    return starts, moves, emits, likelihood
+
+
+def trained(texts: DataFrame, model: Model, shared: np.ndarray, tokens: int, rounds: int = ROUNDS, least_gain: float = LEAST_GAIN) -> tuple[Model, list[float]]:
+    """Rounds over all training documents until the likelihood stops rising or ``rounds`` are done:
+    the last model, and the log-likelihood per token under the model that each round began with."""
+    per_token: list[float] = []
+    for _ in range(rounds):
+        *counts, likelihood = train_round(texts, model)
+        per_token.append(likelihood / max(1, tokens))
+        model = estimated(*counts, shared)
+        if len(per_token) > 1 and per_token[-1] - per_token[-2] < least_gain:
+            break
+    return model, per_token
 
 
 def sample_pieces(texts: DataFrame) -> list[np.ndarray]:
@@ -377,9 +394,7 @@ def score_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     shared = shared / max(1, shared.sum())
     model = Model(np.ones(1), np.ones((1, 1)), np.ones((CLASSES, 1)))
     if class_tokens.sum():
-        model = first_guess(sample_pieces(training), shared, states)
-        for _ in range(rounds):
-            model = estimated(*train_round(training, model), shared)
+        model, _ = trained(training, first_guess(sample_pieces(training), shared, states), shared, int(class_tokens.sum()), rounds)
     scorer = Scorer(model, int(class_tokens.sum()), int(class_words.sum()), class_tokens, class_words)
     sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(scorer))
     train_tokens = scorer.tokens

@@ -116,3 +116,18 @@ def test_odd_inputs(spark, monkeypatch):
     held = [(i, "some words") for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 1]
     only = hmm.score_texts(spark.createDataFrame(held, "doc_id long, text string")).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 and r.score == r.base_score for r in only)
+
+
+def test_rounds_over_the_corpus_go_on_while_the_likelihood_rises(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(rng.choice(["a b c", "d e f"], p=[0.9, 0.1] if i % 2 else [0.1, 0.9]) for _ in range(30))) for i in range(200)]
+    stored = hmm.cut(hmm.chunked(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text"))
+    texts = stored.where("word is null and classes is not null")
+    shared = np.full(hmm.CLASSES, 1 / hmm.CLASSES)
+    sequences = [hmm.unpacked(r.classes, "<u2") for r in texts.collect()]
+    tokens = sum(map(len, sequences))
+    begin = hmm.first_guess(sequences[:4], shared, 2)
+    _, risen = hmm.trained(texts, begin, shared, tokens, rounds=6, least_gain=-1)
+    assert len(risen) == 6 and all(b > a - 1e-4 for a, b in zip(risen, risen[1:]))
+    assert math.isclose(risen[0], sum(begin.expected_counts([s])[3] for s in sequences) / tokens, rel_tol=1e-4)
+    assert len(hmm.trained(texts, begin, shared, tokens, rounds=6, least_gain=10)[1]) == 2
