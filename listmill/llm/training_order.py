@@ -169,7 +169,7 @@ def materialise(
             raise RuntimeError(f"partition {part} was read differently the second time")
 
     def packed(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-        packer = zstandard.ZstdCompressor(level=1)
+        packer = zstandard.ZstdCompressor(level=3)
         sequence, place, data = zip(*rows)
         slots = layout.order.slots(np.array(sequence))
         data = [packer.compress(d) for d in data]  # half the bytes to shuffle
@@ -271,11 +271,17 @@ def token_order(docs: DataFrame, key: int, ranks: bytes, pattern: str, text_colu
     """The training order of texts as BPE token ids of 2 bytes (the end mark 0xFFFF behind each text).
 
     The ids are computed once and stored below the shared folder, as two passes read them; shards
-    are written there too and read back; a row per slot.
+    are written there too and read back; a row per slot. A null or empty text is its end alone, a
+    very long one runs through many sequences, repeated rows are repeated, an empty table gives no
+    rows; other columns are not read.
     """
     if max(bpe.rank_of_tokens(ranks).values(), default=0) >= 0xFFFF:
         raise ValueError("an id is the end mark or above it")
-    ids = cut(bpe.encode(docs.select(text_column), ranks, pattern, text_column, width=2))
+    path = new_folder(docs.sparkSession, "ids")
+    ids = bpe.encode(docs.select(text_column), ranks, pattern, text_column, width=2)
+    # pages of ids compress to half, which the default codec does not reach
+    ids.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "6").parquet(path)
+    ids = docs.sparkSession.read.schema(ids.schema).parquet(path)
     manifest, layout = materialise(ids, new_folder(docs.sparkSession, "order"), key, length=length)
     return read_shards(manifest, layout, with_data=False)
 
