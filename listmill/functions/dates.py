@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from listmill import fixed_values as fv
+from listmill.functions.money import literal_map
 from listmill.functions.regex import bind, squash
 
 _DAY = r"(\d{1,2})"
@@ -37,8 +38,7 @@ _RANGES = [
 
 def month_number(word: Column) -> Column:
     """1..12 from the first three letters, null for any other word."""
-    at = F.position(F.substring(F.lower(word), 1, 3), F.lit("janfebmaraprmayjunjulaugsepoctnovdec"))
-    return F.when((F.length(word) >= 3) & (at % 3 == 1), ((at + 2) / 3).cast("int"))
+    return F.try_element_at(literal_map(fv.MONTHS), F.substring(F.lower(word), 1, 3))
 
 
 def build_date(year: Column, month: Column, day: Column) -> Column:
