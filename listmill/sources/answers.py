@@ -1,7 +1,16 @@
-"""JSON answers of search services and extractors as listing rows."""
+"""JSON answers of search services and extractors as rows.
+
+Services change their answers' shapes without notice: a number becomes a string, a list of one its
+only member, a place a plain text. Bodies are therefore parsed into variants and each field is asked
+for by path and kind; what cannot be read as that kind is null. A body that is no JSON, or holds
+something else where its rows should stand, is one row of a reject table with a reason and never a
+failed run. Null bodies count as broken; a JSON null or a missing field is simply null.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,109 +18,189 @@ from listmill import fixed_values as fv
 from listmill.functions.regex import blank_to_null, squash
 from listmill.functions.urls import repaired_url
 
-SEARCH = """entity struct<totalResults:int, results:array<struct<eventId:bigint, eventTitle:string,
-  startDate:string, endDate:string, location:struct<city:string,region:string,country:string>,
-  about:string, eventFormat:string, isvirtual:string, sponsors:string, url:string>>>"""
-DETAIL = """entity struct<eventDetail:struct<eventId:bigint, url:string, scope:string, venues:string,
-  eventContact:string, keywords:string, callForPapers:string>>"""
-INDEX = """message struct<items:array<struct<DOI:string, `container-title`:array<string>,
-  title:array<string>, published:struct<`date-parts`:array<array<int>>>, publisher:string,
-  event:struct<name:string>, type:string>>>"""
-EXTRACTED = """name string, acronym string, start_date string, end_date string, city string,
-  country string, description string, abstract_deadline string, paper_deadline string,
-  notification_date string, camera_ready_deadline string, registration_deadline string,
-  registration_url string, fees_published boolean,
-  fees array<struct<category:string, tier:string, amount:double, currency:string, notes:string>>,
-  notes string"""
+#: Reasons of rejects: no JSON; something else where the rows should stand; a row that is none.
+BROKEN, SHAPE, RESULT = "broken", "shape", "result"
+
+_TEXTS = [
+    "name", "acronym", "start_date", "end_date", "city", "country", "description", "abstract_deadline",
+    "paper_deadline", "notification_date", "camera_ready_deadline", "registration_deadline", "registration_url",
+]
+#: The fields of an extraction answer, in order, and those of its fees.
+EXTRACTED = [*((t, "string") for t in _TEXTS), ("fees_published", "boolean"), ("fees", None), ("notes", "string")]
+EXTRACTED_FEE = [("category", "string"), ("tier", "string"), ("amount", "double"), ("currency", "string"), ("notes", "string")]
+
+
+def _at(value: Column, path: str, kind: str = "string") -> Column:
+    return F.try_variant_get(value, path, kind)
+
+
+def _held(value: Column, path: str) -> Column:
+    """Whether there is something at ``path`` that is not null."""
+    found = _at(value, path, "variant")
+    return found.isNotNull() & ~F.is_variant_null(found)
+
+
+def _is_object(value: Column, path: str = "$") -> Column:
+    return _at(value, path, "map<string,variant>").isNotNull()
+
+
+def _members(value: Column, path: str) -> Column:
+    """The members of a list, or a single object as a list of one; null for anything else."""
+    alone = F.when(_is_object(value, path), F.array(_at(value, path, "variant")))
+    return F.coalesce(_at(value, path, "array<variant>"), alone)
 
 
 def _list(text: Column, mark: str) -> Column:
     return F.filter(F.transform(F.split(text, mark), lambda t: F.trim(t)), lambda t: t != "")
 
 
-def search_listings(bodies: DataFrame, body: str = "body") -> DataFrame:
-    """Search responses -> one listing per result, with the response's total."""
-    rows = bodies.select(F.from_json(body, SEARCH).alias("b")).select(
-        F.coalesce("b.entity.totalResults", F.lit(0)).alias("total"),
-        F.explode("b.entity.results").alias("r"),
-    )
-    part = lambda f: blank_to_null(F.trim(F.col(f"r.location.{f}")))
-    title = squash(F.col("r.eventTitle"))
+def _texts(value: Column, path: str, mark: str) -> Column:
+    """The texts of a list, or of one text that is split at ``mark``; blank ones are left out."""
+    listed = F.filter(F.transform(_at(value, path, "array<string>"), lambda t: F.trim(t)), lambda t: t != "")
+    return F.coalesce(listed, _list(_at(value, path), mark))
+
+
+def _reason(value: Column, objects: list[str], rows: str | None = None) -> Column:
+    """Why a body gives no rows, null where it may: ``objects`` and the place of ``rows`` may be missing or null."""
+    wrong = ~_is_object(value)
+    for path in objects:
+        wrong = wrong | (_held(value, path) & ~_is_object(value, path))
+    if rows:
+        wrong = wrong | (_held(value, rows) & _members(value, rows).isNull())
+    return F.when(value.isNull(), BROKEN).when(wrong, SHAPE)
+
+
+def _parsed(bodies: DataFrame, body: str, keep: list[str]) -> DataFrame:
+    return bodies.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keep)), F.try_parse_json(body).alias("v"))
+
+
+def _kept(keep: list[str]) -> list[Column]:
+    return [F.col(f"_k{i}").alias(k) for i, k in enumerate(keep)]
+
+
+def _results(bodies: DataFrame, body: str, keep: list[str]) -> DataFrame:
+    v = F.col("v")
+    total = F.coalesce(_at(v, "$.entity.totalResults", "bigint"), F.lit(0)).alias("total")
+    rows = F.explode(_members(v, "$.entity.results")).alias("r")
+    return _parsed(bodies, body, keep).select(*(f"_k{i}" for i in range(len(keep))), total, rows)
+
+
+def search_listings(bodies: DataFrame, body: str = "body", keep: list[str] | None = None) -> DataFrame:
+    """Search responses -> one listing per result, with the response's total and the columns ``keep``."""
+    keep, r = keep or [], F.col("r")
+    rows = _results(bodies, body, keep).where(_at(r, "$.eventId").isNotNull())
+    part = lambda f: blank_to_null(F.trim(_at(r, f"$.location.{f}")))
+    title = squash(F.coalesce(_at(r, "$.eventTitle"), F.lit("")))
     acronym = F.regexp_extract(title, r"\(([A-Za-z0-9][A-Za-z0-9&\-/ ]{1,24})\)\s*$", 1)
+    plain = F.when(~_is_object(r, "$.location"), blank_to_null(squash(_at(r, "$.location"))))
+    flag = _at(r, "$.isvirtual")
     return rows.select(
+        *_kept(keep),
         "total",
-        F.col("r.eventId").cast("string").alias("source_id"),
+        _at(r, "$.eventId").alias("source_id"),
         title.alias("name"),
         blank_to_null(F.trim(acronym)).alias("acronym"),
-        F.col("r.startDate").try_cast("date").alias("start_date"),
-        F.col("r.endDate").try_cast("date").alias("end_date"),
-        blank_to_null(
-            F.concat_ws(", ", part("city"), part("region"), part("country"))
-        ).alias("location_raw"),
+        _at(r, "$.startDate").try_cast("date").alias("start_date"),
+        _at(r, "$.endDate").try_cast("date").alias("end_date"),
+        F.coalesce(blank_to_null(F.concat_ws(", ", part("city"), part("region"), part("country"))), plain).alias("location_raw"),
         part("city").alias("city"),
         part("country").alias("country"),
-        _list(F.col("r.about"), ";").alias("categories"),
+        F.coalesce(_texts(r, "$.about", ";"), F.array().cast("array<string>")).alias("categories"),
         F.to_json(
             F.struct(
-                F.col("r.eventId").alias("ieee_event_id"),
-                F.col("r.sponsors").alias("sponsors"),
-                F.col("r.eventFormat").alias("event_format"),
-                F.coalesce(F.col("r.isvirtual") == "Y", F.lit(False)).alias("virtual"),
+                _at(r, "$.eventId", "bigint").alias("ieee_event_id"),
+                _at(r, "$.sponsors").alias("sponsors"),
+                _at(r, "$.eventFormat").alias("event_format"),
+                F.coalesce((flag == "Y") | (flag == "true"), F.lit(False)).alias("virtual"),
             )
         ).alias("extra"),
     )
 
 
-def details(bodies: DataFrame, body: str = "body") -> DataFrame:
-    """Detail responses -> event_id, homepage, description, venue, contact, keywords, call."""
-    d = "b.entity.eventDetail"
-    return bodies.select(F.from_json(body, DETAIL).alias("b")).select(
-        F.col(f"{d}.eventId").alias("event_id"),
-        repaired_url(F.col(f"{d}.url")).alias("homepage"),
-        blank_to_null(squash(F.col(f"{d}.scope"))).alias("description"),
-        blank_to_null(F.array_join(_list(F.col(f"{d}.venues"), ","), ", ")).alias("venue"),
-        blank_to_null(F.trim(F.col(f"{d}.eventContact"))).alias("contact"),
-        F.coalesce(_list(F.col(f"{d}.keywords"), ","), F.array().cast("array<string>")).alias("keywords"),
-        F.col(f"{d}.callForPapers").alias("call_for_papers"),
+def search_rejects(bodies: DataFrame, body: str = "body", keep: list[str] | None = None) -> DataFrame:
+    """``keep``, reason: the search responses that gave no rows, and one row for each result without an id."""
+    keep = keep or []
+    reason = _reason(F.col("v"), ["$.entity"], "$.entity.results")
+    whole = _parsed(bodies, body, keep).select(*_kept(keep), reason.alias("reason")).where("reason is not null")
+    rows = _results(bodies, body, keep).where(_at(F.col("r"), "$.eventId").isNull())
+    return whole.unionByName(rows.select(*_kept(keep), F.lit(RESULT).alias("reason")))
+
+
+def details(bodies: DataFrame, body: str = "body", keep: list[str] | None = None) -> DataFrame:
+    """Detail responses -> event_id, homepage, description, venue, contact, keywords, call, one row per response.
+
+    ``rejected`` says why a response could not be read; all else is null then.
+    """
+    keep, v = keep or [], F.col("v")
+    d = lambda f, kind="string": _at(v, f"$.entity.eventDetail.{f}", kind)
+    place = "$.entity.eventDetail"
+    return _parsed(bodies, body, keep).select(
+        *_kept(keep),
+        d("eventId", "bigint").alias("event_id"),
+        repaired_url(d("url")).alias("homepage"),
+        blank_to_null(squash(d("scope"))).alias("description"),
+        blank_to_null(F.array_join(_texts(v, f"{place}.venues", ","), ", ")).alias("venue"),
+        blank_to_null(F.trim(d("eventContact"))).alias("contact"),
+        F.coalesce(_texts(v, f"{place}.keywords", ","), F.array().cast("array<string>")).alias("keywords"),
+        d("callForPapers").alias("call_for_papers"),
+        _reason(v, ["$.entity", place]).alias("rejected"),
     )
 
 
 def published_items(bodies: DataFrame, key: str, body: str = "body") -> DataFrame:
-    """Bibliographic answers -> (key, pos, names, year, publisher, doi), one row per item."""
-    items = bodies.select(key, F.from_json(body, INDEX).alias("b")).select(
-        key, F.posexplode("b.message.items").alias("pos", "i")
-    )
-    none = F.array().cast("array<string>")
-    volume = F.when(F.col("i.type").isin(fv.VOLUME_TYPES), F.col("i.title"))
-    names = F.concat(
-        F.array(F.col("i.event.name")),
-        F.coalesce(F.col("i.container-title"), none),
-        F.coalesce(volume, none),
-    )
-    first = F.get(F.get(F.col("i.published.date-parts"), F.lit(0)), F.lit(0))
-    return items.select(
+    """Bibliographic answers -> (key, pos, names, year, publisher, doi), one row per item that is an object.
+
+    ``item_rejects`` has the rest.
+    """
+    items = _parsed(bodies, body, [key]).select(*_kept([key]), F.posexplode(_members(F.col("v"), "$.message.items")).alias("pos", "i"))
+    i = F.col("i")
+    titles = lambda f: F.coalesce(_at(i, f, "array<string>"), F.array(_at(i, f)))
+    volume = F.when(_at(i, "$.type").isin(fv.VOLUME_TYPES), titles("$.title"))
+    names = F.concat(F.array(_at(i, "$.event.name")), titles("$['container-title']"), F.coalesce(volume, F.array().cast("array<string>")))
+    date = "$.published['date-parts']"
+    year = F.coalesce(_at(i, f"{date}[0][0]", "int"), _at(i, f"{date}[0]", "int"))
+    return items.where(_is_object(i)).select(
         key,
         "pos",
         F.filter(names, lambda n: n.isNotNull() & (n != "")).alias("names"),
-        first.alias("year"),
-        F.col("i.publisher").alias("publisher"),
-        F.col("i.DOI").alias("doi"),
+        year.alias("year"),
+        _at(i, "$.publisher").alias("publisher"),
+        _at(i, "$.DOI").alias("doi"),
     )
 
 
+def item_rejects(bodies: DataFrame, key: str, body: str = "body") -> DataFrame:
+    """(key, reason): the bibliographic answers that gave no rows, and one row for each item that is no object."""
+    v = F.col("v")
+    answers = _parsed(bodies, body, [key])
+    whole = answers.select(*_kept([key]), _reason(v, ["$.message"], "$.message.items").alias("reason")).where("reason is not null")
+    items = answers.select(*_kept([key]), F.explode(_members(v, "$.message.items")).alias("i")).where(~_is_object(F.col("i")))
+    return whole.unionByName(items.select(key, F.lit(RESULT).alias("reason")))
+
+
+def _field(value: Column, name: str, kind: str) -> Column:
+    found = _at(value, f"$.{name}", kind)
+    return F.when(~F.isnan(found) & (F.abs(found) < float("inf")), found) if kind == "double" else found
+
+
+def _unread(value: Column, fields: list[tuple[str, str]]) -> Column:
+    """Whether a field holds something that is not of its kind."""
+    return reduce(Column.__or__, [_held(value, f"$.{name}") & _field(value, name, kind).isNull() for name, kind in fields])
+
+
 def extracted_records(answers: DataFrame, body: str = "answer") -> tuple[DataFrame, DataFrame]:
-    """Extraction answers -> (good rows with an ``extracted`` struct, bad rows as they are).
+    """Extraction answers -> (good rows with an ``extracted`` struct, bad rows with a ``rejected`` reason).
 
-    A broken answer is one bad row, never a failed run.
+    A broken answer is one bad row, never a failed run; so is one with a field that is not of its
+    kind, such as an amount in words. A single fee in place of a list is a list of one.
     """
-    parsed = answers.withColumn(
-        "extracted",
-        F.from_json(
-            body,
-            EXTRACTED + ", _corrupt_record string",
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"},
-        ),
-    )
-    bad = F.col("extracted").isNull() | F.col("extracted._corrupt_record").isNotNull()
-    good = parsed.where(~bad).withColumn("extracted", F.col("extracted").dropFields("_corrupt_record"))
-    return good, parsed.where(bad).drop("extracted")
+    v, fees = F.col("_v"), _members(F.col("_v"), "$.fees")
+    fee = lambda f: F.struct(*(_field(f, name, kind).alias(name) for name, kind in EXTRACTED_FEE))
+    columns = [(F.transform(fees, fee) if kind is None else _field(v, name, kind)).alias(name) for name, kind in EXTRACTED]
+    plain = [(name, kind) for name, kind in EXTRACTED if kind]
+    odd = F.exists(fees, lambda f: ~_is_object(f) | _unread(f, EXTRACTED_FEE))
+    wrong = _unread(v, plain) | F.coalesce(odd, F.lit(False))
+    reason = F.coalesce(_reason(v, [], "$.fees"), F.when(wrong, RESULT))
+    parsed = answers.withColumn("_v", F.try_parse_json(body)).withColumn("rejected", reason)
+    good = parsed.where("rejected is null").withColumn("extracted", F.struct(*columns)).drop("_v", "rejected")
+    return good, parsed.where("rejected is not null").drop("_v")

@@ -353,3 +353,25 @@ def test_dump_and_copy(spark, tmp_path):
     assert '"l":null' in spark.read.text(str(tmp_path / "json")).where("value like '%EDAS%'").first().value
     files.write_dump(df, str(tmp_path / "none"), ["id"], details, empty=True)
     assert spark.read.option("header", True).csv(str(tmp_path / "none")).count() == 0
+
+
+def test_counters_equal_a_recount(spark, tmp_path):
+    """Batches of one file: each has its row, the last row is the count of all; a batch given again changes nothing."""
+    rows = [(f"s{i % 3}", None if i % 5 == 0 else str(i % 5), "n", None, T(2026, 1, 1 + i % 20)) for i in range(60)]
+    for part in range(3):
+        spark.createDataFrame(rows[part * 20 : part * 20 + 20], SIGHT).coalesce(1).write.parquet(str(tmp_path / "in"), mode="append")
+    keys, counts, window = ["source", "source_id"], str(tmp_path / "counts"), F.col("seen_at") < T(2026, 1, 10)
+    stream = ingest.listing_stream(spark, str(tmp_path / "in"), SIGHT, files_per_batch=1)
+    for _ in range(2):
+        ingest.run_available(stream, str(tmp_path / "out"), str(tmp_path / "cp"), keys, counts=counts, in_window=window)
+    got = ingest.counters(spark, counts).orderBy("batch").collect()
+    assert [r.batch for r in got] == [0, 1, 2] and all(r.seen == 20 and r.new + r.updated == 20 for r in got)
+    assert got[0].new == len({r[:2] for r in rows[:20]})
+    last = got[-1]
+    assert (last.all_seen, last.all_new, last.all_in_window) == (60, len({r[:2] for r in rows}), sum(r[4] < T(2026, 1, 10) for r in rows))
+    assert last.all_updated == sum(r.updated for r in got)
+    batch = spark.createDataFrame(rows[:20], SIGHT)
+    ingest.record_counts(counts, 2, batch, batch, keys, window)
+    ingest.record_counts(counts, 3, batch.limit(0), batch, keys, window)
+    again = ingest.counters(spark, counts).orderBy("batch").collect()
+    assert again[:3] == got and (again[3].seen, again[3].new, again[3].all_seen) == (0, 0, 60)
