@@ -1,8 +1,10 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
 The network labels every byte of a text with a distribution over the learned languages; a
-document's distribution is the mean over all its bytes. It is trained in numpy by
-backpropagation through time on windows of a bounded sample of labelled documents.
+document's distribution is the mean over all its bytes. Long texts go through it in windows that
+also read some bytes of their neighbours on either side, so that no label is given by a state that
+has just begun. It is trained in numpy by backpropagation through time on windows of a bounded
+sample of labelled documents.
 """
 
 from __future__ import annotations
@@ -18,15 +20,17 @@ from pyspark.sql import types as T
 
 from listmill.llm.common import fold_of, fresh, parts
 
-#: The sample: documents per language at most, and in all; windows of a document, characters of a window.
+#: The sample: documents per language at most, and in all; windows of a document, characters of a
+#: window, of which as many whole ones train as fit into that many bytes.
 DOCS_PER_LANGUAGE, DOCS_IN_ALL = 400, 4000
 WINDOWS_PER_DOC, WINDOW_CHARS = 6, 64
 #: Texts of a language that are drawn beyond what its share asks, as few are wanted of many languages.
 SPARE = 20
 #: Hidden units of a direction, training steps, windows of a step, learning rate.
 HIDDEN, STEPS, BATCH, RATE = 8, 300, 384, 0.02
-#: Bytes of a window when texts are labelled, and windows that go through the network together.
-SPAN, TOGETHER = 128, 2048
+#: Bytes of a window when texts are labelled, bytes that it also reads before and after, and windows
+#: that go through the network together.
+SPAN, CONTEXT, TOGETHER = 256, 24, 2048
 #: What a text without any letter is.
 UNDETERMINED = "und"
 SEED = 7
@@ -168,34 +172,51 @@ class Network:
                 b += 0.001 * (g * g - b)
                 p -= speed * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)
 
-    def label_bytes(self, texts: list[bytes], span: int = SPAN) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Windows over all bytes of all texts: (text of each window, its length, probabilities [byte, window, language])."""
+    def label_bytes(self, texts: list[bytes], span: int = SPAN, context: int = CONTEXT) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Windows over all bytes of all texts: (window, its text, its length, probabilities [byte, window, language]).
+
+        Both directions begin ``context`` bytes outside a window, or at the text's end where that is
+        nearer; what they say of those bytes is left to the window that holds them.
+        """
         sizes = np.array([len(t) for t in texts], np.int64)
-        flat = np.frombuffer(b"".join(texts) + bytes(span), np.uint8)
+        flat = np.frombuffer(b"".join(texts) + bytes(span + 2 * context), np.uint8)
         counts = -(-sizes // span)
         text = np.repeat(np.arange(len(texts)), counts)
         index = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
-        starts = (np.cumsum(sizes) - sizes)[text] + index * span
         lengths = np.minimum(span, sizes[text] - index * span)
-        for full in (True, False):
-            which = np.flatnonzero((lengths == span) == full)
-            which = which[np.argsort(lengths[which], kind="stable")]
+        lead = np.minimum(context, index * span)
+        read = lead + lengths + np.minimum(context, sizes[text] - index * span - lengths)
+        starts = (np.cumsum(sizes) - sizes)[text] + index * span - lead
+        alike = (lead == context) & (lengths == span) & (read == span + 2 * context)
+        for inner in (True, False):
+            which = np.flatnonzero(alike == inner)
+            which = which[np.argsort(read[which], kind="stable")]
             for a in range(0, len(which), TOGETHER):
                 part = which[a : a + TOGETHER]
-                most = int(lengths[part].max())
-                steps = np.ascontiguousarray(flat[starts[part][None, :] + np.arange(most)[:, None]])
-                yield part, text[part], lengths[part], self.probabilities(steps, lengths[part])[0]
-
-    def pooled(self, texts: list[bytes]) -> np.ndarray:
+                steps = np.ascontiguousarray(flat[starts[part][None, :] + np.arange(int(read[part].max()))[:, None]])
+                p = self.probabilities(steps, read[part])[0]
+                if inner:
+                    own = p[context : context + span]
+                else:
+                    at = lead[part] + np.arange(int(lengths[part].max()))[:, None]
+                    own = p[np.minimum(at, len(p) - 1), np.arange(len(part))]
+                yield part, text[part], lengths[part], own
+
+    def pooled(self, texts: list[bytes], span: int = SPAN, context: int = CONTEXT) -> np.ndarray:
         """The mean distribution over the bytes of each text; zeros for an empty one."""
         sums = np.zeros((len(texts), len(self.languages)))
-        for _, text, lengths, p in self.label_bytes(texts):
+        for _, text, lengths, p in self.label_bytes(texts, span, context):
             p[np.arange(len(p))[:, None] >= lengths] = 0
             np.add.at(sums, text, p.sum(axis=0, dtype=np.float64))
         sizes = np.array([max(1, len(t)) for t in texts])
         return sums / sizes[:, None]
 
 
+def whole_characters(text: str, most: int) -> bytes:
+    """The longest beginning of ``text`` in whole characters that takes at most ``most`` bytes."""
+    return text.encode()[:most].decode(errors="ignore").encode()
+
+
 def sample_windows(docs: DataFrame, text_column: str, language_column: str) -> list[tuple[str, str]]:
     """(language, window) pairs of a bounded sample of distinct labelled texts.
 
@@ -234,15 +255,17 @@ def learn(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         return None
     network = Network(sorted({language for language, _ in pairs}))
     number = {language: i for i, language in enumerate(network.languages)}
-    network.train([w.encode()[:WINDOW_CHARS] for _, w in pairs], [number[language] for language, _ in pairs])
+    network.train([whole_characters(w, WINDOW_CHARS) for _, w in pairs], [number[language] for language, _ in pairs])
     return network
 
 
 def predict(df: DataFrame, network: Network | None, text_column: str = "text", language_name: str = "lang_pred", score_name: str = "score") -> DataFrame:
     """``df`` with the predicted language and its probability; a name that is taken gets underscores before it.
 
-    Every byte of the whole text is labelled. A null text, and one without a letter, is ``und`` with
-    score 0, as is every text if no language was learned.
+    Every byte of the whole text is labelled, however long it is, in windows of bounded memory. A null
+    text, and one without a letter, is ``und`` with score 0, as is every text if no language was
+    learned. Of languages with the same probability the first in order of name counts. Repeated rows
+    each get their result; an empty table gives an empty one.
     """
     language_name, score_name = fresh(df, language_name), fresh(df, score_name)
     columns, at = df.columns, df.columns.index(text_column)

@@ -1,4 +1,6 @@
-"""The byte network: gradients against differences, held-out accuracy, and odd inputs."""
+"""The byte network: gradients against differences, forward pass against a plain one, held-out accuracy, odd inputs."""
+
+import math
 
 import numpy as np
 
@@ -27,6 +29,69 @@ def test_gradients_against_differences():
             assert abs((above - below) / (2 * step) - gradient[at]) < 2e-3
 
 
+def plain_states(direction, data):
+    """The unit's states for each byte, one number at a time."""
+    h = direction.hidden
+    inputs, recurrent, bias = (p.astype(float).tolist() for p in direction.parameters)
+    squeeze = lambda x: 1 / (1 + math.exp(-x))
+    state, out = [0.0] * h, []
+    for byte in data:
+        own = [sum(state[k] * recurrent[k][j] for k in range(h)) for j in range(3 * h)]
+        update = [squeeze(inputs[byte][j] + own[j]) for j in range(h)]
+        reset = [squeeze(inputs[byte][h + j] + own[h + j]) for j in range(h)]
+        fresh = [math.tanh(inputs[byte][2 * h + j] + reset[j] * (own[2 * h + j] + bias[j])) for j in range(h)]
+        state = [update[j] * state[j] + (1 - update[j]) * fresh[j] for j in range(h)]
+        out.append(state)
+    return out
+
+
+def plain_pooled(network, text, span, context):
+    """The mean of the labels' distributions, window by window with its surroundings."""
+    output, offset = network.output.astype(float).tolist(), network.offset.astype(float).tolist()
+    sums = [0.0] * len(network.languages)
+    for a in range(0, len(text), span):
+        low, high = max(0, a - context), min(len(text), a + span + context)
+        ahead = plain_states(network.forward, text[low:high])
+        behind = plain_states(network.backward, text[low:high][::-1])[::-1]
+        for i in range(a, min(len(text), a + span)):
+            both = ahead[i - low] + behind[i - low]
+            scores = [math.exp(sum(x * output[k][j] for k, x in enumerate(both)) + offset[j]) for j in range(len(sums))]
+            sums = [s + x / sum(scores) for s, x in zip(sums, scores)]
+    return [s / max(1, len(text)) for s in sums]
+
+
+def test_forward_pass_against_a_plain_one():
+    rng = np.random.default_rng(3)
+    network = lid.Network(["a", "b", "c"], hidden=3)
+    network.forward.bias += 0.3
+    network.backward.bias -= 0.2
+    network.output *= 8
+    network.offset += np.array([0.1, 0, -0.2], np.float32)
+    texts = [bytes(rng.integers(0, 256, n).astype(np.uint8)) for n in (0, 1, 7, 8, 9, 16, 17, 40, 41, 90, 8)]
+    for span, context in ((8, 3), (8, 0), (16, 16), (8, 20), (100, 5)):
+        got = network.pooled(texts, span, context)
+        assert np.allclose(got, [plain_pooled(network, t, span, context) for t in texts], atol=1e-5)
+    # with all of a text around it, a window is labelled as the whole text is
+    assert np.allclose(network.pooled(texts, 8, 90), network.pooled(texts, 90, 0), atol=1e-5)
+
+
+def test_whole_characters_train():
+    assert lid.whole_characters("a\u00e9\u4e2d\u4e2d", 7) == "a\u00e9\u4e2d".encode() and lid.whole_characters("", 5) == b""
+
+
+def test_rows_against_the_plain_network(spark):
+    """The query's labels and scores of whole documents, recomputed one number at a time."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    network = lid.learn(docs)
+    rows = {r.doc_id: r for r in lid.predict(docs, network).collect()}
+    some = sorted((r for r in rows.values() if r.lang_pred != "und"), key=lambda r: len(r.text))[:: max(1, len(rows) // 8)]
+    assert len({r.doc_id for r in some}) >= 5
+    for r in some:
+        p = plain_pooled(network, r.text.encode(), lid.SPAN, lid.CONTEXT)
+        assert abs(max(p) - r.score) < 1e-4 and network.languages[p.index(max(p))] == r.lang_pred
+
+
 def test_pooling_covers_every_byte():
     network = lid.Network(["a", "b"], hidden=4)
     texts = [b"", b"x", b"y" * lid.SPAN, bytes(range(256)) * 3, b"z" * (lid.SPAN + 1)]
