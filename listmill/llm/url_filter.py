@@ -1,7 +1,12 @@
-"""URL rules looked up in Bloom filter cascades: exact over the keys of the corpus, without a join."""
+"""URL rules looked up in Bloom filter cascades: exact over the keys of the corpus, without a join.
+
+Filters travel in the plan, so their size is bounded: keys fall into slices by their hash until each
+slice's cascades fit, and the rows pass the slices one after the other.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,8 +18,10 @@ from listmill.engine import cut
 BITS_PER_KEY, HASHES = 10, 4
 #: Least bits of a level, and bits that one row of the aggregate holds.
 LEAST_BITS, BUCKET_BITS = 64, 32768
-#: Bytes of all levels together that a plan may carry; larger lists are looked up by a join.
+#: Bytes of all levels together that a plan may carry; larger lists take several passes.
 FILTER_LIMIT = 32 << 20
+#: The least limit: a slice of one listed key must fit.
+LEAST_LIMIT = 16
 
 
 def host_of(url: Column) -> Column:
@@ -133,6 +140,36 @@ def build_cascade(listed: DataFrame, universe: DataFrame, limit: int = FILTER_LI
     return Cascade(levels)
 
 
+def slice_of(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit("slice")), F.lit(parts))
+
+
+def sliced_cascades(
+    listed: list[DataFrame], universe: DataFrame, limit: int, parts: int = 1, part: int = 0
+) -> Iterator[tuple[int, int, list[Cascade]]]:
+    """(parts, part, a cascade for each list over the keys of that slice): slices that together hold every key once.
+
+    A slice whose cascades need more than ``limit`` bytes is halved by the next bit of the hash.
+    """
+    if parts > 1:
+        own = lambda df: df.where(slice_of(F.col("key"), parts) == part)
+    else:
+        own = lambda df: df
+    cascades = []
+    for keys in listed:
+        made = build_cascade(own(keys), own(universe), limit // len(listed))
+        if made is None:
+            break
+        cascades.append(made)
+    else:
+        yield parts, part, cascades
+        return
+    if parts == 1:
+        listed, universe = [cut(keys) for keys in listed], cut(universe.distinct())
+    for half in (part, part + parts):
+        yield from sliced_cascades(listed, universe, limit, 2 * parts, half)
+
+
 def judge_urls(pages: DataFrame, rules: DataFrame, id_column: str = "page_id", url_column: str = "url", limit: int = FILTER_LIMIT) -> DataFrame:
     """One row per input row: page_id, host, path, rule, verdict.
 
@@ -141,7 +178,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_column: str = "page_id", u
     host; a key that is listed with both verdicts blocks. A URL that no listed key fits is
     in no list, so it is allowed. A null URL, and one without ``://``, has an empty host and path
     and fits no rule with a path; empty tables give no rows, an empty rule table allows everything.
-    Repeated rows are judged one by one. Only the id and the URL are read.
+    Repeated rows are judged one by one. Only the id and the URL are read. ``limit`` bounds the bytes
+    of filters in a plan: beyond it the rows pass slices of the keys one by one, still without a join.
     """
     rows = pages.select(
         F.col(id_column).alias("page_id"), host_of(F.col(url_column)).alias("host"), path_of(F.col(url_column)).alias("path")
@@ -154,30 +192,22 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_column: str = "page_id", u
     universe = rows.select(F.explode(keys).alias("key"))
     blocking = listed.where("verdict = 'block'").select("key")
     allowing = listed.where("verdict = 'allow'").select("key").join(blocking, "key", "left_anti")
-    block = build_cascade(blocking, universe, limit // 2)
-    allow = build_cascade(allowing, universe, limit // 2)
-    if block is None or allow is None:
-        return _by_join(rows, keys, listed)
-    hits = F.filter(F.transform(keys, lambda k: F.struct(k.alias("key"), block.member(k).alias("blocks"))), lambda x: x["blocks"] | allow.member(x["key"]))
-    return rows.withColumn("hit", F.get(hits, 0)).select(
+    hits = None
+    for parts, part, (block, allow) in sliced_cascades([blocking, allowing], universe, max(limit, LEAST_LIMIT)):
+        found = F.transform(keys, lambda k, i: F.struct(i.alias("rank"), k.alias("key"), block.member(k).alias("blocks")))
+        if parts > 1:
+            mine = F.filter(found, lambda x: (slice_of(x["key"], parts) == part) & (x["blocks"] | allow.member(x["key"])))
+        else:
+            mine = F.filter(found, lambda x: x["blocks"] | allow.member(x["key"]))
+        first = F.get(mine, 0)
+        if parts == 1:
+            hits = rows.withColumn("hit", first)
+        else:
+            hits = cut(rows.withColumn("hit", first) if hits is None else hits.withColumn("hit", F.least("hit", first)))
+    return hits.select(
         "page_id",
         "host",
         "path",
         F.col("hit.key").alias("rule"),
         F.when(F.col("hit.blocks"), "block").otherwise("allow").alias("verdict"),
     )
-
-
-def _by_join(rows: DataFrame, keys: Column, listed: DataFrame) -> DataFrame:
-    """The same rows for lists too large to send to every task: distinct hosts and paths meet the list by key."""
-    places = rows.select("host", "path").distinct()
-    verdicts = listed.groupBy("key").agg(F.max(F.col("verdict") == "block").alias("blocks"))
-    best = (
-        places.select("host", "path", F.posexplode(keys).alias("rank", "key"))
-        .join(verdicts, "key")
-        .groupBy("host", "path")
-        .agg(F.min(F.struct("rank", "key", "blocks")).alias("hit"))
-    )
-    return rows.join(best, ["host", "path"], "left").select(
-        "page_id", "host", "path", F.col("hit.key").alias("rule"), F.when(F.col("hit.blocks"), "block").otherwise("allow").alias("verdict")
-    )

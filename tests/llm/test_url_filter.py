@@ -42,8 +42,24 @@ URLS = [
 
 @pytest.mark.parametrize("limit", [url_filter.FILTER_LIMIT, 0])
 def test_rules_of_the_query(spark, limit):
-    """With no room for filters, the list is joined."""
-    check(spark, URLS * 2, RULES, limit=limit)
+    """With hardly any room for filters, the rows pass slices of the keys."""
+    check(spark, URLS * 2, [*RULES, *((f"h{i}.org", "/", "block") for i in range(9))], limit=limit)
+
+
+def test_slices_hold_every_key_once_and_within_the_limit(spark):
+    universe = spark.range(0, 2000).select(F.concat(F.lit("k"), "id").alias("key"))
+    lists = [universe.where("hash(key) % 3 = 0"), universe.where("hash(key) % 3 = 1")]
+    want = [{r.key for r in x.collect()} for x in lists]
+    seen, slices = [set(), set()], 0
+    for parts, part, cascades in url_filter.sliced_cascades(lists, universe.union(universe), 1000):
+        slices += 1
+        assert sum(c.size for c in cascades) <= 1000 and parts > 1
+        own = universe.where(url_filter.slice_of(F.col("key"), parts) == part)
+        for held, cascade in zip(seen, cascades):
+            new = {r.key for r in own.where(cascade.member(F.col("key"))).collect()}
+            assert not new & held
+            held |= new
+    assert seen == want and slices > 1
 
 
 def test_many_rules_make_many_levels(spark):
