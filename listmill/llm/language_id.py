@@ -30,7 +30,7 @@ SPARE = 20
 HIDDEN, STEPS, BATCH, RATE = 8, 300, 384, 0.02
 #: Bytes of a window when texts are labelled, bytes that it also reads before and after, and windows
 #: that go through the network together.
-SPAN, CONTEXT, TOGETHER = 256, 24, 2048
+SPAN, CONTEXT, TOGETHER = 256, 24, 1024
 #: What a text without any letter is.
 UNDETERMINED = "und"
 SEED = 7
