@@ -57,10 +57,9 @@ class Direction:
     def parameters(self) -> list[np.ndarray]:
         return [self.inputs, self.recurrent, self.bias]
 
-    def states(self, steps: np.ndarray, trace: list | None = None) -> np.ndarray:
-        """Hidden states [step, window, unit] for bytes [step, window]; ``trace`` gets what training needs."""
+    def walk(self, steps: np.ndarray, trace: list | None = None) -> Iterator[np.ndarray]:
+        """Hidden states [window, unit] step by step for bytes [step, window]; ``trace`` gets what training needs."""
         h = self.hidden
-        out = np.empty((*steps.shape, h), np.float32)
         state = np.zeros((steps.shape[1], h), np.float32)
         for t in range(len(steps)):
             given, own = self.inputs[steps[t]], state @ self.recurrent
@@ -71,6 +70,12 @@ class Direction:
             if trace is not None:
                 trace.append((state, update, reset, inner, candidate))
             state = candidate + update * (state - candidate)
+            yield state
+
+    def states(self, steps: np.ndarray, trace: list | None = None) -> np.ndarray:
+        """All hidden states [step, window, unit]."""
+        out = np.empty((*steps.shape, self.hidden), np.float32)
+        for t, state in enumerate(self.walk(steps, trace)):
             out[t] = state
         return out
 
@@ -106,6 +111,14 @@ def _mirrored(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return values[at, np.arange(values.shape[1])]
 
 
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    """Over the last axis, in place."""
+    scores -= scores.max(axis=-1, keepdims=True)
+    np.exp(scores, out=scores)
+    scores /= scores.sum(axis=-1, keepdims=True)
+    return scores
+
+
 class Network:
     """Two directions and a softmax over the languages at every byte."""
 
@@ -125,11 +138,20 @@ class Network:
         ahead = self.forward.states(steps, traces and traces[0])
         behind = self.backward.states(_mirrored(steps, lengths), traces and traces[1])
         states = np.concatenate([ahead, _mirrored(behind, lengths)], axis=2)
-        scores = states @ self.output + self.offset
-        scores -= scores.max(axis=2, keepdims=True)
-        np.exp(scores, out=scores)
-        scores /= scores.sum(axis=2, keepdims=True)
-        return scores, states
+        return _softmax(states @ self.output + self.offset), states
+
+    def labels(self, steps: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The probabilities alone: no state outlives its step, so memory holds one array [step, window, language]."""
+        h, n = self.forward.hidden, len(steps)
+        scores = np.empty((*steps.shape, len(self.languages)), np.float32)
+        for t, state in enumerate(self.forward.walk(steps)):
+            np.matmul(state, self.output[:h], out=scores[t])
+            scores[t] += self.offset
+        alike = bool((lengths == n).all())
+        for t, state in enumerate(self.backward.walk(_mirrored(steps, lengths))):
+            at = slice(None) if alike else np.flatnonzero(lengths > t)
+            scores[n - 1 - t if alike else lengths[at] - 1 - t, at] += state[at] @ self.output[h:]
+        return _softmax(scores)
 
     def loss_and_gradients(self, steps: np.ndarray, lengths: np.ndarray, labels: np.ndarray) -> tuple[float, list[np.ndarray]]:
         """Mean cross-entropy over all labelled bytes, and its gradients in the order of ``parameters``."""
@@ -194,7 +216,7 @@ class Network:
             for a in range(0, len(which), TOGETHER):
                 part = which[a : a + TOGETHER]
                 steps = np.ascontiguousarray(flat[starts[part][None, :] + np.arange(int(read[part].max()))[:, None]])
-                p = self.probabilities(steps, read[part])[0]
+                p = self.labels(steps, read[part])
                 if inner:
                     own = p[context : context + span]
                 else:

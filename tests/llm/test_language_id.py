@@ -146,3 +146,13 @@ def test_odd_inputs(spark, monkeypatch):
     assert lid.predict(docs.limit(0), network).count() == 0
     runs = lid.language_runs(docs.where("doc_id in (0, 1)"), network).collect()
     assert {i: sum(r.n_bytes for r in runs if r.doc_id == i) for i in (0, 1)} == {0: 56, 1: 56}
+
+
+def test_labels_equal_the_probabilities_of_training():
+    rng = np.random.default_rng(3)
+    network = Network(["a", "b", "c"])
+    for lengths in (np.full(6, 20), np.array([1, 20, 7, 20, 13, 2])):
+        steps = rng.integers(0, 256, (20, 6)).astype(np.uint8)
+        inside = np.arange(20)[:, None] < lengths
+        kept, labelled = network.probabilities(steps, lengths)[0], network.labels(steps, lengths)
+        assert np.allclose(kept[inside], labelled[inside], atol=1e-6)
