@@ -150,7 +150,7 @@ def test_odd_inputs(spark, monkeypatch):
 
 def test_labels_equal_the_probabilities_of_training():
     rng = np.random.default_rng(3)
-    network = Network(["a", "b", "c"])
+    network = lid.Network(["a", "b", "c"])
     for lengths in (np.full(6, 20), np.array([1, 20, 7, 20, 13, 2])):
         steps = rng.integers(0, 256, (20, 6)).astype(np.uint8)
         inside = np.arange(20)[:, None] < lengths
