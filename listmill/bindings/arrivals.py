@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from listmill.bindings.registry import query
 from listmill.engine import cut, load, scratch_folder
-from listmill.sources import answers
+from listmill.sources import answers, readers
 
 
 def _result(number: str, quoted: bool = False) -> str:
@@ -148,6 +148,19 @@ def extraction_answers(spark, d):
     return good.unionByName(bad.select("id", "line", "rejected"), allowMissingColumns=True)
 
 
+@query("""
+with t as (select l_orderkey * 10 + l_linenumber as id, l_orderkey as e, bool_and(l_returnflag = 'R') as open from lineitem group by 1, 2)
+select id, case when open then 'unanswered' when e % 9 = 0 then 'broken' when e % 9 = 1 then 'shape' when e % 9 in (2, 4, 5) then 'result' end as rejected,
+  case when not open and e % 9 in (3, 6, 7, 8) then 'E' || e end as name from t""")
+def reader_records(spark, d):
+    """Records by a reader whose answers were landed before: none for returned lines, two for some, and some for lines nobody asks about."""
+    lines = cut(load(spark, d, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.expr(_EXTRACTED_BODY).alias("answer"), "l_returnflag"))
+    given = lines.where("l_returnflag <> 'R'").select("id", "answer")
+    landed = given.unionByName(given.where("id % 3 = 0")).unionByName(given.select(-F.col("id"), "answer").toDF("id", "answer"))
+    good, bad = readers.records(lines.select("id", F.col("l_returnflag").alias("text")), readers.stored(landed, "id"), "id")
+    return good.select("id", F.lit(None).cast("string").alias("rejected"), F.col("extracted.name").alias("name")).unionByName(bad, allowMissingColumns=True)
+
+
 #: Files of events in one micro-batch.
 FILES_PER_BATCH = 64
 

@@ -22,7 +22,7 @@ from listmill.operators.fees import (
 )
 from listmill.operators.survivors import best_values, keep_and_drop
 from listmill.plans import audit as qa
-from listmill.plans.marts import source_name, valued_fees, week_summary
+from listmill.plans.marts import source_name, valued_fees, week_amounts, week_summary, week_totals
 from listmill.sinks.files import flat_columns, json_or_null
 
 # ---------------------------------------------------------------- counts
@@ -254,6 +254,23 @@ def week_summary_of_window(spark, d):
     return out.select(F.col("week").cast("string").alias("week"), F.col("total").cast("bigint").alias("total"), fees_text.alias("fees"))
 
 
+@query("""
+with w as (select unnest(generate_series(date '1996-12-30', date '1997-12-31', interval 7 day))::date as week),
+r as (select date_trunc('week', o_orderdate)::date as week, count(*) as n from orders where o_orderstatus <> 'P' group by 1)
+select cast(w.week as varchar) as week, coalesce(n, 0) as total from w left join r using (week)""")
+def week_totals_of_window(spark, d):
+    return week_totals(orders(spark, d), CONFIG, "start_date", F.col("status") == "P").withColumn("week", F.col("week").cast("string"))
+
+
+@query("""
+select cast(date_trunc('week', o_orderdate)::date as varchar) as week, cast(cast(o_orderdate as date) as varchar) as start, o_orderkey as id, cast(round_even(o_totalprice, 0) as bigint) as usd
+from orders where o_orderstatus <> 'P' and o_totalprice is not null and cast(o_orderdate as date) between date '1996-12-30' and date '1998-01-04'""")
+def week_amounts_of_window(spark, d):
+    """A row per amount of the weeks, however many a week holds."""
+    out = week_amounts(orders(spark, d).withColumn("php", F.lit(None).cast("double")), CONFIG, "id", "start_date", "total", "php", F.col("status") == "P")
+    return out.select(F.col("week").cast("string").alias("week"), F.col("start").cast("string").alias("start"), "id", "usd")
+
+
 def _tickets(spark, d):
     """Fees in a plausible range, and per order a text that shows the prices not returned."""
     line = load(spark, d, "lineitem", "l_orderkey", "l_extendedprice", "l_returnflag", "l_linestatus")

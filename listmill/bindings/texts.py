@@ -19,7 +19,7 @@ from listmill.operators.fee_tables import fees_from_tables
 from listmill.operators.placement import place
 from listmill.plans.audit import first_few
 from listmill.plans.consolidate import judge_topics
-from listmill.sources import deadlines, html, sitemaps
+from listmill.sources import deadlines, html, readers, sitemaps
 
 # ---------------------------------------------------------------- names
 
@@ -275,6 +275,18 @@ def topic_verdict(spark, d):
     )
 
 
+@query(f"""
+with t as (select doc_id as id, lower({_TOPIC_TEXT}) as low from documents),
+h as (select id, len({_sql_hits(fv.TOPIC_POSITIVE)}) as p, len({_sql_hits(fv.TOPIC_NEGATIVE)}) as n from t)
+select id, case when p > n then true when n > 0 and p = 0 then false end as is_topic, case when p <= n and (n = 0 or p > 0) then 'unanswered' end as rejected from h""")
+def reader_topics(spark, d):
+    """Verdicts by a reader that is known by name, and the texts it leaves without one."""
+    tail = case("lang", {"en": "AI data network", "fr": "nursing"}, "education data")
+    docs = load(spark, d, "documents", "doc_id", "text", "lang").select(F.col("doc_id").alias("id"), F.concat_ws(" ", "text", tail).alias("text"))
+    good, bad = readers.topics(docs, "keywords", "id")
+    return good.drop("reason").unionByName(bad, allowMissingColumns=True)
+
+
 _LIMIT = 2000
 _USEFUL_SQL = "fee|registration|register|early[- ]?bird|price|cost|usd|us\\$|nt\\$|\\$|eur|€|£|¥|₹|৳|₱|₩|฿|rmb|cny|idr|inr|jpy|krw|myr|thb|sgd|php|twd|bdt|pkr|" + _word("rm") + "|" + _word("rp") + "|deadline|submission|abstract|notification|camera|important dates|venue|location|held|20\\d\\d"
 
@@ -388,6 +400,25 @@ def scrub_accounts(spark, d):
     return privacy.scrub_table(marked, ["id"], needles).select("id", F.sha2("text", 256).alias("clean"))
 
 
+@query(rf"""
+with needles as (select distinct unnest(regexp_extract_all(text, '{_MAIL}')) as v from documents where contains(text, '@')),
+pairs as (select doc_id, list(v order by -length(v), v) as vs from documents join needles on contains(text, v) group by doc_id),
+clean as (select d.doc_id as id, list_reduce(list_prepend(text, coalesce(vs, [])), lambda a, v: replace(a, v, '[account email]')) as t from documents d left join pairs p on p.doc_id = d.doc_id)
+select id, sha256(t) as listed, sha256(t) as mapped, sha256(t) as inner_text, length(t) > 0 as counted from clean""")
+def nested_scrub(spark, d):
+    """Addresses are taken out of texts in lists, maps and structs alike; what is no text stays."""
+    docs = load(spark, d, "documents", "doc_id", "text").withColumn("id", F.col("doc_id"))
+    needles = cut(privacy.emails_in(docs.select("text"), "text"))
+    text = F.col("text")
+    inner = F.struct(F.array(F.struct(text, F.length(text).alias("n"))).alias("list"), F.create_map(F.lit("body"), text).alias("map"), text.alias("own"))
+    clean = privacy.scrub_table(docs.select("id", inner.alias("nested")), ["id"], needles)
+    digest = lambda c: F.sha2(c, 256)
+    return clean.select(
+        "id", digest(F.col("nested.list")[0]["text"]).alias("listed"), digest(F.col("nested.map")["body"]).alias("mapped"),
+        digest(F.col("nested.own")).alias("inner_text"), (F.col("nested.list")[0]["n"] > 0).alias("counted"),
+    )
+
+
 @query(rf"""
 with needles as (select distinct unnest(regexp_extract_all(text, '{_MAIL}')) as v from documents where contains(text, '@'))
 select doc_id as id, v as "value" from documents join needles on contains(text, v)""")

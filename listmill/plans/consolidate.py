@@ -17,6 +17,7 @@ from listmill.operators.placement import place
 from listmill.operators.predicates import in_window, pending
 from listmill.operators.survivors import apply_listings, fold, keep_and_drop, refresh_ranges
 from listmill.schemas import ENTITIES, EXTRACTED_FEES
+from listmill.sources.readers import Reader, topics
 
 
 def judge_topics(df: DataFrame, text: str, answers: DataFrame | None = None, key: str = "id") -> DataFrame:
@@ -49,13 +50,21 @@ def judge_topics(df: DataFrame, text: str, answers: DataFrame | None = None, key
     )
 
 
+def _texted(listings: DataFrame) -> DataFrame:
+    return listings.withColumn("_text", topic_text(F.col("acronym"), F.col("name"), F.col("categories"), F.col("description")))
+
+
+def second_opinions(listings: DataFrame, config: EngineConfig, read: str | Reader) -> tuple[DataFrame, DataFrame]:
+    """A reader's verdicts as ``filter_listings`` takes them, and its rejects. Only listings inside the
+    window whose keywords leave the verdict open are sent to the reader."""
+    inside = _texted(listings.where(in_window(F.col("start_date"), config.window_start, config.window_end)))
+    open_ = judge_topics(inside, "_text").where("topic.is_topic is null")
+    return topics(open_.select("id", F.col("_text").alias("text"), "url"), read, "id")
+
+
 def filter_listings(listings: DataFrame, config: EngineConfig, answers: DataFrame | None = None) -> DataFrame:
     """Listings with in_window and, inside the window, is_topic and topic_reason."""
-    texted = listings.withColumn(
-        "_text",
-        topic_text(F.col("acronym"), F.col("name"), F.col("categories"), F.col("description")),
-    )
-    judged = judge_topics(texted, "_text", answers)
+    judged = judge_topics(_texted(listings), "_text", answers)
     inside = in_window(F.col("start_date"), config.window_start, config.window_end)
     return judged.select(
         *[

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listmill import fixed_values as fv
@@ -68,19 +68,34 @@ def with_derived(entities: DataFrame, fees: DataFrame, listings: DataFrame, rate
     )
 
 
+def _weeks(spark: SparkSession, config: EngineConfig) -> DataFrame:
+    """(week): every Monday week of the window."""
+    days = F.sequence(monday(F.lit(config.window_start)), F.lit(config.window_end), F.expr("interval 7 days"))
+    return spark.range(1).select(F.explode(days).alias("week"))
+
+
+def week_totals(entities: DataFrame, config: EngineConfig, start: str, flagged: Column) -> DataFrame:
+    """(week, total) for every Monday week of the window, empty ones too; flagged entities left out."""
+    rows = entities.where(~flagged & F.col(start).isNotNull()).groupBy(monday(F.col(start)).alias("week")).agg(F.count("*").alias("total"))
+    return _weeks(entities.sparkSession, config).join(rows, "week", "left").select("week", F.coalesce("total", F.lit(0)).alias("total"))
+
+
+def week_amounts(entities: DataFrame, config: EngineConfig, id: str, start: str, usd: str, php: str, flagged: Column) -> DataFrame:
+    """(week, start, id, usd, php): the amounts behind ``week_summary``, a row each, so that a week may hold
+    any number of them; nothing is shuffled. Entities with neither amount are left out."""
+    first, last = F.to_date(monday(F.lit(config.window_start))), F.date_add(F.to_date(monday(F.lit(config.window_end))), 6)
+    inside = F.col(start).between(first, last) & ~flagged & (F.col(usd).isNotNull() | F.col(php).isNotNull())
+    return entities.where(inside).select(
+        monday(F.col(start)).alias("week"), F.col(start).alias("start"), F.col(id).alias("id"),
+        F.bround(usd).cast("bigint").alias("usd"), F.bround(php).cast("bigint").alias("php"),
+    )
+
+
 def week_summary(
     entities: DataFrame, config: EngineConfig, id: str, start: str, usd: str, php: str, flagged: Column
 ) -> DataFrame:
     """(week, total, fees_usd, fees_php) for every Monday week of the window, empty ones too;
     fees rounded, in order of start and id, flagged entities left out."""
-    spark = entities.sparkSession
-    weeks = spark.range(1).select(
-        F.explode(
-            F.sequence(
-                monday(F.lit(config.window_start)), F.lit(config.window_end), F.expr("interval 7 days")
-            )
-        ).alias("week")
-    )
     rows = entities.where(~flagged & F.col(start).isNotNull()).select(
         monday(F.col(start)).alias("week"),
         F.struct(F.col(start).alias("s"), F.col(id).alias("i"), F.bround(usd).cast("bigint").alias("usd"),
@@ -93,7 +108,7 @@ def week_summary(
         F.transform(F.coalesce("rows", F.array().cast("array<struct<s:date,i:bigint,usd:bigint,php:bigint>>")),
                     lambda r: r[f]), lambda v: v.isNotNull()
     )
-    return weeks.join(listed, "week", "left").select(
+    return _weeks(entities.sparkSession, config).join(listed, "week", "left").select(
         "week",
         F.coalesce("total", F.lit(0)).alias("total"),
         amounts("usd").alias("fees_usd"),

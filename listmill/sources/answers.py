@@ -204,3 +204,16 @@ def extracted_records(answers: DataFrame, body: str = "answer") -> tuple[DataFra
     parsed = answers.withColumn("_v", F.try_parse_json(body)).withColumn("rejected", reason)
     good = parsed.where("rejected is null").withColumn("extracted", F.struct(*columns)).drop("_v", "rejected")
     return good, parsed.where("rejected is not null").drop("_v")
+
+
+def topic_verdicts(answers: DataFrame, body: str = "answer") -> tuple[DataFrame, DataFrame]:
+    """Topic answers -> (good rows with is_topic and reason, bad rows with a ``rejected`` reason).
+
+    An answer without a verdict, or with one that is no boolean, is a bad row; a reason may be missing.
+    """
+    v = F.col("_v")
+    said = _field(v, "is_topic", "boolean")
+    rejected = F.coalesce(_reason(v, []), F.when(said.isNull(), RESULT))
+    parsed = answers.withColumn("_v", F.try_parse_json(body)).withColumn("rejected", rejected)
+    good = parsed.where("rejected is null").withColumns({"is_topic": said, "reason": _field(v, "reason", "string")})
+    return good.drop("_v", "rejected"), parsed.where("rejected is not null").drop("_v")
