@@ -14,7 +14,9 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructTy
 
 from listmill import fixed_values as fv
 
-EMAIL = r"[^()\s<>\[\],;\"]+@[^()\s<>\[\],;\"]+"
+# matches begin where a stretch begins, so that a long stretch without "@" is read once
+EMAIL = r"(?<![^()\s<>\[\],;\"])[^()\s<>\[\],;\"]+@[^()\s<>\[\],;\"]+"
+_AROUND = r"(?<![^)\s@])([^)\s@]++)@(?=([^)\s]+))"
 
 
 def account_details(texts: DataFrame, text: str) -> DataFrame:
@@ -71,7 +73,7 @@ def details_held(rows: DataFrame, key: list[str], text: Column, details: DataFra
         .where(F.col("_text").rlike(r"\d|@"))
         .withColumn("_shapes", _shapes(details))
     )
-    around = F.lit(r"([^)\s@]+)@(?=([^)\s]+))")
+    around = F.lit(_AROUND)
     sides = F.arrays_zip(
         F.regexp_extract_all("_text", around, F.lit(1)).alias("before"), F.regexp_extract_all("_text", around, F.lit(2)).alias("behind")
     )
@@ -83,7 +85,8 @@ def details_held(rows: DataFrame, key: list[str], text: Column, details: DataFra
         )
 
     digits = F.array_distinct(F.regexp_extract_all("_text", F.lit(r"\d+"), F.lit(0)))
-    addresses = F.array_distinct(F.flatten(F.transform(sides, stretches)))
+    none = F.array().cast("array<string>")
+    addresses = F.when(F.col("_text").contains("@"), F.array_distinct(F.flatten(F.transform(sides, stretches)))).otherwise(none)
     tagged = lambda values, kind: F.transform(
         values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value"))
     )

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from listmill.operators import incremental as inc
 from listmill.operators import lines, neighbours, predicates
 from listmill.operators.fees import check_fees, check_summary, fee_range, headlines, mark_repeats
 from listmill.operators.history import editions, history_records
-from listmill.operators.privacy import account_details, details_held, leaks, scrub_table
+from listmill.operators.privacy import account_details, details_held, emails_in, leaks, scrub_table
 from listmill.functions.fee_kinds import classify
 from listmill.plans.audit import first_few, likely_duplicates
 from listmill.sinks import files, versions
@@ -375,3 +376,16 @@ def test_counters_equal_a_recount(spark, tmp_path):
     ingest.record_counts(counts, 3, batch.limit(0), batch, keys, window)
     again = ingest.counters(spark, counts).orderBy("batch").collect()
     assert again[:3] == got and (again[3].seen, again[3].new, again[3].all_seen) == (0, 0, 60)
+
+
+def test_long_stretches_are_read_once(spark):
+    """A stretch of half a million characters before and behind addresses; time grew with its square."""
+    long = "x" * 500_000
+    rows = spark.createDataFrame([(1, f"{long} a@b.org {long}"), (2, f"c@b.org, {long}@d.org")], "id int, t string")
+    details = spark.createDataFrame([("email", "a@b.org"), ("email", f"{'x' * 9}@d.org")], "kind string, value string")
+    began = time.time()
+    held = details_held(rows, ["id"], F.col("t"), details).select("id", F.explode("held.value").alias("v")).collect()
+    assert sorted(held) == [(1, "a@b.org"), (2, "xxxxxxxxx@d.org")]
+    found = {r.value for r in emails_in(rows, "t").collect()}
+    assert found == {"a@b.org", "c@b.org", f"{long}@d.org"}
+    assert time.time() - began < 60
