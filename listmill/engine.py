@@ -45,6 +45,12 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _stored(df: DataFrame) -> str:
+    path = f"{scratch_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` stored as a table in the scratch folder and read back.
 
@@ -52,9 +58,14 @@ def cut(df: DataFrame) -> DataFrame:
     checkpoint, also brings the real size: join estimates do not pile up over rounds, and the
     planner can choose broadcasts by what is there.
     """
-    path = f"{scratch_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(_stored(df))
+
+
+def cut_all(parts: list[DataFrame]) -> DataFrame:
+    """The rows of all ``parts``, which have the same columns, as one stored table. Each part is
+    planned and written by itself: the driver holds the plan of one at a time."""
+    paths = [_stored(part) for part in parts]
+    return parts[0].sparkSession.read.schema(parts[0].schema).parquet(*paths)
 
 
 def load(spark: SparkSession, folder: str, table: str, *columns: str) -> DataFrame:

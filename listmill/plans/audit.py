@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from listmill.config import EngineConfig
-from listmill.engine import cut
+from listmill.engine import cut, cut_all
 from listmill.fixed_values import MAX_DATE_GAP_DAYS
 from listmill.functions.labels import is_counted
 from listmill.functions.money import converted_by_map
@@ -96,7 +96,10 @@ def audit(
     entities: DataFrame, fees: DataFrame, listings: DataFrame, rates: DataFrame,
     site: dict[str, DataFrame], details: DataFrame, config: EngineConfig, everything: bool = False,
 ) -> DataFrame:
-    """All checks over the stored tables and the published ``site`` marts."""
+    """All checks over the stored tables and the published ``site`` marts.
+
+    Failures are stored check by check, so that the driver never plans all checks at once.
+    """
     c = with_country(entities, "country")
     if not everything:
         c = c.where(in_scope(F.col("continent"), config.public_continents))
@@ -107,8 +110,8 @@ def audit(
     counted = with_rates(fees.where(is_counted(F.col("check_status"))), rates).withColumn(
         "usd", converted_by_map(F.col("amount"), F.col("currency"), F.col("rates"), "USD")
     )
-    c = cut(c)
-    owned = counted.join(c.select(F.col("id").alias("entity_id")), "entity_id", "left_semi")
+    c, counted = cut(c), cut(counted.select("id", "entity_id", "category", "tier", "amount", "currency", "usd"))
+    owned = cut(counted.join(c.select(F.col("id").alias("entity_id")), "entity_id", "left_semi"))
     has = counted.select(F.col("entity_id").alias("id"), F.lit(True).alias("has_counted")).distinct()
     ranges = fee_range(counted, "entity_id").select(
         F.col("entity_id").alias("id"), F.struct("fee_min", "fee_max", "currency").alias("want")
@@ -116,7 +119,7 @@ def audit(
     none = F.struct(*[F.lit(None).cast(t).alias(n) for n, t in (("fee_min", "double"), ("fee_max", "double"), ("currency", "string"))])
     state = cut(c.join(has, "id", "left").join(ranges, "id", "left"))
     no_fee = F.col("has_counted").isNull()
-    failures = failing(
+    parts = [failing(
         state,
         {
             "ends before it starts": F.col("end_date") < F.col("start_date"),
@@ -132,13 +135,13 @@ def audit(
         },
         F.col("id"),
         label,
-    )
+    )]
     for field in ("abstract_deadline", "paper_deadline"):
-        failures = failures.unionByName(
+        parts.append(
             failing(c, {"submission deadline after the start": after(field)}, F.col("id"), F.concat(label, F.lit(f" {field}")))
         )
     fee_label = F.concat_ws(" ", F.concat(F.lit("#"), F.col("entity_id").cast("string")), "category", F.col("amount").cast("string"), "currency")
-    failures = failures.unionByName(
+    parts.append(
         failing(
             owned,
             {
@@ -153,28 +156,28 @@ def audit(
     repeats = owned.groupBy("entity_id", "category", "tier", "amount", "currency").agg(
         F.count("*").alias("n")
     ).where("n > 1")
-    failures = failures.unionByName(
+    parts.append(
         repeats.select(
             F.lit("the same fee twice").alias("check"), F.col("entity_id").cast("string").alias("ord"), fee_label.alias("example")
         )
     )
     near = likely_duplicates(c.withColumn("key", acronym_key(F.col("acronym"))))
-    failures = failures.unionByName(
+    parts.append(
         near.select(F.lit("likely duplicates").alias("check"), F.col("id").cast("string").alias("ord"), label.alias("example"))
     )
     left = listings.where("in_window and is_topic and entity_id is null")
-    failures = failures.unionByName(
+    parts.append(
         failing(left, {"listing not merged": F.lit(True)}, F.col("id"), F.concat_ws(" ", "source", "source_id"))
     )
     shown, shown_fees = site["entities"], site["fees"]
     ident = F.concat(F.lit("#"), F.col("id").cast("string"))
     for df in (shown, shown_fees):
-        failures = failures.unionByName(
+        parts.append(
             leaks(df, ["id"], details).select(
                 F.lit("account details published").alias("check"), F.col("id").cast("string").alias("ord"), F.col("value").alias("example")
             )
         )
-        failures = failures.unionByName(
+        parts.append(
             failing(
                 df,
                 {"person id in a published link": F.to_json(F.struct("*")).rlike(r'edas\.info[^"]*[?&]p=\d+')},
@@ -187,10 +190,10 @@ def audit(
         "id", F.col("standard_fee.amount").alias("amount"), F.col("standard_fee.currency").alias("currency")
     )
     missing = std.join(prices, ["id", "amount", "currency"], "left_anti")
-    failures = failures.unionByName(
+    parts.append(
         failing(missing, {"headline fee not among its fees": F.lit(True)}, F.col("id"), ident)
     )
-    failures = failures.unionByName(
+    parts.append(
         failing(
             shown,
             {
@@ -201,7 +204,7 @@ def audit(
             ident,
         )
     )
-    failures = failures.unionByName(
+    parts.append(
         failing(
             shown_fees,
             {"published fee not convertible": F.col("currency").isNotNull() & F.col("amount_usd").isNull()},
@@ -214,7 +217,7 @@ def audit(
     )
     weeks = site["weeks"].agg(F.coalesce(F.sum("total"), F.lit(0)).alias("weeks"))
     totals = weeks.withColumn("visible", visible.scalar())
-    failures = failures.unionByName(
+    parts.append(
         failing(
             totals,
             {"weeks don't add up": F.col("weeks") != F.col("visible")},
@@ -222,7 +225,7 @@ def audit(
             F.concat_ws(" vs ", F.col("weeks").cast("string"), F.col("visible").cast("string")),
         )
     )
-    return report(failures)
+    return report(cut_all(parts))
 
 
 def likely_duplicates(rows: DataFrame) -> DataFrame:

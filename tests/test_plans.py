@@ -236,6 +236,14 @@ def test_publish_and_audit(spark, small, rates):
     assert got["ends before it starts"].examples == ["#3 OUT"]
 
 
+def test_audit_is_planned_check_by_check(spark, small, rates):
+    ents, fees, rows = small
+    site = marts.publish(ents, fees, rows, rates, CONFIG)
+    details = account_details(rows.select(F.lit("").alias("t")), "t")
+    plan = audit.audit(ents, fees, rows, rates, site, details, CONFIG)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 20_000 and "Union" not in plan
+
+
 def test_export_search_summary(spark, small, rates):
     ents, fees, rows = small
     out = marts.export_rows(ents, fees, rows, rates, ["Asia"]).collect()
