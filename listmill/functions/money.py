@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from listmill import fixed_values as fv
-from listmill.functions.regex import blank_to_null
+from listmill.functions.regex import bind, blank_to_null
 
 _SPELLINGS = sorted(
     {*fv.CURRENCY_SPELLINGS, *fv.KNOWN_ISO}, key=lambda s: (-len(s), s)
@@ -36,9 +36,10 @@ def currency_in(text: Column) -> Column:
 
 def _amount(text: Column) -> Column:
     """The first number. Its last separator is decimal when one or two digits follow it."""
-    number = F.regexp_extract(
-        text, r"\d+(?:[.,'\u00a0\u202f\u0020]\d+)*", 0
-    )
+    return bind(F.regexp_extract(text, r"\d+(?:[.,'\u00a0\u202f\u0020]\d+)*", 0), _number)
+
+
+def _number(number: Column) -> Column:
     has_cents = number.rlike(r"[.,]\d{1,2}$") & ~number.rlike(r"^\d{1,3}(?:[.,]\d{3})*[.,]\d{3}$")
     cents = F.regexp_extract(number, r"[.,](\d{1,2})$", 1)
     whole = F.regexp_replace(
@@ -46,7 +47,8 @@ def _amount(text: Column) -> Column:
         r"[^\d]",
         "",
     )
-    return F.when(has_cents, F.concat(whole, F.lit("."), cents)).otherwise(whole).try_cast("double")
+    marked = F.when(has_cents, F.concat(whole, F.lit("."), cents)).otherwise(whole)
+    return F.when(number.rlike(r"\D"), marked).otherwise(number).try_cast("double")
 
 
 def parse_money(text: Column) -> Column:
@@ -61,10 +63,13 @@ def parse_money(text: Column) -> Column:
     currency = F.coalesce(
         normalize_currency(mark), F.get(codes, F.lit(0)), normalize_currency(word)
     )
-    amount = _amount(text)
     digits = F.regexp_replace(text, r"(?U)[^\d]", "").try_cast("double")
-    fixed = F.when((currency == "IDR") & (amount < 1000), digits).otherwise(amount)
-    return F.struct(fixed.alias("amount"), currency.alias("currency"))
+
+    def fixed(read: Column) -> Column:
+        amount, code = read["amount"], read["currency"]
+        return F.struct(F.when((code == "IDR") & (amount < 1000), digits).otherwise(amount).alias("amount"), code.alias("currency"))
+
+    return bind(F.struct(_amount(text).alias("amount"), currency.alias("currency")), fixed)
 
 
 def rate_code(currency: Column) -> Column:

@@ -18,6 +18,12 @@ def bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def present(value: Column) -> Column:
+    """A generator: rows whose ``value`` is null vanish. A filter on a computed column would compute
+    the column twice, once below it and once above."""
+    return F.explode(F.array_compact(F.array(value)))
+
+
 def has(text: Column, pattern: str) -> Column:
     """Whether a pattern occurs, in any case. Patterns without classes and boundaries do not need
     the dearer Unicode classes."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from listmill import fixed_values as fv
 from listmill.functions.money import currency_in, parse_money, tier_of
-from listmill.functions.regex import blank_to_null, has
+from listmill.functions.regex import blank_to_null, has, present
 
 _TABLE_HEAD = 300
 _LONG_CELL = 30
@@ -47,11 +47,11 @@ def fees_from_tables(tables: DataFrame, key: str = "page_id") -> DataFrame:
                 currency_in(F.substring("table_text", 1, _TABLE_HEAD)),
             ),
         )
-        .select("*", F.posexplode("filled").alias("line_no", "cells"))
+        .select(key, "table_no", "header", "price_cols", "notes_at", "table_currency", F.posexplode("filled").alias("line_no", "cells"))
         .where("line_no > 0")
     )
     label = F.get(F.col("cells"), F.lit(0))
-    is_price = parse_money(F.col("label"))["amount"].isNotNull() & currency_in(F.col("label")).isNotNull()
+    is_price = currency_in(F.col("label")).isNotNull() & parse_money(F.col("label"))["amount"].isNotNull()
     cells = (
         lines.withColumn("label", label)
         .where((F.col("label") != "") & ~is_price)
@@ -67,7 +67,7 @@ def fees_from_tables(tables: DataFrame, key: str = "page_id") -> DataFrame:
         blank_to_null(F.substring(F.get(F.col("cells"), F.col("notes_at")), 1, _TEXT_LIMIT)),
     )
     return (
-        cells.withColumn("price", parse_money(F.col("cell")))
+        cells.select("*", present(parse_money(F.col("cell"))).alias("price"))
         .withColumn("column", column)
         .withColumn(
             "currency",
