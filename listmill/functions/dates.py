@@ -66,7 +66,9 @@ def _one_date(text: Column) -> Column:
     choices = [iso]
     for shape, y, m, d in _WORD_SHAPES:
         anchored = f"(?i)^{shape}$"
-        choices.append(F.when(text.rlike(anchored), _word_date(text, anchored, y, m, d)))
+        parts = F.split(F.regexp_replace(text, anchored, f"${y}|${m}|${d}"), r"\|")
+        named = bind(parts, lambda p: build_date(F.get(p, 0), month_number(F.get(p, 1)), F.get(p, 2)))
+        choices.append(F.when(text.rlike(anchored), named))
     for shape, y, m, d in _NUMBER_SHAPES:
         anchored = f"(?i)^{shape}$"
         g = lambda i, p=anchored: F.regexp_extract(text, p, i)

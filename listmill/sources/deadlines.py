@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from listmill import fixed_values as fv
 from listmill.functions.dates import last_round, parse_date
+from listmill.functions.regex import present
 
 FIELDS = [
     "abstract_deadline", "paper_deadline", "notification_date", "camera_ready_deadline",
@@ -40,10 +41,13 @@ def _pivoted(df: DataFrame, key: str, pick) -> DataFrame:
 def by_exact_label(lines: DataFrame, key: str, source: str) -> DataFrame:
     """Known labels only; a later line of the same field wins."""
     field = F.create_map(*[F.lit(x) for pair in fv.LABELS[source].items() for x in pair])
-    dated = lines.withColumn("field", F.try_element_at(field, F.col("label"))).withColumn(
-        "value_date", parse_date(F.col("value"))
-    )
-    return _pivoted(dated.where("field is not null and value_date is not null"), key, F.max_by)
+    return _pivoted(_dated(lines, key, F.try_element_at(field, F.col("label"))), key, F.max_by)
+
+
+def _dated(lines: DataFrame, key: str, field: Column) -> DataFrame:
+    """(key, line_no, field, value_date) of the lines that have both; each date is parsed once."""
+    known = lines.withColumn("field", field).where("field is not null")
+    return known.select(key, "line_no", "field", present(parse_date(F.col("value"))).alias("value_date"))
 
 
 def rule_field(label: Column) -> Column:
@@ -57,14 +61,10 @@ def rule_field(label: Column) -> Column:
 
 def by_rules(lines: DataFrame, key: str) -> DataFrame:
     """Rules on the label's words; the first line of a field wins."""
-    dated = (
-        lines.where(
-            (F.length("label") <= _LABEL_LIMIT) & ~F.col("label").startswith("conference date")
-        )
-        .withColumn("field", rule_field(F.col("label")))
-        .withColumn("value_date", parse_date(F.col("value")))
+    short = lines.where(
+        (F.length("label") <= _LABEL_LIMIT) & ~F.col("label").startswith("conference date")
     )
-    return _pivoted(dated.where("field is not null and value_date is not null"), key, F.min_by)
+    return _pivoted(_dated(short, key, rule_field(F.col("label"))), key, F.min_by)
 
 
 def key_dates(df: DataFrame, key: str, text: str) -> DataFrame:
