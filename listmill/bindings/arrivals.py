@@ -139,13 +139,11 @@ def extraction_answers(spark, d):
     """Extraction answers as typed records; bad ones stand beside them with a reason."""
     lines = load(spark, d, "lineitem")
     bodies = cut(lines.select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line"), F.expr(_EXTRACTED_BODY).alias("answer")))
-    good, bad = answers.extracted_records(bodies)
     fees, fee = F.col("extracted.fees"), F.get("extracted.fees", F.lit(0))
-    good = good.select(
-        "id", "line", F.lit(None).cast("string").alias("rejected"), F.col("extracted.name").alias("name"), F.col("extracted.fees_published").alias("published"),
+    return answers.records(bodies).select(
+        "id", "line", "rejected", F.col("extracted.name").alias("name"), F.col("extracted.fees_published").alias("published"),
         F.when(fees.isNotNull(), F.size(fees)).alias("n"), (F.concat(fee["category"], F.lit(":"), fee["amount"].cast("string"), F.lit(":"), fee["currency"])).alias("first"),
     )
-    return good.unionByName(bad.select("id", "line", "rejected"), allowMissingColumns=True)
 
 
 @query("""
