@@ -155,8 +155,8 @@ def reader_records(spark, d):
     lines = cut(load(spark, d, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.expr(_EXTRACTED_BODY).alias("answer"), "l_returnflag"))
     given = lines.where("l_returnflag <> 'R'").select("id", "answer")
     landed = given.unionByName(given.where("id % 3 = 0")).unionByName(given.select(-F.col("id"), "answer").toDF("id", "answer"))
-    good, bad = readers.records(lines.select("id", F.col("l_returnflag").alias("text")), readers.stored(landed, "id"), "id")
-    return good.select("id", F.lit(None).cast("string").alias("rejected"), F.col("extracted.name").alias("name")).unionByName(bad, allowMissingColumns=True)
+    read = readers.all_records(lines.select("id", F.col("l_returnflag").alias("text")), readers.stored(landed, "id"), "id")
+    return read.select("id", "rejected", F.col("extracted.name").alias("name"))
 
 
 #: Files of events in one micro-batch.
