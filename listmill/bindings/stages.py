@@ -58,11 +58,10 @@ def _listed_fees(spark, d):
         F.array_join(F.sort_array(F.collect_set(F.when(F.col("l_returnflag") != "R", shown))), "\n").alias("text"),
     )
     number = F.col("entity_id") * 10 + case("source", {"F": "1"}, "2").cast("bigint")
-    first = given.select(number.alias("id"), "entity_id", "source", F.to_json(F.struct("fees", F.col("text").alias("register_page_text"))).alias("extra"))
-    later = given.where("entity_id % 3 = 0").select(
-        (number + 5).alias("id"), "entity_id", "source", F.to_json(F.struct(F.col("later").alias("fees"))).alias("extra")
-    )
-    return table(spark, LISTINGS, first.unionByName(later))
+    first = F.struct(number.alias("id"), F.to_json(F.struct("fees", F.col("text").alias("register_page_text"))).alias("extra"))
+    later = F.when(F.col("entity_id") % 3 == 0, F.struct((number + 5).alias("id"), F.to_json(F.struct(F.col("later").alias("fees"))).alias("extra")))
+    listed = given.select("entity_id", "source", F.explode(F.array_compact(F.array(first, later))).alias("l"))
+    return table(spark, LISTINGS, listed.select("entity_id", "source", "l.*"))
 
 
 @query(_LISTED + """

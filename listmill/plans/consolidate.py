@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listmill import fixed_values as fv
 from listmill.config import EngineConfig
 from listmill.engine import cut
 from listmill.functions.dates import sane_end
-from listmill.functions.regex import bind
+from listmill.functions.regex import bind, present
 from listmill.functions.topics import keyword_hits, topic_text, verdict
 from listmill.operators.duplicates import duplicate_pairs
 from listmill.operators.fees import check_fees
@@ -92,23 +92,30 @@ def filter_counts(listings: DataFrame) -> DataFrame:
     )
 
 
+def _extra(path: str) -> Column:
+    return F.get_json_object("extra", f"$.{path}")
+
+
+def given_fees(listings: DataFrame) -> DataFrame:
+    """(id, entity_id, source, url, extra, fees) of the listings that bring fees. The JSON is read by a
+    generator: a filter on the fees would read it a second time."""
+    fees = present(F.from_json(_extra("fees"), EXTRACTED_FEES))
+    mine = listings.where("entity_id is not null")
+    return mine.select("id", "entity_id", "source", "url", "extra", fees.alias("fees")).where(F.size("fees") > 0)
+
+
 def source_fees(listings: DataFrame) -> DataFrame:
     """Fees that came with listings (their JSON ``extra``), checked against the page text that
     came along; of two listings of one source in one entity the later one counts."""
-    extra = lambda path: F.get_json_object("extra", f"$.{path}")
-    given = listings.where("entity_id is not null").select(
-        "id",
-        "entity_id",
-        "source",
-        "url",
-        F.from_json(extra("fees"), EXTRACTED_FEES).alias("fees"),
-        extra("register_page_text").alias("text"),
-        extra("register_self_url").alias("page_url"),
-    ).where(F.size("fees") > 0)
-    last = given.groupBy("entity_id", "source").agg(
-        F.max_by(F.struct("id", "url", "fees", "text", "page_url"), "id").alias("l")
+    last = given_fees(listings).groupBy("entity_id", "source").agg(
+        F.max_by(F.struct("id", "url", "fees", "extra"), "id").alias("l")
+    )
+    rows = cut(
+        last.select("entity_id", "source", "l.*").select(
+            "entity_id", "source", F.col("id").alias("listing_id"), "url", "fees",
+            _extra("register_page_text").alias("text"), _extra("register_self_url").alias("page_url"),
+        )
     )
-    rows = last.select("entity_id", "source", "l.*").withColumnRenamed("id", "listing_id")
     fees = rows.select(
         "entity_id", "source", "listing_id", "url", "page_url", F.posexplode("fees").alias("pos", "f")
     ).select("entity_id", "source", "listing_id", "url", "page_url", "pos", "f.*")

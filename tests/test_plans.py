@@ -82,6 +82,13 @@ def test_homepage_values_stay(spark):
     assert r.city == "Site" and r.country == "Japan" and r.field_sources["city"].source == "homepage" and r.name == "Name 6"
 
 
+def test_fees_of_listings_are_read_once(spark):
+    rows = [(1, 5, "x", '{"fees":[{"category":"Author","amount":9}],"register_page_text":"t"}'), (2, 5, "x", '{"fees":[]}'), (3, 5, "x", None), (4, None, "x", '{"fees":[{}]}')]
+    given = consolidate.given_fees(spark.createDataFrame(rows, "id bigint, entity_id bigint, source string, extra string").withColumn("url", F.lit("u")))
+    assert given._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+    assert [(r.id, [f.amount for f in r.fees]) for r in given.collect()] == [(1, [9.0])]
+
+
 def test_dedupe_keeps_the_better_one(spark):
     ents = table(spark, ENTITIES, [
         dict(id=1, acronym="TSSA", name="The 20th TSSA", start_date=D(2026, 10, 1), homepage="https://t.org", fee_min=350.0, fee_max=600.0, currency="USD",
