@@ -308,7 +308,7 @@ def applied_reads(spark, d):
     fee = F.struct("category", nothing.alias("tier"), "amount", F.lit("us$").alias("currency"), nothing.alias("notes"))
     pages = lines.groupBy("entity_id").agg(
         F.array_join(F.sort_array(F.collect_set(F.when(F.col("l_returnflag") != "R", shown))), "\n").alias("text"),
-        F.array_sort(F.collect_list(F.when(F.col("entity_id") % 7 != 0, fee))).alias("fees"),
+        F.sort_array(F.collect_list(F.when(F.col("entity_id") % 7 != 0, fee))).alias("fees"),
     ).where("text <> ''")
     said = F.to_json(F.struct(F.lit(True).alias("fees_published"), "fees"))
     reads = pages.select(
