@@ -21,11 +21,14 @@ CONTEXT = 70
 #: No double has more digits before its point, so longer numbers match no amount.
 _MOST_DIGITS = 309
 _ROWS_AT_ONCE = 10_000
+_TEXTS_AT_ONCE = 64
 
 _FIRST = re.compile(r"(?<![\d.,])[0-9]+")
 _GROUP = re.compile(fv.THOUSANDS_GAP.rstrip("?") + r"((?:[0-9]{3})+)(?![0-9])")
 _NO_CENTS = re.compile(r"(?:[.,]0{1,2}|,-)?(?!\d|[.,]\d|\n\d)")
 _CENTS = re.compile(r"[.,]([0-9]{2})(?!\d)")
+#: What may go on with a number, as cents or as its next group.
+_GOES_ON = frozenset(".,'- \u00a0\u202f")
 
 
 def canonical(amount: Column) -> Column:
@@ -48,6 +51,14 @@ def readings(text: str) -> Iterator[tuple[str, int, int]]:
         digits = first[0]
         goes_on = start > 1 and text[start - 1] == "\n" and text[start - 2].isdecimal()
         while len(digits) <= _MOST_DIGITS:
+            after = text[end : end + 1]
+            beyond = text[end + 1 : end + 2] if after == "\n" else after
+            if after not in _GOES_ON and not beyond.isdecimal():
+                # nothing goes on with the number: most end like this
+                if not goes_on and start >= free.get(digits, 0):
+                    free[digits] = end
+                    yield digits, start, end
+                break
             found = []
             if not goes_on and (tail := _NO_CENTS.match(text, end)):
                 found.append((digits, tail.end()))
@@ -74,22 +85,29 @@ def number_index(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, types = schema.names, [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
         for batch in batches:
-            keys, rows, names = batch.column(0), [], schema.names
-
-            def flushed(rows=rows, keys=keys, names=names) -> pa.RecordBatch:
-                at, *columns = zip(*rows)
-                rows.clear()
-                types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
-                return pa.RecordBatch.from_arrays([keys.take(pa.array(at)), *map(pa.array, columns, types)], names=names)
-
-            for i, body in enumerate(batch.column(1)):
-                body = body.as_py()
-                for number, start, end in readings(body):
-                    rows.append((i, number, start, body[max(0, start - CONTEXT) : start], body[start:end], body[end : end + CONTEXT]))
-                    if len(rows) == _ROWS_AT_ONCE:
-                        yield flushed()
-            if rows:
+            keys, columns = batch.column(0), [[] for _ in names]
+            at, numbers, starts, lefts, hits, rights = columns
+
+            def flushed(keys=keys, columns=columns) -> pa.RecordBatch:
+                out = [keys.take(pa.array(columns[0])), *map(pa.array, columns[1:], types)]
+                for column in columns:
+                    column.clear()
+                return pa.RecordBatch.from_arrays(out, names=names)
+
+            for first in range(0, batch.num_rows, _TEXTS_AT_ONCE):
+                for i, body in enumerate(batch.column(1).slice(first, _TEXTS_AT_ONCE).to_pylist(), first):
+                    for number, start, end in readings(body):
+                        at.append(i)
+                        numbers.append(number)
+                        starts.append(start)
+                        lefts.append(body[max(0, start - CONTEXT) : start])
+                        hits.append(body[start:end])
+                        rights.append(body[end : end + CONTEXT])
+                        if len(at) == _ROWS_AT_ONCE:
+                            yield flushed()
+            if at:
                 yield flushed()
 
     body = F.replace(F.col(text), F.lit("\u00a0"), F.lit(" "))
