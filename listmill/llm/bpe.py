@@ -11,18 +11,20 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from listmill.llm.common import fresh, parts
 
-#: Distinct chunks and characters that a task remembers before it starts anew.
-REMEMBERED, REMEMBERED_CHARS = 150_000, 8 << 20
+#: Distinct pre-tokens and their characters that a task remembers before it starts anew.
+REMEMBERED, REMEMBERED_CHARS = 400_000, 8 << 20
+#: Bytes of texts that are worked on together; the different chunks of a task then come up once or twice.
+TOGETHER = 16 << 20
 
 
 def rank_of_tokens(content: bytes) -> dict[bytes, int]:
@@ -49,12 +51,14 @@ class RankTable:
         for side in (2, 3):
             np.minimum.at(first, table[:, side], table[:, 1])
         self.plain = first > np.arange(self.size)
+        every = np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256)
+        self.byte_pairs = self.pair_ranks(*every).astype(np.int32)
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair, -1 where it makes no token. Id ``size`` stands for no token."""
         if not len(self.keys):
             return np.full(len(left), -1)
-        key = left * (self.size + 1) + right
+        key = left.astype(np.int64) * (self.size + 1) + right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.merged[at], -1)
 
@@ -112,14 +116,16 @@ def merge_pieces(table: RankTable, pieces: list[bytes]) -> list[bytes]:
     lengths = np.array([len(p) for p in pieces])
     ends = np.cumsum(lengths)
     n = int(ends[-1])
-    ids = np.append(table.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)], table.size)
+    letters = np.frombuffer(b"".join(pieces), np.uint8)
+    ids = np.append(table.byte_ids[letters], table.size).astype(np.int32)
     piece = np.repeat(np.arange(len(pieces), dtype=np.int32), lengths)
     following, previous = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
     filled = lengths > 0
     following[ends[filled] - 1] = n  # position n stands for none
     previous[(ends - lengths)[filled]] = n
     pending = np.full(n + 1, -1, np.int32)
-    pending[:n] = table.pair_ranks(ids[:n], ids[following[:n]])
+    pending[: max(0, n - 1)] = table.byte_pairs[letters[:-1].astype(np.int32) << 8 | letters[1:]]
+    pending[ends[filled] - 1] = -1
     queue = RankQueue(table.size)
     first = np.flatnonzero(pending >= 0).astype(np.int32)
     queue.push_all(pending[first], first)
@@ -129,7 +135,8 @@ def merge_pieces(table: RankTable, pieces: list[bytes]) -> list[bytes]:
         if len(at) == 0:
             continue
         if len(at) > 1:
-            at = np.unique(at)
+            at = np.sort(at)
+            at = at[np.append(True, at[1:] != at[:-1])]
             if table.plain[rank]:
                 # of positions that overlap in a chain, every second one merges, from the left
                 linked = following[at[:-1]] == at[1:]
@@ -160,19 +167,13 @@ def merge_pieces(table: RankTable, pieces: list[bytes]) -> list[bytes]:
     return [data[a:b] for a, b in zip(counts[:-1].tolist(), counts[1:].tolist())]
 
 
-class Numbers(dict):
-    """Numbers the strings that it is asked for, in the order of their first coming."""
-
-    def __missing__(self, key: str) -> int:
-        self[key] = number = len(self)
-        return number
-
-
 class Encoder:
-    """Encodes texts; remembers the ids of the chunks between spaces.
+    """Encodes texts; remembers the ids of pre-tokens.
 
-    A pre-token never holds a space behind other characters, so a text may be cut before each space
-    that follows and precedes other text; a text with a chunk of white space only is matched whole.
+    A pre-token holds a space behind other characters only if all of it is white space. So a text
+    may be cut before each space that other text precedes and no white space follows; a text with a
+    chunk that begins with white space is matched whole. Of the chunks, and then of the pre-tokens
+    in them, only the different ones are looked at; Arrow numbers them and puts their ids in place.
     """
 
     def __init__(self, table: RankTable, pattern: str):
@@ -181,55 +182,81 @@ class Encoder:
 
     def _forget(self) -> None:
         self.pieces: dict[str, bytes] = {}
-        self.chunks, self.values, self.chars = Numbers(), [], 0
-
-    def _learn(self, pieces: set[str]) -> None:
-        get, known, merge = self.table.ranks.get, self.pieces, []
-        for p in pieces:
-            if p not in known:
-                rank = get(p.encode())
-                if rank is None:
-                    merge.append(p)
-                else:
-                    known[p] = rank.to_bytes(4, "little")
-        self.chars += sum(map(len, merge))
-        known.update(zip(merge, merge_pieces(self.table, [p.encode() for p in merge])))
-
-    def _learn_chunks(self) -> None:
-        new = list(islice(self.chunks, len(self.values), None))
-        find = self.pattern.findall
-        split = [None if not c or c.isspace() else find(" " + c) for c in new]
-        self._learn({p for pieces in split if pieces for p in pieces})
+        self.chars = 0
+
+    def _learn(self, pieces: list[str]) -> None:
+        get, known = self.table.ranks.get, self.pieces
+        new = [p for p in pieces if p not in known]
+        raw = [p.encode() for p in new]
+        ranks = [get(r) for r in raw]
+        merge = [i for i, rank in enumerate(ranks) if rank is None]
+        known.update((p, rank.to_bytes(4, "little")) for p, rank in zip(new, ranks) if rank is not None)
+        known.update(zip([new[i] for i in merge], merge_pieces(self.table, [raw[i] for i in merge])))
         self.chars += sum(map(len, new))
-        ids = self.pieces
-        self.values += [p and (ids[p[0]] if len(p) == 1 else b"".join([ids[x] for x in p])) for p in split]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if max(len(self.chunks), len(self.pieces)) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+    def _ids(self, pieces: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The ids of each pre-token, and which of them begin with a space."""
+        coded = pieces.dictionary_encode()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._learn(different)
+        ids = pa.array([self.pieces[p] for p in different], pa.large_binary())
+        spaced = pc.starts_with(coded.dictionary, " ").to_numpy(zero_copy_only=False)
+        return ids.take(coded.indices), spaced[coded.indices.to_numpy()]
+
+    def _chunk_ids(self, chunks: list[str]) -> pa.Array:
+        """The ids of chunks that have a space before them and do not begin with white space."""
+        if not chunks:
+            return pa.array([], pa.large_binary())
+        ids, spaced = self._ids(pa.array(self.pattern.findall(" " + " ".join(chunks)), pa.large_string()))
+        return joined(ids, np.append(np.flatnonzero(spaced), len(ids)))
+
+    def _text_ids(self, texts: list[str]) -> pa.Array:
+        """The ids of texts that are matched whole."""
+        pieces = list(map(self.pattern.findall, texts))
+        ends = np.cumsum([0, *map(len, pieces)])
+        return joined(self._ids(pa.array([p for found in pieces for p in found], pa.large_string()))[0], ends)
+
+    def encode_column(self, texts: pa.Array, width: int = 4) -> pa.Array:
+        """The ids of each text, ``width`` bytes an id; texts are not null."""
+        if len(self.pieces) > REMEMBERED or self.chars > REMEMBERED_CHARS:
             self._forget()
-        heads, codes, number = [], [], self.chunks.__getitem__
-        for text in texts:
-            head, *rest = text.split(" ")
-            heads.append(self.pattern.findall(head))
-            # a text that begins with white space is matched whole
-            codes.append(np.fromiter(map(number, rest), np.int32, len(rest)) if head and not head.isspace() else None)
-        self._learn_chunks()
-        self._learn({p for pieces in heads for p in pieces})
-        out: list[bytes] = []
-        whole: dict[int, list[str]] = {}
-        values, ids = self.values, self.pieces
-        for i, (head, code) in enumerate(zip(heads, codes)):
-            parts = None if code is None else [values[c] for c in code.tolist()]
-            if parts is None or None in parts:
-                whole[i] = self.pattern.findall(texts[i])
-                out.append(b"")
-            else:
-                out.append(b"".join([*[ids[p] for p in head], *parts]))
-        if whole:
-            self._learn({p for pieces in whole.values() for p in pieces})
-            for i, pieces in whole.items():
-                out[i] = b"".join([ids[p] for p in pieces])
-        return out
+        split = pc.split_pattern(texts.cast(pa.large_string()), " ")
+        begins, chunks = split.offsets.to_numpy(), split.values.dictionary_encode()
+        codes, different = chunks.indices.to_numpy().astype(np.int64), chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
+        usable = np.array([not (not c or c[0].isspace()) for c in different], bool)
+        # a text is a row of values: first what has no space before it, then the chunks
+        values = np.cumsum(usable) - 1
+        whole = np.logical_or.reduceat(~usable[codes], begins[:-1]) if len(texts) else np.zeros(0, bool)
+        heads = split.values.take(pa.array(begins[:-1])).to_pylist()
+        for i in np.flatnonzero(whole).tolist():
+            heads[i] = texts[i].as_py()
+        rows = values[codes]
+        n = int(usable.sum())
+        rows[np.repeat(whole, np.diff(begins))] = n + len(heads)  # nothing more
+        rows[begins[:-1]] = n + np.arange(len(heads))
+        own = [c for c, use in zip(different, usable.tolist()) if use]
+        ids = pa.concat_arrays([self._chunk_ids(own), self._text_ids(heads), pa.array([b""], pa.large_binary())])
+        return joined(narrowed(ids, width).take(pa.array(rows)), begins)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return self.encode_column(pa.array(texts, pa.large_string())).to_pylist()
+
+
+def joined(values: pa.Array, begins: np.ndarray) -> pa.Array:
+    """The values from each begin to the next one, joined."""
+    _, offsets, data = values.buffers()
+    at = np.frombuffer(offsets, np.int64)[values.offset : values.offset + len(values) + 1]
+    return pa.Array.from_buffers(pa.large_binary(), len(begins) - 1, [None, pa.py_buffer(at[begins].astype(np.int64)), data])
+
+
+def narrowed(ids: pa.Array, width: int) -> pa.Array:
+    """Ids of 4 bytes as ids of ``width`` bytes."""
+    if width == 4:
+        return ids
+    _, offsets, data = ids.buffers()
+    at = np.frombuffer(offsets, np.int64)[ids.offset : ids.offset + len(ids) + 1]
+    short = np.frombuffer(data or b"", "<u4", int(at[-1]) // 4).astype("<u2")
+    return pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(at // 2), pa.py_buffer(short)])
 
 
 _TABLES: dict[int, RankTable] = {}
@@ -248,8 +275,8 @@ def rank_file(path: str) -> bytes:
         return f.read()
 
 
-def decoded(ids: bytes | None, tokens: dict[int, bytes]) -> bytes:
-    return b"".join([tokens[i] for i in np.frombuffer(ids or b"", "<u4").tolist()])
+def decoded(ids: bytes | None, tokens: dict[int, bytes], width: int = 4) -> bytes:
+    return b"".join([tokens[i] for i in np.frombuffer(ids or b"", f"<u{width}").tolist()])
 
 
 def encode(
@@ -275,13 +302,12 @@ def encode(
         coder = Encoder(rank_table(sent.value), pattern)
         tokens = {rank: token for token, rank in coder.table.ranks.items()}
         for batch in batches:
-            for part in parts(batch, len(rest)):
-                texts = [t or "" for t in part.column(len(rest)).to_pylist()]
-                ids = coder.encode(texts)
-                columns = [ids, [decoded(x, tokens) for x in ids]] if decoded_column else [ids]
-                if width == 2:
-                    columns[0] = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], *(pa.array(c, pa.binary()) for c in columns)], names=[*rest, *made])
+            for part in parts(batch, len(rest), TOGETHER):
+                ids = coder.encode_column(pc.fill_null(part.column(len(rest)), ""), width)
+                columns = [ids.cast(pa.binary())]
+                if decoded_column:
+                    columns.append(pa.array([decoded(x, tokens, width) for x in ids.to_pylist()], pa.binary()))
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], *columns], names=[*rest, *made])
 
     schema = T.StructType([*(df.schema[c] for c in rest), *(T.StructField(c, T.BinaryType()) for c in made)])
     return df.select(*rest, text_column).mapInArrow(run, schema)

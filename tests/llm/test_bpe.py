@@ -1,10 +1,12 @@
 """Byte-level BPE against the tiktoken library, and the round trip."""
 
+import base64
 import hashlib
 import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -51,6 +53,35 @@ def test_forgetting_changes_nothing(both, monkeypatch):
         assert ids(coder.encode([text])[0]) == library.encode_ordinary(text)
 
 
+def test_white_space_around_a_space_is_one_pre_token():
+    tokens = [*(bytes([b]) for b in range(256)), b"\n ", b" a"]
+    content = b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate(tokens))
+    coder = bpe.Encoder(bpe.RankTable(content), public_tokenizers.PATTERN)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=coder.table.ranks, special_tokens={})
+    for text in ["a\n \nb", "a \nb a", "a\n a", " \n \n a"]:
+        assert ids(coder.encode([text])[0]) == library.encode_ordinary(text), repr(text)
+
+
+def test_pre_tokens_of_a_task_are_merged_once(both, monkeypatch):
+    merged, merge = [], bpe.merge_pieces
+    monkeypatch.setattr(bpe, "merge_pieces", lambda table, pieces: merged.extend(pieces) or merge(table, pieces))
+    coder = bpe.Encoder(both[0].table, public_tokenizers.PATTERN)
+    suffixes = [f"{x}{y}{z}" for x in "abcdefghijklmn" for y in "abcdefghijklmn" for z in "abcdefghijklmn"]
+    text = " ".join(f"{a}x{b}q{c}" for a in "abcdefgh" for b in "ijklmnop" for c in suffixes)
+    for _ in range(2):
+        coder.encode([text])
+    assert len(merged) == len(set(merged)) > 150_000
+
+
+@pytest.mark.parametrize("width", [2, 4])
+def test_columns_in_either_width(both, width):
+    coder, library = both
+    texts = pa.array(["", "one two", " two  one", "one two", "\n \n", "zwölf"])[1:]
+    got = [np.frombuffer(x, f"<u{width}").tolist() for x in coder.encode_column(texts, width).to_pylist()]
+    assert got == [library.encode_ordinary(t) for t in texts.to_pylist()]
+    assert len(coder.encode_column(texts[:0], width)) == 0
+
+
 def test_queue_gives_ranks_in_order():
     rng = random.Random(1)
     queue, want = bpe.RankQueue(300_000), {}
