@@ -12,7 +12,6 @@ the chunks, not the tokens, and a frequent word is one row a chunk.
 from __future__ import annotations
 
 import pickle
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,12 +19,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from listmill.engine import cut
-from listmill.llm.common import fold_of
+from listmill.llm.common import fold_of, parts
 
 #: States; the most rounds over all training documents, and the gain of a round per token (natural
 #: logarithm) below which there is no other.
@@ -34,6 +34,9 @@ STATES, ROUNDS, LEAST_GAIN = 8, 5, 1e-3
 CLASSES = 1 << 16
 #: Tokens of a chunk, and tokens that go through the model together; a longer text comes by itself.
 CHUNK_TOKENS, TOGETHER = 4_000_000, 500_000
+#: Bytes of texts that are split together, and stored partitions that one task of a round reads: a task
+#: hands on a row per class, however many tokens it has seen.
+SPLIT_TOGETHER, READ_TOGETHER = 4 << 20, 4
 #: Share of a state's emissions that follows the counts of all states.
 SHARED = 0.02
 #: The first guess: documents, tokens of each, rounds, random starts. Every later count covers all
@@ -68,11 +71,28 @@ CLASS_SQL = f"if(octet_length(word) = 0, 0, cast(1 + pmod(xxhash64(word), {CLASS
 
 def packed_tokens(values: np.ndarray) -> bytes:
     """Numbers as they are stored: most are small, so they are worth compressing."""
-    return zlib.compress(values.tobytes(), 1)
+    return zstandard.compress(values.tobytes(), 1)
 
 
 def unpacked(data: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), kind)
+    return np.frombuffer(zstandard.decompress(data), kind)
+
+
+def numbered(texts: pa.Array, words: Words) -> list[np.ndarray]:
+    """The tokens of each text as numbers of ``words``, which learns new ones. Only the different
+    words of all texts together are looked up."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    coded = split.values.dictionary_encode()
+    different = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    codes, begins = coded.indices.to_numpy(), split.offsets.to_numpy()
+    if b"" in different:  # white space at an end of a text
+        kept = codes != different.index(b"")
+        codes, begins = codes[kept], np.append(0, np.cumsum(kept))[begins]
+    numbers = np.fromiter(map(words.__getitem__, different), np.int32, len(different))
+    lengths = np.diff(begins)
+    out = np.zeros(len(codes) + len(lengths), np.int32)  # the end of a text is 0
+    out[np.arange(len(codes)) + np.repeat(np.arange(len(lengths)), lengths)] = numbers[codes]
+    return np.split(out, np.cumsum(lengths + 1)[:-1])
 
 
 def chunked(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -115,11 +135,10 @@ def chunked(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, words, held, tokens = TaskContext.get().partitionId() << 32, Words(), [], 0
         for batch in batches:
-            for doc_id, out, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                parts = (text or "").encode().lower().split()
-                parts.append(b"")
-                held.append((doc_id, out, np.fromiter(map(words.__getitem__, parts), np.int32, len(parts))))
-                tokens += len(parts)
+            for part in parts(batch, 2, SPLIT_TOGETHER):
+                ids = numbered(part.column(2), words)
+                held += zip(part.column(0).to_pylist(), part.column(1).to_pylist(), ids)
+                tokens += sum(map(len, ids))
                 if tokens >= CHUNK_TOKENS:
                     yield from closed(chunk, words, held)
                     chunk, words, held, tokens = chunk + 1, Words(), [], 0
@@ -167,11 +186,11 @@ class Model:
         for part in _batches(sequences):
             symbols, begins = _by_step(sequences, part)
             total = np.zeros(len(part))
-            state = None
+            state, ones = None, np.ones(len(self.start))
             for a, b in zip(begins[:-1].tolist(), begins[1:].tolist()):
                 given = self.emits[symbols[a:b]]
                 state = (self.start if state is None else state[: b - a] @ self.moves) * given
-                scale = state.sum(axis=1)
+                scale = state @ ones
                 state /= scale[:, None]
                 total[: b - a] += np.log(scale)
             out[part] = total
@@ -186,11 +205,11 @@ class Model:
             symbols, begins = _by_step(sequences, part)
             steps = list(zip(begins[:-1].tolist(), begins[1:].tolist()))
             given = model_emits[symbols]
-            states, scales = np.empty_like(given), np.empty(len(symbols), np.float32)
+            states, scales, ones = np.empty_like(given), np.empty(len(symbols), np.float32), np.ones(k, np.float32)
             before = None
             for a, b in steps:
                 here = (model_start if before is None else before[: b - a] @ model_moves) * given[a:b]
-                np.sum(here, axis=1, out=scales[a:b])
+                np.matmul(here, ones, out=scales[a:b])
                 here /= scales[a:b, None]
                 states[a:b] = before = here
             likelihood += float(np.log(scales, dtype=np.float64).sum())
@@ -246,7 +265,8 @@ def train_round(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray,
     """Expected counts over all rows of ``classes`` and the log-likelihood of them under ``model``:
     summed in each task, then added up by class.
 
-    A task gives one row per class it has met, so the driver receives at most CLASSES rows.
+    A task gives one row per class it has met, so the driver receives at most CLASSES rows; a task reads
+    several stored partitions, as the rows that are shuffled grow with the tasks.
     """
     k = len(model.start)
     sent = texts.sparkSession.sparkContext.broadcast(pickle.dumps(model))
@@ -279,7 +299,9 @@ def train_round(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray,
         yield pa.RecordBatch.from_arrays([pa.array(at), *values, pa.array(likelihoods)], names=["at", *columns, "likelihood"])
 
     schema = ", ".join(["at bigint", *(f"{c} float" for c in columns), "likelihood double"])
-    sums = texts.select("classes").mapInArrow(run, schema).groupBy("at").agg(*(F.sum(c).alias(c) for c in [*columns, "likelihood"]))
+    stored = texts.rdd.getNumPartitions()
+    tasks = max(-(-stored // READ_TOGETHER), min(stored, texts.sparkSession.sparkContext.defaultParallelism), 1)
+    sums = texts.select("classes").coalesce(tasks).mapInArrow(run, schema).groupBy("at").agg(*(F.sum(c).alias(c) for c in [*columns, "likelihood"]))
     starts, moves, emits, likelihood = np.zeros(k), np.zeros((k, k)), np.zeros((CLASSES, k)), 0.0
     for row in sums.collect():
         values, likelihood = row[1:-1], likelihood + row[-1]

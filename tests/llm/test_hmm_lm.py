@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from listmill.llm import hmm_lm as hmm
@@ -118,6 +119,47 @@ def test_odd_inputs(spark, monkeypatch):
     assert all(r.train_tokens == 0 and r.n_known == 0 and r.score == r.base_score for r in only)
 
 
+def test_a_round_reads_several_partitions_in_a_task(spark, tmp_path):
+    """The rows that a round shuffles grow with its tasks: fewer tasks than stored partitions."""
+    rows = [(i, hmm.packed_tokens(np.array([i % 7, 1, 0], np.uint16))) for i in range(160)]
+    path, tracker = str(tmp_path / "in"), spark.sparkContext.statusTracker()
+    cores = spark.sparkContext.defaultParallelism
+    spark.createDataFrame(rows, "doc_id long, classes binary").repartition(cores * 10).write.parquet(path)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(64 << 20)), spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        texts = spark.read.parquet(path)
+        stored = texts.rdd.getNumPartitions()
+        assert stored > 4 * cores
+        spark.sparkContext.setJobGroup("round", "round")
+        model = small_model(2, hmm.CLASSES)
+        got = hmm.train_round(texts, model)
+        tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("round") for s in tracker.getJobInfo(j).stageIds if tracker.getStageInfo(s)]
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes"), spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(tasks) <= -(-stored // 4)
+    want = model.expected_counts([hmm.unpacked(r[1], "<u2") for r in rows])
+    for a, b in zip(got, want):
+        assert np.allclose(a, b, rtol=1e-4, atol=1e-3)
+
+
+def test_only_different_words_are_looked_up():
+    class Counting(hmm.Words):
+        asked = 0
+
+        def __getitem__(self, word):
+            Counting.asked += 1
+            return super().__getitem__(word)
+
+    texts = [" One two\tONE ", None, "", "\x1c one\x0b\x0ctwo\n", " \r\n", "Ä ä É one"] * 50
+    words = Counting()
+    got = hmm.numbered(pa.array(["x", *texts])[1:], words)
+    assert Counting.asked <= 8
+    listed = list(words)
+    for text, ids in zip(texts, got):
+        assert [listed[i] for i in ids] == [*(text or "").encode().lower().split(), b""]
+
+
 def test_rounds_over_the_corpus_go_on_while_the_likelihood_rises(spark):
     rng = np.random.default_rng(4)
     rows = [(i, " ".join(rng.choice(["a b c", "d e f"], p=[0.9, 0.1] if i % 2 else [0.1, 0.9]) for _ in range(30))) for i in range(200)]
