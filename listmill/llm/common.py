@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from listmill.engine import partitions  # noqa: F401
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 #: Bytes of a batch's texts that are worked on together; a longer text comes by itself.
@@ -51,10 +53,6 @@ def fold_of(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def crc32_sql(text: str) -> str:
     """DuckDB expression for the unsigned crc32 of a text's UTF-8 bytes (polynomial 0xEDB88320).
 

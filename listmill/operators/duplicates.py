@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from listmill import fixed_values as fv
-from listmill.engine import cut
+from listmill.engine import cut, partitions
 from listmill.operators.components import components
 from listmill.operators.neighbours import days_around, exact_rank
 from listmill.operators.placement import _bucket, _features
@@ -85,7 +85,8 @@ def duplicate_pairs(entities: DataFrame, threshold: int = fv.DUPLICATE_SIMILARIT
     ``entities``: id, acronym, name, start_date, country. Ids are unique; those without a date pair
     with nothing.
     """
-    rows = cut(_features(entities).where("day is not null"))
+    # rows are few bytes and much work: tasks by their bytes would be too few
+    rows = cut(_features(entities.where("start_date is not null").repartition(partitions(entities.sparkSession))))
     # a kind is known by the least id of its rows
     kinds = cut(rows.groupBy(*_KIND).agg(F.min("id").alias("kind")))
     edges = cut(_name_edges(kinds, threshold))

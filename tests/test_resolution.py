@@ -202,6 +202,14 @@ def test_stored_tables_do_not_grow_with_a_mixed_group(spark, monkeypatch):
     assert steps[0] == steps[1]
 
 
+def test_names_of_one_small_file_are_read_by_many_tasks(spark, monkeypatch):
+    tasks, cut = [], duplicates.cut
+    monkeypatch.setattr(duplicates, "cut", lambda df: tasks.append(df.rdd.getNumPartitions()) or cut(df))
+    rows = [(i, None, f"workshop {i % 3}", DAY0, None) for i in range(40)] + [(99, "ABC", "undated", None, None)]
+    assert duplicate_pairs(spark.createDataFrame(rows, ENTITY).coalesce(1)).count() == 19
+    assert tasks[0] == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+
+
 def test_crowded_acronym_is_paired_in_one_step(spark):
     rows = [(i, "BUSY", f"name {i}", DAY0 + dt.timedelta(days=i % 3), "Japan") for i in range(400)]
     got = {(r.a, r.b) for r in duplicate_pairs(spark.createDataFrame(rows, ENTITY)).collect()}
