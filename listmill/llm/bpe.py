@@ -10,7 +10,8 @@ Long pre-tokens cost no more than the same bytes in short ones.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +20,18 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from listmill.llm.common import fresh, parts
+from listmill.llm.common import fresh, parts, slices
 
 #: Distinct pre-tokens and their characters that a task remembers before it starts anew.
 REMEMBERED, REMEMBERED_CHARS = 400_000, 8 << 20
 #: Bytes of texts that are worked on together; the different chunks of a task then come up once or twice.
-TOGETHER = 16 << 20
+TOGETHER = 8 << 20
+#: Bytes of texts whose ids are put together, decoded and handed on at once.
+HANDED_ON = 2 << 20
+#: Chunks of texts that are matched at once, and pre-tokens that are held as strings before Arrow takes them.
+MATCHED, HELD = 1 << 15, 1 << 16
+#: Bytes of pre-tokens whose first pairs are looked up at once.
+STRETCH = 1 << 18
 
 
 def rank_of_tokens(content: bytes) -> dict[bytes, int]:
@@ -64,33 +71,36 @@ class RankTable:
 
 
 class RankQueue:
-    """Buckets of positions by rank, and a bitmap in three levels over the buckets in use."""
+    """Buckets of positions by rank, 4 bytes a position, and a bitmap in three levels over the buckets in use."""
 
     def __init__(self, size: int):
         self.low = [0] * ((size >> 6) + 1)
         self.middle = [0] * ((size >> 12) + 1)
         self.high = 0
-        self.buckets: dict[int, list[np.ndarray]] = {}
+        self.buckets: dict[int, bytearray] = {}
 
     def push(self, rank: int, positions: np.ndarray) -> None:
+        self._push(rank, positions.astype(np.int32).tobytes())
+
+    def _push(self, rank: int, positions: bytes) -> None:
         bucket = self.buckets.get(rank)
         if bucket is None:
-            self.buckets[rank] = [positions]
+            self.buckets[rank] = bytearray(positions)
             self.low[rank >> 6] |= 1 << (rank & 63)
             self.middle[rank >> 12] |= 1 << (rank >> 6 & 63)
             self.high |= 1 << (rank >> 12)
         else:
-            bucket.append(positions)
+            bucket += positions
 
     def push_all(self, ranks: np.ndarray, positions: np.ndarray) -> None:
         if len(ranks) == 0:
             return
         order = np.argsort(ranks, kind="stable")
-        ranks, positions = ranks[order], positions[order]
+        ranks, data = ranks[order], positions[order].astype(np.int32).tobytes()
         ends = [*(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(ranks)]
         start = 0
         for rank, end in zip(ranks[[0, *ends[:-1]]].tolist(), ends):
-            self.push(rank, positions[start:end])
+            self._push(rank, data[4 * start : 4 * end])
             start = end
 
     def pop(self) -> tuple[int, np.ndarray] | None:
@@ -105,8 +115,7 @@ class RankQueue:
             self.middle[a] &= self.middle[a] - 1
             if not self.middle[a]:
                 self.high &= self.high - 1
-        bucket = self.buckets.pop(rank)
-        return rank, bucket[0] if len(bucket) == 1 else np.concatenate(bucket)
+        return rank, np.frombuffer(self.buckets.pop(rank), np.int32)
 
 
 def merge_pieces(table: RankTable, pieces: list[bytes]) -> list[bytes]:
@@ -117,18 +126,23 @@ def merge_pieces(table: RankTable, pieces: list[bytes]) -> list[bytes]:
     ends = np.cumsum(lengths)
     n = int(ends[-1])
     letters = np.frombuffer(b"".join(pieces), np.uint8)
-    ids = np.append(table.byte_ids[letters], table.size).astype(np.int32)
+    ids = np.full(n + 1, table.size, np.int32)
     piece = np.repeat(np.arange(len(pieces), dtype=np.int32), lengths)
     following, previous = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
     filled = lengths > 0
     following[ends[filled] - 1] = n  # position n stands for none
     previous[(ends - lengths)[filled]] = n
     pending = np.full(n + 1, -1, np.int32)
-    pending[: max(0, n - 1)] = table.byte_pairs[letters[:-1].astype(np.int32) << 8 | letters[1:]]
+    stretches = [slice(a, min(a + STRETCH, n)) for a in range(0, n, STRETCH)]
+    for at in stretches:
+        ids[at] = table.byte_ids[letters[at]]
+        right = letters[at.start + 1 : at.stop + 1]
+        pending[at.start : at.start + len(right)] = table.byte_pairs[letters[at][: len(right)].astype(np.int32) << 8 | right]
     pending[ends[filled] - 1] = -1
     queue = RankQueue(table.size)
-    first = np.flatnonzero(pending >= 0).astype(np.int32)
-    queue.push_all(pending[first], first)
+    for at in stretches:
+        first = np.flatnonzero(pending[at] >= 0) + at.start
+        queue.push_all(pending[first], first)
     while (popped := queue.pop()) is not None:
         rank, at = popped
         at = at[pending[at] == rank]
@@ -162,9 +176,10 @@ def merge_pieces(table: RankTable, pieces: list[bytes]) -> list[bytes]:
         known = ranks >= 0
         queue.push_all(ranks[known], touched[known])
     kept = ids[:n] < table.size
-    counts = np.append(0, np.cumsum(kept))[np.append(0, ends)] * 4
     data = ids[:n][kept].astype("<u4").tobytes()
-    return [data[a:b] for a, b in zip(counts[:-1].tolist(), counts[1:].tolist())]
+    counts = np.append(0, np.cumsum(kept, dtype=np.int32))[np.append(0, ends)].tolist()
+    del ids, kept, piece, following, previous, pending, queue
+    return [data[4 * a : 4 * b] for a, b in pairwise(counts)]
 
 
 class Encoder:
@@ -194,49 +209,76 @@ class Encoder:
         known.update(zip([new[i] for i in merge], merge_pieces(self.table, [raw[i] for i in merge])))
         self.chars += sum(map(len, new))
 
-    def _ids(self, pieces: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    def _matches(self, texts: Iterable[str]) -> tuple[pa.ChunkedArray, np.ndarray]:
+        """The pre-tokens of texts one behind the other, and where those of each text begin and end."""
+        counts, held, taken = [0], [], []
+        for text in texts:
+            found = self.pattern.findall(text)
+            counts.append(len(found))
+            held += found
+            if len(held) >= HELD:
+                taken.append(pa.array(held, pa.large_string()))
+                held = []
+        return pa.chunked_array([*taken, pa.array(held, pa.large_string())]), np.cumsum(counts)
+
+    def _ids(self, pieces: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
         """The ids of each pre-token, and which of them begin with a space."""
-        coded = pieces.dictionary_encode()
-        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if not len(pieces):
+            return pa.array([], pa.large_binary()), np.zeros(0, bool)
+        coded = pieces.dictionary_encode().chunks  # they share one dictionary
+        indices = np.concatenate([c.indices.to_numpy() for c in coded])
+        dictionary = coded[-1].dictionary
+        del coded, pieces
+        different = dictionary.to_pylist()
         self._learn(different)
         ids = pa.array([self.pieces[p] for p in different], pa.large_binary())
-        spaced = pc.starts_with(coded.dictionary, " ").to_numpy(zero_copy_only=False)
-        return ids.take(coded.indices), spaced[coded.indices.to_numpy()]
+        spaced = pc.starts_with(dictionary, " ").to_numpy(zero_copy_only=False)
+        return ids.take(pa.array(indices)), spaced[indices]
 
-    def _chunk_ids(self, chunks: list[str]) -> pa.Array:
+    def _chunk_ids(self, chunks: pa.Array) -> pa.Array:
         """The ids of chunks that have a space before them and do not begin with white space."""
-        if not chunks:
+        if not len(chunks):
             return pa.array([], pa.large_binary())
-        ids, spaced = self._ids(pa.array(self.pattern.findall(" " + " ".join(chunks)), pa.large_string()))
+        cuts = pa.array([*range(0, len(chunks), MATCHED), len(chunks)], pa.int64())
+        lines = pc.binary_join(pa.LargeListArray.from_arrays(cuts, chunks), pa.scalar(" ", pa.large_string()))
+        ids, spaced = self._ids(self._matches(" " + line.as_py() for line in lines)[0])
         return joined(ids, np.append(np.flatnonzero(spaced), len(ids)))
 
-    def _text_ids(self, texts: list[str]) -> pa.Array:
+    def _text_ids(self, texts: Iterable[str]) -> pa.Array:
         """The ids of texts that are matched whole."""
-        pieces = list(map(self.pattern.findall, texts))
-        ends = np.cumsum([0, *map(len, pieces)])
-        return joined(self._ids(pa.array([p for found in pieces for p in found], pa.large_string()))[0], ends)
+        pieces, ends = self._matches(texts)
+        return joined(self._ids(pieces)[0], ends)
 
-    def encode_column(self, texts: pa.Array, width: int = 4) -> pa.Array:
-        """The ids of each text, ``width`` bytes an id; texts are not null."""
+    def encode_slices(self, texts: pa.Array, width: int = 4) -> Iterator[pa.Array]:
+        """The ids of each text, ``width`` bytes an id, for one slice of the texts after the other; texts are not null."""
+        if not len(texts):
+            return
         if len(self.pieces) > REMEMBERED or self.chars > REMEMBERED_CHARS:
             self._forget()
         split = pc.split_pattern(texts.cast(pa.large_string()), " ")
         begins, chunks = split.offsets.to_numpy(), split.values.dictionary_encode()
-        codes, different = chunks.indices.to_numpy().astype(np.int64), chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
-        usable = np.array([not (not c or c[0].isspace()) for c in different], bool)
+        heads = split.values.take(pa.array(begins[:-1]))
+        codes, different = chunks.indices.to_numpy(), chunks.dictionary
+        del split, chunks
+        first = pc.utf8_slice_codeunits(different, 0, 1).dictionary_encode()
+        usable = np.array([not (not c or c.isspace()) for c in first.dictionary.to_pylist()], bool)[first.indices.to_numpy()]
         # a text is a row of values: first what has no space before it, then the chunks
-        values = np.cumsum(usable) - 1
-        whole = np.logical_or.reduceat(~usable[codes], begins[:-1]) if len(texts) else np.zeros(0, bool)
-        heads = split.values.take(pa.array(begins[:-1])).to_pylist()
-        for i in np.flatnonzero(whole).tolist():
-            heads[i] = texts[i].as_py()
-        rows = values[codes]
+        whole = np.logical_or.reduceat(~usable[codes], begins[:-1])
+        rows = (np.cumsum(usable, dtype=np.int32) - 1)[codes]
         n = int(usable.sum())
         rows[np.repeat(whole, np.diff(begins))] = n + len(heads)  # nothing more
         rows[begins[:-1]] = n + np.arange(len(heads))
-        own = [c for c, use in zip(different, usable.tolist()) if use]
-        ids = pa.concat_arrays([self._chunk_ids(own), self._text_ids(heads), pa.array([b""], pa.large_binary())])
-        return joined(narrowed(ids, width).take(pa.array(rows)), begins)
+        own = different.filter(pa.array(usable))
+        del codes, different, first
+        ids = [self._chunk_ids(own), self._text_ids((texts if w else heads)[i].as_py() for i, w in enumerate(whole.tolist()))]
+        ids = narrowed(pa.concat_arrays([*ids, pa.array([b""], pa.large_binary())]), width)
+        del own, heads
+        for a, b in slices(texts, HANDED_ON):
+            yield joined(ids.take(pa.array(rows[begins[a] : begins[b]])), begins[a : b + 1] - begins[a])
+
+    def encode_column(self, texts: pa.Array, width: int = 4) -> pa.Array:
+        """The ids of each text, ``width`` bytes an id; texts are not null."""
+        return pa.concat_arrays([pa.array([], pa.large_binary()), *self.encode_slices(texts, width)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return self.encode_column(pa.array(texts, pa.large_string())).to_pylist()
@@ -303,11 +345,14 @@ def encode(
         tokens = {rank: token for token, rank in coder.table.ranks.items()}
         for batch in batches:
             for part in parts(batch, len(rest), TOGETHER):
-                ids = coder.encode_column(pc.fill_null(part.column(len(rest)), ""), width)
-                columns = [ids.cast(pa.binary())]
-                if decoded_column:
-                    columns.append(pa.array([decoded(x, tokens, width) for x in ids.to_pylist()], pa.binary()))
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], *columns], names=[*rest, *made])
+                done = 0
+                for ids in coder.encode_slices(pc.fill_null(part.column(len(rest)), ""), width):
+                    columns = [ids.cast(pa.binary())]
+                    if decoded_column:
+                        columns.append(pa.array([decoded(x.as_py(), tokens, width) for x in ids], pa.binary()))
+                    others = [c.slice(done, len(ids)) for c in part.columns[: len(rest)]]
+                    yield pa.RecordBatch.from_arrays([*others, *columns], names=[*rest, *made])
+                    done += len(ids)
 
     schema = T.StructType([*(df.schema[c] for c in rest), *(T.StructField(c, T.BinaryType()) for c in made)])
     return df.select(*rest, text_column).mapInArrow(run, schema)

@@ -38,14 +38,20 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def parts(batch: pa.RecordBatch, column: int, together: int | None = None) -> Iterator[pa.RecordBatch]:
-    """A batch in slices whose column holds about ``together`` bytes (TOGETHER if not given), or one row."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+def slices(texts: pa.Array, together: int | None = None) -> Iterator[tuple[int, int]]:
+    """Begins and ends of slices of texts that hold about ``together`` bytes (TOGETHER if not given), or one row."""
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     group = np.cumsum(lengths, dtype=np.int64) // (together or TOGETHER)
     starts = np.append(0, np.flatnonzero(np.diff(group)) + 1)
     for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(lengths)]):
         if b > a:
-            yield batch.slice(a, b - a)
+            yield a, b
+
+
+def parts(batch: pa.RecordBatch, column: int, together: int | None = None) -> Iterator[pa.RecordBatch]:
+    """A batch in slices whose column holds about ``together`` bytes (TOGETHER if not given), or one row."""
+    for a, b in slices(batch.column(column), together):
+        yield batch.slice(a, b - a)
 
 
 def fold_of(doc_id: Column) -> Column:

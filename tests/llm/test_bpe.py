@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -82,6 +83,37 @@ def test_columns_in_either_width(both, width):
     assert len(coder.encode_column(texts[:0], width)) == 0
 
 
+def test_slices_change_nothing(both, monkeypatch):
+    coder, library = both
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("aab the é\n  1!中ß") for _ in range(rng.randint(0, 60))) for _ in range(500)] + ["ab" * 300]
+    want = [library.encode_ordinary(t) for t in texts]
+    for name, least in [("HANDED_ON", 100), ("MATCHED", 7), ("HELD", 5), ("STRETCH", 3)]:
+        monkeypatch.setattr(bpe, name, least)
+    coder._forget()
+    slices = list(coder.encode_slices(pa.array(texts), 2))
+    assert len(slices) > 50
+    assert [np.frombuffer(x, "<u2").tolist() for part in slices for x in part.to_pylist()] == want
+    coder._forget()
+    assert list(map(ids, coder.encode(texts))) == want
+
+
+@pytest.mark.parametrize("gap, different, times", [(" ", 120_000, 34), ("  ", 300, 6)])
+def test_memory_beside_the_texts(both, gap, different, times):
+    """Many different words are merged together; white space before a space has texts matched whole."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(8)) for _ in range(different)]
+    texts = pa.array([gap.join(words[i % different : i % different + 300]) for i in range(0, 240_000, 300)])
+    coder = bpe.Encoder(both[0].table, public_tokenizers.PATTERN)
+    tracemalloc.start()
+    try:
+        coder.encode_column(texts)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < times * sum(map(len, texts.to_pylist())), most / sum(map(len, texts.to_pylist()))
+
+
 def test_queue_gives_ranks_in_order():
     rng = random.Random(1)
     queue, want = bpe.RankQueue(300_000), {}
