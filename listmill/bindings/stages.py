@@ -81,7 +81,7 @@ def source_fee_copy(spark, d):
     ranged = refresh_ranges(entities, fees).select("id", "fee_min", "fee_max")
     status = F.coalesce("check_status", F.lit("unchecked")).alias("status")
     per = fees.groupBy(F.col("entity_id").alias("id"), "source", status).agg(F.count("*").alias("n"), F.sum("amount").alias("total"))
-    return per.join(ranged, "id")
+    return per.join(ranged.hint("merge"), "id")
 
 
 # ---------------------------------------------------------------- stored fees, checked again

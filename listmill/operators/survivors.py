@@ -172,9 +172,10 @@ def fold(
 
 
 def refresh_ranges(entities: DataFrame, fees: DataFrame) -> DataFrame:
-    """Entities with fee_min, fee_max and currency recomputed from the fees that count."""
+    """Entities with fee_min, fee_max and currency recomputed from the fees that count. There is a range
+    for each entity with fees, so they are never broadcast."""
     ranges = fee_range(fees.where(is_counted(F.col("check_status"))), "entity_id")
-    ranges = ranges.withColumnRenamed("entity_id", "id")
+    ranges = ranges.withColumnRenamed("entity_id", "id").hint("merge")
     return entities.drop("fee_min", "fee_max", "currency").join(ranges, "id", "left").select(
         *entities.columns
     )

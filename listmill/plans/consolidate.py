@@ -116,15 +116,14 @@ def source_fees(listings: DataFrame) -> DataFrame:
             _extra("register_page_text").alias("text"), _extra("register_self_url").alias("page_url"),
         )
     )
+    # a fee is checked against its own listing's text, and not at all without one
+    texted = F.when(F.col("text") != "", F.lit(True)).alias("_checked")
     fees = rows.select(
-        "entity_id", "source", "listing_id", "url", "page_url", F.posexplode("fees").alias("pos", "f")
-    ).select("entity_id", "source", "listing_id", "url", "page_url", "pos", "f.*")
+        "entity_id", "source", "listing_id", "url", "page_url", texted, F.posexplode("fees").alias("pos", "f")
+    ).select("entity_id", "source", "listing_id", "url", "page_url", "_checked", "pos", "f.*")
     texts = rows.select("listing_id", F.coalesce("text", F.lit("")).alias("text"))
-    # a fee is checked against its own listing's text, and not at all without one
     checked = check_fees(fees, texts, "listing_id", "pos")
-    has_text = texts.where("text <> ''").select("listing_id", F.lit(True).alias("_checked"))
-    out = checked.join(has_text, "listing_id", "left")
-    return out.where(F.col("_checked").isNull() | (F.col("check.status") != "duplicate")).select(
+    return checked.where(F.col("_checked").isNull() | (F.col("check.status") != "duplicate")).select(
         F.xxhash64("entity_id", "source", "pos").alias("id"),
         "entity_id",
         "category",
@@ -141,9 +140,11 @@ def source_fees(listings: DataFrame) -> DataFrame:
 
 
 def replace_source_fees(listings: DataFrame, fees: DataFrame) -> DataFrame:
-    """``fees`` where all fees of a source in an entity are those that came with its listing, if any did."""
+    """``fees`` where all fees of a source in an entity are those that came with its listing, if any did.
+    What was given grows with the listings, so it is never broadcast."""
     given = cut(source_fees(listings))
-    kept = fees.join(given.select("entity_id", "source").distinct(), ["entity_id", "source"], "left_anti")
+    replaced = given.select("entity_id", "source").distinct().hint("merge")
+    kept = fees.join(replaced, ["entity_id", "source"], "left_anti")
     return kept.unionByName(given)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from listmill.config import EngineConfig
 from listmill.operators.incremental import replace_origin
 from listmill.operators.privacy import account_details
+from listmill.operators.survivors import refresh_ranges
 from listmill.plans import audit, consolidate, marts, reading, update
 from listmill.schemas import ENTITIES, FEES, LISTINGS
 
@@ -89,6 +90,19 @@ def test_fees_of_listings_are_read_once(spark):
     assert [(r.id, [f.amount for f in r.fees]) for r in given.collect()] == [(1, [9.0])]
 
 
+def test_fees_of_listings_are_never_broadcast(spark):
+    """However small the files look, what has a row for each fee or entity stays off the driver."""
+    extra = json.dumps({"fees": [{"category": "Author", "amount": 300.0, "currency": "USD"}], "register_page_text": "Author USD 300"})
+    rows = table(spark, LISTINGS, [listing(1, "ieee", entity_id=5, extra=extra)])
+    old = table(spark, FEES, [dict(id=1, entity_id=5, source="ieee", amount=7.0, currency="USD", check_status="verified")])
+    all_fees = consolidate.replace_source_fees(rows, old)
+    ranged = refresh_ranges(table(spark, ENTITIES, [dict(id=5)]), all_fees)
+    for df in (consolidate.source_fees(rows), all_fees, ranged):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    assert [(r.amount, r.check_status) for r in all_fees.collect()] == [(300.0, "verified")]
+    assert [(r.id, r.fee_min) for r in ranged.collect()] == [(5, 300.0)]
+
+
 def test_dedupe_keeps_the_better_one(spark):
     ents = table(spark, ENTITIES, [
         dict(id=1, acronym="TSSA", name="The 20th TSSA", start_date=D(2026, 10, 1), homepage="https://t.org", fee_min=350.0, fee_max=600.0, currency="USD",
