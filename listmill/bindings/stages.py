@@ -263,7 +263,7 @@ def audit_all_checks(spark, d):
     key = F.col("o_orderkey")
     start = F.when(key % 50 > 0, F.col("day"))
     ranges = fee_range(fees.where(is_counted(F.col("check_status"))), "entity_id")
-    best = ranges.select(F.col("entity_id").alias("o_orderkey"), "fee_min", "fee_max", "currency")
+    best = ranges.select(F.col("entity_id").alias("o_orderkey"), "fee_min", "fee_max", "currency").hint("merge")
     entities = cut(table(spark, ENTITIES, o.join(best, "o_orderkey", "left").select(
         key.alias("id"), "acronym", start.alias("start_date"), F.date_add("day", (key % 40 - 1).cast("int")).alias("end_date"), F.expr(_COUNTRY).alias("country"),
         F.when(key % 45 == 1, F.date_add("day", 1)).otherwise(F.date_sub("day", 30)).alias("paper_deadline"), F.when(key % 60 == 2, F.date_add("day", 1)).alias("abstract_deadline"),

@@ -98,7 +98,9 @@ def audit(
 ) -> DataFrame:
     """All checks over the stored tables and the published ``site`` marts.
 
-    Failures are stored check by check, so that the driver never plans all checks at once.
+    Failures are stored check by check, so that the driver never plans all checks at once. What has a
+    row for each entity or fee is never broadcast: a few columns of a wide stored table look far
+    smaller to the planner than they are.
     """
     c = with_country(entities, "country")
     if not everything:
@@ -111,13 +113,13 @@ def audit(
         "usd", converted_by_map(F.col("amount"), F.col("currency"), F.col("rates"), "USD")
     )
     c, counted = cut(c), cut(counted.select("id", "entity_id", "category", "tier", "amount", "currency", "usd"))
-    owned = cut(counted.join(c.select(F.col("id").alias("entity_id")), "entity_id", "left_semi"))
+    owned = cut(counted.join(c.select(F.col("id").alias("entity_id")).hint("merge"), "entity_id", "left_semi"))
     has = counted.select(F.col("entity_id").alias("id"), F.lit(True).alias("has_counted")).distinct()
     ranges = fee_range(counted, "entity_id").select(
         F.col("entity_id").alias("id"), F.struct("fee_min", "fee_max", "currency").alias("want")
     )
     none = F.struct(*[F.lit(None).cast(t).alias(n) for n, t in (("fee_min", "double"), ("fee_max", "double"), ("currency", "string"))])
-    state = cut(c.join(has, "id", "left").join(ranges, "id", "left"))
+    state = cut(c.join(has.hint("merge"), "id", "left").join(ranges.hint("merge"), "id", "left"))
     no_fee = F.col("has_counted").isNull()
     parts = [failing(
         state,
@@ -189,7 +191,7 @@ def audit(
     std = shown.where("standard_fee is not null").select(
         "id", F.col("standard_fee.amount").alias("amount"), F.col("standard_fee.currency").alias("currency")
     )
-    missing = std.join(prices, ["id", "amount", "currency"], "left_anti")
+    missing = std.join(prices.hint("merge"), ["id", "amount", "currency"], "left_anti")
     parts.append(
         failing(missing, {"headline fee not among its fees": F.lit(True)}, F.col("id"), ident)
     )

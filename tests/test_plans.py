@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -265,6 +266,20 @@ def test_audit_is_planned_check_by_check(spark, small, rates):
     assert len(plan) < 20_000 and "Union" not in plan
 
 
+def test_audit_broadcasts_only_what_is_bounded(spark, small, rates, monkeypatch):
+    """The fixed spellings, the account details and a row per range; never entities, fees or prices."""
+    ents, fees, rows = small
+    plans, cut, cut_all = [], audit.cut, audit.cut_all
+    site = {name: cut(df) for name, df in marts.publish(ents, fees, rows, rates, CONFIG).items() if name in ("entities", "fees", "weeks")}
+    details = account_details(rows.select(F.lit("").alias("t")), "t")
+    planned = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(audit, "cut", lambda df: (planned(df), cut(df))[1])
+    monkeypatch.setattr(audit, "cut_all", lambda parts: ([planned(part) for part in parts], cut_all(parts))[1])
+    audit.audit(ents, fees, rows, rates, site, details, CONFIG)
+    joins = [line for plan in plans for line in plan.splitlines() if re.search("Broadcast(Hash|NestedLoop)Join", line)]
+    assert joins and all(re.search(r"Join \[(_key|kind|value|_part)#", line) for line in joins), joins
+
+
 def test_export_search_summary(spark, small, rates):
     ents, fees, rows = small
     out = marts.export_rows(ents, fees, rows, rates, ["Asia"]).collect()
