@@ -123,12 +123,13 @@ from notes""")
 def revalidated_fees(spark, d):
     """Stored fees against their page's text once more: repeats go, statuses, notes and ranges follow; orders
     without fees are asked for prices that were missed."""
-    lines = load(spark, d, "lineitem").select(
+    # numbered lines and texts are read several times: stored once, they are sorted and gathered once
+    lines = cut(load(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("entity_id"), F.col("l_linestatus").alias("category"), "l_returnflag", F.expr(_AMOUNT).alias("amount"),
         (F.col("l_orderkey") * 1000 + F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER))).alias("number"),
-    )
+    ))
     shown = F.concat(F.lit("Author fee USD "), F.format_number("amount", 0))
-    texts = lines.where("l_returnflag <> 'R'").groupBy("entity_id").agg(F.array_join(F.sort_array(F.collect_set(shown)), "\n").alias("text"))
+    texts = cut(lines.where("l_returnflag <> 'R'").groupBy("entity_id").agg(F.array_join(F.sort_array(F.collect_set(shown)), "\n").alias("text")))
     fees = table(spark, FEES, lines.where("entity_id % 7 <> 0").select(
         F.col("number").alias("id"), "entity_id", "category", "amount", F.lit("USD").alias("currency"), F.lit("homepage").alias("source"), F.lit("not_found").alias("check_status")
     ))

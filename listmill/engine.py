@@ -49,9 +49,23 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Whether a query's shuffle files go when it ends, and not when the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def _stored(df: DataFrame) -> str:
+    """The path of ``df`` as a table. Its shuffle files go once it is written: what follows reads the table."""
     path = f"{scratch_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            conf.unset(_CLEANUP)
+        else:
+            conf.set(_CLEANUP, before)
     return path
 
 

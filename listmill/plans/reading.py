@@ -274,11 +274,13 @@ def revalidate(entities: DataFrame, fees: DataFrame, texts: DataFrame) -> tuple[
     """Re-checks stored fees against their entity's text (entity_id, text).
 
     Repeats are deleted, checks and currencies refreshed, ranges and status recomputed. Entities
-    without fees get the missed-price check, and lose its note when it no longer holds.
+    without fees get the missed-price check, and lose its note when it no longer holds. What has a row
+    for each entity is never broadcast.
     """
     reads = texts.where("text is not null")
-    mine = fees.join(reads.select("entity_id"), "entity_id", "left_semi")
-    others = fees.join(reads.select("entity_id"), "entity_id", "left_anti")
+    known = reads.select("entity_id").hint("merge")
+    mine = fees.join(known, "entity_id", "left_semi")
+    others = fees.join(known, "entity_id", "left_anti")
     checked = cut(check_fees(mine, reads, "entity_id", "id"))
     renewed = checked.where(F.col("check.status") != "duplicate").select(
         *[
@@ -296,9 +298,9 @@ def revalidate(entities: DataFrame, fees: DataFrame, texts: DataFrame) -> tuple[
     all_fees = cut(others.unionByName(renewed))
     summary = check_summary(checked, "entity_id")
     joined = (
-        entities.join(reads.select(F.col("entity_id").alias("id"), F.col("text").alias("_text")), "id", "left")
-        .join(summary.select(F.col("entity_id").alias("id"), "check_note"), "id", "left")
-        .join(_owned(all_fees), "id", "left")
+        entities.join(reads.select(F.col("entity_id").alias("id"), F.col("text").alias("_text")).hint("merge"), "id", "left")
+        .join(summary.select(F.col("entity_id").alias("id"), "check_note").hint("merge"), "id", "left")
+        .join(_owned(all_fees).hint("merge"), "id", "left")
         .withColumn("n_fees", F.coalesce("n_fees", F.lit(0)))
     )
     usable = F.coalesce("any_verified", F.lit(False))

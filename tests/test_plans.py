@@ -199,6 +199,18 @@ def test_revalidate(spark):
     assert sorted((r.id, r.check_status) for r in out.collect() if r.entity_id == 1) == [(1, "verified"), (3, "not_found")]
 
 
+def test_revalidation_broadcasts_nothing(spark, monkeypatch):
+    ents = table(spark, ENTITIES, [dict(id=1, name="A", status="enriched"), dict(id=2, name="B", status="collected")])
+    fees = table(spark, FEES, [dict(id=i, entity_id=1, category="Author", amount=300.0, currency="USD", source="homepage") for i in (1, 2)])
+    texts = spark.createDataFrame([(1, "Author fee USD 300"), (2, "Author fee USD 200")], "entity_id bigint, text string")
+    plans, cut = [], reading.cut
+    monkeypatch.setattr(reading, "cut", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), cut(df))[1])
+    done, kept = reading.revalidate(ents, fees, texts)
+    assert len(plans) == 3 and "Broadcast" not in "".join([*plans, done._jdf.queryExecution().executedPlan().toString()])
+    assert [(r.id, r.check_status) for r in kept.collect()] == [(1, "verified")]
+    assert {r.id: (r.status, r.fee_min) for r in done.collect()} == {1: ("enriched", 300.0), 2: ("needs_review", None)}
+
+
 def test_details(spark):
     ents = table(spark, ENTITIES, [dict(id=1, name="E", status="needs_review", review_note="no homepage and no source page text")])
     rows = table(spark, LISTINGS, [listing(1, "ieee", source_id="77", entity_id=1, extra='{"a":"1"}'), listing(2, "ieee", source_id="78", entity_id=1)])

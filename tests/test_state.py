@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import random
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from listmill.operators import incremental as inc
 from listmill.operators import lines, neighbours, predicates
 from listmill.bindings import relational  # noqa: F401
 from listmill.bindings.registry import QUERIES
+from listmill.engine import cut
 from listmill.operators.fees import check_fees, check_summary, fee_range, headlines, mark_repeats, repeat_counts
 from listmill.operators.history import editions, history_records
 from listmill.operators.privacy import account_details, details_held, emails_in, leaks, scrub_table
@@ -161,6 +163,23 @@ def test_check_fees_and_summary(spark):
     assert [r.is_repeat for r in marks.orderBy("id").collect()] == [False, True, False, True]
 
 
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    """Otherwise all shuffles of a long query lie on the disks until the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    folders = list(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs())
+
+    def shuffled():
+        return {p.name for f in folders for p in Path(f.getPath()).glob("*/shuffle_*")}
+
+    asked, there = spark.conf.get(key), shuffled()
+    out = cut(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):  # they are removed in the background
+        if left := shuffled() - there:
+            time.sleep(0.1)
+    assert not left and spark.conf.get(key) == asked
+    assert sorted(r.k for r in out.collect()) == list(range(7))
+
+
 def test_repeat_counts_need_no_order(spark):
     rows = [(1, "a", 2.0), (1, "a", 2.0), (1, None, 2.0), (1, None, 2.0), (1, None, 2.0), (1, "a", 3.0), (None, "a", 2.0)]
     got = repeat_counts(spark.createDataFrame(rows, "e bigint, tier string, amount double"), "e", [F.col("tier"), F.bround("amount", 2)])
